@@ -15,12 +15,18 @@ def _unit(digits: int) -> str:
     return "1" if digits == 0 else "0." + "0" * (digits - 1) + "1"
 
 
+def round_ratio(num: str, den: str, scale: int, digits: int) -> str:
+    """Exact HALF_UP ``round(num / den, digits)``; both have at most ``scale`` decimals."""
+    n = f"CAST(({num}) * {10 ** scale} AS HUGEINT)"
+    d = f"CAST(NULLIF(({den}), 0) * {10 ** scale} AS HUGEINT)"
+    q = (f"(SIGN({n}) * SIGN({d}) * ((2 * ABS({n}) * {10 ** digits} + ABS({d})) "
+         f"// (2 * ABS({d}))))")
+    return f"(CAST({q} AS DECIMAL(38,0)) * {_unit(digits)})"
+
+
 def round_div(num: str, num_scale: int, den: str, digits: int) -> str:
     """Exact ``round(num / den, digits)``; ``num`` has ``num_scale`` decimals, ``den`` integral."""
-    n = f"CAST(({num}) * {10 ** num_scale} AS HUGEINT)"
-    d = f"(CAST(NULLIF(({den}), 0) AS HUGEINT) * {10 ** num_scale})"
-    q = f"(SIGN({n}) * ((2 * ABS({n}) * {10 ** digits} + {d}) // (2 * {d})))"
-    return f"(CAST({q} AS DECIMAL(38,0)) * {_unit(digits)})"
+    return round_ratio(num, den, num_scale, digits)
 
 
 def dbl(expr: str) -> str:
@@ -62,3 +68,108 @@ SQL: dict[str, str] = {}
 SQL["daily_sales"] = f"""WITH {ORDERS_CTE}, {DAILY_CTE}
 SELECT date, total_orders, {dbl('total_revenue')} AS total_revenue, {dbl('avg_order')} AS avg_order,
        unique_customers, top_category FROM daily"""
+
+
+def nullsafe_least(expr: str, cap: str) -> str:
+    return f"(CASE WHEN ({expr}) IS NULL THEN NULL ELSE LEAST(({expr}), {cap}) END)"
+
+
+PERF_CTE = f"""perf0 AS (
+  SELECT product_id, strftime(created_at, '%Y-%m') AS period,
+         CAST(SUM(quantity) AS INTEGER) AS units_sold, ROUND(SUM(total_amount), 2) AS revenue,
+         {round_div('SUM(unit_price)', 2, 'COUNT(unit_price)', 2)} AS avg_price,
+         {round_ratio("COUNT(*) FILTER (WHERE status = 'refunded')", 'COUNT(order_id)', 0, 4)} AS return_rate
+  FROM o GROUP BY 1, 2),
+perf AS (SELECT perf0.*, p.p_name AS product_name, p.p_type AS category
+         FROM perf0 LEFT JOIN part p ON p.p_partkey = perf0.product_id)"""
+
+# Segment thresholds used by the registered queries (the defaults 3000/1000 would
+# make every customer of the driver tables a vip).
+SEG_T = (3000000, 2000000, 180, 1)
+
+
+def seg_cte(orders: str = "o", as_of: str = ORDERS_AS_OF) -> str:
+    vip, prem, risk, new = SEG_T
+    clv = nullsafe_least(round_ratio("total_spent * order_count", "days_since_last + 1", 2, 4),
+                         "999999.9999")
+    return f"""agg AS (SELECT customer_id, ROUND(SUM(total_amount), 2) AS total_spent,
+                CAST(COUNT(order_id) AS INTEGER) AS order_count, MAX(created_at) AS last_order_at
+         FROM {orders} WHERE status <> 'cancelled' GROUP BY 1),
+agg2 AS (SELECT *, CAST(date_diff('day', CAST(last_order_at AS DATE), {as_of}) AS INTEGER) AS days_since_last FROM agg),
+agg3 AS (SELECT *, {clv} AS clv_score,
+                CASE WHEN total_spent > {vip} THEN 'vip' WHEN total_spent > {prem} THEN 'premium'
+                     WHEN days_since_last > {risk} THEN 'at_risk' WHEN order_count <= {new} THEN 'new'
+                     ELSE 'regular' END AS segment FROM agg2),
+seg AS (SELECT cu.c_custkey AS customer_id, COALESCE(a.total_spent, 0) AS total_spent,
+               COALESCE(a.order_count, 0) AS order_count, a.last_order_at, a.days_since_last,
+               COALESCE(a.clv_score, 0) AS clv_score, COALESCE(a.segment, 'new') AS segment
+        FROM customer cu LEFT JOIN agg3 a ON a.customer_id = cu.c_custkey)"""
+
+
+SEG_CTE = seg_cte()
+
+SQL["product_performance"] = f"""WITH {ORDERS_CTE}, {PERF_CTE}
+SELECT product_id, period, units_sold, {dbl('revenue')} AS revenue, {dbl('avg_price')} AS avg_price,
+       {dbl('return_rate')} AS return_rate, product_name, category FROM perf"""
+
+SQL["customer_segments"] = f"""WITH {ORDERS_CTE}, {SEG_CTE}
+SELECT customer_id, {dbl('total_spent')} AS total_spent, order_count, last_order_at, days_since_last,
+       {dbl('clv_score')} AS clv_score, segment FROM seg"""
+
+TRENDS_CTE = f"""rt AS (SELECT *, SUM(total_revenue) OVER w7 AS s7, COUNT(total_revenue) OVER w7 AS n7,
+                  LAG(total_revenue, 30) OVER (ORDER BY date) AS prev
+           FROM daily WINDOW w7 AS (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)),
+trends AS (SELECT date, total_orders, total_revenue, avg_order, unique_customers, top_category,
+                  {round_div('s7', 2, 'n7', 2)} AS revenue_7d_avg, ROUND(s7, 2) AS revenue_7d_sum,
+                  CASE WHEN prev > 0 THEN {round_ratio('(total_revenue - prev) * 100', 'prev', 2, 2)} END AS mom_growth_pct
+           FROM rt)"""
+
+SQL["revenue_trends"] = f"""WITH {ORDERS_CTE}, {DAILY_CTE}, {TRENDS_CTE}
+SELECT date, total_orders, {dbl('total_revenue')} AS total_revenue, {dbl('avg_order')} AS avg_order,
+       unique_customers, top_category, {dbl('revenue_7d_avg')} AS revenue_7d_avg,
+       {dbl('revenue_7d_sum')} AS revenue_7d_sum, {dbl('mom_growth_pct')} AS mom_growth_pct FROM trends"""
+
+TOPP_CTE = f"""topp AS (
+  SELECT product_id, product_name, category, period, units_sold, revenue, avg_price,
+         ROUND(return_rate * 100, 2) AS return_rate_pct,
+         CAST(RANK() OVER (PARTITION BY period ORDER BY revenue DESC NULLS FIRST) AS INTEGER) AS revenue_rank,
+         CAST(RANK() OVER (PARTITION BY period ORDER BY units_sold DESC NULLS FIRST) AS INTEGER) AS volume_rank,
+         {round_ratio('revenue * 100', 'SUM(revenue) OVER (PARTITION BY period)', 2, 2)} AS revenue_share_pct
+  FROM perf)"""
+
+SQL["top_products"] = f"""WITH {ORDERS_CTE}, {PERF_CTE}, {TOPP_CTE}
+SELECT product_id, product_name, category, period, units_sold, {dbl('revenue')} AS revenue,
+       {dbl('avg_price')} AS avg_price, {dbl('return_rate_pct')} AS return_rate_pct, revenue_rank,
+       volume_rank, {dbl('revenue_share_pct')} AS revenue_share_pct FROM topp"""
+
+LTV_CTE = f"""rfm AS (SELECT *,
+    CAST(NTILE(4) OVER (ORDER BY total_spent DESC NULLS LAST, customer_id) AS INTEGER) AS mq,
+    CAST(NTILE(4) OVER (ORDER BY order_count DESC NULLS LAST, customer_id) AS INTEGER) AS fq,
+    CAST(NTILE(4) OVER (ORDER BY last_order_at DESC NULLS LAST, customer_id) AS INTEGER) AS rq
+  FROM seg),
+ltv AS (SELECT customer_id, segment,
+    CASE WHEN mq = 4 AND fq = 4 THEN 'champion' WHEN mq >= 3 AND fq >= 3 THEN 'loyal'
+         WHEN rq = 4 THEN 'new' WHEN rq <= 2 AND mq >= 3 THEN 'at_risk' ELSE 'regular' END AS rfm_segment,
+    mq + fq + rq AS rfm_score, total_spent, order_count,
+    {round_div('total_spent', 2, 'order_count', 2)} AS avg_order_value, last_order_at,
+    ROUND(clv_score, 4) AS clv_score, mq AS monetary_quartile, fq AS frequency_quartile,
+    rq AS recency_quartile FROM rfm)"""
+
+SQL["customer_ltv"] = f"""WITH {ORDERS_CTE}, {SEG_CTE}, {LTV_CTE}
+SELECT customer_id, segment, rfm_segment, rfm_score, {dbl('total_spent')} AS total_spent, order_count,
+       {dbl('avg_order_value')} AS avg_order_value, last_order_at, {dbl('clv_score')} AS clv_score,
+       monetary_quartile, frequency_quartile, recency_quartile FROM ltv"""
+
+SQL["ntile_distributed"] = """SELECT o_orderkey, o_totalprice,
+  CAST(NTILE(10) OVER (ORDER BY o_totalprice DESC NULLS LAST, o_orderkey) AS INTEGER) AS decile
+FROM orders"""
+
+SQL["top_category_window"] = f"""WITH {ORDERS_CTE}, {DAILY_CTE}
+SELECT date, category AS top_category, {dbl('cat_revenue')} AS cat_revenue, CAST(rn AS INTEGER) AS rn FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY date ORDER BY cat_revenue DESC NULLS LAST, category) AS rn
+  FROM dcat) WHERE rn = 1"""
+
+SQL["top_k_products_per_month"] = f"""WITH {ORDERS_CTE}, {PERF_CTE}
+SELECT period, product_id, product_name, {dbl('revenue')} AS revenue, CAST(rn AS INTEGER) AS rn FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY period ORDER BY revenue DESC NULLS LAST, product_id) AS rn
+  FROM perf) WHERE rn <= 3"""

@@ -11,8 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightlake.plans import gold
+from brightlake.operators.ntile import distributed_ntile
+from brightlake.operators.topk import top_k_per_group
+from brightlake.plans import gold, models
 from brightlake.sources import adapter
+from brightlake.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -34,3 +37,73 @@ def money_out(df: DataFrame, *cols: str) -> DataFrame:
 def q_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = adapter.order_lines(spark, sf_dir)
     return money_out(gold.daily_sales(orders), "total_revenue", "avg_order")
+
+
+SEGMENT_THRESHOLDS = (3000000, 2000000, 180, 1)
+
+
+def _perf(spark, sf_dir):
+    orders = adapter.order_lines(spark, sf_dir, with_product=False)
+    return gold.product_performance(orders, adapter.products(spark, sf_dir))
+
+
+def _segments(spark, sf_dir):
+    orders = adapter.order_lines(spark, sf_dir, with_product=False)
+    return gold.customer_segments(orders, adapter.customers(spark, sf_dir),
+                                  adapter.ORDERS_AS_OF, SEGMENT_THRESHOLDS)
+
+
+@register("product_performance")
+def q_product_performance(spark, sf_dir):
+    return money_out(_perf(spark, sf_dir), "revenue", "avg_price", "return_rate")
+
+
+@register("customer_segments")
+def q_customer_segments(spark, sf_dir):
+    return money_out(_segments(spark, sf_dir), "total_spent", "clv_score")
+
+
+@register("revenue_trends")
+def q_revenue_trends(spark, sf_dir):
+    daily = gold.daily_sales(adapter.order_lines(spark, sf_dir))
+    return money_out(models.revenue_trends(daily), "total_revenue", "avg_order",
+                     "revenue_7d_avg", "revenue_7d_sum", "mom_growth_pct")
+
+
+@register("top_products")
+def q_top_products(spark, sf_dir):
+    return money_out(models.top_products(_perf(spark, sf_dir)), "revenue", "avg_price",
+                     "return_rate_pct", "revenue_share_pct")
+
+
+@register("customer_ltv")
+def q_customer_ltv(spark, sf_dir):
+    return money_out(models.customer_ltv(_segments(spark, sf_dir)), "total_spent",
+                     "avg_order_value", "clv_score")
+
+
+@register("ntile_distributed")
+def q_ntile_distributed(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    order = [F.col("o_totalprice").desc_nulls_last(), F.col("o_orderkey").asc()]
+    return distributed_ntile(orders, 10, order, "decile")
+
+
+@register("top_category_window")
+def q_top_category_window(spark, sf_dir):
+    o = adapter.order_lines(spark, sf_dir).filter(F.col("status") == "completed")
+    by_cat = (o.groupBy(F.col("order_date").alias("date"), "category")
+               .agg(F.sum("total_amount").alias("cat_revenue")))
+    top = top_k_per_group(by_cat, ["date"], [F.col("cat_revenue").desc_nulls_last(),
+                                            F.col("category").asc()], 1)
+    return money_out(top.select("date", F.col("category").alias("top_category"),
+                                "cat_revenue", "rn"), "cat_revenue")
+
+
+@register("top_k_products_per_month")
+def q_top_k_products_per_month(spark, sf_dir):
+    perf = _perf(spark, sf_dir)
+    top = top_k_per_group(perf, ["period"], [F.col("revenue").desc_nulls_last(),
+                                            F.col("product_id").asc()], 3)
+    return money_out(top.select("period", "product_id", "product_name", "revenue", "rn"),
+                     "revenue")

@@ -23,16 +23,17 @@ def as_date_lit(as_of) -> Column:
 
 
 def as_ts_lit(as_of) -> Column:
+    """A wall-clock timestamp (``timestamp_ntz``, like the landed data)."""
     if isinstance(as_of, Column):
-        return as_of.cast("timestamp")
+        return as_of.cast("timestamp_ntz")
     if isinstance(as_of, (_dt.date, _dt.datetime)):
         as_of = as_of.isoformat(sep=" ") if isinstance(as_of, _dt.datetime) else as_of.isoformat()
-    return F.lit(as_of).cast("timestamp")
+    return F.lit(as_of).cast("timestamp_ntz")
 
 
 def parse_ts(x) -> Column:
     """ISO-8601 text to timestamp; unparseable text becomes NULL (ANSI-safe)."""
-    return F.try_to_timestamp(_c(x))
+    return F.try_to_timestamp(_c(x)).cast("timestamp_ntz")
 
 
 def days_since(as_of, x) -> Column:

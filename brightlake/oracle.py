@@ -173,3 +173,98 @@ SQL["top_k_products_per_month"] = f"""WITH {ORDERS_CTE}, {PERF_CTE}
 SELECT period, product_id, product_name, {dbl('revenue')} AS revenue, CAST(rn AS INTEGER) AS rn FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY period ORDER BY revenue DESC NULLS LAST, product_id) AS rn
   FROM perf) WHERE rn <= 3"""
+
+CLEAN_CTE = """bz AS (SELECT order_id, customer_id, product_id, product_name, category, unit_price, quantity,
+                discount, total_amount, status, created_at FROM o),
+bz1 AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY order_id ORDER BY
+          created_at NULLS FIRST, customer_id NULLS FIRST, product_id NULLS FIRST, product_name NULLS FIRST,
+          category NULLS FIRST, unit_price NULLS FIRST, quantity NULLS FIRST, discount NULLS FIRST,
+          total_amount NULLS FIRST, status NULLS FIRST) AS rn FROM bz) WHERE rn = 1),
+clean AS (SELECT order_id, customer_id, product_id, product_name, category, unit_price, quantity, discount,
+                 total_amount, lower(trim(status)) AS status, created_at,
+                 ROUND(total_amount * (1 - CAST(discount AS DECIMAL(6,4))), 2) AS revenue_net,
+                 lower(trim(status)) = 'refunded' AS is_refunded, CAST(created_at AS DATE) AS order_date,
+                 TIMESTAMP '2001-08-01 00:00:00' AS _ingested_at
+          FROM bz1 WHERE order_id IS NOT NULL AND customer_id IS NOT NULL AND product_id IS NOT NULL
+                     AND unit_price > 0 AND quantity > 0 AND total_amount > 0)"""
+
+SQL["clean_orders"] = f"""WITH {ORDERS_CTE}, {CLEAN_CTE}
+SELECT order_id, customer_id, product_id, product_name, category, {dbl('unit_price')} AS unit_price,
+       quantity, {dbl('discount')} AS discount, {dbl('total_amount')} AS total_amount, status, created_at,
+       {dbl('revenue_net')} AS revenue_net, is_refunded, order_date, _ingested_at FROM clean"""
+
+CPROD_CTE = """cp AS (SELECT * FROM (SELECT p_partkey AS product_id, p_name AS name, p_type AS category,
+                  CAST(p_retailprice AS DECIMAL(18,2)) AS base_price, CAST(p_size AS BIGINT) AS stock,
+                  CAST(NULL AS DOUBLE) AS rating,
+                  ROW_NUMBER() OVER (PARTITION BY p_partkey ORDER BY p_name, p_type, p_retailprice, p_size) AS rn
+           FROM part) WHERE rn = 1 AND product_id IS NOT NULL AND name IS NOT NULL AND base_price > 0),
+cprod AS (SELECT product_id, name, category, base_price, stock, rating,
+                 CASE WHEN base_price < 920 THEN 'budget' WHEN base_price < 950 THEN 'mid'
+                      WHEN base_price < 980 THEN 'premium' ELSE 'luxury' END AS price_tier,
+                 TIMESTAMP '2001-08-01 00:00:00' AS _ingested_at FROM cp)"""
+
+SQL["clean_products"] = f"""WITH {CPROD_CTE}
+SELECT product_id, name, category, {dbl('base_price')} AS base_price, stock, rating, price_tier,
+       _ingested_at FROM cprod"""
+
+SQL["clean_customers"] = """SELECT customer_id, name, lower(trim(segment)) AS segment, country,
+       CAST(NULL AS INTEGER) AS days_since_joined, TIMESTAMP '2001-08-01 00:00:00' AS _ingested_at
+FROM (SELECT c.c_custkey AS customer_id, c.c_name AS name, c.c_mktsegment AS segment, n.n_name AS country,
+             ROW_NUMBER() OVER (PARTITION BY c.c_custkey ORDER BY c.c_name, c.c_mktsegment, n.n_name) AS rn
+      FROM customer c LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey) WHERE rn = 1 AND customer_id IS NOT NULL"""
+
+
+def dq_sql(table: str, src: str, rules: list[tuple[str, str]], layer: str = "silver") -> str:
+    counts = ", ".join(f"COUNT(*) FILTER (WHERE NOT ({pred})) AS {name}" for name, pred in rules)
+    parts = " UNION ALL ".join(
+        f"SELECT '{name}' AS check_name, t, {name} AS f FROM {table}_dqc" for name, _ in rules)
+    return f"""{table}_dqc AS (SELECT COUNT(*) AS t, {counts} FROM {src}),
+{table}_dq AS (SELECT '{table}' AS table_name, '{layer}' AS layer, check_name,
+       CASE WHEN f = 0 THEN 'pass' WHEN f * 100 < t THEN 'warn' ELSE 'fail' END AS status,
+       t AS rows_tested, f AS rows_failed, TIMESTAMP '2001-08-01 00:00:00' AS run_at FROM ({parts}))"""
+
+
+ORDER_RULES_SQL = [("no_null_order_id", "order_id IS NOT NULL"), ("positive_amount", "total_amount > 0"),
+                   ("valid_status", "status IN ('completed', 'refunded', 'cancelled')"),
+                   ("valid_quantity", "quantity BETWEEN 1 AND 100"),
+                   ("non_negative_discount", "discount BETWEEN 0 AND 1")]
+PRODUCT_RULES_SQL = [("no_null_product_id", "product_id IS NOT NULL"), ("positive_price", "base_price > 0"),
+                     ("valid_rating", "rating BETWEEN 0 AND 5")]
+DQ_CTE = f"""{dq_sql('orders', 'clean', ORDER_RULES_SQL)}, {CPROD_CTE}, {dq_sql('products', 'cprod', PRODUCT_RULES_SQL)},
+dq_all AS (SELECT * FROM orders_dq UNION ALL SELECT * FROM products_dq)"""
+
+SQL["dq_orders"] = f"""WITH {ORDERS_CTE}, {CLEAN_CTE}, {dq_sql('orders', 'clean', ORDER_RULES_SQL)}
+SELECT * FROM orders_dq"""
+
+SQL["dq_gate"] = f"""WITH {ORDERS_CTE}, {CLEAN_CTE}, {DQ_CTE}
+SELECT COUNT(*) AS total_checks, COUNT(*) FILTER (WHERE status = 'fail') AS failures,
+       COUNT(*) FILTER (WHERE status = 'warn') AS warnings,
+       COALESCE(string_agg(DISTINCT check_name, ',' ORDER BY check_name) FILTER (WHERE status = 'fail'), '') AS failed_checks,
+       CASE WHEN COUNT(*) FILTER (WHERE status = 'fail') > 0 THEN 'dq_failed' ELSE 'dq_passed' END AS decision
+FROM dq_all WHERE run_at >= TIMESTAMP '2001-08-01 00:00:00' - INTERVAL 1 HOUR
+              AND run_at <= TIMESTAMP '2001-08-01 00:00:00' AND layer = 'silver'"""
+
+SQL["dq_pass_rate"] = f"""WITH {ORDERS_CTE}, {CLEAN_CTE}, {DQ_CTE}
+SELECT AVG(CASE WHEN status = 'pass' THEN 100.0 ELSE 0.0 END)::DOUBLE AS pass_rate FROM dq_all"""
+
+
+def _nn(table: str, src: str, cols: list[str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name, 'not_null' AS test, "
+        f"COUNT(*) FILTER (WHERE {c} IS NULL) AS failures FROM {src}" for c in cols)
+
+
+def _uq(table: str, src: str, col: str) -> str:
+    return (f"SELECT '{table}' AS table_name, '{col}' AS column_name, 'unique' AS test, "
+            f"CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS failures FROM "
+            f"(SELECT {col}, COUNT(*) AS n FROM {src} WHERE {col} IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1)")
+
+
+SQL["unique_not_null"] = f"""WITH {ORDERS_CTE}, {DAILY_CTE}, {TRENDS_CTE}, {PERF_CTE}, {TOPP_CTE}, {SEG_CTE}, {LTV_CTE},
+t AS ({_nn('revenue_trends', 'trends', ['date', 'total_revenue', 'total_orders'])} UNION ALL
+      {_uq('revenue_trends', 'trends', 'date')} UNION ALL
+      {_nn('top_products', 'topp', ['product_id', 'period', 'revenue'])} UNION ALL
+      {_nn('customer_ltv', 'ltv', ['customer_id', 'rfm_score'])} UNION ALL
+      {_uq('customer_ltv', 'ltv', 'customer_id')})
+SELECT table_name, column_name, test, CAST(failures AS BIGINT) AS failures,
+       CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM t"""

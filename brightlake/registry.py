@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brightlake.operators import cleaning, quality
 from brightlake.operators.ntile import distributed_ntile
 from brightlake.operators.topk import top_k_per_group
 from brightlake.plans import gold, models
@@ -107,3 +108,78 @@ def q_top_k_products_per_month(spark, sf_dir):
                                             F.col("product_id").asc()], 3)
     return money_out(top.select("period", "product_id", "product_name", "revenue", "rn"),
                      "revenue")
+
+
+PRODUCT_TIERS = (920, 950, 980)  # p_retailprice spans 900-999.90: hits every tier
+
+
+def _clean_orders(spark, sf_dir):
+    return cleaning.clean_orders(adapter.bronze_order_lines(spark, sf_dir), adapter.ORDERS_AS_OF)
+
+
+def _clean_products(spark, sf_dir):
+    return cleaning.clean_products(adapter.products(spark, sf_dir), adapter.ORDERS_AS_OF,
+                                   tiers=PRODUCT_TIERS)
+
+
+def _clean_customers(spark, sf_dir):
+    return cleaning.clean_customers(adapter.customers(spark, sf_dir), adapter.ORDERS_AS_OF,
+                                    require_email=False)
+
+
+def _dq_orders(spark, sf_dir):
+    return quality.run_rules(_clean_orders(spark, sf_dir), "orders", "silver",
+                             quality.order_rules(), adapter.ORDERS_AS_OF)
+
+
+def _dq_products(spark, sf_dir):
+    return quality.run_rules(_clean_products(spark, sf_dir), "products", "silver",
+                             quality.product_rules(), adapter.ORDERS_AS_OF)
+
+
+@register("clean_orders")
+def q_clean_orders(spark, sf_dir):
+    return money_out(_clean_orders(spark, sf_dir), "unit_price", "discount", "total_amount",
+                     "revenue_net")
+
+
+@register("clean_products")
+def q_clean_products(spark, sf_dir):
+    return money_out(_clean_products(spark, sf_dir), "base_price")
+
+
+@register("clean_customers")
+def q_clean_customers(spark, sf_dir):
+    return _clean_customers(spark, sf_dir)
+
+
+@register("dq_orders")
+def q_dq_orders(spark, sf_dir):
+    return _dq_orders(spark, sf_dir)
+
+
+@register("dq_gate")
+def q_dq_gate(spark, sf_dir):
+    results = _dq_orders(spark, sf_dir).unionByName(_dq_products(spark, sf_dir))
+    gate = quality.dq_gate(results, adapter.ORDERS_AS_OF, hours=1, layer="silver")
+    return gate.withColumn("failed_checks", F.array_join("failed_checks", ","))
+
+
+@register("dq_pass_rate")
+def q_dq_pass_rate(spark, sf_dir):
+    results = _dq_orders(spark, sf_dir).unionByName(_dq_products(spark, sf_dir))
+    return quality.pass_rate(results)
+
+
+@register("unique_not_null")
+def q_unique_not_null(spark, sf_dir):
+    daily = gold.daily_sales(adapter.order_lines(spark, sf_dir))
+    trends = models.revenue_trends(daily)
+    tops = models.top_products(_perf(spark, sf_dir))
+    ltv = models.customer_ltv(_segments(spark, sf_dir))
+    return (quality.column_tests(trends, "revenue_trends", unique=["date"],
+                                 not_null=["date", "total_revenue", "total_orders"])
+            .unionByName(quality.column_tests(tops, "top_products",
+                                              not_null=["product_id", "period", "revenue"]))
+            .unionByName(quality.column_tests(ltv, "customer_ltv", unique=["customer_id"],
+                                              not_null=["customer_id", "rfm_score"])))

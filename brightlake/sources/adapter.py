@@ -69,6 +69,18 @@ def order_lines(spark: SparkSession, base_dir: str, with_product: bool = True) -
     return out
 
 
+BRONZE_ORDER_COLUMNS = ["order_id", "customer_id", "product_id", "product_name", "category",
+                        "unit_price", "quantity", "discount", "total_amount", "status",
+                        "created_at"]
+
+
+def bronze_order_lines(spark: SparkSession, base_dir: str) -> DataFrame:
+    """Landed (bronze) shape: the order lines with ``created_at`` as ISO-8601 text."""
+    lines = order_lines(spark, base_dir, with_product=True)
+    iso = F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss").alias("created_at")
+    return lines.select(*[iso if c == "created_at" else F.col(c) for c in BRONZE_ORDER_COLUMNS])
+
+
 def customers(spark: SparkSession, base_dir: str) -> DataFrame:
     """Customer dimension: id, name, segment (market segment), country (nation)."""
     c = table(spark, base_dir, "customer").select(

@@ -268,3 +268,213 @@ t AS ({_nn('revenue_trends', 'trends', ['date', 'total_revenue', 'total_orders']
       {_uq('customer_ltv', 'ltv', 'customer_id')})
 SELECT table_name, column_name, test, CAST(failures AS BIGINT) AS failures,
        CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM t"""
+
+
+def feat_cte(p: str, as_of: str = ORDERS_AS_OF, where: str = "TRUE") -> str:
+    """Customer features (A12) over order lines ``o`` filtered by ``where``; CTEs prefixed ``p``."""
+    age = f"date_diff('day', order_date, {as_of})"
+    clv = nullsafe_least(round_ratio("total_spent_all * order_count_30d", "days_since_last + 1", 2, 2),
+                         "999999.0")
+    return f"""{p}o AS (SELECT * FROM o WHERE status <> 'cancelled' AND {where}),
+{p}a AS (SELECT customer_id, MAX(order_date) AS _last,
+   CAST(COUNT(*) FILTER (WHERE {age} <= 7) AS INTEGER) AS order_count_7d,
+   CAST(COUNT(*) FILTER (WHERE {age} <= 30) AS INTEGER) AS order_count_30d,
+   CAST(COUNT(*) FILTER (WHERE {age} <= 90) AS INTEGER) AS order_count_90d,
+   SUM(CASE WHEN {age} <= 30 THEN total_amount ELSE 0 END) AS _spent30,
+   SUM(total_amount) AS _spent, COUNT(total_amount) AS _n_amount,
+   COUNT(*) FILTER (WHERE status = 'refunded') AS _refunded, COUNT(order_id) AS _n
+ FROM {p}o GROUP BY 1),
+{p}b AS (SELECT customer_id, CAST(date_diff('day', _last, {as_of}) AS INTEGER) AS days_since_last,
+   order_count_7d, order_count_30d, order_count_90d, ROUND(_spent30, 2) AS total_spent_30d,
+   {round_div('_spent', 2, '_n_amount', 2)} AS avg_basket_size, ROUND(_spent, 2) AS total_spent_all,
+   {round_ratio('_refunded', '_n', 0, 4)} AS return_rate FROM {p}a),
+{p}c AS (SELECT *, ROUND({clv}, 2) AS clv_score FROM {p}b),
+{p}pc AS (SELECT customer_id, category, COUNT(*) AS n FROM {p}o WHERE category IS NOT NULL GROUP BY 1, 2),
+{p}pref AS (SELECT customer_id, category AS preferred_category FROM (
+   SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY n DESC, category) AS rn FROM {p}pc) WHERE rn = 1),
+{p}feat AS (SELECT {p}c.*, {p}pref.preferred_category, CAST({as_of} AS TIMESTAMP) AS computed_at
+   FROM {p}c LEFT JOIN {p}pref ON {p}c.customer_id = {p}pref.customer_id)"""
+
+
+FEAT_COLS = ["customer_id", "days_since_last", "order_count_7d", "order_count_30d", "order_count_90d",
+             "total_spent_30d", "avg_basket_size", "total_spent_all", "return_rate", "clv_score",
+             "preferred_category", "computed_at"]
+FEAT_MONEY = {"total_spent_30d", "avg_basket_size", "total_spent_all", "return_rate", "clv_score",
+              "churn_probability"}
+
+
+def cols_out(cols: list[str], money: set[str], prefix: str = "") -> str:
+    return ", ".join(f"{dbl(prefix + c)} AS {c}" if c in money else f"{prefix}{c}" for c in cols)
+
+
+SCORED_CTE = f"""{feat_cte('f')},
+scored AS (SELECT customer_id, COALESCE(days_since_last, 999) AS days_since_last,
+   order_count_7d, order_count_30d, order_count_90d, total_spent_30d, avg_basket_size, total_spent_all,
+   return_rate, clv_score, COALESCE(preferred_category, 'unknown') AS preferred_category, computed_at,
+   {round_ratio('GREATEST(days_since_last, 0)', 'GREATEST(days_since_last, 0) + 180', 0, 4)} AS churn_probability
+ FROM ffeat)"""
+
+SQL["customer_features"] = f"""WITH {ORDERS_CTE}, {feat_cte('f')}
+SELECT {cols_out(FEAT_COLS, FEAT_MONEY)} FROM ffeat"""
+
+SQL["product_features"] = f"""WITH {ORDERS_CTE},
+pa AS (SELECT product_id,
+   SUM(CASE WHEN date_diff('day', order_date, {ORDERS_AS_OF}) <= 7 THEN quantity ELSE 0 END) AS u7,
+   SUM(CASE WHEN date_diff('day', order_date, {ORDERS_AS_OF}) <= 30 THEN quantity ELSE 0 END) AS u30,
+   SUM(CASE WHEN date_diff('day', order_date, {ORDERS_AS_OF}) <= 30 THEN total_amount ELSE 0 END) AS r30,
+   COUNT(*) FILTER (WHERE status = 'refunded') AS rf, COUNT(order_id) AS n FROM o GROUP BY 1)
+SELECT p.p_partkey AS product_id, CAST(COALESCE(u7, 0) AS BIGINT) AS units_sold_7d,
+   CAST(COALESCE(u30, 0) AS BIGINT) AS units_sold_30d, {dbl('COALESCE(r30, 0)')} AS revenue_30d,
+   CAST(NULL AS DOUBLE) AS avg_rating, {dbl(round_ratio('rf', 'n', 0, 4))} AS return_rate,
+   CAST(p.p_size AS BIGINT) AS stock_level,
+   CASE WHEN CAST(p.p_retailprice AS DECIMAL(18,2)) < 920 THEN 'budget'
+        WHEN CAST(p.p_retailprice AS DECIMAL(18,2)) < 950 THEN 'mid'
+        WHEN CAST(p.p_retailprice AS DECIMAL(18,2)) < 980 THEN 'premium' ELSE 'luxury' END AS price_tier,
+   p.p_type AS category, CAST({ORDERS_AS_OF} AS TIMESTAMP) AS event_timestamp
+FROM part p LEFT JOIN pa ON pa.product_id = p.p_partkey"""
+
+SQL["preferred_category"] = f"""WITH {ORDERS_CTE}, {feat_cte('f')}
+SELECT customer_id, preferred_category FROM fpref"""
+
+PURCH_CTE = """purch AS (SELECT user_id, ts AS purchase_ts, value AS purchase_value, event_id AS purchase_id
+                  FROM events WHERE event_type = 'purchase')"""
+
+SQL["asof_features"] = f"""WITH {PURCH_CTE},
+spine AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'click'),
+m AS (SELECT s.event_id, s.user_id, s.ts, p.purchase_ts, p.purchase_value,
+             ROW_NUMBER() OVER (PARTITION BY s.event_id ORDER BY p.purchase_ts DESC NULLS LAST,
+                                p.purchase_id DESC NULLS LAST) AS rn
+      FROM spine s LEFT JOIN purch p ON p.user_id = s.user_id AND p.purchase_ts <= s.ts
+                                     AND p.purchase_ts >= s.ts - INTERVAL 1 DAY)
+SELECT event_id, user_id, ts, purchase_ts, purchase_value FROM m WHERE rn = 1"""
+
+SQL["online_features"] = f"""WITH {PURCH_CTE}
+SELECT user_id, purchase_ts, purchase_value, purchase_id FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY purchase_ts DESC, purchase_id DESC,
+                               purchase_value DESC) AS rn
+  FROM purch WHERE purchase_ts <= {EVENTS_AS_OF} AND purchase_ts >= {EVENTS_AS_OF} - INTERVAL 7 DAY)
+WHERE rn = 1"""
+
+SQL["latest_version"] = """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
+       l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC NULLS LAST,
+      l_partkey DESC NULLS LAST, l_suppkey DESC NULLS LAST, l_quantity DESC NULLS LAST,
+      l_extendedprice DESC NULLS LAST, l_discount DESC NULLS LAST, l_tax DESC NULLS LAST,
+      l_returnflag DESC NULLS LAST, l_linestatus DESC NULLS LAST) AS rn FROM lineitem) WHERE rn = 1"""
+
+SQL["upsert_merge"] = f"""WITH {ORDERS_CTE},
+{feat_cte('tg', "DATE '1998-01-01'", "order_date < DATE '1998-01-01'")},
+{feat_cte('sr', ORDERS_AS_OF, "order_date >= DATE '2001-01-01'")}
+SELECT COALESCE(t.customer_id, s.customer_id) AS customer_id,
+       CASE WHEN t.customer_id IS NOT NULL THEN t.order_count_30d ELSE s.order_count_30d END AS order_count_30d,
+       {dbl('CASE WHEN t.customer_id IS NOT NULL THEN t.total_spent_30d ELSE s.total_spent_30d END')} AS total_spent_30d,
+       {dbl('CASE WHEN s.customer_id IS NOT NULL THEN s.clv_score ELSE t.clv_score END')} AS clv_score,
+       CASE WHEN s.customer_id IS NOT NULL THEN s.computed_at ELSE t.computed_at END AS computed_at
+FROM tgfeat t FULL OUTER JOIN srfeat s ON t.customer_id = s.customer_id"""
+
+CCOPY_CTE = f"""ccopy AS (SELECT COALESCE(CAST(seg.customer_id AS VARCHAR), '') AS customer_id,
+       COALESCE(seg.segment, 'unknown') AS segment, {dbl('COALESCE(seg.total_spent, 0)')} AS total_spent,
+       CAST(COALESCE(seg.order_count, 0) AS BIGINT) AS order_count,
+       {dbl('COALESCE(seg.clv_score, 0)')} AS clv_score,
+       {dbl('COALESCE(sc.churn_probability, 0)')} AS churn_probability,
+       COALESCE(seg.last_order_at, TIMESTAMP '2000-01-01 00:00:00') AS last_order_at,
+       TIMESTAMP '2001-08-01 00:00:00' AS inserted_at
+  FROM seg LEFT JOIN scored sc ON CAST(seg.customer_id AS VARCHAR) = CAST(sc.customer_id AS VARCHAR))"""
+
+SQL["olap_copy"] = f"""WITH {ORDERS_CTE}, {SEG_CTE}, {SCORED_CTE}, {CCOPY_CTE}
+SELECT * FROM ccopy"""
+
+SQL["q_summary"] = f"""WITH {ORDERS_CTE}, {DAILY_CTE}, {SEG_CTE},
+a AS (SELECT COALESCE(SUM(total_revenue), 0) AS total_revenue,
+             CAST(COALESCE(SUM(total_orders), 0) AS BIGINT) AS total_orders,
+             COALESCE({round_div('SUM(avg_order)', 2, 'COUNT(avg_order)', 4)}, 0) AS avg_order_value,
+             COALESCE(MAX(unique_customers), 0) AS unique_customers
+      FROM daily WHERE date >= {ORDERS_AS_OF} - INTERVAL 30 DAY),
+b AS (SELECT COUNT(*) FILTER (WHERE segment = 'vip') AS vip_customers,
+             COUNT(*) FILTER (WHERE segment = 'at_risk') AS at_risk_customers FROM seg)
+SELECT {dbl('a.total_revenue')} AS total_revenue, a.total_orders, {dbl('a.avg_order_value')} AS avg_order_value,
+       a.unique_customers, b.vip_customers, b.at_risk_customers FROM a, b"""
+
+SQL["q_daily_sales"] = f"""WITH {ORDERS_CTE}, {DAILY_CTE}
+SELECT date, total_orders, {dbl('total_revenue')} AS total_revenue, {dbl('avg_order')} AS avg_order,
+       unique_customers, top_category FROM daily WHERE date >= {ORDERS_AS_OF} - INTERVAL 30 DAY"""
+
+SQL["q_revenue_trends"] = f"""WITH {ORDERS_CTE}, {DAILY_CTE}, {TRENDS_CTE}
+SELECT date, {dbl('total_revenue')} AS total_revenue,
+       {dbl('COALESCE(revenue_7d_avg, total_revenue)')} AS revenue_7d_avg,
+       {dbl('COALESCE(revenue_7d_sum, total_revenue)')} AS revenue_7d_sum,
+       {dbl('mom_growth_pct')} AS mom_growth_pct FROM trends ORDER BY date DESC LIMIT 90"""
+
+TOPLATEST_CTE = """toplatest AS (SELECT product_id, product_name, category, period, units_sold, revenue, avg_price,
+       return_rate_pct, revenue_rank FROM topp WHERE period = (SELECT MAX(period) FROM topp)
+       ORDER BY revenue_rank, product_id LIMIT 10)"""
+
+SQL["q_top_products"] = f"""WITH {ORDERS_CTE}, {PERF_CTE}, {TOPP_CTE}, {TOPLATEST_CTE}
+SELECT product_id, product_name, category, period, units_sold, {dbl('revenue')} AS revenue,
+       {dbl('avg_price')} AS avg_price, {dbl('return_rate_pct')} AS return_rate_pct, revenue_rank
+FROM toplatest"""
+
+SQL["category_rollup"] = f"""WITH {ORDERS_CTE}, {PERF_CTE}, {TOPP_CTE}, {TOPLATEST_CTE}
+SELECT category, {dbl('SUM(revenue)')} AS revenue, CAST(SUM(units_sold) AS BIGINT) AS units FROM toplatest GROUP BY 1"""
+
+SQL["q_customer_segments"] = f"""WITH {ORDERS_CTE}, {SEG_CTE}
+SELECT segment, COUNT(*) AS count, {dbl(round_div('SUM(total_spent)', 2, 'COUNT(total_spent)', 2))} AS avg_spent,
+       {dbl(round_ratio('SUM(order_count)', 'COUNT(order_count)', 0, 1))} AS avg_orders,
+       {dbl(round_div('SUM(clv_score)', 4, 'COUNT(clv_score)', 4))} AS avg_clv
+FROM seg GROUP BY 1"""
+
+SQL["q_customer_ltv"] = f"""WITH {ORDERS_CTE}, {SEG_CTE}, {LTV_CTE}
+SELECT customer_id, segment, rfm_segment, rfm_score, {dbl('total_spent')} AS total_spent,
+       {dbl('avg_order_value')} AS avg_order_value, order_count, last_order_at, {dbl('clv_score')} AS clv_score
+FROM ltv WHERE customer_id = 42"""
+
+SQL["q_catalog"] = f"""WITH {ORDERS_CTE}, {DAILY_CTE}, {PERF_CTE}, {SEG_CTE}
+SELECT 'customer_segments' AS table_name, 'gold' AS layer, CAST(NULL AS VARCHAR) AS location, 'parquet' AS format,
+       (SELECT COUNT(*) FROM seg) AS row_count, TIMESTAMP '2001-08-01 00:00:00' AS last_updated
+UNION ALL SELECT 'daily_sales', 'gold', NULL, 'parquet', (SELECT COUNT(*) FROM daily), TIMESTAMP '2001-08-01 00:00:00'
+UNION ALL SELECT 'product_performance', 'gold', NULL, 'parquet', (SELECT COUNT(*) FROM perf), TIMESTAMP '2001-08-01 00:00:00'"""
+
+SQL["q_dq_results"] = f"""WITH {ORDERS_CTE}, {CLEAN_CTE}, {DQ_CTE}
+SELECT table_name, layer, check_name, status, rows_tested, rows_failed, run_at FROM dq_all
+ORDER BY run_at DESC, table_name, check_name LIMIT 100"""
+
+SQL["q_ml_summary"] = f"""WITH {ORDERS_CTE}, {SCORED_CTE}
+SELECT COUNT(*) AS total_customers, COUNT(*) FILTER (WHERE churn_probability > 0.7) AS high_risk_count,
+       COUNT(*) FILTER (WHERE churn_probability BETWEEN 0.4 AND 0.7) AS medium_risk_count,
+       COUNT(*) FILTER (WHERE churn_probability < 0.4) AS low_risk_count,
+       {dbl(round_div('SUM(churn_probability)', 4, 'COUNT(churn_probability)', 4))} AS avg_churn_probability,
+       {dbl(round_div('SUM(clv_score)', 2, 'COUNT(clv_score)', 2))} AS avg_clv_score FROM scored"""
+
+SQL["q_churn_risk"] = f"""WITH {ORDERS_CTE}, {SCORED_CTE}
+SELECT customer_id, {dbl('churn_probability')} AS churn_probability, {dbl('clv_score')} AS clv_score,
+       days_since_last, preferred_category FROM scored WHERE churn_probability > 0.5
+ORDER BY churn_probability DESC, customer_id LIMIT 20"""
+
+SQL["q_customer_ml"] = f"""WITH {ORDERS_CTE}, {SCORED_CTE}
+SELECT customer_id, order_count_30d, {dbl('avg_basket_size')} AS avg_basket_size,
+       {dbl('churn_probability')} AS churn_probability, {dbl('clv_score')} AS clv_score, preferred_category,
+       days_since_last, computed_at,
+       CASE WHEN churn_probability > 0.7 THEN 'high' WHEN churn_probability > 0.4 THEN 'medium' ELSE 'low' END AS risk_level
+FROM scored WHERE customer_id = 42"""
+
+SQL["q_olap_stats"] = f"""WITH {ORDERS_CTE}, {DAILY_CTE}
+SELECT COUNT(*) AS total_rows, {dbl('SUM(CAST(CAST(total_revenue AS DOUBLE) AS DECIMAL(18,2)))')} AS total_revenue,
+       MAX(date) AS latest_date FROM daily"""
+
+SQL["q_olap_top_products"] = f"""WITH {ORDERS_CTE}, {PERF_CTE}
+SELECT COALESCE(product_name, '') AS product_name, COALESCE(category, '') AS category,
+       {dbl('SUM(CAST(CAST(revenue AS DOUBLE) AS DECIMAL(18,2)))')} AS revenue, CAST(SUM(units_sold) AS BIGINT) AS units
+FROM perf GROUP BY 1, 2 ORDER BY revenue DESC, product_name, category LIMIT 10"""
+
+SQL["q_olap_churn_stats"] = f"""WITH {ORDERS_CTE}, {SEG_CTE}, {SCORED_CTE}, {CCOPY_CTE}
+SELECT COUNT(*) FILTER (WHERE CAST(churn_probability AS DECIMAL(10,4)) > 0.7) AS high_risk,
+       COUNT(*) FILTER (WHERE CAST(churn_probability AS DECIMAL(10,4)) BETWEEN 0.4 AND 0.7) AS medium_risk,
+       COUNT(*) FILTER (WHERE CAST(churn_probability AS DECIMAL(10,4)) < 0.4) AS low_risk,
+       {dbl(round_div('SUM(CAST(churn_probability AS DECIMAL(10,4)))', 4, 'COUNT(churn_probability)', 6))} AS avg_churn,
+       {dbl(round_div('SUM(CAST(clv_score AS DECIMAL(24,4)))', 4, 'COUNT(clv_score)', 6))} AS avg_clv FROM ccopy"""
+
+SQL["feature_summary"] = f"""WITH {ORDERS_CTE}, {SCORED_CTE}
+SELECT COUNT(*) AS customers,
+       {dbl(round_div('SUM(churn_probability)', 4, 'COUNT(churn_probability)', 4))} AS avg_churn,
+       {dbl(round_div('SUM(clv_score)', 2, 'COUNT(clv_score)', 2))} AS avg_clv,
+       COUNT(*) FILTER (WHERE churn_probability > 0.7) AS high_risk FROM scored"""

@@ -6,15 +6,18 @@ the same columns as its oracle SQL in ``brightlake.oracle``.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightlake.operators import cleaning, quality
+from brightlake.operators import asof, cleaning, quality
+from brightlake.operators.dedupe import latest_by
 from brightlake.operators.ntile import distributed_ntile
 from brightlake.operators.topk import top_k_per_group
-from brightlake.plans import gold, models
+from brightlake.operators.upsert import upsert
+from brightlake.plans import features, gold, models, olap, ops, serving
 from brightlake.sources import adapter
 from brightlake.sources.tables import table
 
@@ -183,3 +186,205 @@ def q_unique_not_null(spark, sf_dir):
                                               not_null=["product_id", "period", "revenue"]))
             .unionByName(quality.column_tests(ltv, "customer_ltv", unique=["customer_id"],
                                               not_null=["customer_id", "rfm_score"])))
+
+
+# ---- features, point-in-time join, versions, upsert, OLAP copy -------------------
+
+def _features(spark, sf_dir, as_of=adapter.ORDERS_AS_OF, since=None, until=None):
+    orders = adapter.order_lines(spark, sf_dir)
+    if since:
+        orders = orders.filter(F.col("order_date") >= F.lit(since).cast("date"))
+    if until:
+        orders = orders.filter(F.col("order_date") < F.lit(until).cast("date"))
+    return features.customer_features(orders, as_of)
+
+
+def _scored(spark, sf_dir):
+    f = _features(spark, sf_dir).withColumn("churn_probability", features.churn_stand_in())
+    return features.with_feature_defaults(f)
+
+
+FEATURE_MONEY = ("total_spent_30d", "avg_basket_size", "total_spent_all", "return_rate",
+                 "clv_score", "churn_probability")
+
+
+def _purchases(spark, sf_dir):
+    ev = adapter.events(spark, sf_dir)
+    return ev.filter(F.col("event_type") == "purchase").select(
+        "user_id", F.col("ts").alias("purchase_ts"), F.col("value").alias("purchase_value"),
+        F.col("event_id").alias("purchase_id"))
+
+
+@register("customer_features")
+def q_customer_features(spark, sf_dir):
+    return money_out(_features(spark, sf_dir), *FEATURE_MONEY)
+
+
+@register("product_features")
+def q_product_features(spark, sf_dir):
+    orders = adapter.order_lines(spark, sf_dir, with_product=False)
+    pf = features.product_features(orders, adapter.products(spark, sf_dir),
+                                   adapter.ORDERS_AS_OF, PRODUCT_TIERS)
+    return money_out(pf, "revenue_30d", "return_rate")
+
+
+@register("preferred_category")
+def q_preferred_category(spark, sf_dir):
+    orders = adapter.order_lines(spark, sf_dir).filter(F.col("status") != "cancelled")
+    return features.preferred_category(orders)
+
+
+@register("asof_features")
+def q_asof_features(spark, sf_dir):
+    ev = adapter.events(spark, sf_dir)
+    spine = ev.filter(F.col("event_type") == "click").select("event_id", "user_id", "ts")
+    return asof.asof_join(spine, _purchases(spark, sf_dir), "user_id", "ts", "purchase_ts",
+                          ["purchase_value"], dt.timedelta(days=1), created="purchase_id")
+
+
+@register("online_features")
+def q_online_features(spark, sf_dir):
+    return asof.online_features(_purchases(spark, sf_dir), "user_id", "purchase_ts",
+                                adapter.EVENTS_AS_OF, dt.timedelta(days=7),
+                                created="purchase_id")
+
+
+@register("latest_version")
+def q_latest_version(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return latest_by(li, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+
+
+UPSERT_COLS = ["customer_id", "order_count_30d", "total_spent_30d", "clv_score", "computed_at"]
+
+
+@register("upsert_merge")
+def q_upsert_merge(spark, sf_dir):
+    target = _features(spark, sf_dir, "1998-01-01", until="1998-01-01").select(*UPSERT_COLS)
+    source = _features(spark, sf_dir, adapter.ORDERS_AS_OF, since="2001-01-01").select(*UPSERT_COLS)
+    merged = upsert(target, source, ["customer_id"], ["clv_score", "computed_at"])
+    return money_out(merged, "total_spent_30d", "clv_score")
+
+
+def _two_syncs(copy_fn, *args):
+    first = copy_fn(*args, "2001-07-31 00:00:00")
+    return first.unionByName(copy_fn(*args, "2001-08-01 00:00:00"))
+
+
+@register("olap_copy")
+def q_olap_copy(spark, sf_dir):
+    log = _two_syncs(olap.customer_copy, _segments(spark, sf_dir), _scored(spark, sf_dir))
+    return olap.collapse(log, olap.CUSTOMER_KEYS)
+
+
+# ---- served queries ----------------------------------------------------------------
+
+def _daily(spark, sf_dir):
+    return gold.daily_sales(adapter.order_lines(spark, sf_dir))
+
+
+@register("q_summary")
+def q_summary(spark, sf_dir):
+    s = serving.summary(_daily(spark, sf_dir), _segments(spark, sf_dir), adapter.ORDERS_AS_OF)
+    return money_out(s, "total_revenue", "avg_order_value")
+
+
+@register("q_daily_sales")
+def q_q_daily_sales(spark, sf_dir):
+    d = serving.recent_daily_sales(_daily(spark, sf_dir), adapter.ORDERS_AS_OF, 30)
+    return money_out(d, "total_revenue", "avg_order")
+
+
+@register("q_revenue_trends")
+def q_q_revenue_trends(spark, sf_dir):
+    t = serving.latest_trends(models.revenue_trends(_daily(spark, sf_dir)), 90)
+    return money_out(t, "total_revenue", "revenue_7d_avg", "revenue_7d_sum", "mom_growth_pct")
+
+
+def _top_latest(spark, sf_dir):
+    return serving.top_products_of_period(models.top_products(_perf(spark, sf_dir)), 10)
+
+
+@register("q_top_products")
+def q_q_top_products(spark, sf_dir):
+    return money_out(_top_latest(spark, sf_dir), "revenue", "avg_price", "return_rate_pct")
+
+
+@register("q_customer_segments")
+def q_q_customer_segments(spark, sf_dir):
+    return money_out(serving.segment_summary(_segments(spark, sf_dir)), "avg_spent",
+                     "avg_orders", "avg_clv")
+
+
+LOOKUP_CUSTOMER = 42
+
+
+@register("q_customer_ltv")
+def q_q_customer_ltv(spark, sf_dir):
+    ltv = models.customer_ltv(_segments(spark, sf_dir))
+    return money_out(serving.customer_ltv_lookup(ltv, LOOKUP_CUSTOMER), "total_spent",
+                     "avg_order_value", "clv_score")
+
+
+@register("q_catalog")
+def q_catalog(spark, sf_dir):
+    orders = adapter.order_lines(spark, sf_dir)
+    tables = {"daily_sales": gold.daily_sales(orders),
+              "product_performance": _perf(spark, sf_dir),
+              "customer_segments": _segments(spark, sf_dir)}
+    cat = ops.table_catalog(tables, "gold", adapter.ORDERS_AS_OF)
+    return serving.catalog_listing(cat).drop("schema_json")
+
+
+def _dq_all(spark, sf_dir):
+    return _dq_orders(spark, sf_dir).unionByName(_dq_products(spark, sf_dir))
+
+
+@register("q_dq_results")
+def q_dq_results(spark, sf_dir):
+    return serving.recent_dq_results(_dq_all(spark, sf_dir), 100)
+
+
+@register("q_ml_summary")
+def q_ml_summary(spark, sf_dir):
+    return money_out(serving.ml_summary(_scored(spark, sf_dir)), "avg_churn_probability",
+                     "avg_clv_score")
+
+
+@register("q_churn_risk")
+def q_churn_risk(spark, sf_dir):
+    return money_out(serving.churn_risk(_scored(spark, sf_dir), 0.5, 20), "churn_probability",
+                     "clv_score")
+
+
+@register("q_customer_ml")
+def q_customer_ml(spark, sf_dir):
+    return money_out(serving.customer_ml(_scored(spark, sf_dir), LOOKUP_CUSTOMER),
+                     "avg_basket_size", "churn_probability", "clv_score")
+
+
+@register("q_olap_stats")
+def q_olap_stats(spark, sf_dir):
+    log = _two_syncs(olap.daily_copy, _daily(spark, sf_dir))
+    return money_out(serving.olap_stats(olap.collapse(log, olap.DAILY_KEYS)), "total_revenue")
+
+
+@register("q_olap_top_products")
+def q_olap_top_products(spark, sf_dir):
+    log = _two_syncs(olap.product_copy, _perf(spark, sf_dir))
+    return money_out(serving.olap_top_products(olap.collapse(log, olap.PRODUCT_KEYS)), "revenue")
+
+
+@register("q_olap_churn_stats")
+def q_olap_churn_stats(spark, sf_dir):
+    return money_out(serving.olap_churn_stats(q_olap_copy(spark, sf_dir)), "avg_churn", "avg_clv")
+
+
+@register("category_rollup")
+def q_category_rollup(spark, sf_dir):
+    return money_out(serving.category_rollup(_top_latest(spark, sf_dir)), "revenue")
+
+
+@register("feature_summary")
+def q_feature_summary(spark, sf_dir):
+    return money_out(serving.feature_run_summary(_scored(spark, sf_dir)), "avg_churn", "avg_clv")

@@ -478,3 +478,8 @@ SELECT COUNT(*) AS customers,
        {dbl(round_div('SUM(churn_probability)', 4, 'COUNT(churn_probability)', 4))} AS avg_churn,
        {dbl(round_div('SUM(clv_score)', 2, 'COUNT(clv_score)', 2))} AS avg_clv,
        COUNT(*) FILTER (WHERE churn_probability > 0.7) AS high_risk FROM scored"""
+
+SQL["churn_label"] = f"""WITH {ORDERS_CTE}, {feat_cte('f')},
+med AS (SELECT GREATEST(1, CAST(FLOOR(MEDIAN(days_since_last)) AS INTEGER)) AS churn_threshold FROM ffeat)
+SELECT customer_id, days_since_last, churn_threshold,
+       CAST(days_since_last > churn_threshold AS INTEGER) AS churned FROM ffeat, med"""

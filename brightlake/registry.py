@@ -17,7 +17,7 @@ from brightlake.operators.dedupe import latest_by
 from brightlake.operators.ntile import distributed_ntile
 from brightlake.operators.topk import top_k_per_group
 from brightlake.operators.upsert import upsert
-from brightlake.plans import features, gold, models, olap, ops, serving
+from brightlake.plans import features, gold, ml, models, olap, ops, serving
 from brightlake.sources import adapter
 from brightlake.sources.tables import table
 
@@ -388,3 +388,26 @@ def q_category_rollup(spark, sf_dir):
 @register("feature_summary")
 def q_feature_summary(spark, sf_dir):
     return money_out(serving.feature_run_summary(_scored(spark, sf_dir)), "avg_churn", "avg_clv")
+
+
+# ---- machine learning ----------------------------------------------------------------
+
+@register("churn_label")
+def q_churn_label(spark, sf_dir):
+    labelled = ml.label_median_recency(_features(spark, sf_dir))
+    return labelled.select("customer_id", "days_since_last", "churn_threshold", "churned")
+
+
+@register("churn_scores")
+def q_churn_scores(spark, sf_dir):
+    labelled = ml.label_median_recency(_features(spark, sf_dir))
+    model, _auc = ml.train_churn(labelled)
+    return ml.score_churn(model, labelled).select("customer_id", "churned", "churn_probability")
+
+
+@register("ltv_scores")
+def q_ltv_scores(spark, sf_dir):
+    feats = _features(spark, sf_dir)
+    model, _mae = ml.train_ltv(feats)
+    return money_out(ml.score_ltv(model, feats).select("customer_id", "total_spent_all",
+                                                       "ltv_prediction"), "total_spent_all")

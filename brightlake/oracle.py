@@ -51,7 +51,11 @@ ORDERS_CTE = f"""o AS (
   FROM lineitem l JOIN orders od ON l.l_orderkey = od.o_orderkey
   LEFT JOIN part p ON p.p_partkey = l.l_partkey)"""
 
-DAILY_CTE = f"""c AS (SELECT * FROM o WHERE status = 'completed'),
+def daily_cte(src: str = "o") -> str:
+    return DAILY_TEMPLATE.replace("{src}", src)
+
+
+DAILY_TEMPLATE = f"""c AS (SELECT * FROM {{src}} WHERE status = 'completed'),
 dd AS (SELECT order_date AS date, COUNT(order_id) AS total_orders, SUM(total_amount) AS rev,
               COUNT(DISTINCT customer_id) AS unique_customers FROM c GROUP BY 1),
 dcat AS (SELECT order_date AS date, category, SUM(total_amount) AS cat_revenue FROM c GROUP BY 1, 2),
@@ -62,6 +66,7 @@ daily AS (SELECT dd.date, dd.total_orders, ROUND(dd.rev, 2) AS total_revenue,
                  {round_div('dd.rev', 2, 'dd.total_orders', 2)} AS avg_order,
                  dd.unique_customers, dtop.top_category
           FROM dd LEFT JOIN dtop ON dd.date = dtop.date)"""
+DAILY_CTE = daily_cte("o")
 
 SQL: dict[str, str] = {}
 
@@ -483,3 +488,7 @@ SQL["churn_label"] = f"""WITH {ORDERS_CTE}, {feat_cte('f')},
 med AS (SELECT GREATEST(1, CAST(FLOOR(MEDIAN(days_since_last)) AS INTEGER)) AS churn_threshold FROM ffeat)
 SELECT customer_id, days_since_last, churn_threshold,
        CAST(days_since_last > churn_threshold AS INTEGER) AS churned FROM ffeat, med"""
+
+SQL["stream_daily"] = f"""WITH {ORDERS_CTE}, {CLEAN_CTE}, {daily_cte('clean')}
+SELECT date, total_orders, {dbl('total_revenue')} AS total_revenue, {dbl('avg_order')} AS avg_order,
+       unique_customers, top_category FROM daily"""

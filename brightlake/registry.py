@@ -18,7 +18,9 @@ from brightlake.operators.ntile import distributed_ntile
 from brightlake.operators.topk import top_k_per_group
 from brightlake.operators.upsert import upsert
 from brightlake.plans import features, gold, ml, models, olap, ops, serving
+from brightlake.session import scratch_path
 from brightlake.sources import adapter
+from brightlake.streaming import incremental
 from brightlake.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -411,3 +413,19 @@ def q_ltv_scores(spark, sf_dir):
     model, _mae = ml.train_ltv(feats)
     return money_out(ml.score_ltv(model, feats).select("customer_id", "total_spent_all",
                                                        "ltv_prediction"), "total_spent_all")
+
+
+# ---- streaming -----------------------------------------------------------------------
+
+@register("stream_daily")
+def q_stream_daily(spark, sf_dir):
+    """Land the order lines as files, drain them with the incremental stream, read gold."""
+    base = scratch_path(spark, "stream-daily")
+    bronze = adapter.bronze_order_lines(spark, sf_dir)
+    bronze.write.parquet(f"{base}/landing")
+    incremental.run_incremental(spark, f"{base}/landing", bronze.schema, f"{base}/ckpt",
+                                f"{base}/silver", f"{base}/gold", adapter.ORDERS_AS_OF)
+    daily = spark.read.parquet(f"{base}/gold").drop("month")
+    return money_out(daily.select("date", "total_orders", "total_revenue", "avg_order",
+                                  "unique_customers", "top_category"),
+                     "total_revenue", "avg_order")

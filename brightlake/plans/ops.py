@@ -42,7 +42,7 @@ def storage_stats(spark: SparkSession, layers: dict[str, str]) -> DataFrame:
     out = None
     for layer, path in layers.items():
         files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                 .load(path).select("path", "length"))
+                 .option("pathGlobFilter", "*.parquet").load(path).select("path", "length"))
         one = files.agg(F.count(F.lit(1)).alias("files"),
                         F.coalesce(F.sum("length"), F.lit(0)).alias("size_bytes")).select(
             F.lit(layer).alias("layer"), "files", "size_bytes",

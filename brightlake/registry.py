@@ -19,7 +19,7 @@ from brightlake.operators.topk import top_k_per_group
 from brightlake.operators.upsert import upsert
 from brightlake.plans import features, gold, ml, models, olap, ops, serving
 from brightlake.session import scratch_path
-from brightlake.sources import adapter
+from brightlake.sources import adapter, landing, sinks
 from brightlake.streaming import incremental
 from brightlake.sources.tables import table
 
@@ -429,3 +429,52 @@ def q_stream_daily(spark, sf_dir):
     return money_out(daily.select("date", "total_orders", "total_revenue", "avg_order",
                                   "unique_customers", "top_category"),
                      "total_revenue", "avg_order")
+
+
+# ---- landing snapshots, storage, retention, compaction ----------------------------------
+
+SNAPSHOT_DATES = ("2001-06-01", "2001-07-01", "2001-08-01")
+
+
+def _daily_snapshots(spark, sf_dir):
+    """Write daily sales as known on each snapshot date (orders before it) as dated files."""
+    base = scratch_path(spark, "daily-snapshots")
+    orders = adapter.order_lines(spark, sf_dir)
+    for d in SNAPSHOT_DATES:
+        known = orders.filter(F.col("order_date") < F.lit(d).cast("date"))
+        gold.daily_sales(known).write.parquet(f"{base}/snapshot_{d.replace('-', '')}.parquet")
+    return base
+
+
+@register("snapshot_as_of")
+def q_snapshot_as_of(spark, sf_dir):
+    daily = landing.read_as_of(spark, _daily_snapshots(spark, sf_dir), "2001-07-15")
+    return money_out(daily, "total_revenue", "avg_order")
+
+
+@register("snapshot_list")
+def q_snapshot_list(spark, sf_dir):
+    return landing.list_snapshots(spark, _daily_snapshots(spark, sf_dir))
+
+
+@register("storage_stats")
+def q_storage_stats(spark, sf_dir):
+    return ops.storage_stats(spark, {"tables": sf_dir})
+
+
+@register("retention")
+def q_retention(spark, sf_dir):
+    ev = adapter.events(spark, sf_dir)
+    cutoff_ok = ops.retain(ev, "ts", adapter.EVENTS_AS_OF, 7)
+    gone = ops.expired(ev, "ts", adapter.EVENTS_AS_OF, 7)
+    kept = cutoff_ok.agg(F.count(F.lit(1)).alias("n")).select(F.lit("kept").alias("part"), "n")
+    dropped = gone.agg(F.count(F.lit(1)).alias("n")).select(F.lit("deleted").alias("part"), "n")
+    return kept.unionByName(dropped).select(F.lit("events").alias("table_name"),
+                                            "part", F.col("n").alias("row_count"))
+
+
+@register("compact")
+def q_compact(spark, sf_dir):
+    path = scratch_path(spark, "compact-lineitem")
+    sinks.compact(table(spark, sf_dir, "lineitem"), path, 4, ["l_orderkey", "l_linenumber"])
+    return spark.read.parquet(path)

@@ -7,15 +7,21 @@ folder the same plan is reading: the guard below refuses it, and
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brightlake.functions.dates import month_start
 
 
+def _norm(p: str) -> str:
+    return re.sub(r"^file:(//)?", "", p).rstrip("/")
+
+
 def _reads_from(df: DataFrame, path: str) -> bool:
-    target = path.rstrip("/").replace("file:", "")
-    return any(f.replace("file:", "").startswith(target + "/") for f in df.inputFiles())
+    target = _norm(path) + "/"
+    return any(_norm(f).startswith(target) for f in df.inputFiles())
 
 
 def replace_table(df: DataFrame, path: str, partition_by=None, sort_within=None,

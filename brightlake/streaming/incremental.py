@@ -1,8 +1,9 @@
 """Incremental clean (T1) and incremental daily aggregate.
 
 ``readStream`` picks up only new landing files. The stateless part of the
-cleaning runs in the stream; ``withWatermark`` + ``dropDuplicatesWithinWatermark``
-drops rows later than the allowed lateness and identical re-deliveries.
+cleaning runs in the stream; ``withWatermark`` + ``dropDuplicates`` (keyed on
+the row content including the event time) drops rows later than the allowed
+lateness and identical re-deliveries, with state bounded by the lateness.
 Each micro-batch then (``foreachBatch``):
 
 1. keeps one row per ``order_id`` inside the batch by the same total order
@@ -83,16 +84,19 @@ def start_incremental(spark: SparkSession, landing_dir: str, schema: StructType,
                       lateness: str = LATENESS, max_files_per_trigger: int | None = None,
                       available_now: bool = True):
     """Start the landing -> silver -> gold stream; returns the ``StreamingQuery``."""
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.parquet(landing_dir)
     cleaned = clean_stateless(raw, as_of)
     content = [c for c in cleaned.columns if c != "_ingested_at"]
     # The watermark needs an instant type; created_at stays wall-clock (timestamp_ntz).
+    # dropDuplicates with the event-time column among its keys drops rows behind the
+    # watermark and evicts their state (dropDuplicatesWithinWatermark does not drop
+    # late rows on Spark 4.1).
     deduped = (cleaned.withColumn("_event_ts", F.col("created_at").cast("timestamp"))
                       .withWatermark("_event_ts", lateness)
-                      .dropDuplicatesWithinWatermark(content)
+                      .dropDuplicates(content + ["_event_ts"])
                       .drop("_event_ts"))
     writer = (deduped.writeStream
               .foreachBatch(lambda df, _bid: upsert_batch(df, silver_path, gold_path))

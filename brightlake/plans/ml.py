@@ -81,14 +81,18 @@ def train_churn(labelled: DataFrame, max_iter: int = 100, max_depth: int = 4,
                 key: str = "customer_id"):
     """M2 + M4 + M6: scaled features -> GBT; returns (model, test AUC, train size)."""
     data = _numeric(labelled, CHURN_FEATURES).withColumn("_train", split_column(key))
-    train = data.filter("_train")
+    # Boosting makes ~5 passes per tree: keep the (small) training frame cached.
+    train = data.filter("_train").select("churned", *CHURN_FEATURES).persist()
     test = data.filter(~F.col("_train"))
     pipe = Pipeline(stages=[
         VectorAssembler(inputCols=CHURN_FEATURES, outputCol="_raw"),
         StandardScaler(inputCol="_raw", outputCol="features", withMean=True, withStd=True),
         GBTClassifier(labelCol="churned", featuresCol="features", maxIter=max_iter,
                       maxDepth=max_depth, seed=SEED)])
-    model = pipe.fit(train)
+    try:
+        model = pipe.fit(train)
+    finally:
+        train.unpersist()
     auc = BinaryClassificationEvaluator(labelCol="churned", rawPredictionCol="rawPrediction",
                                         metricName="areaUnderROC").evaluate(model.transform(test))
     return model, auc

@@ -29,7 +29,8 @@ def replace_table(df: DataFrame, path: str, partition_by=None, sort_within=None,
     """Create-or-replace as snappy Parquet (optionally partitioned / sorted for skipping)."""
     if _reads_from(df, path):
         raise ValueError(f"refusing to overwrite {path}: the plan reads from it")
-    out = df.sortWithinPartitions(*sort_within) if sort_within else df
+    out = df.hint("rebalance", *partition_by) if partition_by else df
+    out = out.sortWithinPartitions(*sort_within) if sort_within else out
     w = out.write.mode("overwrite").option("compression", compression)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -48,8 +49,8 @@ def write_partitions(df: DataFrame, path: str, partition_col: str = "period") ->
     """Identity partitions, replacing only the partitions present in ``df``."""
     if _reads_from(df, path):
         raise ValueError(f"refusing to overwrite {path}: the plan reads from it")
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(partition_col).parquet(path))
+    (df.hint("rebalance", partition_col).write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
     return path
 
 

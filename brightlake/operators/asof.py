@@ -26,13 +26,28 @@ def _secs(ttl) -> int:
     return int(ttl.total_seconds()) if isinstance(ttl, _dt.timedelta) else int(ttl)
 
 
+def _seconds(df: DataFrame, c: str):
+    """Whole seconds on the same clock the TTL is measured on.
+
+    Wall-clock (``timestamp_ntz``) columns are counted without any time zone, so
+    a daylight-saving shift can never move a row out of the buckets its TTL allows.
+    """
+    col = F.col(c)
+    if df.schema[c].dataType.simpleString() == "timestamp_ntz":
+        return (F.unix_date(col.cast("date")).cast("long") * 86400 + F.hour(col) * 3600
+                + F.minute(col) * 60 + F.floor(F.second(col)))
+    return F.unix_seconds(col)
+
+
 def asof_join(spine: DataFrame, features: DataFrame, key: str, spine_ts: str,
               feature_ts: str, feature_cols: list[str], ttl, created: str | None = None,
               split: int = 1) -> DataFrame:
     """Attach ``feature_cols`` (and ``feature_ts``) to every spine row."""
     ttl_s = _secs(ttl)
     width = max(ttl_s // max(split, 1), 1)
-    sec = lambda c: F.unix_seconds(F.col(c).cast("timestamp"))
+
+    def sec(c):
+        return _seconds(features if c == feature_ts else spine, c)
     payload_cols = [feature_ts] + feature_cols + ([created] if created else [])
     feat = features.select(
         F.col(key).alias("_k"), F.col(feature_ts).alias("_t"),

@@ -512,3 +512,27 @@ WHERE ts >= {EVENTS_AS_OF} - INTERVAL 7 DAY
 UNION ALL SELECT 'events', 'deleted', COUNT(*) FROM events WHERE ts < {EVENTS_AS_OF} - INTERVAL 7 DAY"""
 
 SQL["compact"] = "SELECT * FROM lineitem"
+
+
+def perf_cte(src: str) -> str:
+    return PERF_CTE.replace("FROM o GROUP BY 1, 2", f"FROM {src} GROUP BY 1, 2")
+
+
+RUNS_CTE = f"""{CLEAN_CTE}, {daily_cte('clean')}, {perf_cte('clean')}, {seg_cte('clean')},
+runs AS (
+  SELECT 'bronze_to_silver_orders' AS pipeline_name, 'silver' AS layer, 'success' AS status,
+         (SELECT COUNT(*) FROM o) AS rows_read, (SELECT COUNT(*) FROM clean) AS rows_written
+  UNION ALL SELECT 'silver_to_gold_daily_sales', 'gold', 'success',
+         (SELECT COUNT(*) FROM clean), (SELECT COUNT(*) FROM daily)
+  UNION ALL SELECT 'silver_to_gold_product_perf', 'gold', 'success',
+         (SELECT COUNT(*) FROM clean), (SELECT COUNT(*) FROM perf)
+  UNION ALL SELECT 'silver_to_gold_customer_seg', 'gold', 'success',
+         (SELECT COUNT(*) FROM clean), (SELECT COUNT(*) FROM seg))"""
+
+SQL["q_run_history"] = f"""WITH {ORDERS_CTE}, {RUNS_CTE}
+SELECT * FROM runs"""
+
+SQL["run_status"] = f"""WITH {ORDERS_CTE}, {RUNS_CTE}
+SELECT COUNT(*) FILTER (WHERE status = 'success') AS success,
+       COUNT(*) FILTER (WHERE status = 'failed') AS failed,
+       COUNT(*) FILTER (WHERE status = 'running') AS running FROM runs"""

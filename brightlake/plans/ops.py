@@ -64,12 +64,21 @@ def expired(df: DataFrame, ts_col: str, as_of, days: int = 30) -> DataFrame:
     return df.filter(F.col(ts_col) < cutoff)
 
 
-def write_observed(df: DataFrame, path: str, name: str, layer: str, rows_read: int | None = None,
-                   mode: str = "overwrite", partition_by=None) -> DataFrame:
+def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """Attach a row counter to ``df``; it is filled by whatever action runs ``df``."""
+    obs = Observation(f"in_{name}_{int(time.time() * 1000)}")
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def write_observed(df: DataFrame, path: str, name: str, layer: str, rows_read=None,
+                   mode: str = "overwrite", partition_by=None,
+                   runs_path: str | None = None) -> DataFrame:
     """Write ``df`` once and return its run-log row.
 
     Rows written are counted by ``observe`` during the write itself: no
-    second scan and no recount of a recomputed plan.
+    second scan and no recount of a recomputed plan. With ``runs_path`` the
+    row is also appended to the run log, for a failed write too (then the
+    error is re-raised).
     """
     spark = df.sparkSession
     obs = Observation(f"rows_{name}_{int(time.time() * 1000)}")
@@ -82,12 +91,18 @@ def write_observed(df: DataFrame, path: str, name: str, layer: str, rows_read: i
             w = w.partitionBy(*partition_by)
         w.parquet(path)
         written = int(obs.get.get("rows", 0))
+        if isinstance(rows_read, Observation):
+            rows_read = int(rows_read.get.get("rows", 0))
     except Exception as e:  # noqa: BLE001 - recorded in the run log, then re-raised
         status, err = "failed", str(e)[:1000]
-        raise
-    finally:
-        ms = int((time.monotonic() - t0) * 1000)
-        run = spark.createDataFrame(
-            [(name, layer, status, rows_read, written, ms, err, started, _dt.datetime.now())],
-            RUN_SCHEMA)
+        if isinstance(rows_read, Observation):
+            rows_read = None
+    ms = int((time.monotonic() - t0) * 1000)
+    run = spark.createDataFrame(
+        [(name, layer, status, rows_read, written, ms, err, started, _dt.datetime.now())],
+        RUN_SCHEMA)
+    if runs_path:
+        run.write.mode("append").parquet(runs_path)
+    if status == "failed":
+        raise RuntimeError(f"{name} failed: {err}")
     return run

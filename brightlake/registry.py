@@ -17,7 +17,7 @@ from brightlake.operators.dedupe import latest_by
 from brightlake.operators.ntile import distributed_ntile
 from brightlake.operators.topk import top_k_per_group
 from brightlake.operators.upsert import upsert
-from brightlake.plans import features, gold, ml, models, olap, ops, serving
+from brightlake.plans import features, gold, jobs, ml, models, olap, ops, serving
 from brightlake.session import scratch_path
 from brightlake.sources import adapter, landing, sinks
 from brightlake.streaming import incremental
@@ -478,3 +478,25 @@ def q_compact(spark, sf_dir):
     path = scratch_path(spark, "compact-lineitem")
     sinks.compact(table(spark, sf_dir, "lineitem"), path, 4, ["l_orderkey", "l_linenumber"])
     return spark.read.parquet(path)
+
+
+# ---- medallion jobs and their run log --------------------------------------------------
+
+def _run_log(spark, sf_dir):
+    base = scratch_path(spark, "medallion")
+    return jobs.run_medallion(spark, adapter.bronze_order_lines(spark, sf_dir),
+                              adapter.customers(spark, sf_dir), adapter.products(spark, sf_dir),
+                              base, adapter.ORDERS_AS_OF, SEGMENT_THRESHOLDS)
+
+
+@register("q_run_history")
+def q_run_history(spark, sf_dir):
+    """Q7 over the run log of the four medallion jobs (times and durations vary by run)."""
+    runs = serving.recent_runs(_run_log(spark, sf_dir), 50)
+    return runs.select("pipeline_name", "layer", "status", "rows_read", "rows_written")
+
+
+@register("run_status")
+def q_run_status(spark, sf_dir):
+    """A21 over the same run log."""
+    return serving.run_status_counts(_run_log(spark, sf_dir))

@@ -89,3 +89,15 @@ def test_run_log_observe_and_ops(spark, scratch):
     assert stats.files >= 1 and stats.size_bytes > 0
     assert ops.retain(df, "ts", "2026-01-20", 30).count() == 123
     assert ops.expired(df, "ts", "2026-03-01", 30).count() == 123
+
+
+def test_failed_write_is_logged(spark, scratch):
+    df = spark.range(3)
+    df.write.parquet(f"{scratch}/exists")
+    with pytest.raises(RuntimeError):
+        ops.write_observed(df, f"{scratch}/exists", "job", "silver", mode="error",
+                           runs_path=f"{scratch}/runs")
+    ops.write_observed(df, f"{scratch}/new", "job", "silver", runs_path=f"{scratch}/runs")
+    runs = {r.status: r for r in spark.read.parquet(f"{scratch}/runs").collect()}
+    assert runs["failed"].rows_written == 0 and runs["failed"].error_msg
+    assert runs["success"].rows_written == 3

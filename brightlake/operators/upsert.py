@@ -38,3 +38,35 @@ def upsert(target: DataFrame, source: DataFrame, keys, update_cols=None,
         else:
             out.append(F.when(in_t, tc).otherwise(sc).alias(c))
     return j.select(*out)
+
+
+def upsert_partitions(spark, path: str, source: DataFrame, keys, partition_col: str,
+                      update_cols=None, source_order=None) -> None:
+    """S8 on a partitioned Parquet table without a merge-capable catalog.
+
+    Only the partitions the source touches are read, merged and rewritten
+    (dynamic partition overwrite). The merged partitions are materialised with
+    a reliable checkpoint first, so the write never reads the folder it
+    overwrites. The keys must determine the partition (e.g. period + product).
+    Creates the table when the folder does not exist yet.
+    """
+    from pyspark.errors import AnalysisException
+
+    from brightlake.session import cut_lineage
+
+    keys = list(keys)
+    if partition_col not in keys:
+        raise ValueError("the partition column must be part of the upsert keys")
+    try:
+        target = spark.read.parquet(path)
+    except AnalysisException:
+        target = None
+    if target is None:
+        merged = latest_by(source, keys, source_order) if source_order else source
+    else:
+        touched = source.select(partition_col).distinct()
+        current = target.join(touched, partition_col, "left_semi").select(*target.columns)
+        merged = cut_lineage(upsert(current, source.select(*target.columns), keys, update_cols,
+                                    source_order))
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(partition_col).parquet(path))

@@ -101,3 +101,21 @@ def test_failed_write_is_logged(spark, scratch):
     runs = {r.status: r for r in spark.read.parquet(f"{scratch}/runs").collect()}
     assert runs["failed"].rows_written == 0 and runs["failed"].error_msg
     assert runs["success"].rows_written == 3
+
+
+def test_upsert_partitions_rewrites_only_touched(spark, scratch):
+    from brightlake.operators.upsert import upsert_partitions
+    path = f"{scratch}/perf"
+    base = spark.createDataFrame([("2026-01", 1, 10.0, "a"), ("2026-01", 2, 20.0, "b"),
+                                  ("2026-02", 1, 30.0, "a")],
+                                 "period string, product_id long, revenue double, name string")
+    upsert_partitions(spark, path, base, ["period", "product_id"], "period")
+    jan_files = sorted(os.listdir(f"{path}/period=2026-01"))
+    src = spark.createDataFrame([("2026-02", 1, 99.0, "A"), ("2026-02", 3, 5.0, "c")],
+                                "period string, product_id long, revenue double, name string")
+    for _ in range(2):  # idempotent
+        upsert_partitions(spark, path, src, ["period", "product_id"], "period", ["revenue"])
+    out = {(r.period, r.product_id): (r.revenue, r.name) for r in spark.read.parquet(path).collect()}
+    assert out == {("2026-01", 1): (10.0, "a"), ("2026-01", 2): (20.0, "b"),
+                   ("2026-02", 1): (99.0, "a"), ("2026-02", 3): (5.0, "c")}
+    assert sorted(os.listdir(f"{path}/period=2026-01")) == jan_files   # untouched partition

@@ -109,3 +109,21 @@ def product_features(orders: DataFrame, products: DataFrame, as_of,
         ratio_round("_refunded", "_n", 4).alias("return_rate"),
         "stock_level", "price_tier", "category",
         as_ts_lit(as_of).alias("event_timestamp"))
+
+
+SCORE_UPDATE_COLS = ["churn_probability", "clv_score", "computed_at"]
+
+
+def save_scored_features(existing: DataFrame | None, scored: DataFrame) -> DataFrame:
+    """The serving table after a scoring run.
+
+    New customers are inserted with the F16 defaults; known customers get only
+    churn, CLV and ``computed_at`` updated (the other columns keep their values),
+    as the reference's ``ON CONFLICT ... DO UPDATE`` does. Ids are text there.
+    """
+    from brightlake.operators.upsert import upsert
+    fresh = with_feature_defaults(scored).withColumn("customer_id",
+                                                     F.col("customer_id").cast("string"))
+    if existing is None:
+        return fresh
+    return upsert(existing, fresh, ["customer_id"], SCORE_UPDATE_COLS)

@@ -141,3 +141,9 @@ def importances(model, names=CHURN_FEATURES) -> dict:
     """M9: feature importances of the fitted tree stage."""
     tree = model.stages[-1]
     return dict(zip(names, tree.featureImportances.toArray().tolist()))
+
+
+def save_model(model, path: str) -> str:
+    """M9: persist a fitted pipeline (``PipelineModel.load(path)`` reads it back)."""
+    model.write().overwrite().save(path)
+    return path

@@ -33,3 +33,34 @@ def test_label_split_and_models(spark):
     assert mae >= 0 and ml.score_ltv(lmodel, feats).count() == 300
     rows = ml.metrics_rows(spark, "churn", "1", {"auc": auc}, "run-1")
     assert rows.first().metric_name == "auc"
+
+
+def test_save_model_and_scored_features(spark, scratch):
+    import datetime as dt
+    from decimal import Decimal
+
+    from pyspark.ml import PipelineModel
+
+    from brightlake.plans import features
+    feats = spark.range(60).select(
+        F.col("id").alias("customer_id"), *[(F.col("id") % k).cast("int").alias(c) for k, c in
+                                           [(3, "order_count_7d"), (5, "order_count_30d"),
+                                            (7, "order_count_90d")]],
+        (F.col("id") * 1.5).alias("total_spent_30d"), F.lit(2.0).alias("avg_basket_size"),
+        F.lit(0.0).alias("return_rate"), (F.col("id") % 40).cast("int").alias("days_since_last"),
+        F.lit(1.0).alias("clv_score"))
+    model, _ = ml.train_churn(ml.label_median_recency(feats), max_iter=3, max_depth=2)
+    path = ml.save_model(model, f"{scratch}/churn_model")
+    assert PipelineModel.load(path).transform(ml._numeric(feats, ml.CHURN_FEATURES)).count() == 60
+
+    cols = "customer_id long, order_count_30d int, days_since_last int, clv_score decimal(18,2), " \
+           "churn_probability decimal(10,4), preferred_category string, computed_at timestamp_ntz"
+    t0, t1 = dt.datetime(2026, 1, 1), dt.datetime(2026, 2, 1)
+    old = spark.createDataFrame([(1, 3, 0, Decimal("5.00"), Decimal("0.1000"), "a", t0)], cols)
+    first = features.save_scored_features(None, old)
+    new = spark.createDataFrame([(1, 9, 4, Decimal("7.00"), Decimal("0.9000"), "b", t1),
+                                 (2, 1, None, None, Decimal("0.5000"), None, t1)], cols)
+    out = {r.customer_id: r for r in features.save_scored_features(first, new).collect()}
+    assert out["1"].order_count_30d == 3 and out["1"].days_since_last == 0     # kept, real 0
+    assert out["1"].churn_probability == Decimal("0.9000") and out["1"].computed_at == t1
+    assert out["2"].days_since_last == 999 and out["2"].preferred_category == "unknown"

@@ -269,8 +269,13 @@ def q_upsert_merge(spark, sf_dir):
 
 
 def _two_syncs(copy_fn, *args):
+    """The copy appended twice (a re-sync): one plan, stamped with two ``inserted_at``.
+
+    Both branches share one subtree, so Spark computes it once (reused exchanges).
+    """
     first = copy_fn(*args, "2001-07-31 00:00:00")
-    return first.unionByName(copy_fn(*args, "2001-08-01 00:00:00"))
+    second = first.withColumn("inserted_at", F.lit("2001-08-01 00:00:00").cast("timestamp_ntz"))
+    return first.unionByName(second)
 
 
 @register("olap_copy")

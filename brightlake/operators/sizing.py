@@ -1,0 +1,29 @@
+"""Size checks that choose between a one-task window and its distributed form.
+
+A window partitioned by a group (or a window with no partition at all) sorts
+each group inside one task. That is the cheapest plan while the largest
+group is small, and a straggler once one group holds a large share of the
+data. The check measures the largest group with one aggregate (a single
+number reaches the driver) and the caller picks the plan; both are exact.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows one task may sort and window (spillable) without becoming a straggler.
+WINDOW_TASK_ROWS = 2_000_000
+
+
+def largest_group_rows(df: DataFrame, group: list[str] | tuple = ()) -> int:
+    """Row count of the largest group (the whole frame when ``group`` is empty)."""
+    if not group:
+        return int(df.count())
+    top = df.groupBy(*group).count().agg(F.max("count").alias("m")).first()
+    return int(top["m"] or 0)
+
+
+def fits_one_task(df: DataFrame, group: list[str] | tuple = (),
+                  limit: int | None = None) -> bool:
+    return largest_group_rows(df, group) <= (WINDOW_TASK_ROWS if limit is None else limit)

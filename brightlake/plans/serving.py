@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from brightlake.functions.money import div_round, ratio_round
 from brightlake.functions.rules import RISK_HIGH, RISK_MEDIUM, risk_level
 from brightlake.operators.cleaning import last_n_days, point_lookup
+from brightlake.plans.models import top_products
 
 
 def summary(daily: DataFrame, segments: DataFrame, as_of, days: int = 30) -> DataFrame:
@@ -51,17 +52,23 @@ def latest_trends(trends: DataFrame, limit: int = 90) -> DataFrame:
         .orderBy(F.col("date").desc()).limit(limit))
 
 
-def top_products_of_period(tops: DataFrame, limit: int = 10, period: str | None = None) -> DataFrame:
-    """Q4: a period's top products by revenue rank; default period = the latest."""
+def top_products_of_period(perf: DataFrame, limit: int = 10,
+                           period: str | None = None) -> DataFrame:
+    """Q4: a period's top products by revenue rank; default period = the latest.
+
+    Ranks are within a period, so the period is chosen on ``perf`` first
+    (scalar subquery) and only that period is ranked.
+    """
     if period is None:
-        latest = tops.select(F.max("period")).scalar()
-        chosen = tops.where(F.col("period") == latest)
+        latest = perf.select(F.max("period")).scalar()
+        chosen = perf.where(F.col("period") == latest)
     else:
-        chosen = tops.where(F.col("period") == F.lit(period))
-    return (chosen.select("product_id", "product_name", "category", "period", "units_sold",
-                          "revenue", "avg_price", "return_rate_pct", "revenue_rank")
-                  .orderBy(F.col("revenue_rank").asc(), F.col("product_id").asc())
-                  .limit(limit))
+        chosen = perf.where(F.col("period") == F.lit(period))
+    return (top_products(chosen)
+            .select("product_id", "product_name", "category", "period", "units_sold",
+                    "revenue", "avg_price", "return_rate_pct", "revenue_rank")
+            .orderBy(F.col("revenue_rank").asc(), F.col("product_id").asc())
+            .limit(limit))
 
 
 def segment_summary(segments: DataFrame) -> DataFrame:

@@ -309,7 +309,7 @@ def q_q_revenue_trends(spark, sf_dir):
 
 
 def _top_latest(spark, sf_dir):
-    return serving.top_products_of_period(models.top_products(_perf(spark, sf_dir)), 10)
+    return serving.top_products_of_period(_perf(spark, sf_dir), 10)
 
 
 @register("q_top_products")

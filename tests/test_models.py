@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from brightlake.operators.ntile import distributed_ntile, global_row_number
+from brightlake.operators.rank import rank_within_group, with_group_total
 from brightlake.plans import gold, models
 
 D0 = dt.date(2026, 1, 1)
@@ -51,7 +52,8 @@ def test_revenue_trends_rows_vs_range(spark):
     assert rows[days[35]].mom_growth_pct is not None
 
 
-def test_top_products_ties_nulls_zero(spark):
+@pytest.mark.parametrize("window_task_rows", [None, 0])   # window plan, distributed plan
+def test_top_products_ties_nulls_zero(spark, window_task_rows):
     perf = spark.createDataFrame(
         [(1, "p1", "c", "2026-01", 5, Decimal("10.00"), Decimal(1), Decimal("0.1000")),
          (2, "p2", "c", "2026-01", 7, Decimal("10.00"), Decimal(1), Decimal("0")),
@@ -59,7 +61,7 @@ def test_top_products_ties_nulls_zero(spark):
          (4, "p4", "c", "2026-02", 1, Decimal("0.00"), Decimal(1), Decimal("0"))],
         "product_id long, product_name string, category string, period string, units_sold int, "
         "revenue decimal(28,2), avg_price decimal(10,2), return_rate decimal(5,4)")
-    out = {r.product_id: r for r in models.top_products(perf).collect()}
+    out = {r.product_id: r for r in models.top_products(perf, window_task_rows).collect()}
     assert out[3].revenue_rank == 1                       # NULL first in DESC
     assert out[1].revenue_rank == out[2].revenue_rank == 2
     assert out[2].volume_rank == 1
@@ -86,6 +88,36 @@ def test_global_row_number_is_dense(spark):
     assert rns == list(range(1, 1001))
 
 
+@pytest.mark.parametrize("parts", [1, 3, 7])
+@pytest.mark.parametrize("descending,nulls_first", [(True, True), (True, False), (False, True)])
+def test_rank_within_group_matches_window_rank(spark, parts, descending, nulls_first):
+    # group 0 holds a third of all rows; value 5 is a hot tie; NULL values and a NULL group
+    df = spark.range(900).select(
+        F.col("id"),
+        F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 97 == 1, None)
+         .otherwise(F.col("id") % 11).alias("g"),
+        F.when(F.col("id") % 13 == 0, None).when(F.col("id") % 4 == 0, 5)
+         .otherwise(F.col("id") % 17).alias("v"))
+    v = F.col("v")
+    if descending:
+        vo = v.desc_nulls_first() if nulls_first else v.desc_nulls_last()
+    else:
+        vo = v.asc_nulls_first() if nulls_first else v.asc_nulls_last()
+    expect = df.withColumn("r", F.rank().over(Window.partitionBy("g").orderBy(vo)))
+    got = rank_within_group(df, ["g"], "v", "r", ["id"], descending=descending,
+                            nulls_first=nulls_first, num_partitions=parts)
+    assert sorted(expect.collect()) == sorted(got.select(*expect.columns).collect())
+
+
+def test_with_group_total_matches_window_sum(spark):
+    df = spark.range(300).select(
+        F.col("id"), F.when(F.col("id") % 29 == 0, None).otherwise(F.col("id") % 4).alias("g"),
+        F.when(F.col("id") % 7 == 0, None).otherwise(F.col("id")).alias("v"))
+    expect = df.withColumn("t", F.sum("v").over(Window.partitionBy("g")))
+    got = with_group_total(df, ["g"], "v", "t")
+    assert sorted(expect.collect()) == sorted(got.select(*expect.columns).collect())
+
+
 def test_segment_edges(spark):
     as_of = D0
     rows = [("1", 1, "a", 3000, "completed", D0), ("2", 2, "a", 3000.01, "completed", D0),
@@ -111,14 +143,27 @@ def test_segment_edges(spark):
         assert r.last_order_at is None and r.days_since_last is None
 
 
-def test_customer_ltv_inverted_quartiles(spark):
+@pytest.mark.parametrize("window_task_rows", [None, 0])
+def test_customer_ltv_inverted_quartiles(spark, window_task_rows):
     seg = spark.createDataFrame(
         [(i, "regular", Decimal(i * 10), i, dt.datetime(2026, 1, i), Decimal(1))
          for i in range(1, 9)],
         "customer_id long, segment string, total_spent decimal(28,2), order_count int, "
         "last_order_at timestamp_ntz, clv_score decimal(38,4)")
-    out = {r.customer_id: r for r in models.customer_ltv(seg).collect()}
+    out = {r.customer_id: r for r in models.customer_ltv(seg, False, window_task_rows).collect()}
     assert out[8].monetary_quartile == 1 and out[1].monetary_quartile == 4
     assert out[1].rfm_segment == "champion"          # lowest spender, as the model labels
-    flipped = {r.customer_id: r for r in models.customer_ltv(seg, best_is_high=True).collect()}
+    flipped = {r.customer_id: r for r in
+               models.customer_ltv(seg, True, window_task_rows).collect()}
     assert flipped[8].rfm_segment == "champion"
+
+
+def test_window_and_distributed_plans_agree_on_driver_tables(spark):
+    from brightlake import registry
+    sf = "/root/testdata/sf0.001"
+    perf = registry._perf(spark, sf)
+    assert sorted(models.top_products(perf).collect()) == \
+        sorted(models.top_products(perf, 0).collect())
+    seg = registry._segments(spark, sf)
+    assert sorted(models.customer_ltv(seg).collect()) == \
+        sorted(models.customer_ltv(seg, False, 0).collect())

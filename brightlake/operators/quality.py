@@ -104,20 +104,35 @@ def assert_gate(gate: DataFrame) -> dict:
 def column_tests(df: DataFrame, table_name: str, unique=(), not_null=()) -> DataFrame:
     """D8 + D9: unique and not-null tests, one row per (column, test).
 
-    Not-null counts come from one aggregate; each uniqueness test is a
-    ``groupBy(col).count()`` (partial aggregation) counting duplicated values.
+    One pass per table: the first unique column is grouped (partial
+    aggregation) and the not-null counts ride along as per-value partial
+    counts, so the table is computed once for all of its tests. Further
+    unique columns get their own grouped pass. Result rows come from one
+    row of totals (``explode``), with no union of re-scans.
     """
-    parts = []
-    if not_null:
-        nn = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in not_null])
-        parts.append(nn.unpivot([], list(not_null), "column_name", "failures")
-                       .withColumn("test", F.lit("not_null")))
-    for c in unique:
-        dup = (df.filter(F.col(c).isNotNull()).groupBy(c).count()
-                 .agg(F.coalesce(F.sum(F.when(F.col("count") > 1, F.col("count") - 1)),
-                                 F.lit(0)).alias("failures")))
-        parts.append(dup.select(F.lit(c).alias("column_name"), "failures",
-                                F.lit("unique").alias("test")))
+    unique, not_null = list(unique), list(not_null)
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(not_null)]
+    entries, parts = [], []
+    if unique:
+        first = unique[0]
+        per_value = df.groupBy(first).agg(F.count(F.lit(1)).alias("_n"), *nulls)
+        totals = per_value.agg(
+            _dup_count(F.col(first), F.col("_n")).alias("_dup_0"),
+            *[F.coalesce(F.sum(f"_null_{i}"), F.lit(0)).alias(f"_null_{i}")
+              for i in range(len(not_null))])
+        entries.append((first, "unique", "_dup_0"))
+    else:
+        totals = df.agg(*nulls)
+    entries += [(c, "not_null", f"_null_{i}") for i, c in enumerate(not_null)]
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("test"),
+                              F.col(v).cast("bigint").alias("failures"))
+                     for c, t, v in entries])
+    parts.append(totals.select(F.explode(rows).alias("_e")).select("_e.*"))
+    for c in unique[1:]:
+        dup = df.groupBy(c).agg(F.count(F.lit(1)).alias("_n")).agg(
+            _dup_count(F.col(c), F.col("_n")).cast("bigint").alias("failures"))
+        parts.append(dup.select(F.lit(c).alias("column_name"), F.lit("unique").alias("test"),
+                                "failures"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -126,6 +141,11 @@ def column_tests(df: DataFrame, table_name: str, unique=(), not_null=()) -> Data
                       F.when(F.col("failures") == 0, "pass").otherwise("fail").alias("status"))
 
 
+def _dup_count(value, n):
+    """Rows beyond the first of each non-NULL value (NULL values are not duplicates)."""
+    return F.coalesce(F.sum(F.when(value.isNotNull() & (n > 1), n - 1)), F.lit(0))
+
+
 def data_present(df: DataFrame) -> bool:
     """Non-empty test that reads at most one row."""
     return len(df.take(1)) > 0

@@ -49,3 +49,15 @@ def test_column_tests_and_pass_rate(spark):
                                                            ("c", "pass"), ("d", "fail")]]
     assert quality.pass_rate(results(spark, rows)).first().pass_rate == 50.0
     assert quality.data_present(df) and not quality.data_present(df.limit(0))
+
+
+def test_column_tests_several_unique_and_none(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "a"), (None, None), (None, "b")],
+                               "k long, v string")
+    out = {(r.column_name, r.test): (r.failures, r.status) for r in
+           quality.column_tests(df, "t", unique=["k", "v"], not_null=["v"]).collect()}
+    assert out == {("k", "unique"): (1, "fail"), ("v", "unique"): (2, "fail"),
+                   ("v", "not_null"): (1, "fail")}
+    only_nn = quality.column_tests(df.filter("k = 2"), "t", not_null=["k", "v"]).collect()
+    assert {(r.column_name, r.failures, r.status) for r in only_nn} == {("k", 0, "pass"),
+                                                                        ("v", 0, "pass")}

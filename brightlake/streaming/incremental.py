@@ -34,6 +34,15 @@ from brightlake.plans import gold
 
 LATENESS = "1 day"
 
+# Dedupe state (one digest per row within the lateness) lives in RocksDB, off
+# the JVM heap and spilled to local disk, with changelog checkpointing so each
+# commit uploads only the changes. Applied only where the session chose nothing.
+STATE_STORE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 
 def clean_stateless(raw: DataFrame, as_of) -> DataFrame:
     """The per-row part of the order cleaning (F2, F4-F9) + the month partition column."""
@@ -120,7 +129,24 @@ def start_incremental(spark: SparkSession, landing_dir: str, schema: StructType,
               .option("checkpointLocation", checkpoint_dir))
     writer = writer.trigger(availableNow=True) if available_now \
         else writer.trigger(processingTime="60 seconds")
-    return writer.start()
+    return _start_with_defaults(spark, STATE_STORE_CONF, writer.start)
+
+
+def _start_with_defaults(spark: SparkSession, conf: dict, start):
+    """Start a query with ``conf`` entries the session left unset.
+
+    A streaming query clones the session conf when it starts (and records its
+    state store in the checkpoint), so the entries are unset again right
+    after: the session keeps no setting the caller did not make.
+    """
+    applied = [k for k in conf if spark.conf.get(k, None) is None]
+    for k in applied:
+        spark.conf.set(k, conf[k])
+    try:
+        return start()
+    finally:
+        for k in applied:
+            spark.conf.unset(k)
 
 
 def run_incremental(spark: SparkSession, *args, **kwargs) -> None:

@@ -48,11 +48,33 @@ def top_category_per_day(orders: DataFrame, statuses=("completed",)) -> DataFram
 
 
 def daily_sales(orders: DataFrame, statuses=("completed",)) -> DataFrame:
-    """A1 + A2 + J1: ``gold.daily_sales`` with money as DECIMAL."""
-    days = daily_totals(orders, statuses)
-    top = top_category_per_day(orders, statuses)
-    # Both sides are one row per day (bounded by the calendar), joined on date.
-    return days.join(top, "date", "left")
+    """A1 + A2 + J1: ``gold.daily_sales`` with money as DECIMAL, in one scan.
+
+    One ``GROUPING SETS ((day, customer), (day, category))`` aggregate (map-side
+    combined) gives per-customer and per-category cells of each day. One
+    per-day aggregate then reads the customer cells for the totals and the
+    distinct customers, and the category cells for the arg-max category
+    (ties -> smallest category). The order lines are scanned and joined once,
+    and the J1 join disappears. ``daily_totals`` and ``top_category_per_day``
+    remain as the two halves on their own.
+    """
+    o = orders.filter(F.col("status").isin(list(statuses))) if statuses else orders
+    cells = (o.groupingSets([["order_date", "customer_id"], ["order_date", "category"]],
+                            "order_date", "customer_id", "category")
+              .agg(F.count("order_id").alias("n"), F.sum("total_amount").alias("rev"),
+                   F.grouping("customer_id").alias("_gc"), F.grouping("category").alias("_gk")))
+    cust, cat = F.col("_gc") == 0, F.col("_gk") == 0
+    best = F.when(cat & F.col("rev").isNotNull(),
+                  F.struct((-F.col("rev")).alias("o"), F.col("category").alias("t")))
+    days = (cells.groupBy(F.col("order_date").alias("date"))
+                 .agg(F.sum(F.when(cust, F.col("n"))).alias("total_orders"),
+                      F.sum(F.when(cust, F.col("rev"))).cast(SUM_MONEY).alias("rev"),
+                      F.count(F.when(cust, F.col("customer_id"))).alias("unique_customers"),
+                      F.min_by(F.col("category"), best).alias("top_category")))
+    return days.select("date", "total_orders",
+                       F.round("rev", 2).alias("total_revenue"),
+                       div_round("rev", "total_orders", 2).alias("avg_order"),
+                       "unique_customers", "top_category")
 
 
 def product_performance(orders: DataFrame, products: DataFrame | None = None,

@@ -12,7 +12,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brightlake.functions.dates import days_since, period
+from brightlake.functions.dates import days_since, month_start, period
 from brightlake.functions.money import SUM_MONEY, div_round, ratio_round
 from brightlake.functions.rules import (CLV_CAP_SEGMENTS, SEGMENT_THRESHOLDS,
                                         customer_segment)
@@ -85,15 +85,17 @@ def product_performance(orders: DataFrame, products: DataFrame | None = None,
     ``products`` supplies name/category (columns ``product_id, name, category``).
     """
     o = orders.filter(F.col("status").isin(list(statuses))) if statuses else orders
-    perf = (o.withColumn("period", period("created_at"))
-             .groupBy("product_id", "period")
+    # Group on the month's first day (a 4-byte date) and format the period text
+    # once per output row, not once per order line; the mapping is one to one.
+    perf = (o.withColumn("_month", month_start("created_at"))
+             .groupBy("product_id", "_month")
              .agg(F.sum("quantity").cast("int").alias("units_sold"),
                   F.sum("total_amount").cast(SUM_MONEY).alias("rev"),
                   F.sum("unit_price").cast(SUM_MONEY).alias("price_sum"),
                   F.count("unit_price").alias("price_n"),
                   F.count_if(F.col("status") == "refunded").alias("refunded"),
                   F.count("order_id").alias("n"))
-             .select("product_id", "period", "units_sold",
+             .select("product_id", period("_month").alias("period"), "units_sold",
                      F.round("rev", 2).alias("revenue"),
                      div_round("price_sum", "price_n", 2).alias("avg_price"),
                      ratio_round("refunded", "n", 4).alias("return_rate")))

@@ -50,17 +50,18 @@ def top_products(perf: DataFrame, window_task_rows: int | None = None) -> DataFr
     total from an aggregate, so one busy period is spread over many tasks.
     Both plans give the same result.
     """
-    if fits_one_task(perf, ["period"], window_task_rows):
+    # perf is read by the size check and then by the windows (or by both
+    # numberings and the final join): materialise the aggregate once (reliable
+    # checkpoint) instead of re-scanning the order lines for each reader.
+    base = cut_lineage(perf)
+    if fits_one_task(base, ["period"], window_task_rows):
         by_rev = Window.partitionBy("period").orderBy(F.col("revenue").desc_nulls_first())
         by_vol = Window.partitionBy("period").orderBy(F.col("units_sold").desc_nulls_first())
-        x = perf.select("*", F.rank().over(by_rev).alias("revenue_rank"),
+        x = base.select("*", F.rank().over(by_rev).alias("revenue_rank"),
                         F.rank().over(by_vol).alias("volume_rank"),
                         F.sum("revenue").over(Window.partitionBy("period"))
                          .alias("_period_revenue"))
     else:
-        # perf is read by both numberings and the final join: materialise it
-        # once (reliable checkpoint) instead of recomputing the aggregate.
-        base = cut_lineage(perf)
         by_rev = rank_table(base, ["period"], "revenue", "revenue_rank", ["product_id"])
         by_vol = rank_table(base, ["period"], "units_sold", "volume_rank", ["product_id"])
         totals = group_totals(base, ["period"], "revenue", "_period_revenue")
@@ -92,6 +93,8 @@ def customer_ltv(segments: DataFrame, best_is_high: bool = False,
     orders = {"monetary_quartile": [o("total_spent"), cid],
               "frequency_quartile": [o("order_count"), cid],
               "recency_quartile": [o("last_order_at"), cid]}
+    # Read by the size check and by the quartiles: materialise once.
+    segments = cut_lineage(segments)
     if fits_one_task(segments, (), window_task_rows):
         x = segments.select("*", *[F.ntile(4).over(Window.orderBy(*order)).alias(name)
                                    for name, order in orders.items()])

@@ -47,3 +47,14 @@ def test_asof_window_is_partitioned_by_entity_and_bucket(spark):
     p = plan(out)
     assert "hashpartitioning(_k" in p and "_b" in p.split("hashpartitioning(_k", 1)[1][:40]
     assert out.first().v == 1.0
+
+
+def test_daily_sales_scans_once_and_recent_days_reach_the_scan(spark):
+    from brightlake import registry
+    sf = "/root/testdata/sf0.001"
+    full = registry.QUERIES["daily_sales"](spark, sf)._jdf.queryExecution().executedPlan()
+    assert full.toString().count("FileScan parquet") == 3     # lineitem, orders, part once each
+    recent = registry.QUERIES["q_daily_sales"](spark, sf)._jdf.queryExecution().executedPlan()
+    orders_scan = [ln for ln in recent.toString().split("\n") if "FileScan parquet [o_" in ln]
+    assert orders_scan and all("o_orderdate" in ln.split("DataFilters")[1].split("]")[0]
+                               for ln in orders_scan)

@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Rows one task may sort and window (spillable) without becoming a straggler.
+# A session may set its own with ``spark.brightlake.windowTaskRows``.
 WINDOW_TASK_ROWS = 2_000_000
+WINDOW_TASK_ROWS_CONF = "spark.brightlake.windowTaskRows"
 
 
 def largest_group_rows(df: DataFrame, group: list[str] | tuple = ()) -> int:
@@ -24,6 +26,13 @@ def largest_group_rows(df: DataFrame, group: list[str] | tuple = ()) -> int:
     return int(top["m"] or 0)
 
 
+def window_task_rows(df: DataFrame) -> int:
+    """The session's limit (``spark.brightlake.windowTaskRows``) or the default."""
+    configured = df.sparkSession.conf.get(WINDOW_TASK_ROWS_CONF, None)
+    return int(configured) if configured else WINDOW_TASK_ROWS
+
+
 def fits_one_task(df: DataFrame, group: list[str] | tuple = (),
                   limit: int | None = None) -> bool:
-    return largest_group_rows(df, group) <= (WINDOW_TASK_ROWS if limit is None else limit)
+    """True when the largest group has at most ``limit`` rows (default: the session's)."""
+    return largest_group_rows(df, group) <= (window_task_rows(df) if limit is None else limit)

@@ -167,3 +167,15 @@ def test_window_and_distributed_plans_agree_on_driver_tables(spark):
     seg = registry._segments(spark, sf)
     assert sorted(models.customer_ltv(seg).collect()) == \
         sorted(models.customer_ltv(seg, False, 0).collect())
+
+
+def test_window_task_rows_from_session(spark):
+    from brightlake.operators import sizing
+    df = spark.range(10).withColumn("g", F.col("id") % 2)
+    assert sizing.fits_one_task(df, ["g"])
+    spark.conf.set(sizing.WINDOW_TASK_ROWS_CONF, "4")
+    try:
+        assert not sizing.fits_one_task(df, ["g"])          # 5 rows per group > 4
+        assert sizing.fits_one_task(df, ["g"], limit=5)
+    finally:
+        spark.conf.unset(sizing.WINDOW_TASK_ROWS_CONF)

@@ -58,3 +58,13 @@ def test_daily_sales_scans_once_and_recent_days_reach_the_scan(spark):
     orders_scan = [ln for ln in recent.toString().split("\n") if "FileScan parquet [o_" in ln]
     assert orders_scan and all("o_orderdate" in ln.split("DataFilters")[1].split("]")[0]
                                for ln in orders_scan)
+
+
+def test_distributed_top_products_has_no_window_by_period(spark):
+    from brightlake import registry
+    from brightlake.plans import models
+    perf = registry._perf(spark, "/root/testdata/sf0.001")
+    dist = models.top_products(perf, 0)._jdf.queryExecution().executedPlan().toString()
+    assert "windowspecdefinition(period" not in dist
+    win = models.top_products(perf)._jdf.queryExecution().executedPlan().toString()
+    assert "windowspecdefinition(period" in win               # the checked one-task plan

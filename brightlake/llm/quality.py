@@ -180,7 +180,7 @@ def order_rules(docs: DataFrame, rules=RULES, text: str = "text",
                     turned[i] += rule.rejects(alone).sum()
                     spent[i] += time.perf_counter() - began
         if seen:
-            yield pa.RecordBatch.from_pydict({"rule": np.arange(len(rules)), "spent": spent,
+            yield pa.RecordBatch.from_pydict({"rule": np.arange(len(rules), dtype=np.int32), "spent": spent,
                                               "turned": turned})
 
     found = (sample.mapInArrow(measure, "rule int, spent double, turned double")

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from brightlake.llm import bpe, quality
-from brightlake.llm.text import table
+from brightlake.llm import bpe, quality, toxicity
+from brightlake.llm.text import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,6 +27,16 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@register("op1_toxicity")
+def op1_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 3) == 1
+    model = toxicity.train_model(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 @register("op8_quality_rules")
 def op8_quality_rules(spark, sf_dir):
     return quality.score_quality(table(spark, sf_dir, "documents"))

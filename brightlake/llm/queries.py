@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightlake.llm import bpe, quality, toxicity
+from brightlake.llm import bpe, mixing, quality, sharding, toxicity
 from brightlake.llm.text import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,13 @@ def op1_toxicity(spark, sf_dir):
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+@register("op5_sharding")
+def op5_sharding(spark, sf_dir):
+    placed = sharding.reshard(table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
+                         "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")
+
+
 @register("op8_quality_rules")
 def op8_quality_rules(spark, sf_dir):
     return quality.score_quality(table(spark, sf_dir, "documents"))
@@ -45,3 +52,9 @@ def op8_quality_rules(spark, sf_dir):
 @register("op9_bpe_encoding")
 def op9_bpe_encoding(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
+@register("op10_source_mixing")
+def op10_source_mixing(spark, sf_dir):
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightlake.llm import bpe, mixing, quality, sharding, toxicity
+from brightlake.llm import bpe, fingerprint, mixing, quality, sharding, toxicity
 from brightlake.llm.text import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +44,11 @@ def op5_sharding(spark, sf_dir):
                          "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")
 
 
+@register("op7_fingerprints")
+def op7_fingerprints(spark, sf_dir):
+    return fingerprint.compare_versions(table(spark, sf_dir, "documents"))
+
+
 @register("op8_quality_rules")
 def op8_quality_rules(spark, sf_dir):
     return quality.score_quality(table(spark, sf_dir, "documents"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightlake.llm import bpe, fingerprint, mixing, quality, sharding, toxicity
+from brightlake.llm import bpe, fingerprint, mixing, neardup, quality, sharding, toxicity
 from brightlake.llm.text import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,11 @@ def op1_toxicity(spark, sf_dir):
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+@register("op2_minhash_neardup")
+def op2_minhash_neardup(spark, sf_dir):
+    return neardup.components(table(spark, sf_dir, "documents"), words=4)
+
+
 @register("op5_sharding")
 def op5_sharding(spark, sf_dir):
     placed = sharding.reshard(table(spark, sf_dir, "documents"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightlake.llm import bpe, fingerprint, mixing, neardup, quality, sharding, toxicity
+from brightlake.llm import bpe, fingerprint, html, mixing, neardup, quality, sharding, toxicity
 from brightlake.llm.text import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,11 @@ def op5_sharding(spark, sf_dir):
                          "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")
 
 
+@register("op6_html_extraction")
+def op6_html_extraction(spark, sf_dir):
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 @register("op7_fingerprints")
 def op7_fingerprints(spark, sf_dir):
     return fingerprint.compare_versions(table(spark, sf_dir, "documents"))

@@ -229,9 +229,14 @@ def compare_versions(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     more = recover(again[0].unionAll(again[1]), "_pair")
     more = more.groupBy(F.col("_pair._row").alias("_row")).agg(*[
         F.max(F.when(F.col("_pair.x") == x, F.col("differ"))).alias(f"_m{x}") for x in "bc"])
-    near = {x: likeness(F.col("_na"), F.col(f"_n{x}"), F.coalesce(f"_d{x}", f"_m{x}"))
-            for x in "bc"}
-    return (tried.drop("_a", "_b", "_c").join(more, "_row", "left")
-            .select(F.col("_key").alias(key), "n_chars", "edited_sha256", "fingerprint",
-                    "edited_fingerprint", near["b"].alias("near_edited"),
-                    near["c"].alias("near_next"), F.col("_na").alias("n_paragraphs")))
+    def likenesses(rows, late):
+        near = {x: likeness(F.col("_na"), F.col(f"_n{x}"), F.coalesce(f"_d{x}", late(x)))
+                for x in "bc"}
+        return rows.select(F.col("_key").alias(key), "n_chars", "edited_sha256", "fingerprint",
+                           "edited_fingerprint", near["b"].alias("near_edited"),
+                           near["c"].alias("near_next"), F.col("_na").alias("n_paragraphs"))
+
+    # Only rows that were retried are joined with what the retries found.
+    first = likenesses(tried.filter(F.col("_a").isNull()), lambda x: F.lit(None).cast("long"))
+    retried = tried.filter(F.col("_a").isNotNull()).join(more, "_row")
+    return first.unionByName(likenesses(retried, lambda x: F.col(f"_m{x}")))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightlake.llm import bpe, fingerprint, html, lm, mixing, neardup, quality, sharding, toxicity
+from brightlake.llm import bpe, fingerprint, html, licenses, lm, mixing, neardup, quality, sharding, toxicity
 from brightlake.llm.text import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,11 @@ def op2_minhash_neardup(spark, sf_dir):
     return neardup.components(table(spark, sf_dir, "documents"), words=4)
 
 
+@register("op3_license_scan")
+def op3_license_scan(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 @register("op4_lm_scoring")
 def op4_lm_scoring(spark, sf_dir):
     return lm.score(table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 5) != 1)

@@ -26,9 +26,11 @@ ignored by ``components`` and carried along by ``one_of_each``.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from brightlake.llm.text import Chunk, buffers, chunks, mix64, shingles
@@ -41,7 +43,7 @@ BANDS = 2 * PERMUTATIONS // BAND_ROWS
 #: Similarity of linked documents, in hundredths.
 PERCENT = 80
 #: Counters that order shingles by rarity in the exact join.
-RARITY_BITS = 20
+RARITY_BITS = 18
 
 _rng = np.random.default_rng(7)
 _XOR = _rng.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64)
@@ -150,18 +152,26 @@ def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
     return _written(both.mapInArrow(run, pairs.select("_a", "_b").schema), "neardup-links")
 
 
+def _ways(links: DataFrame) -> DataFrame:
+    return links.select(F.explode(F.array(
+        F.struct(F.col("_a").alias("_id"), F.col("_b").alias("_to")),
+        F.struct(F.col("_b").alias("_id"), F.col("_a").alias("_to")))).alias("w")).select("w.*")
+
+
+def near_labels(links: DataFrame) -> DataFrame:
+    """``_id`` and the smallest id within one link (``_component``): a first grouping, in
+    which one component may still have several labels."""
+    return _ways(links).groupBy("_id").agg(F.least(F.min("_to"), F.first("_id")).alias("_component"))
+
+
 def connected(links: DataFrame) -> DataFrame:
     """``_id`` and the smallest id reachable (``_component``) for every linked id.
 
     Each round takes the smallest label among neighbours, then the label of
     that label; every round's labels are written, which cuts the lineage.
     """
-    spark = links.sparkSession
-    ways = links.select(F.explode(F.array(F.struct(F.col("_a").alias("_id"), F.col("_b").alias("_to")),
-                                          F.struct(F.col("_b").alias("_id"), F.col("_a").alias("_to"))))
-                        .alias("w")).select("w.*")
-    labels = ways.groupBy("_id").agg(F.least(F.min("_to"), F.first("_id")).alias("_component"))
-    labels = _written(labels, "neardup-labels")
+    ways = _ways(links)
+    labels = _written(near_labels(links), "neardup-labels")
     while True:
         near = (ways.join(labels.select(F.col("_id").alias("_to"), "_component"), "_to")
                 .groupBy("_id").agg(F.min("_component").alias("_near")))
@@ -169,11 +179,13 @@ def connected(links: DataFrame) -> DataFrame:
                  .select("_id", F.col("_component").alias("_old"),
                          F.least("_component", "_near").alias("_new")))
         jump = labels.select(F.col("_id").alias("_new"), F.col("_component").alias("_far"))
-        new = _written(lower.join(jump, "_new").select(
-            "_id", "_old", F.least("_new", "_far").alias("_component")), "neardup-labels")
-        if new.filter("_component != _old").isEmpty():
-            return new.select("_id", "_component")
-        labels = new.select("_id", "_component")
+        changed = Observation(f"neardup-{uuid.uuid4().hex}")
+        labels = _written(
+            lower.join(jump, "_new").select("_id", "_old", F.least("_new", "_far").alias("_component"))
+            .observe(changed, F.count_if(F.col("_component") != F.col("_old")).alias("n"))
+            .drop("_old"), "neardup-labels")
+        if not changed.get.get("n"):
+            return labels
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:
@@ -216,11 +228,19 @@ def _cross_pairs(members: DataFrame, texts: DataFrame, labels: DataFrame, words:
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_pydict({"slot": at.astype(np.int32), "seen": seen[at]})
 
+    def pack(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({
+                "slots": [batch.column(0).to_numpy().astype(np.int32).tobytes()],
+                "seen": [batch.column(1).to_numpy().astype(np.int64).tobytes()]})
+
     # One number for each of 2 ** RARITY_BITS counters, whatever the input.
     counted = (rows.mapInArrow(count, "slot int, seen long").groupBy("slot")
-               .agg(F.sum("seen")).toPandas())
+               .agg(F.sum("seen").alias("seen"))
+               .mapInArrow(pack, "slots binary, seen binary").collect())
     rarity = np.zeros(1 << RARITY_BITS, dtype=np.int64)
-    rarity[counted.iloc[:, 0]] = counted.iloc[:, 1]
+    for r in counted:
+        rarity[np.frombuffer(bytes(r["slots"]), np.int32)] = np.frombuffer(bytes(r["seen"]), np.int64)
     shared = spark.sparkContext.broadcast(rarity)
 
     def prefixes(batches):
@@ -274,11 +294,17 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     stars = _written(_star_pairs(members), "neardup-stars")
     texts = texts_of(stars, docs_, key, text)
     links = confirm(stars, texts, words, percent)
-    cross = _written(_cross_pairs(members, texts, connected(links), words, percent),
+    cross = _written(_cross_pairs(members, texts, near_labels(links), words, percent),
                      "neardup-cross")
     more = confirm(cross, texts, words, percent)
-    copies = member.filter("_id != _rep").select(F.col("_id").alias("_a"), F.col("_rep").alias("_b"))
-    labels = connected(links.unionByName(more).unionByName(copies))
+    # Components of representatives, then each id by its representatives (one, unless an id
+    # stands for several texts; then its representatives are linked).
+    several = member.groupBy("_id").agg(F.min("_rep").alias("_b"), F.max("_rep").alias("_last"))
+    tied = (member.join(several.filter("_b != _last"), "_id")
+            .select(F.col("_rep").alias("_a"), "_b").filter("_a != _b"))
+    labels = connected(links.unionByName(more).unionByName(tied))
+    labels = (member.join(labels.withColumnRenamed("_id", "_rep"), "_rep", "left")
+              .groupBy("_id").agg(F.min(F.coalesce("_component", "_rep")).alias("_component")))
     found = rows.select("_id", "n_shingles").join(labels, "_id", "left").select(
         F.col("_id").alias(key), "n_shingles",
         F.coalesce("_component", "_id").alias("component_id"))

@@ -7,10 +7,11 @@ Each decision is predicted in ``CONTEXTS`` ways from the training rows: how
 often the branch was taken in that context, kept in hashed tables. The
 predictions are mixed in the logistic domain with weights chosen by a gate
 (kind of decision and how much each context has been seen). The weights are
-learned on training rows with each decision's own count left out, and then
-refined online, decision by decision, in every text that is scored; long texts
-adapt in segments of ``SEGMENT`` decisions. The score is the log10 probability
-of the whole text, in bits per byte besides.
+learned on training rows with each decision's own count left out, and refined
+online in every text that is scored: after each ``BLOCK`` decisions the weights
+of the text take a gradient step; long texts adapt in segments of ``SEGMENT``
+decisions. The score is the log10 probability of the whole text, in bits per
+byte besides.
 
 Word counts of all training rows are summed in Spark and stay a table: counts
 of the most frequent words travel to the tasks (``TOP_WORDS``, a fixed bound),
@@ -43,10 +44,16 @@ TOP_WORDS = 1 << 18
 CODED_WORDS = 1 << 16
 #: The most frequent of those serve as a context for what follows.
 MARKER_WORDS = 512
-SEGMENT = 1024
+#: Decisions that share their adapted weights, and the longest run that adapts as one.
+BLOCK = 64
+SEGMENT = 8192
+#: Decisions of a path whose counters lie side by side.
+NEAR = 4
 #: Training rows (those of smallest hash) that set the weights the scoring starts from.
-WEIGHT_ROWS = 2000
+WEIGHT_ROWS = 1000
 RATE = 0.015
+#: Text that a task turns into decisions at a time, in bytes.
+CHUNK_BYTES = 1 << 19
 GATES = 2 * 4 * 4
 _NODE_SEED = 11
 _C = np.uint64(0x9E3779B97F4A7C15)
@@ -99,7 +106,15 @@ class Coder:
         self.turn = np.concatenate([turn, turn_b]).astype(np.int8)
         rng = np.random.default_rng(_NODE_SEED)
         codes = rng.integers(0, 1 << 32, len(first) + 257, dtype=np.uint64).astype(np.uint32)
-        self.code = codes[self.node] & np.uint32((1 << TABLE_BITS) - 1)
+        # A subtree of NEAR levels has one hash and 2 ** NEAR places next to each other.
+        step = np.arange(len(self.node))
+        depth = step - np.repeat(self.first, self.length) if len(step) else step
+        top, local = step - depth % NEAR, np.ones(len(step), np.uint32)
+        for k in range(NEAR - 1):
+            deeper = depth % NEAR > k
+            local[deeper] = local[deeper] * 2 + self.turn[top[deeper] + k].astype(np.uint32)
+        side = np.uint32((1 << NEAR) - 1)
+        self.code = (codes[self.node[top]] & np.uint32((1 << TABLE_BITS) - 1) & ~side) | local
 
     def symbols(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self.words):
@@ -151,16 +166,16 @@ class Coder:
             c0[is_byte], c1[is_byte] = recent[0], recent[2]
             c2[is_byte] = c2[is_byte] * _C + recent[1]
         length = self.length[path]
-        owner = np.repeat(np.arange(len(path)), length)
-        step = np.arange(len(owner)) - np.repeat(np.cumsum(length) - length, length)
-        step += self.first[path][owner]
-        code = self.code[step]
+        begin_at = np.cumsum(length) - length
+        total = int(length.sum())
+        step = np.arange(total) + np.repeat(self.first[path] - begin_at, length)
+        code, turn = self.code[step], self.turn[step]
         mask = np.uint64((1 << TABLE_BITS) - 1)
-        slots = [(mix64(c + np.uint64(k + 1)) & mask).astype(np.uint32)[owner] ^ code
+        slots = [np.repeat((mix64(c + np.uint64(k + 1)) & mask).astype(np.uint32), length) ^ code
                  for k, c in enumerate((c0, c1, c2))]
         bounds = np.concatenate([[0], np.cumsum(np.bincount(row[token], weights=length,
                                                             minlength=n).astype(np.int64))])
-        return slots, self.turn[step], is_byte[owner], bounds
+        return slots, turn, np.repeat(is_byte, length), bounds
 
 
 # A table entry packs both branch counts, each as 8 * log2(1 + count) in a byte.
@@ -198,42 +213,49 @@ def predictions(tables: list[np.ndarray], slots: list[np.ndarray], turn: np.ndar
     return stretched, gate
 
 
-def lanes(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Segments of the rows' decisions, longest first: start, length, row."""
-    size = np.diff(bounds)
-    pieces = -(-size // SEGMENT)
-    row = np.repeat(np.arange(len(size)), pieces)
-    inside = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-    start = bounds[:-1][row] + inside * SEGMENT
-    length = np.minimum(SEGMENT, bounds[1:][row] - start)
-    order = np.argsort(-length, kind="stable")
-    return start[order], length[order], row[order]
-
-
 def mix_scores(stretched, gate, turn, bounds, weights: np.ndarray) -> np.ndarray:
-    """Natural-log probability of each row; weights adapt online inside each segment."""
-    start, length, row = lanes(bounds)
-    own = np.repeat(weights.astype(np.float32)[None], len(start), axis=0).reshape(-1, CONTEXTS)
-    total = np.zeros(len(start))
-    live = np.searchsorted(-length, -np.arange(SEGMENT), side="left")
-    base = np.arange(len(start)) * GATES
+    """Natural-log probability of each row, its weights adapting block by block."""
+    n = len(bounds) - 1
+    run = SEGMENT // BLOCK
+    # Blocks of each row, in lanes of ``run`` blocks; sorted so that the blocks that all
+    # lanes take at the same time lie together, and the same lane has the same place.
+    blocks = -(-np.diff(bounds) // BLOCK)
+    row = np.repeat(np.arange(n), blocks)
+    inside = np.arange(len(row)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+    lane = np.cumsum(inside % run == 0) - 1
+    lane_size = np.bincount(lane, minlength=1)
+    lane_place = np.empty(len(lane_size), np.int64)
+    lane_place[np.argsort(-lane_size, kind="stable")] = np.arange(len(lane_size))
+    time = inside % run
+    order = np.lexsort((lane_place[lane], time)) if len(row) else row
+    row, inside = row[order], inside[order]
+    source = (bounds[row] + inside * BLOCK)[:, None] + np.arange(BLOCK)
+    filled = (source < bounds[row + 1][:, None])
+    source = np.minimum(source, max(len(turn) - 1, 0)).astype(np.int32)
     sign = (2 * turn - 1).astype(np.float32)
-    x = np.ascontiguousarray(stretched.T)
-    for t in range(int(length.max(initial=0))):
-        m = live[t]
-        at = start[:m] + t
-        inputs, which = x[at], base[:m] + gate[at]
-        w = own[which]
-        margin = np.einsum("ij,ij->i", w, inputs) * sign[at]
-        np.clip(margin, -20, 20, out=margin)
-        miss = np.exp(-margin)
-        total[:m] -= np.log1p(miss)
-        miss /= 1 + miss
-        own[which] = w + inputs * (np.float32(RATE) * miss * sign[at])[:, None]
-    return np.bincount(row, total, len(bounds) - 1)
-
-
-def learn_weights(stretched, gate, turn, weights: np.ndarray, rounds: int = 5) -> np.ndarray:
+    signed = [s * sign for s in stretched]
+    inputs = [np.take(s, source) * filled for s in signed]
+    gates = np.take(gate, source)
+    margin = np.zeros(source.shape, np.float32)
+    # The weights of each lane, one row of gates after another.
+    own = [np.tile(weights[:, k].astype(np.float32), len(lane_size)) for k in range(CONTEXTS)]
+    ends = np.cumsum(np.bincount(time, minlength=1))
+    begin = 0
+    for end in ends if len(row) else ():
+        now, m = slice(begin, end), end - begin
+        which = gates[now] + (np.arange(m, dtype=np.int32) * GATES)[:, None]
+        for k in range(CONTEXTS):
+            margin[now] += np.take(own[k], which) * inputs[k][now]
+        miss = np.float32(RATE) / (1 + np.exp(np.minimum(margin[now], 80)))
+        for k in range(CONTEXTS):
+            own[k][:m * GATES] += np.bincount(which.ravel(), (inputs[k][now] * miss).ravel(), m * GATES)
+        begin = end
+    np.clip(margin, -80, 80, out=margin)
+    cost = np.log(1 + np.exp(-np.abs(margin))) - np.minimum(margin, 0)
+    return -np.bincount(row, (cost * filled).sum(axis=1, dtype=np.float64), n)
+
+
+def learn_weights(stretched, gate, turn, weights: np.ndarray, rounds: int = 4) -> np.ndarray:
     """Gate weights by Newton steps of a logistic regression over the decisions given."""
     x, target = stretched.astype(np.float64), turn.astype(np.float64)
     start = weights
@@ -278,10 +300,10 @@ def count_words(texts: DataFrame) -> DataFrame:
                 ends += chunk.n
                 held.append(np.unique(hashes, return_counts=True))
                 size += len(held[-1][0])
-                if size > 1 << 21:
+                if size > 1 << 20:
                     held = [flush()]
                     size = len(held[0][0])
-                    if size > 1 << 20:
+                    if size > 1 << 19:
                         yield rows(0, *held[0])
                         held, size = [], 0
         if size:
@@ -321,7 +343,7 @@ def count_decisions(texts: DataFrame, coder) -> list[np.ndarray]:
         seen = np.zeros((CONTEXTS, 2 << TABLE_BITS), dtype=np.uint32)
         some = False
         for batch in batches:
-            for _, _, chunk in chunks(batch.column(0), lower=True, limit=1 << 21):
+            for _, _, chunk in chunks(batch.column(0), lower=True, limit=CHUNK_BYTES):
                 slots, turn, _, _ = coder.value.decisions(chunk)
                 some = True
                 for k, slot in enumerate(slots):
@@ -368,7 +390,7 @@ def start_weights(texts: DataFrame, model) -> np.ndarray:
         coder, tables = model.value
         first = np.full((GATES, CONTEXTS), START_WEIGHT)
         for batch in batches:
-            for _, _, chunk in chunks(batch.column(0), lower=True):
+            for _, _, chunk in chunks(batch.column(0), lower=True, limit=CHUNK_BYTES):
                 slots, turn, is_byte, _ = coder.decisions(chunk)
                 x, gate = predictions(tables, slots, turn, is_byte, True)
                 yield pa.RecordBatch.from_pydict({
@@ -422,7 +444,7 @@ def score(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text
         known_codes, known = top.value
         end_score = np.log10((ends + 0.5) / divisor)
         for batch in batches:
-            for first, end, chunk in chunks(batch.column(2), lower=True):
+            for first, end, chunk in chunks(batch.column(2), lower=True, limit=CHUNK_BYTES):
                 slots, turn, is_byte, bounds = coder.decisions(chunk)
                 x, gate = predictions(tables, slots, turn, is_byte, False)
                 del slots

@@ -156,6 +156,5 @@ def sampled_copies(docs: DataFrame, key: str = "doc_id", text: str = "text",
     mixed = (mix(docs, key, text, source, **options).filter(F.col("taken") > 0)
              .select(F.col(key).alias("_key"),
                      (F.col("taken") / F.col("size")).cast("int").alias("_copies")))
-    return (docs.join(mixed, F.col(key) == F.col("_key"))
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies")))
-            .select(*[docs[c] for c in docs.columns]))
+    times = mixed.select("_key", F.explode(F.sequence(F.lit(1), "_copies")))
+    return docs.join(times, docs[key] == times["_key"]).select(*[docs[c] for c in docs.columns])

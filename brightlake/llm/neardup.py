@@ -316,4 +316,4 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text",
     """The documents that are the smallest id of their component, with all their columns."""
     gone = (components(docs, key, text, words, percent).filter("NOT kept")
             .select(F.col(key).alias("_gone")).distinct())
-    return docs.join(gone, F.col(key) == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs[key] == gone["_gone"], "left_anti")

@@ -31,7 +31,7 @@ _L, _N, _S = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\x
 PLAIN_PRETOKEN = (rf"'(?:s|t|re|ve|m|ll|d)| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+"
                   rf"|[{_S}]+(?![^{_S}])|[{_S}]+")
 #: Entries that each table of a worker may hold before it starts anew.
-MEMORY_ENTRIES = 300_000
+MEMORY_ENTRIES = 150_000
 
 
 def byte_letters() -> dict[int, str]:

@@ -158,12 +158,6 @@ def _ways(links: DataFrame) -> DataFrame:
         F.struct(F.col("_b").alias("_id"), F.col("_a").alias("_to")))).alias("w")).select("w.*")
 
 
-def near_labels(links: DataFrame) -> DataFrame:
-    """``_id`` and the smallest id within one link (``_component``): a first grouping, in
-    which one component may still have several labels."""
-    return _ways(links).groupBy("_id").agg(F.least(F.min("_to"), F.first("_id")).alias("_component"))
-
-
 def connected(links: DataFrame) -> DataFrame:
     """``_id`` and the smallest id reachable (``_component``) for every linked id.
 
@@ -171,7 +165,8 @@ def connected(links: DataFrame) -> DataFrame:
     that label; every round's labels are written, which cuts the lineage.
     """
     ways = _ways(links)
-    labels = _written(near_labels(links), "neardup-labels")
+    labels = _written(ways.groupBy("_id").agg(F.least(F.min("_to"), F.first("_id"))
+                                              .alias("_component")), "neardup-labels")
     while True:
         near = (ways.join(labels.select(F.col("_id").alias("_to"), "_component"), "_to")
                 .groupBy("_id").agg(F.min("_component").alias("_near")))
@@ -294,15 +289,23 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     stars = _written(_star_pairs(members), "neardup-stars")
     texts = texts_of(stars, docs_, key, text)
     links = confirm(stars, texts, words, percent)
-    cross = _written(_cross_pairs(members, texts, near_labels(links), words, percent),
-                     "neardup-cross")
+    groups = connected(links)
+    cross = _written(_cross_pairs(members, texts, groups, words, percent), "neardup-cross")
     more = confirm(cross, texts, words, percent)
-    # Components of representatives, then each id by its representatives (one, unless an id
-    # stands for several texts; then its representatives are linked).
+    # An id that stands for several texts ties their representatives.
     several = member.groupBy("_id").agg(F.min("_rep").alias("_b"), F.max("_rep").alias("_last"))
     tied = (member.join(several.filter("_b != _last"), "_id")
             .select(F.col("_rep").alias("_a"), "_b").filter("_a != _b"))
-    labels = connected(links.unionByName(more).unionByName(tied))
+    # What was found last joins whole groups: a much smaller graph.
+    between = more.unionByName(tied)
+    for side in ("_a", "_b"):
+        between = (between.join(groups.toDF(side, "_g"), side, "left")
+                   .withColumn(side, F.coalesce("_g", side)).drop("_g"))
+    joined = connected(between.filter("_a != _b").distinct())
+    labels = (groups.join(joined.toDF("_component", "_whole"), "_component", "left")
+              .select("_id", F.coalesce("_whole", "_component").alias("_component")))
+    alone = joined.join(groups.select("_id"), "_id", "left_anti")
+    labels = labels.unionByName(alone)
     labels = (member.join(labels.withColumnRenamed("_id", "_rep"), "_rep", "left")
               .groupBy("_id").agg(F.min(F.coalesce("_component", "_rep")).alias("_component")))
     found = rows.select("_id", "n_shingles").join(labels, "_id", "left").select(

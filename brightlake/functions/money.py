@@ -17,17 +17,12 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def to_money(x) -> Column:
-    """A double price with two decimals as an exact decimal."""
-    return _c(x).cast(MONEY)
-
-
 def rounded(x, digits: int = 2) -> Column:
     return F.round(_c(x), digits)
 
 
 def div_round(num, den, digits: int = 2, num_type: str = "decimal(24,4)",
-              den_type: str = "decimal(10,0)") -> Column:
+              den_type: str = "decimal(20,0)") -> Column:
     """``round(num / den, digits)`` computed exactly, NULL when ``den`` is 0.
 
     Both sides are cast to narrow decimals so Spark keeps >= 9 fractional
@@ -53,7 +48,3 @@ def pct_change(cur, prev, digits: int = 2) -> Column:
 def share_pct(part, whole, digits: int = 2) -> Column:
     """``round(part / nullif(whole, 0) * 100, digits)`` for 2-decimal amounts, exact."""
     return div_round(_c(part) * 10000, _c(whole) * 100, digits, "decimal(28,0)", "decimal(20,0)")
-
-
-def to_double(x) -> Column:
-    return _c(x).cast("double")

@@ -36,6 +36,7 @@ def customer_segment(total_spent, days_since_last, order_count,
 
 
 def rfm_segment(m, f, r) -> Column:
+    # Segment names, bounds and the order of the branches.
     m, f, r = _c(m), _c(f), _c(r)
     return (F.when((m == 4) & (f == 4), "champion")
             .when((m >= 3) & (f >= 3), "loyal")
@@ -48,9 +49,3 @@ def risk_level(p) -> Column:
     """Served per-customer risk: > 0.7 high, > 0.4 medium, else low (0.4 is low)."""
     p = _c(p)
     return F.when(p > RISK_HIGH, "high").when(p > RISK_MEDIUM, "medium").otherwise("low")
-
-
-def capped(x, cap) -> Column:
-    """``least(x, cap)`` that keeps NULL (Spark's ``least`` skips NULLs)."""
-    x = _c(x)
-    return F.when(x.isNotNull(), F.least(x, F.lit(cap)))

@@ -5,15 +5,19 @@ and ``event_ts <= t`` is attached, or NULL when it is older than ``t - ttl``;
 among equal event times the later ``created`` wins.
 
 Hot entities: the window is partitioned by (entity, time bucket), not by
-entity alone. With buckets of width ``ttl / split`` every feature row is
-copied into its own and the next ``split`` buckets, which is exactly the
-look-back the TTL allows, so an entity holding a third of all rows is
-spread over many tasks and the answer stays exact.
+entity alone. Buckets are ``ceil(ttl / split)`` wide. Every feature row stays in
+its own bucket; only the last one of each (entity, bucket) is also carried into
+the following ``split`` buckets, which is the look-back the TTL allows. So an
+entity holding a third of all rows is spread over its buckets, a larger
+``split`` spreads it further, and the answer does not depend on it.
+
+A NULL entity matches nothing.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,8 +26,12 @@ from brightlake.functions.dates import as_ts_lit
 from brightlake.operators.dedupe import latest_by
 
 
-def _secs(ttl) -> int:
-    return int(ttl.total_seconds()) if isinstance(ttl, _dt.timedelta) else int(ttl)
+def _secs(ttl) -> float:
+    return ttl.total_seconds() if isinstance(ttl, _dt.timedelta) else float(ttl)
+
+
+def _interval(ttl):
+    return F.make_interval(secs=F.lit(f"{_secs(ttl):.6f}").cast("decimal(18,6)"))
 
 
 def _seconds(df: DataFrame, c: str):
@@ -41,35 +49,39 @@ def _seconds(df: DataFrame, c: str):
 
 def asof_join(spine: DataFrame, features: DataFrame, key: str, spine_ts: str,
               feature_ts: str, feature_cols: list[str], ttl, created: str | None = None,
-              split: int = 1) -> DataFrame:
+              split: int = 8) -> DataFrame:
     """Attach ``feature_cols`` (and ``feature_ts``) to every spine row."""
-    ttl_s = _secs(ttl)
-    width = max(ttl_s // max(split, 1), 1)
-
-    def sec(c):
-        return _seconds(features if c == feature_ts else spine, c)
+    width = max(math.ceil(_secs(ttl) / max(split, 1)), 1)
+    made = features.schema[created].dataType if created else "long"
     payload_cols = [feature_ts] + feature_cols + ([created] if created else [])
-    feat = features.select(
+    feat = features.filter(F.col(key).isNotNull()).select(
         F.col(key).alias("_k"), F.col(feature_ts).alias("_t"),
-        (F.col(created) if created else F.lit(None).cast("long")).alias("_c"),
-        F.lit(0).alias("_side"),
+        (F.col(created) if created else F.lit(None)).cast(made).alias("_c"),
         F.struct(*[F.col(c) for c in payload_cols]).alias("_f"),
-        F.explode(F.sequence(F.floor(sec(feature_ts) / width),
-                             F.floor(sec(feature_ts) / width) + split)).alias("_b"))
+        F.floor(_seconds(features, feature_ts) / width).alias("_b"))
+    last = feat.groupBy("_k", "_b").agg(F.max(F.struct("_t", "_c", "_f")).alias("_l")).select(
+        "_k", F.col("_l._t").alias("_t"), F.col("_l._c").alias("_c"), F.col("_l._f").alias("_f"),
+        F.explode(F.sequence(F.col("_b") + 1, F.col("_b") + max(split, 1))).alias("_b"))
     spine_cols = spine.columns
-    sp = spine.select(
-        F.col(key).alias("_k"), F.col(spine_ts).alias("_t"), F.lit(None).cast("long").alias("_c"),
-        F.lit(1).alias("_side"), F.lit(None).cast(feat.schema["_f"].dataType).alias("_f"),
-        F.floor(sec(spine_ts) / width).alias("_b"),
+    known = spine.filter(F.col(key).isNotNull())
+    sp = known.select(
+        F.col(key).alias("_k"), F.col(spine_ts).alias("_t"), F.lit(None).cast(made).alias("_c"),
+        F.lit(None).cast(feat.schema["_f"].dataType).alias("_f"),
+        F.floor(_seconds(spine, spine_ts) / width).alias("_b"), F.lit(1).alias("_side"),
         F.struct(*[F.col(c) for c in spine_cols]).alias("_s"))
-    both = feat.withColumn("_s", F.lit(None).cast(sp.schema["_s"].dataType)).unionByName(sp)
+    both = (feat.unionByName(last).withColumn("_side", F.lit(0))
+            .withColumn("_s", F.lit(None).cast(sp.schema["_s"].dataType)).unionByName(sp))
     w = (Window.partitionBy("_k", "_b").orderBy("_t", "_side", "_c")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     matched = (both.withColumn("_m", F.last("_f", ignorenulls=True).over(w))
                    .filter(F.col("_side") == 1))
-    fresh = F.col(f"_m.{feature_ts}") >= F.col("_t") - F.make_interval(secs=F.lit(ttl_s))
+    fresh = F.col(f"_m.{feature_ts}") >= F.col("_t") - _interval(ttl)
     out_feats = [F.when(fresh, F.col(f"_m.{c}")).alias(c) for c in [feature_ts] + feature_cols]
-    return matched.select(*[F.col(f"_s.{c}").alias(c) for c in spine_cols], *out_feats)
+    found = matched.select(*[F.col(f"_s.{c}").alias(c) for c in spine_cols], *out_feats)
+    unknown = spine.filter(F.col(key).isNull()).select(
+        *spine_cols, *[F.lit(None).cast(features.schema[c].dataType).alias(c)
+                       for c in [feature_ts] + feature_cols])
+    return found.unionByName(unknown)
 
 
 def online_features(features: DataFrame, key: str, feature_ts: str, as_of, ttl,
@@ -81,6 +93,6 @@ def online_features(features: DataFrame, key: str, feature_ts: str, as_of, ttl,
     """
     now = as_ts_lit(as_of)
     live = features.filter((F.col(feature_ts) <= now)
-                           & (F.col(feature_ts) >= now - F.make_interval(secs=F.lit(_secs(ttl)))))
+                           & (F.col(feature_ts) >= now - _interval(ttl)))
     version = [feature_ts] + ([created] if created else [])
     return latest_by(live, [key], version)

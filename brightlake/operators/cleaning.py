@@ -29,17 +29,29 @@ def drop_null_keys(df: DataFrame, keys) -> DataFrame:
     return df.na.drop(subset=list(keys))
 
 
-def clean_orders(raw: DataFrame, as_of, key: str = "order_id",
-                 dedupe_order=("created_at",)) -> DataFrame:
-    """parse, dedupe (first landed / created wins), drop null keys,
-    positive-value filters, normalise status, net revenue, flags, dates.
+LANDING_COLUMNS = ("_landed_at", "_landed_file", "_landed_row")
+
+
+def clean_orders(raw: DataFrame, as_of, key: str = "order_id", dedupe_order=None) -> DataFrame:
+    """parse, keep the first landed row of each id, then ``clean_order_rows``.
+
+    Landing order is given by the ``_landed_*`` columns of a landing scan; a
+    table without them is ordered by ``created_at``, an unknown time last.
+    """
+    landed = [c for c in LANDING_COLUMNS if c in raw.columns]
+    df = parse_if_text(raw, "created_at")
+    df = first_by_key(df, [key], list(dedupe_order or landed or ["created_at"]))
+    return clean_order_rows(df.drop(*landed), as_of, key)
+
+
+def clean_order_rows(df: DataFrame, as_of, key: str = "order_id") -> DataFrame:
+    """The per-row part of the order cleaning, shared by batch and stream (F4-F9):
+    drop null keys, positive-value filters, normalise status, net revenue, flags, dates.
 
     ``revenue_net = round(total_amount * (1 - discount), 2)`` discounts a total
     that already includes the discount; the formula is kept as the pipeline
     defines it.
     """
-    df = parse_if_text(raw, "created_at")
-    df = first_by_key(df, [key], list(dedupe_order))
     df = drop_null_keys(df, [key, "customer_id", "product_id"])
     df = df.filter((F.col("unit_price") > 0) & (F.col("quantity") > 0)
                    & (F.col("total_amount") > 0))

@@ -13,10 +13,13 @@ from pyspark.sql import functions as F
 
 
 def _pick(df: DataFrame, keys, order_cols, latest: bool) -> DataFrame:
+    """NULL order values come last: a row with a known order beats one without."""
     keys = list(keys)
     order_cols = [c for c in order_cols if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order_cols]
-    packed = F.struct(*[F.col(c) for c in order_cols + rest])
+    known = [F.col(c).isNotNull() if latest else F.col(c).isNull() for c in order_cols]
+    packed = F.struct(*[x for c, k in zip(order_cols, known) for x in (k.alias(f"_null_{c}"), F.col(c))],
+                      *[F.col(c) for c in rest])
     agg = F.max(packed) if latest else F.min(packed)
     picked = df.groupBy(*keys).agg(agg.alias("_row"))
     return picked.select(*[F.col(k) for k in keys],

@@ -5,8 +5,8 @@
 partitioned on the (total) order, sorted inside each partition, numbered
 locally, and shifted by the prefix sum of the per-partition counts (one tiny
 row per partition, so broadcasting the offsets has a proven size bound).
-The range-partitioned frame is checkpointed once so partition ids are stable
-between counting and numbering.
+Counting and numbering must see the same partitions, so the columns given are
+written once in between: pass only those that the order and a later join need.
 """
 
 from __future__ import annotations
@@ -14,7 +14,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brightlake.session import cut_lineage
+from brightlake.session import written
+
+#: Rows of one range partition, about.
+RANGE_ROWS = 2_000_000
 
 
 def global_row_number(df: DataFrame, order_cols: list[Column], rn_col: str = "rn",
@@ -22,12 +25,16 @@ def global_row_number(df: DataFrame, order_cols: list[Column], rn_col: str = "rn
                       num_partitions: int | None = None) -> DataFrame:
     """Add ``rn`` = 1..n in the total order ``order_cols`` (and optionally ``n``)."""
     spark = df.sparkSession
-    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = num_partitions
+    if not n_parts:
+        df = written(df, "row-number-input")   # counted from its footers, and read once more
+        n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                      -(-df.count() // RANGE_ROWS))
     ranged = (df.repartitionByRange(n_parts, *order_cols)
                 .sortWithinPartitions(*order_cols)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_mid", F.monotonically_increasing_id()))
-    ranged = cut_lineage(ranged)
+    ranged = written(ranged, "row-number")
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding,

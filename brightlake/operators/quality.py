@@ -15,14 +15,16 @@ from brightlake.functions.rules import CUSTOMER_SEGMENTS, ORDER_STATUSES
 WARN_PCT = 1  # failures below 1 % of the rows tested -> warn (strict <)
 
 
-def order_rules() -> dict[str, Column]:
-    """D3."""
+# Rule names and bounds of D3-D5.
+
+def order_rules(max_quantity: int = 100, max_discount: float = 1) -> dict[str, Column]:
+    """D3; the bounds can be set tighter."""
     return {
         "no_null_order_id": F.col("order_id").isNotNull(),
         "positive_amount": F.col("total_amount") > 0,
         "valid_status": F.col("status").isin(ORDER_STATUSES),
-        "valid_quantity": F.col("quantity").between(1, 100),
-        "non_negative_discount": F.col("discount").between(0, 1),
+        "valid_quantity": F.col("quantity").between(1, max_quantity),
+        "non_negative_discount": F.col("discount").between(0, max_discount),
     }
 
 
@@ -146,9 +148,15 @@ def _dup_count(value, n):
     return F.coalesce(F.sum(F.when(value.isNotNull() & (n > 1), n - 1)), F.lit(0))
 
 
-def data_present(df: DataFrame) -> bool:
-    """Non-empty test that reads at most one row."""
-    return len(df.take(1)) > 0
+def data_present(df: DataFrame, condition: Column | None = None) -> bool:
+    """Non-empty test that reads at most one row; ``condition`` narrows it, for
+    example to a partition or a date."""
+    return len((df if condition is None else df.filter(condition)).take(1)) > 0
+
+
+def missing_tables(tables: dict[str, DataFrame], condition: Column | None = None) -> list[str]:
+    """D10 for several tables: names of those without a (matching) row."""
+    return [name for name, df in tables.items() if not data_present(df, condition)]
 
 
 def pass_rate(results: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Keyed upsert (S8): ``INSERT ... ON CONFLICT (keys) DO UPDATE SET update_cols``.
 
-One full outer join on the keys (unique on each side, so no skew): rows only
+The source is collapsed to one row per key (by ``source_order``, ties by the
+greatest row). One full outer join on the keys (unique on each side, so no skew): rows only
 in the target stay, rows only in the source are inserted, and matched rows
 take ``update_cols`` from the source and keep every other column. Running it
 twice with the same source gives the same table (idempotent).
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brightlake.operators.dedupe import latest_by
+from brightlake.session import path_exists, written
 
 
 def upsert(target: DataFrame, source: DataFrame, keys, update_cols=None,
@@ -19,8 +21,8 @@ def upsert(target: DataFrame, source: DataFrame, keys, update_cols=None,
     keys = list(keys)
     if update_cols is None:
         update_cols = [c for c in source.columns if c not in keys]
-    if source_order:
-        source = latest_by(source, keys, source_order)
+    # Two source rows of one key would give two rows: the latest (or greatest) one counts.
+    source = latest_by(source, keys, source_order or [])
     t = target.select(*[F.col(c).alias(f"t__{c}") for c in target.columns], F.lit(True).alias("_in_t"))
     s = source.select(*[F.col(c).alias(f"s__{c}") for c in source.columns], F.lit(True).alias("_in_s"))
     cond = [F.col(f"t__{k}") == F.col(f"s__{k}") for k in keys]
@@ -44,29 +46,26 @@ def upsert_partitions(spark, path: str, source: DataFrame, keys, partition_col:
                       update_cols=None, source_order=None) -> None:
     """S8 on a partitioned Parquet table without a merge-capable catalog.
 
-    Only the partitions the source touches are read, merged and rewritten
-    (dynamic partition overwrite). The merged partitions are materialised with
-    a reliable checkpoint first, so the write never reads the folder it
-    overwrites. The keys must determine the partition (e.g. period + product).
-    Creates the table when the folder does not exist yet.
+    The partition values that the source touches are read from it and named to
+    the scan as literals, so only those folders are read, merged and rewritten
+    (dynamic partition overwrite). The merged partitions are written to the
+    scratch folder first, so the final write never reads what it overwrites.
+    The keys must determine the partition (e.g. period + product). Creates the
+    table when the folder does not exist yet.
     """
-    from pyspark.errors import AnalysisException
-
-    from brightlake.session import cut_lineage
-
     keys = list(keys)
     if partition_col not in keys:
         raise ValueError("the partition column must be part of the upsert keys")
-    try:
-        target = spark.read.parquet(path)
-    except AnalysisException:
-        target = None
-    if target is None:
-        merged = latest_by(source, keys, source_order) if source_order else source
+    if not path_exists(spark, path):
+        merged = latest_by(source, keys, source_order or [])
     else:
-        touched = source.select(partition_col).distinct()
-        current = target.join(touched, partition_col, "left_semi").select(*target.columns)
-        merged = cut_lineage(upsert(current, source.select(*target.columns), keys, update_cols,
-                                    source_order))
+        target = spark.read.parquet(path)
+        values = [r[0] for r in source.select(partition_col).distinct().collect()]
+        known = [v for v in values if v is not None]
+        touched = F.col(partition_col).isin(known) if known else F.lit(False)
+        if None in values:
+            touched = touched | F.col(partition_col).isNull()
+        merged = written(upsert(target.filter(touched), source.select(*target.columns), keys,
+                                update_cols, source_order), "upsert")
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(partition_col).parquet(path))

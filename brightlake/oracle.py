@@ -369,7 +369,7 @@ SQL["latest_version"] = """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber
 
 SQL["upsert_merge"] = f"""WITH {ORDERS_CTE},
 {feat_cte('tg', "DATE '1998-01-01'", "order_date < DATE '1998-01-01'")},
-{feat_cte('sr', ORDERS_AS_OF, "order_date >= DATE '2001-01-01'")}
+{feat_cte('sr', ORDERS_AS_OF, "order_date >= DATE '1998-01-01'")}
 SELECT COALESCE(t.customer_id, s.customer_id) AS customer_id,
        CASE WHEN t.customer_id IS NOT NULL THEN t.order_count_30d ELSE s.order_count_30d END AS order_count_30d,
        {dbl('CASE WHEN t.customer_id IS NOT NULL THEN t.total_spent_30d ELSE s.total_spent_30d END')} AS total_spent_30d,
@@ -433,16 +433,6 @@ SELECT customer_id, segment, rfm_segment, rfm_score, {dbl('total_spent')} AS tot
        {dbl('avg_order_value')} AS avg_order_value, order_count, last_order_at, {dbl('clv_score')} AS clv_score
 FROM ltv WHERE customer_id = 42"""
 
-SQL["q_catalog"] = f"""WITH {ORDERS_CTE}, {DAILY_CTE}, {PERF_CTE}, {SEG_CTE}
-SELECT 'customer_segments' AS table_name, 'gold' AS layer, CAST(NULL AS VARCHAR) AS location, 'parquet' AS format,
-       (SELECT COUNT(*) FROM seg) AS row_count, TIMESTAMP '2001-08-01 00:00:00' AS last_updated
-UNION ALL SELECT 'daily_sales', 'gold', NULL, 'parquet', (SELECT COUNT(*) FROM daily), TIMESTAMP '2001-08-01 00:00:00'
-UNION ALL SELECT 'product_performance', 'gold', NULL, 'parquet', (SELECT COUNT(*) FROM perf), TIMESTAMP '2001-08-01 00:00:00'"""
-
-SQL["q_dq_results"] = f"""WITH {ORDERS_CTE}, {CLEAN_CTE}, {DQ_CTE}
-SELECT table_name, layer, check_name, status, rows_tested, rows_failed, run_at FROM dq_all
-ORDER BY run_at DESC, table_name, check_name LIMIT 100"""
-
 SQL["q_ml_summary"] = f"""WITH {ORDERS_CTE}, {SCORED_CTE}
 SELECT COUNT(*) AS total_customers, COUNT(*) FILTER (WHERE churn_probability > 0.7) AS high_risk_count,
        COUNT(*) FILTER (WHERE churn_probability BETWEEN 0.4 AND 0.7) AS medium_risk_count,
@@ -518,21 +508,78 @@ def perf_cte(src: str) -> str:
     return PERF_CTE.replace("FROM o GROUP BY 1, 2", f"FROM {src} GROUP BY 1, 2")
 
 
-RUNS_CTE = f"""{CLEAN_CTE}, {daily_cte('clean')}, {perf_cte('clean')}, {seg_cte('clean')},
+CCUST_CTE = f"ccust AS ({SQL['clean_customers']})"
+RUNS_CTE = f"""{CLEAN_CTE}, {CPROD_CTE}, {CCUST_CTE}, {daily_cte('clean')}, {perf_cte('clean')}, {seg_cte('clean')},
 runs AS (
-  SELECT 'bronze_to_silver_orders' AS pipeline_name, 'silver' AS layer, 'success' AS status,
+  SELECT 'bronze_to_silver_orders' AS pipeline_name, 'orders' AS table_name, 'silver' AS layer, 'success' AS status,
          (SELECT COUNT(*) FROM o) AS rows_read, (SELECT COUNT(*) FROM clean) AS rows_written
-  UNION ALL SELECT 'silver_to_gold_daily_sales', 'gold', 'success',
+  UNION ALL SELECT 'bronze_to_silver_customers', 'customers', 'silver', 'success',
+         (SELECT COUNT(*) FROM customer), (SELECT COUNT(*) FROM ccust)
+  UNION ALL SELECT 'bronze_to_silver_products', 'products', 'silver', 'success',
+         (SELECT COUNT(*) FROM part), (SELECT COUNT(*) FROM cprod)
+  UNION ALL SELECT 'silver_to_gold_daily_sales', 'daily_sales', 'gold', 'success',
          (SELECT COUNT(*) FROM clean), (SELECT COUNT(*) FROM daily)
-  UNION ALL SELECT 'silver_to_gold_product_perf', 'gold', 'success',
+  UNION ALL SELECT 'silver_to_gold_product_perf', 'product_performance', 'gold', 'success',
          (SELECT COUNT(*) FROM clean), (SELECT COUNT(*) FROM perf)
-  UNION ALL SELECT 'silver_to_gold_customer_seg', 'gold', 'success',
+  UNION ALL SELECT 'silver_to_gold_customer_seg', 'customer_segments', 'gold', 'success',
          (SELECT COUNT(*) FROM clean), (SELECT COUNT(*) FROM seg))"""
 
 SQL["q_run_history"] = f"""WITH {ORDERS_CTE}, {RUNS_CTE}
-SELECT * FROM runs"""
+SELECT pipeline_name, layer, status, rows_read, rows_written FROM runs"""
+
+SQL["q_catalog"] = f"""WITH {ORDERS_CTE}, {RUNS_CTE}
+SELECT table_name, layer, 'parquet' AS format, rows_written AS row_count, TRUE AS has_bytes,
+       TIMESTAMP '2001-08-01 00:00:00' AS last_updated FROM runs"""
 
 SQL["run_status"] = f"""WITH {ORDERS_CTE}, {RUNS_CTE}
 SELECT COUNT(*) FILTER (WHERE status = 'success') AS success,
        COUNT(*) FILTER (WHERE status = 'failed') AS failed,
        COUNT(*) FILTER (WHERE status = 'running') AS running FROM runs"""
+
+CUSTOMER_RULES_SQL = [("no_null_customer_id", "customer_id IS NOT NULL"),
+                      ("valid_segment", "segment IN ('standard', 'premium', 'vip')")]
+SQL["q_dq_results"] = f"""WITH {ORDERS_CTE}, {CLEAN_CTE}, {DQ_CTE}, {CCUST_CTE},
+{dq_sql('customers', 'ccust', CUSTOMER_RULES_SQL)}
+SELECT table_name, layer, check_name, status, rows_tested, rows_failed, run_at
+FROM (SELECT * FROM dq_all UNION ALL SELECT * FROM customers_dq)
+ORDER BY run_at DESC, table_name, check_name LIMIT 100"""
+
+RAW_RULES_SQL = [(n, {"valid_quantity": "quantity BETWEEN 1 AND 49",
+                      "non_negative_discount": "discount BETWEEN 0 AND 0.05"}.get(n, p))
+                 for n, p in ORDER_RULES_SQL] + [("amount_limit", "total_amount <= 100000")]
+SQL["dq_raw_orders"] = f"""WITH {ORDERS_CTE}, {dq_sql('orders', 'o', RAW_RULES_SQL, 'raw')}
+SELECT * FROM orders_dq"""
+
+SQL["dq_gate_stops"] = f"""WITH {ORDERS_CTE}, {dq_sql('orders', 'o', RAW_RULES_SQL, 'raw')}
+SELECT COUNT(*) AS total_checks, COUNT(*) FILTER (WHERE status = 'fail') AS failures,
+       COUNT(*) FILTER (WHERE status = 'warn') AS warnings,
+       COALESCE(string_agg(DISTINCT check_name, ',' ORDER BY check_name) FILTER (WHERE status = 'fail'), '') AS failed_checks,
+       CASE WHEN COUNT(*) FILTER (WHERE status = 'fail') > 0 THEN 'dq_failed' ELSE 'dq_passed' END AS decision
+FROM orders_dq"""
+
+SQL["save_scored_features"] = f"""WITH {ORDERS_CTE},
+{feat_cte('f', ORDERS_AS_OF, "order_date >= DATE '2001-01-01'")}
+SELECT CAST(customer_id AS VARCHAR) AS customer_id, COALESCE(days_since_last, 999) AS days_since_last,
+       order_count_7d, order_count_30d, order_count_90d, {cols_out(['total_spent_30d', 'avg_basket_size',
+       'total_spent_all', 'return_rate', 'clv_score'], FEAT_MONEY)},
+       COALESCE(preferred_category, 'unknown') AS preferred_category, computed_at,
+       {dbl(round_ratio('GREATEST(days_since_last, 0)', 'GREATEST(days_since_last, 0) + 180', 0, 4))} AS churn_probability
+FROM ffeat"""
+
+IN_TRAINING = "('0x' || substr(md5(CAST(customer_id AS VARCHAR)), 1, 8))::BIGINT % 10 < 8"
+MED_CTE = """med AS (SELECT GREATEST(1, CAST(FLOOR(MEDIAN(days_since_last)) AS INTEGER)) AS churn_threshold FROM ffeat),
+lab AS (SELECT *, CAST(days_since_last > churn_threshold AS INTEGER) AS churned FROM ffeat, med)"""
+SQL["ml_split"] = f"""WITH {ORDERS_CTE}, {feat_cte('f')}, {MED_CTE}
+SELECT {IN_TRAINING} AS in_training, COUNT(*) AS customers, CAST(SUM(churned) AS BIGINT) AS churned
+FROM lab GROUP BY 1"""
+
+_CHURN_FEATURES = ["order_count_7d", "order_count_30d", "order_count_90d", "total_spent_30d",
+                   "avg_basket_size", "return_rate", "days_since_last", "clv_score"]
+SQL["ml_features"] = f"""WITH {ORDERS_CTE}, {feat_cte('f')}, {MED_CTE}
+SELECT customer_id, churned, {IN_TRAINING} AS in_training,
+       {", ".join(f"COALESCE({dbl(c)}, 0.0) AS {c}" for c in _CHURN_FEATURES)} FROM lab"""
+
+SQL["model_metrics"] = " UNION ALL ".join(
+    f"SELECT '{model}' AS model_name, '{metric}' AS metric_name, TRUE AS within_bounds"
+    for model, metric in [("churn", "auc"), ("churn", "churn_rate"), ("ltv", "mae"),
+                          *[("churn", f"importance_{c}") for c in _CHURN_FEATURES]])

@@ -10,6 +10,7 @@ from brightlake.functions.money import SUM_MONEY, div_round, ratio_round
 from brightlake.functions.rules import CLV_CAP_FEATURES, price_tier
 from brightlake.operators.topk import arg_max_per_group
 from brightlake.plans.gold import clv_score
+from brightlake.sources.sinks import truncate_insert
 
 WINDOWS = (7, 30, 90)
 
@@ -89,6 +90,7 @@ def with_feature_defaults(features: DataFrame) -> DataFrame:
 
     Only NULL is missing: a real 0 days stays 0.
     """
+    # The defaults of the saved columns.
     defaults = {"order_count_7d": 0, "order_count_30d": 0, "order_count_90d": 0,
                 "total_spent_30d": 0, "avg_basket_size": 0, "return_rate": 0,
                 "days_since_last": 999, "clv_score": 0, "churn_probability": 0,
@@ -124,19 +126,12 @@ def product_features(orders: DataFrame, products: DataFrame, as_of,
         as_ts_lit(as_of).alias("event_timestamp"))
 
 
-SCORE_UPDATE_COLS = ["churn_probability", "clv_score", "computed_at"]
+def save_scored_features(scored: DataFrame, path: str) -> str:
+    """The serving table after a scoring run: truncated, then inserted.
 
-
-def save_scored_features(existing: DataFrame | None, scored: DataFrame) -> DataFrame:
-    """The serving table after a scoring run.
-
-    New customers are inserted with the F16 defaults; known customers get only
-    churn, CLV and ``computed_at`` updated (the other columns keep their values),
-    as the reference's ``ON CONFLICT ... DO UPDATE`` does. Ids are text there.
+    Every column is that of the run (with the F16 defaults), and customers the
+    run does not know are gone. Ids are text there.
     """
-    from brightlake.operators.upsert import upsert
     fresh = with_feature_defaults(scored).withColumn("customer_id",
                                                      F.col("customer_id").cast("string"))
-    if existing is None:
-        return fresh
-    return upsert(existing, fresh, ["customer_id"], SCORE_UPDATE_COLS)
+    return truncate_insert(fresh, path)

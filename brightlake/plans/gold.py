@@ -19,34 +19,6 @@ from brightlake.functions.rules import (CLV_CAP_SEGMENTS, SEGMENT_THRESHOLDS,
 from brightlake.operators.topk import arg_max_per_group
 
 
-def daily_totals(orders: DataFrame, statuses=("completed",)) -> DataFrame:
-    """A1: per-day count, revenue, average order, distinct customers.
-
-    Distinct customers come from a (day, customer) pre-aggregate, so the day
-    level is a second, already-combined aggregation instead of an Expand.
-    """
-    o = orders.filter(F.col("status").isin(list(statuses))) if statuses else orders
-    per_cust = (o.groupBy("order_date", "customer_id")
-                 .agg(F.count("order_id").alias("n"), F.sum("total_amount").alias("rev")))
-    return (per_cust.groupBy(F.col("order_date").alias("date"))
-            .agg(F.sum("n").alias("total_orders"),
-                 F.sum("rev").cast(SUM_MONEY).alias("rev"),
-                 F.count(F.col("customer_id")).alias("unique_customers"))
-            .select("date", "total_orders",
-                    F.round("rev", 2).alias("total_revenue"),
-                    div_round("rev", "total_orders", 2).alias("avg_order"),
-                    "unique_customers"))
-
-
-def top_category_per_day(orders: DataFrame, statuses=("completed",)) -> DataFrame:
-    """A2: arg-max category by revenue per day; tie -> smallest category."""
-    o = orders.filter(F.col("status").isin(list(statuses))) if statuses else orders
-    by_cat = (o.groupBy(F.col("order_date").alias("date"), "category")
-               .agg(F.sum("total_amount").alias("cat_revenue")))
-    return arg_max_per_group(by_cat, ["date"], "category", "cat_revenue",
-                             tie_break="category", alias="top_category")
-
-
 def daily_sales(orders: DataFrame, statuses=("completed",)) -> DataFrame:
     """A1 + A2 + J1: ``gold.daily_sales`` with money as DECIMAL, in one scan.
 

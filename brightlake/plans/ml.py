@@ -20,6 +20,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+# Feature order of the two models.
 CHURN_FEATURES = ["order_count_7d", "order_count_30d", "order_count_90d", "total_spent_30d",
                   "avg_basket_size", "return_rate", "days_since_last", "clv_score"]
 LTV_FEATURES = ["order_count_30d", "order_count_90d", "avg_basket_size", "return_rate",
@@ -54,35 +55,34 @@ def label_median_recency(features: DataFrame, days_col: str = "days_since_last")
                     .withColumn("churned", (F.col(days_col) > F.col("churn_threshold")).cast("int")))
 
 
-def label_future_window(features: DataFrame, orders: DataFrame, as_of, days: int = 90,
-                        key: str = "customer_id") -> DataFrame:
-    """Leak-free label: churned when the customer has no order in ``(as_of, as_of + days]``."""
-    start = F.lit(as_of).cast("date")
-    later = (orders.filter((F.col("order_date") > start)
-                           & (F.col("order_date") <= F.date_add(start, days)))
-                   .select(key).distinct().withColumn("_active", F.lit(1)))
-    return (features.join(later, key, "left")
-                    .withColumn("churned", F.when(F.col("_active").isNull(), 1).otherwise(0))
-                    .drop("_active"))
-
-
 def split_column(key: str = "customer_id") -> F.Column:
-    """M3: True for the training split (80 %), from a seeded hash of the key."""
-    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(10)) < TRAIN_BUCKETS
+    """M3: True for the training split (80 %), from the key's MD5 (any SQL engine has it)."""
+    digits = F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 8)
+    return F.conv(digits, 16, 10).cast("long") % 10 < TRAIN_BUCKETS
 
 
-def _numeric(df: DataFrame, cols) -> DataFrame:
+def numeric(df: DataFrame, cols) -> DataFrame:
     """M2 null fill: missing features are 0, all as double."""
     return df.select(*[c for c in df.columns if c not in cols],
                      *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in cols])
 
 
+def in_key_order(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt by key and sorted inside each partition, so two fits see the same order."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, key).sortWithinPartitions(key)
+
+
 def train_churn(labelled: DataFrame, max_iter: int = 100, max_depth: int = 4,
                 key: str = "customer_id"):
-    """M2 + M4 + M6: scaled features -> GBT; returns (model, test AUC, train size)."""
-    data = _numeric(labelled, CHURN_FEATURES).withColumn("_train", split_column(key))
+    """M2 + M4 + M6: scaled features -> GBT; returns (model, test AUC).
+
+    Raises where the training rows have one class only.
+    """
+    data = numeric(labelled, CHURN_FEATURES).withColumn("_train", split_column(key))
     # Boosting makes ~5 passes per tree: keep the (small) training frame cached.
-    train = data.filter("_train").select("churned", *CHURN_FEATURES).persist()
+    train = in_key_order(data.filter("_train").select(key, "churned", *CHURN_FEATURES),
+                         key).drop(key).persist()
     test = data.filter(~F.col("_train"))
     pipe = Pipeline(stages=[
         VectorAssembler(inputCols=CHURN_FEATURES, outputCol="_raw"),
@@ -90,6 +90,8 @@ def train_churn(labelled: DataFrame, max_iter: int = 100, max_depth: int = 4,
         GBTClassifier(labelCol="churned", featuresCol="features", maxIter=max_iter,
                       maxDepth=max_depth, seed=SEED)])
     try:
+        if train.select("churned").distinct().count() < 2:
+            raise ValueError("the training rows have one class only")
         model = pipe.fit(train)
     finally:
         train.unpersist()
@@ -100,7 +102,7 @@ def train_churn(labelled: DataFrame, max_iter: int = 100, max_depth: int = 4,
 
 def score_churn(model, features: DataFrame) -> DataFrame:
     """M5: churn probability (4 dp) for every customer."""
-    scored = model.transform(_numeric(features, CHURN_FEATURES))
+    scored = model.transform(numeric(features, CHURN_FEATURES))
     prob = F.round(vector_to_array("probability")[1], 4)
     return scored.select(*features.columns, prob.alias("churn_probability"))
 
@@ -108,14 +110,14 @@ def score_churn(model, features: DataFrame) -> DataFrame:
 def train_ltv(features: DataFrame, num_trees: int = 100, key: str = "customer_id",
               target: str = "total_spent_all"):
     """M7 + M8: random forest on 5 features; returns (model, test MAE)."""
-    data = _numeric(features, LTV_FEATURES).withColumn(
+    data = numeric(features, LTV_FEATURES).withColumn(
         "_y", F.coalesce(F.col(target).cast("double"), F.lit(0.0))).withColumn(
         "_train", split_column(key))
     pipe = Pipeline(stages=[
         VectorAssembler(inputCols=LTV_FEATURES, outputCol="features"),
         RandomForestRegressor(labelCol="_y", featuresCol="features", numTrees=num_trees,
                               seed=SEED)])
-    model = pipe.fit(data.filter("_train"))
+    model = pipe.fit(in_key_order(data.filter("_train"), key))
     mae = RegressionEvaluator(labelCol="_y", predictionCol="prediction",
                               metricName="mae").evaluate(model.transform(data.filter(~F.col("_train"))))
     return model, mae
@@ -123,7 +125,7 @@ def train_ltv(features: DataFrame, num_trees: int = 100, key: str = "customer_id
 
 def score_ltv(model, features: DataFrame) -> DataFrame:
     """M7: store the prediction (the reference computes it and discards it)."""
-    scored = model.transform(_numeric(features, LTV_FEATURES))
+    scored = model.transform(numeric(features, LTV_FEATURES))
     return scored.select(*features.columns, F.round("prediction", 2).alias("ltv_prediction"))
 
 

@@ -9,8 +9,7 @@ from brightlake.functions.money import div_round, pct_change, share_pct
 from brightlake.functions.rules import rfm_segment
 from brightlake.operators.ntile import distributed_ntile
 from brightlake.operators.rank import group_totals, join_null_safe, rank_table
-from brightlake.operators.sizing import fits_one_task
-from brightlake.session import cut_lineage
+from brightlake.session import written
 
 
 def revenue_trends(daily: DataFrame, frame_days: int = 7, lag_rows: int = 30,
@@ -39,35 +38,22 @@ def revenue_trends(daily: DataFrame, frame_days: int = 7, lag_rows: int = 30,
         F.when(F.col("_prev") > 0, pct_change("total_revenue", "_prev", 2)).alias("mom_growth_pct"))
 
 
-def top_products(perf: DataFrame, window_task_rows: int | None = None) -> DataFrame:
+def top_products(perf: DataFrame) -> DataFrame:
     """W6 + W7 + W9: revenue and volume RANK per period and revenue share.
 
-    Descending ranks put NULLs first, as the model's SQL engine does. While
-    the largest period fits one task (``sizing.fits_one_task``) the ranks are
-    windows partitioned by period (one shuffle, shared by both ranks and the
-    total). Beyond that no window is partitioned by period: the ranks come
-    from the range-partitioned numbering of ``rank_table`` and the period
-    total from an aggregate, so one busy period is spread over many tasks.
-    Both plans give the same result.
+    Descending ranks put NULLs first, as the model's SQL engine does. No window
+    is partitioned by period: the ranks come from the range-partitioned
+    numbering of ``rank_table`` over the slim columns and the period total from
+    an aggregate, so one busy period is spread over many tasks.
     """
-    # perf is read by the size check and then by the windows (or by both
-    # numberings and the final join): materialise the aggregate once (reliable
-    # checkpoint) instead of re-scanning the order lines for each reader.
-    base = cut_lineage(perf)
-    if fits_one_task(base, ["period"], window_task_rows):
-        by_rev = Window.partitionBy("period").orderBy(F.col("revenue").desc_nulls_first())
-        by_vol = Window.partitionBy("period").orderBy(F.col("units_sold").desc_nulls_first())
-        x = base.select("*", F.rank().over(by_rev).alias("revenue_rank"),
-                        F.rank().over(by_vol).alias("volume_rank"),
-                        F.sum("revenue").over(Window.partitionBy("period"))
-                         .alias("_period_revenue"))
-    else:
-        by_rev = rank_table(base, ["period"], "revenue", "revenue_rank", ["product_id"])
-        by_vol = rank_table(base, ["period"], "units_sold", "volume_rank", ["product_id"])
-        totals = group_totals(base, ["period"], "revenue", "_period_revenue")
-        x = join_null_safe(base, by_rev, ["period", "revenue"])
-        x = join_null_safe(x, by_vol, ["period", "units_sold"])
-        x = join_null_safe(x, totals, ["period"])
+    # Read by both numberings and the final join: the aggregate is written once.
+    base = written(perf, "top-products")
+    by_rev = rank_table(base, ["period"], "revenue", "revenue_rank", ["product_id"])
+    by_vol = rank_table(base, ["period"], "units_sold", "volume_rank", ["product_id"])
+    totals = group_totals(base, ["period"], "revenue", "_period_revenue")
+    x = join_null_safe(base, by_rev, ["period", "revenue"])
+    x = join_null_safe(x, by_vol, ["period", "units_sold"])
+    x = join_null_safe(x, totals, ["period"])
     return x.select(
         "product_id", "product_name", "category", "period", "units_sold", "revenue",
         "avg_price",
@@ -76,32 +62,22 @@ def top_products(perf: DataFrame, window_task_rows: int | None = None) -> DataFr
         share_pct("revenue", "_period_revenue", 2).alias("revenue_share_pct"))
 
 
-def customer_ltv(segments: DataFrame, best_is_high: bool = False,
-                 window_task_rows: int | None = None) -> DataFrame:
+def customer_ltv(segments: DataFrame, best_is_high: bool = False) -> DataFrame:
     """W8 + W11: monetary / frequency / recency quartiles, RFM score and segment.
 
     Quartile 1 is the *highest* spend (descending NTILE), as in the model;
-    ``best_is_high=True`` flips it; ``customer_id`` breaks ties. NTILE over
-    the whole table runs in one task, so it is used only while the table
-    fits one task (``sizing.fits_one_task``); beyond that the exact
-    distributed NTILE gives the same quartiles.
+    ``best_is_high=True`` flips it; ``customer_id`` (unique) breaks ties. Each
+    quartile is an exact distributed NTILE over two columns, joined back by id.
     """
     def o(c):
         col = F.col(c)
         return col.asc_nulls_last() if best_is_high else col.desc_nulls_last()
-    cid = F.col("customer_id").asc()
-    orders = {"monetary_quartile": [o("total_spent"), cid],
-              "frequency_quartile": [o("order_count"), cid],
-              "recency_quartile": [o("last_order_at"), cid]}
-    # Read by the size check and by the quartiles: materialise once.
-    segments = cut_lineage(segments)
-    if fits_one_task(segments, (), window_task_rows):
-        x = segments.select("*", *[F.ntile(4).over(Window.orderBy(*order)).alias(name)
-                                   for name, order in orders.items()])
-    else:
-        x = segments
-        for name, order in orders.items():
-            x = distributed_ntile(x, 4, order, name)
+    x = base = written(segments, "customer-ltv")
+    for name, column in (("monetary_quartile", "total_spent"), ("frequency_quartile", "order_count"),
+                         ("recency_quartile", "last_order_at")):
+        tiles = distributed_ntile(base.select("customer_id", column), 4,
+                                  [o(column), F.col("customer_id").asc()], name)
+        x = x.join(tiles.select("customer_id", name), "customer_id")
     m, f, r = F.col("monetary_quartile"), F.col("frequency_quartile"), F.col("recency_quartile")
     return x.select(
         "customer_id", "segment",

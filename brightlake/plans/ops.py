@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from brightlake.functions.dates import as_ts_lit
+from brightlake.sources.sinks import truncate_insert
 
 RUN_SCHEMA = ("pipeline_name string, layer string, status string, rows_read long, "
               "rows_written long, duration_ms long, error_msg string, "
@@ -31,6 +32,18 @@ def table_catalog(tables: dict[str, DataFrame], layer: str, as_of,
     return rows
 
 
+def written_catalog(spark: SparkSession, tables: dict[str, tuple[str, str]], as_of) -> DataFrame:
+    """S14 from written tables (``name -> (layer, path)``): row counts and sizes in bytes."""
+    rows = None
+    for name, (layer, path) in tables.items():
+        one = table_catalog({name: spark.read.parquet(path)}, layer, as_of).withColumn(
+            "location", F.lit(path))
+        size = storage_stats(spark, {layer: path}).select("size_bytes")
+        one = one.crossJoin(size)  # one row with one row
+        rows = one if rows is None else rows.unionByName(one)
+    return rows
+
+
 def refresh_catalog(catalog: DataFrame, fresh: DataFrame) -> DataFrame:
     """S14 upsert on (table_name, layer): fresh rows replace old ones."""
     from brightlake.operators.upsert import upsert
@@ -64,6 +77,20 @@ def expired(df: DataFrame, ts_col: str, as_of, days: int = 30) -> DataFrame:
     return df.filter(F.col(ts_col) < cutoff)
 
 
+def apply_retention(spark: SparkSession, path: str, ts_col: str, as_of, days: int = 30) -> dict:
+    """Delete what has expired from a written table; returns kept and deleted counts.
+
+    Rows without a time are kept. One conditional aggregate counts both parts.
+    """
+    df = spark.read.parquet(path)
+    cutoff = as_ts_lit(as_of) - F.make_interval(days=F.lit(days))
+    old = F.coalesce(F.col(ts_col) < cutoff, F.lit(False))
+    n = df.agg(F.count_if(~old).alias("kept"), F.count_if(old).alias("deleted")).first().asDict()
+    if n["deleted"]:
+        truncate_insert(df.filter(~old), path)
+    return n
+
+
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Attach a row counter to ``df``; it is filled by whatever action runs ``df``."""
     obs = Observation(f"in_{name}_{int(time.time() * 1000)}")
@@ -94,7 +121,7 @@ def write_observed(df: DataFrame, path: str, name: str, layer: str, rows_read=No
         if isinstance(rows_read, Observation):
             rows_read = int(rows_read.get.get("rows", 0))
     except Exception as e:  # noqa: BLE001 - recorded in the run log, then re-raised
-        status, err = "failed", str(e)[:1000]
+        status, err = "failed", str(e)
         if isinstance(rows_read, Observation):
             rows_read = None
     ms = int((time.monotonic() - t0) * 1000)

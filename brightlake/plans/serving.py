@@ -38,8 +38,8 @@ def summary(daily: DataFrame, segments: DataFrame, as_of, days: int = 30) -> Dat
 
 
 def recent_daily_sales(daily: DataFrame, as_of, days: int = 30) -> DataFrame:
-    """Q2."""
-    return last_n_days(daily, "date", as_of, days)
+    """Q2: newest day first."""
+    return last_n_days(daily, "date", as_of, days).orderBy(F.col("date").desc())
 
 
 def latest_trends(trends: DataFrame, limit: int = 90) -> DataFrame:
@@ -57,7 +57,8 @@ def top_products_of_period(perf: DataFrame, limit: int = 10,
     """Q4: a period's top products by revenue rank; default period = the latest.
 
     Ranks are within a period, so the period is chosen on ``perf`` first
-    (scalar subquery) and only that period is ranked.
+    (scalar subquery) and only that period is ranked. Where the order lines are
+    at hand, ``latest_month`` names the period without building ``perf`` first.
     """
     if period is None:
         latest = perf.select(F.max("period")).scalar()
@@ -65,12 +66,19 @@ def top_products_of_period(perf: DataFrame, limit: int = 10,
     else:
         chosen = perf.where(F.col("period") == F.lit(period))
     return (top_products(chosen)
-            .select("product_id", "product_name", "category", "period", "units_sold",
+            .select("product_id", F.coalesce("product_name", F.lit("Unknown")).alias("product_name"),
+                    F.coalesce("category", F.lit("Unknown")).alias("category"), "period", "units_sold",
                     "revenue", "avg_price", "return_rate_pct", "revenue_rank")
             .orderBy(F.col("revenue_rank").asc(), F.col("product_id").asc())
             .limit(limit))
 
 
+def latest_month(orders: DataFrame):
+    """First day of the newest month with an order line (None without any)."""
+    newest = orders.agg(F.max("order_date").alias("d")).first()["d"]
+    return newest.replace(day=1) if newest else None
+
+
 def segment_summary(segments: DataFrame) -> DataFrame:
     """Q5 = A16."""
     return (segments.groupBy("segment").agg(

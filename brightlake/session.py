@@ -1,8 +1,10 @@
 """Session helpers.
 
 Library code never sets ``master``; only tests and the bench build a local
-session. Checkpoints always go to the shared folder named by
-``spark.checkpoint.dir``; a local default is set only when it is unset.
+session. Checkpoints and scratch tables go to the shared folder named by
+``spark.checkpoint.dir``. Where that is unset, a machine-local folder is used
+for a ``local[...]`` master only, whose one process sees it; on a cluster the
+setting is required.
 """
 
 from __future__ import annotations
@@ -20,8 +22,11 @@ LOCAL_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
+_scratch: list[str] = []
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "brightlake", extra: dict | None = None) -> SparkSession:
@@ -40,14 +45,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's shared checkpoint folder, setting one only if unset."""
+    """The session's shared checkpoint folder; raises on a cluster that names none."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached in local tests: a cluster names a shared folder itself.
+        if sc.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="brightlake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -56,7 +62,46 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    _scratch.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders handed out so far; call it when their results are used up."""
+    n = 0
+    while _scratch:
+        n += delete_path(spark, _scratch.pop())
+    return n
+
+
+def _hadoop(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop(spark, path)
+    return bool(fs.exists(p))
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop(spark, path)
+    return bool(fs.delete(p, True))
+
+
+def replace_path(spark: SparkSession, new: str, path: str) -> None:
+    """Put the folder ``new`` in the place of ``path``."""
+    fs, p = _hadoop(spark, path)
+    fs.delete(p, True)
+    if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(new), p):
+        raise OSError(f"{new} could not be renamed to {path}")
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders directly below ``path``."""
+    fs, p = _hadoop(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -65,4 +110,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-__all__ = ["local_session", "ensure_checkpoint_dir", "scratch_path", "cut_lineage"]
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a written scratch table: lineage is cut, and readers prune its columns."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+__all__ = ["local_session", "ensure_checkpoint_dir", "scratch_path", "release_scratch",
+           "path_exists", "delete_path", "replace_path", "list_names", "cut_lineage", "written"]

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brightlake.functions.money import MONEY
-from brightlake.sources.tables import spread_small_scan, table
+from brightlake.sources.tables import table
 
 # Return flag -> order status.
 STATUS_OF_FLAG = {"N": "completed", "R": "refunded", "A": "cancelled"}
@@ -35,9 +35,9 @@ def _status(flag) -> F.Column:
 
 def order_lines(spark: SparkSession, base_dir: str, with_product: bool = True) -> DataFrame:
     """Silver-shaped order lines from ``lineitem`` x ``orders`` (x ``part``)."""
-    li = spread_small_scan(table(spark, base_dir, "lineitem").select(
+    li = table(spark, base_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
-        "l_discount", "l_returnflag"), "l_orderkey")
+        "l_discount", "l_returnflag")
     od = table(spark, base_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     df = li.join(od, li.l_orderkey == od.o_orderkey, "inner")
     ep = F.col("l_extendedprice").cast(MONEY)
@@ -88,8 +88,7 @@ def customers(spark: SparkSession, base_dir: str) -> DataFrame:
         F.col("c_mktsegment").alias("segment"), "c_nationkey")
     n = table(spark, base_dir, "nation").select(
         F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country"))
-    # nation has 25 rows by definition: a bounded broadcast.
-    return c.join(F.broadcast(n), "c_nationkey", "left").drop("c_nationkey")
+    return c.join(n, "c_nationkey", "left").drop("c_nationkey")
 
 
 def products(spark: SparkSession, base_dir: str) -> DataFrame:

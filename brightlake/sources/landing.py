@@ -10,11 +10,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from brightlake.functions.dates import as_date_lit
+from brightlake.session import list_names
 
 SNAPSHOT_PATTERN = r"snapshot_(\d{8})"
 
@@ -42,6 +44,13 @@ def read_snapshots(spark: SparkSession, directory: str, schema: StructType | Non
     return df.withColumn("_snapshot", snapshot_date_of())
 
 
+def snapshot_files(spark: SparkSession, directory: str) -> list[tuple[str, str]]:
+    """``(yyyyMMdd, path)`` of the snapshots in a folder by the listing alone, oldest first."""
+    found = [(m[1], f"{directory.rstrip('/')}/{name}") for name in list_names(spark, directory)
+             if (m := re.match(SNAPSHOT_PATTERN, name))]
+    return sorted(found)
+
+
 def list_snapshots(spark: SparkSession, directory: str, schema: StructType | None = None) -> DataFrame:
     """Snapshot dates with their row counts."""
     return (read_snapshots(spark, directory, schema)
@@ -50,7 +59,15 @@ def list_snapshots(spark: SparkSession, directory: str, schema: StructType | Non
 
 
 def read_as_of(spark: SparkSession, directory: str, as_of, schema: StructType | None = None) -> DataFrame:
-    """The newest snapshot dated at or before ``as_of`` (empty if none)."""
-    snaps = read_snapshots(spark, directory, schema).filter(F.col("_snapshot") <= as_date_lit(as_of))
-    newest = snaps.select(F.max("_snapshot")).scalar()
-    return snaps.filter(F.col("_snapshot") == newest).drop("_snapshot")
+    """The newest snapshot dated at or before ``as_of`` (empty if none).
+
+    The snapshot is chosen from the folder's listing, so only its files are opened.
+    """
+    day = str(as_of)[:10].replace("-", "")
+    files = snapshot_files(spark, directory)
+    known = [path for date, path in files if date <= day]
+    r = spark.read.schema(schema) if schema is not None else spark.read
+    if not known:
+        empty = r.parquet(files[-1][1]) if files else r.parquet(directory)
+        return empty.limit(0)
+    return r.parquet(known[-1])

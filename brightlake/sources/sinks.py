@@ -1,40 +1,32 @@
-"""Table sinks (S5-S7, S9, S11, S17). Parquet directories by default.
+"""Table sinks (S5-S9, S11, S17). Parquet folders, or tables of the session's catalog.
 
-A plain Parquet folder has no atomic replace, so a write never targets a
-folder the same plan is reading: the guard below refuses it, and
-``replace_table`` callers write to a fresh folder and switch readers over.
+A plain Parquet folder has no atomic replace: a replacing write goes to a new
+folder beside the table, which then takes the table's place. So a plan may read
+the very table that it replaces, and a failed write leaves the old one whole.
 """
 
 from __future__ import annotations
 
-import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brightlake.functions.dates import month_start
-
-
-def _norm(p: str) -> str:
-    return re.sub(r"^file:(//)?", "", p).rstrip("/")
-
-
-def _reads_from(df: DataFrame, path: str) -> bool:
-    target = _norm(path) + "/"
-    return any(_norm(f).startswith(target) for f in df.inputFiles())
+from brightlake.session import replace_path
 
 
 def replace_table(df: DataFrame, path: str, partition_by=None, sort_within=None,
                   compression: str = "snappy") -> str:
     """Create-or-replace as snappy Parquet (optionally partitioned / sorted for skipping)."""
-    if _reads_from(df, path):
-        raise ValueError(f"refusing to overwrite {path}: the plan reads from it")
     out = df.hint("rebalance", *partition_by) if partition_by else df
     out = out.sortWithinPartitions(*sort_within) if sort_within else out
-    w = out.write.mode("overwrite").option("compression", compression)
+    w = out.write.option("compression", compression)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    beside = f"{path.rstrip('/')}__new_{uuid.uuid4().hex[:12]}"
+    w.parquet(beside)
+    replace_path(df.sparkSession, beside, path)
     return path
 
 
@@ -47,8 +39,6 @@ def write_monthly(df: DataFrame, path: str, ts_col: str = "created_at",
 
 def write_partitions(df: DataFrame, path: str, partition_col: str = "period") -> str:
     """Identity partitions, replacing only the partitions present in ``df``."""
-    if _reads_from(df, path):
-        raise ValueError(f"refusing to overwrite {path}: the plan reads from it")
     (df.hint("rebalance", partition_col).write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
     return path
@@ -67,7 +57,36 @@ def create_namespace(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
 
 
-def compact(df: DataFrame, path: str, target_files: int, sort_cols) -> str:
-    """Rewrite into ``target_files`` range-partitioned, sorted files (min/max skipping)."""
-    out = df.repartitionByRange(target_files, *sort_cols).sortWithinPartitions(*sort_cols)
+def truncate_insert(df: DataFrame, path: str, partition_by=None) -> str:
+    """Truncate the table, then insert. ``df`` may read the table itself."""
+    return replace_table(df, path, partition_by)
+
+
+def save_table(df: DataFrame, name: str, partition_by=None, v2: bool = False) -> str:
+    """S5 in the session's catalog: create or replace the table ``name``.
+
+    ``v2`` uses ``writeTo(...).createOrReplace()`` for catalogs that support it;
+    the built-in session catalog takes ``saveAsTable``.
+    """
+    if v2:
+        w = df.writeTo(name)
+        if partition_by:
+            w = w.partitionedBy(*[F.col(c) for c in partition_by])
+        w.createOrReplace()
+        return name
+    w = df.write.mode("overwrite").format("parquet")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.saveAsTable(name)
+    return name
+
+
+#: Rows of one compacted file, about.
+FILE_ROWS = 4_000_000
+
+
+def compact(df: DataFrame, path: str, sort_cols, file_rows: int = FILE_ROWS) -> str:
+    """Rewrite into sorted, range-partitioned files of about ``file_rows`` rows."""
+    files = max(1, -(-df.count() // file_rows))
+    out = df.repartitionByRange(files, *sort_cols).sortWithinPartitions(*sort_cols)
     return replace_table(out, path)

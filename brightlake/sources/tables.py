@@ -14,17 +14,13 @@ def table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread_small_scan(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-spread a scan that has fewer splits than the cluster has cores.
-
-    A Parquet file written as one row group is read by a single task, and every
-    per-row operator fused into that stage then runs single threaded. Hashing on
-    the downstream join key needs no sort for determinism and lines up with that
-    join. A table at scale has far more splits than cores, so this is a no-op there.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    n = max(cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return df.repartition(n, *keys)
+def catalog_table(spark: SparkSession, name: str) -> DataFrame:
+    """A table of the session's catalog (S3)."""
+    return spark.table(name)
+
+
+def any_table(spark: SparkSession, name: str, jdbc: dict | None = None) -> DataFrame:
+    """A table by name; with ``jdbc`` options (``url`` and others) from that database."""
+    if jdbc:
+        return spark.read.format("jdbc").options(dbtable=name, **jdbc).load()
+    return spark.table(name)

@@ -1,22 +1,22 @@
 """Incremental clean (T1) and incremental daily aggregate.
 
-``readStream`` picks up only new landing files. The stateless part of the
-cleaning runs in the stream; ``withWatermark`` + ``dropDuplicates`` (keyed on
-the row content including the event time) drops rows later than the allowed
-lateness and identical re-deliveries, with state bounded by the lateness.
-Each micro-batch then (``foreachBatch``):
-
-1. keeps one row per ``order_id`` inside the batch by the same total order
-   the batch cleaning uses;
-2. inserts only order ids absent from silver (left anti join against the
-   silver partitions the batch touches: dynamic partition pruning) - so a
-   replayed batch or a duplicate arriving after its state expired is a no-op;
-3. recomputes the gold daily table for the touched months from silver and
-   overwrites exactly those month partitions (dynamic partition overwrite).
-
-Every step is idempotent, so a batch re-run after an executor or driver loss
-gives the same tables. ``countDistinct`` is not allowed in a streaming
-aggregate, which is why gold is recomputed per touched month instead.
+``readStream`` picks up only new landing files, a bounded number at a time.
+The stream keeps no state and drops no late row; each micro-batch
+(``foreachBatch``) does this:
+
+1. keeps one raw row per ``order_id`` inside the batch, the first landed;
+2. drops ids that an earlier batch has seen (left anti join with the key table,
+   one slim row per id, whatever month or state of validity the row had) - the
+   first landed row of an id wins over all batches, as in the batch cleaning;
+3. writes the batch's ids to its own partition of the key table (overwritten on
+   a re-run), cleans the rows with the batch's own cleaning function, and
+   inserts those that silver does not hold from an earlier try of this batch;
+4. recomputes the gold daily table for the batch's months, which are named to
+   the scan as literals, and overwrites exactly those month partitions.
+
+Steps 1-4 give the same tables when a batch runs again after an executor or
+driver loss. ``countDistinct`` is not allowed in a streaming aggregate, which
+is why gold is recomputed per touched month instead.
 """
 
 from __future__ import annotations
@@ -24,76 +24,73 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
-from pyspark.errors import AnalysisException
 
-from brightlake.functions.dates import as_ts_lit, parse_ts
-from brightlake.functions.money import MONEY
-from brightlake.operators.cleaning import norm_text
+from brightlake.operators.cleaning import clean_order_rows, parse_if_text
 from brightlake.operators.dedupe import first_by_key
 from brightlake.plans import gold
+from brightlake.session import path_exists
 
-LATENESS = "1 day"
-
-# Dedupe state (one digest per row within the lateness) lives in RocksDB, off
-# the JVM heap and spilled to local disk, with changelog checkpointing so each
-# commit uploads only the changes. Applied only where the session chose nothing.
-STATE_STORE_CONF = {
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-}
-
-
-def clean_stateless(raw: DataFrame, as_of) -> DataFrame:
-    """The per-row part of the order cleaning (F2, F4-F9) + the month partition column."""
-    df = raw.withColumn("created_at", parse_ts("created_at")) \
-        if dict(raw.dtypes)["created_at"] == "string" else raw
-    df = df.na.drop(subset=["order_id", "customer_id", "product_id"])
-    df = df.filter((F.col("unit_price") > 0) & (F.col("quantity") > 0)
-                   & (F.col("total_amount") > 0))
-    total = F.col("total_amount").cast(MONEY)
-    disc = F.col("discount").cast("decimal(6,4)")
-    return (df.withColumn("status", norm_text("status"))
-              .withColumn("revenue_net", F.round(total * (F.lit(1) - disc), 2))
-              .withColumn("is_refunded", F.col("status") == "refunded")
-              .withColumn("order_date", F.to_date("created_at"))
-              .withColumn("order_month", F.date_format("created_at", "yyyy-MM"))
-              .withColumn("_ingested_at", as_ts_lit(as_of)))
-
-
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
-
-
-def upsert_batch(batch: DataFrame, silver_path: str, gold_path: str,
-                 dedupe_order=("created_at",)) -> None:
-    """Steps 1-3 above for one micro-batch (also usable as a plain batch step)."""
-    spark = batch.sparkSession
-    if batch.isEmpty():          # no-data batches only advance the watermark
-        return
-    batch = first_by_key(batch, ["order_id"], list(dedupe_order)).persist()
+FILES_PER_TRIGGER = 1000
+LANDED = ("_landed_at", "_landed_file", "_landed_row")
+
+
+def with_landing_order(raw: DataFrame) -> DataFrame:
+    """Columns that say when a row landed: file time, file name, row in the file."""
+    return (raw.withColumn("_landed_at", F.col("_metadata.file_modification_time"))
+            .withColumn("_landed_file", F.col("_metadata.file_path"))
+            .withColumn("_landed_row", F.col("_metadata.row_index")))
+
+
+def _months(df: DataFrame) -> list:
+    """Distinct months of a batch: bounded by the calendar."""
+    return [r[0] for r in df.select("order_month").distinct().collect()]
+
+
+def in_months(df: DataFrame, months: list, column: str = "order_month") -> DataFrame:
+    """Rows of the given months (None: no month) by a literal filter that prunes folders."""
+    known = [m for m in months if m is not None]
+    keep = F.col(column).isin(known) if known else F.lit(False)
+    return df.filter(keep | F.col(column).isNull() if None in months else keep)
+
+
+def upsert_batch(raw: DataFrame, batch_id: int, silver_path: str, gold_path: str, as_of,
+                 keys_path: str | None = None) -> None:
+    """Steps 1-4 above for one micro-batch of raw rows (also usable as a plain batch step)."""
+    spark = raw.sparkSession
+    keys_path = keys_path or f"{silver_path.rstrip('/')}_keys"
+    order = [c for c in LANDED if c in raw.columns] or ["created_at"]
+    # Rows without an id are dropped by the cleaning whatever their number.
+    batch = first_by_key(parse_if_text(raw, "created_at").filter(F.col("order_id").isNotNull()),
+                         ["order_id"], order).persist()
     try:
-        months = batch.select("order_month").distinct()
-        silver = _read_or_none(spark, silver_path)
+        if batch.isEmpty():
+            return
         fresh = batch
-        if silver is not None:
-            existing = silver.join(months, "order_month", "left_semi").select("order_id")
-            fresh = batch.join(existing, "order_id", "left_anti")
-        # AQE is off inside a stateful stream's micro-batch (so a rebalance hint is
-        # dropped): range-partition on (month, id) instead. Each month stays contiguous
-        # over a few balanced tasks (files ~ partitions + months), and a hot month is
-        # still split across tasks. Sampling reads the persisted batch.
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        (fresh.repartitionByRange(n, "order_month", "order_id").write.mode("append")
-              .partitionBy("order_month").parquet(silver_path))
-
-        silver = spark.read.parquet(silver_path)
-        touched = silver.join(months, "order_month", "left_semi")
+        if path_exists(spark, keys_path):
+            seen = (spark.read.parquet(keys_path).filter(F.col("_batch") != batch_id)
+                    .select("order_id"))
+            fresh = batch.join(seen, "order_id", "left_anti")
+        (fresh.select("order_id", F.lit(batch_id).cast("long").alias("_batch"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("_batch").parquet(keys_path))
+        # From here on the batch is what its key partition holds, so a re-run agrees.
+        ids = spark.read.parquet(keys_path).filter(F.col("_batch") == batch_id).select("order_id")
+        clean = (clean_order_rows(batch.join(ids, "order_id", "left_semi").drop(*LANDED), as_of)
+                 .withColumn("order_month", F.date_format("created_at", "yyyy-MM"))
+                 .withColumn("_batch", F.lit(batch_id).cast("long")))
+        months = _months(clean)
+        if not months:
+            return
+        insert = clean
+        if path_exists(spark, silver_path):
+            before = (in_months(spark.read.parquet(silver_path), months)
+                      .filter(F.col("_batch") == batch_id).select("order_id"))
+            insert = clean.join(before, "order_id", "left_anti")
+        (insert.hint("rebalance", "order_month").write.mode("append")
+         .partitionBy("order_month").parquet(silver_path))
+        touched = in_months(spark.read.parquet(silver_path), months)
         daily = gold.daily_sales(touched).withColumn("month", F.date_format("date", "yyyy-MM"))
-        # one row per day: a month is a handful of rows, one file per month.
+        # One row per day: a month is a handful of rows, one file per month.
         (daily.repartition("month").write.mode("overwrite")
               .option("partitionOverwriteMode", "dynamic").partitionBy("month")
               .parquet(gold_path))
@@ -103,50 +100,19 @@ def upsert_batch(batch: DataFrame, silver_path: str, gold_path: str,
 
 def start_incremental(spark: SparkSession, landing_dir: str, schema: StructType,
                       checkpoint_dir: str, silver_path: str, gold_path: str, as_of,
-                      lateness: str = LATENESS, max_files_per_trigger: int | None = None,
+                      max_files_per_trigger: int = FILES_PER_TRIGGER,
                       available_now: bool = True):
     """Start the landing -> silver -> gold stream; returns the ``StreamingQuery``."""
-    reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.parquet(landing_dir)
-    cleaned = clean_stateless(raw, as_of)
-    content = [c for c in cleaned.columns if c != "_ingested_at"]
-    # The watermark needs an instant type; created_at stays wall-clock (timestamp_ntz).
-    # dropDuplicates with the event-time column among its keys drops rows behind the
-    # watermark and evicts their state (dropDuplicatesWithinWatermark does not drop
-    # late rows on Spark 4.1).
-    # State is keyed by a SHA-256 digest of the row content (32 bytes instead of the
-    # whole row) plus the event time, and is evicted once the watermark passes.
-    digest = F.sha2(F.to_json(F.struct(*[F.col(c) for c in content])), 256)
-    deduped = (cleaned.withColumn("_event_ts", F.col("created_at").cast("timestamp"))
-                      .withColumn("_digest", digest)
-                      .withWatermark("_event_ts", lateness)
-                      .dropDuplicates(["_digest", "_event_ts"])
-                      .drop("_event_ts", "_digest"))
-    writer = (deduped.writeStream
-              .foreachBatch(lambda df, _bid: upsert_batch(df, silver_path, gold_path))
+    raw = with_landing_order(
+        spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", max_files_per_trigger).parquet(landing_dir))
+    writer = (raw.writeStream
+              .foreachBatch(lambda df, batch_id: upsert_batch(df, batch_id, silver_path,
+                                                              gold_path, as_of))
               .option("checkpointLocation", checkpoint_dir))
     writer = writer.trigger(availableNow=True) if available_now \
         else writer.trigger(processingTime="60 seconds")
-    return _start_with_defaults(spark, STATE_STORE_CONF, writer.start)
-
-
-def _start_with_defaults(spark: SparkSession, conf: dict, start):
-    """Start a query with ``conf`` entries the session left unset.
-
-    A streaming query clones the session conf when it starts (and records its
-    state store in the checkpoint), so the entries are unset again right
-    after: the session keeps no setting the caller did not make.
-    """
-    applied = [k for k in conf if spark.conf.get(k, None) is None]
-    for k in applied:
-        spark.conf.set(k, conf[k])
-    try:
-        return start()
-    finally:
-        for k in applied:
-            spark.conf.unset(k)
+    return writer.start()
 
 
 def run_incremental(spark: SparkSession, *args, **kwargs) -> None:

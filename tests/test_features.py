@@ -82,3 +82,29 @@ def test_online_features(spark):
     out = {r.k: r.value for r in online_features(feats, "k", "fts", dt.datetime(2026, 1, 10),
                                                  dt.timedelta(days=7), "created").collect()}
     assert out == {1: 2.0}
+
+
+def test_asof_does_not_depend_on_the_split(spark):
+    import random
+    rnd = random.Random(4)
+    base = dt.datetime(2026, 1, 1)
+    fl = [(rnd.randrange(3), base + dt.timedelta(seconds=rnd.randrange(120)), float(i),
+           base + dt.timedelta(seconds=rnd.randrange(9))) for i in range(150)]
+    sl = [(i, rnd.randrange(4), base + dt.timedelta(seconds=rnd.randrange(140))) for i in range(120)]
+    feats = spark.createDataFrame(fl, "k long, fts timestamp_ntz, value double, made timestamp_ntz")
+    spine = spark.createDataFrame(sl, "sid long, k long, t timestamp_ntz")
+    for ttl, split in ((10, 1), (10, 3), (7, 5), (1, 4), (60, 7), (13, 13)):
+        got = {r.sid: r.value for r in asof_join(spine, feats, "k", "t", "fts", ["value"],
+                                                 dt.timedelta(seconds=ttl), "made", split).collect()}
+        for sid, k, t in sl:
+            near = [f for f in fl if f[0] == k and t - dt.timedelta(seconds=ttl) <= f[1] <= t]
+            best = max((f[1], f[3]) for f in near) if near else None
+            values = {f[2] for f in near if (f[1], f[3]) == best}
+            assert (got[sid] in values) if near else got[sid] is None, (ttl, split, sid)
+
+
+def test_asof_null_entity_matches_nothing(spark):
+    feats = spark.createDataFrame([(None, ts(1), 1.0)], "k long, fts timestamp_ntz, value double")
+    spine = spark.createDataFrame([(1, None, ts(2))], "sid long, k long, t timestamp_ntz")
+    out = asof_join(spine, feats, "k", "t", "fts", ["value"], dt.timedelta(days=1)).collect()
+    assert len(out) == 1 and out[0].value is None

@@ -51,16 +51,34 @@ def test_save_model_and_scored_features(spark, scratch):
         F.lit(1.0).alias("clv_score"))
     model, _ = ml.train_churn(ml.label_median_recency(feats), max_iter=3, max_depth=2)
     path = ml.save_model(model, f"{scratch}/churn_model")
-    assert PipelineModel.load(path).transform(ml._numeric(feats, ml.CHURN_FEATURES)).count() == 60
+    assert PipelineModel.load(path).transform(ml.numeric(feats, ml.CHURN_FEATURES)).count() == 60
 
     cols = "customer_id long, order_count_30d int, days_since_last int, clv_score decimal(18,2), " \
            "churn_probability decimal(10,4), preferred_category string, computed_at timestamp_ntz"
     t0, t1 = dt.datetime(2026, 1, 1), dt.datetime(2026, 2, 1)
     old = spark.createDataFrame([(1, 3, 0, Decimal("5.00"), Decimal("0.1000"), "a", t0)], cols)
-    first = features.save_scored_features(None, old)
+    table = f"{scratch}/scored"
+    features.save_scored_features(old, table)
     new = spark.createDataFrame([(1, 9, 4, Decimal("7.00"), Decimal("0.9000"), "b", t1),
                                  (2, 1, None, None, Decimal("0.5000"), None, t1)], cols)
-    out = {r.customer_id: r for r in features.save_scored_features(first, new).collect()}
-    assert out["1"].order_count_30d == 3 and out["1"].days_since_last == 0     # kept, real 0
+    features.save_scored_features(new, table)
+    out = {r.customer_id: r for r in spark.read.parquet(table).collect()}
+    assert out["1"].order_count_30d == 9 and out["1"].days_since_last == 4     # refreshed
     assert out["1"].churn_probability == Decimal("0.9000") and out["1"].computed_at == t1
     assert out["2"].days_since_last == 999 and out["2"].preferred_category == "unknown"
+    features.save_scored_features(new.filter("customer_id = 2"), table)
+    assert [r.customer_id for r in spark.read.parquet(table).collect()] == ["2"]   # vanished: gone
+
+
+def test_one_class_raises_and_fits_repeat(spark):
+    import pytest
+    feats = spark.range(200).select(
+        F.col("id").alias("customer_id"), *[(F.col("id") * k % 13).cast("double").alias(c)
+                                           for k, c in enumerate(ml.CHURN_FEATURES, 2)])
+    with pytest.raises(ValueError):
+        ml.train_churn(feats.withColumn("churned", F.lit(0)), max_iter=2)
+    two = feats.withColumn("churned", (F.col("id" if "id" in feats.columns else "customer_id") % 3 == 0)
+                           .cast("int"))
+    runs = [ml.score_churn(ml.train_churn(two.repartition(n), max_iter=3)[0], two)
+            .orderBy("customer_id").collect() for n in (2, 5)]
+    assert runs[0] == runs[1]

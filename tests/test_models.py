@@ -52,8 +52,7 @@ def test_revenue_trends_rows_vs_range(spark):
     assert rows[days[35]].mom_growth_pct is not None
 
 
-@pytest.mark.parametrize("window_task_rows", [None, 0])   # window plan, distributed plan
-def test_top_products_ties_nulls_zero(spark, window_task_rows):
+def test_top_products_ties_nulls_zero(spark):
     perf = spark.createDataFrame(
         [(1, "p1", "c", "2026-01", 5, Decimal("10.00"), Decimal(1), Decimal("0.1000")),
          (2, "p2", "c", "2026-01", 7, Decimal("10.00"), Decimal(1), Decimal("0")),
@@ -61,7 +60,7 @@ def test_top_products_ties_nulls_zero(spark, window_task_rows):
          (4, "p4", "c", "2026-02", 1, Decimal("0.00"), Decimal(1), Decimal("0"))],
         "product_id long, product_name string, category string, period string, units_sold int, "
         "revenue decimal(28,2), avg_price decimal(10,2), return_rate decimal(5,4)")
-    out = {r.product_id: r for r in models.top_products(perf, window_task_rows).collect()}
+    out = {r.product_id: r for r in models.top_products(perf).collect()}
     assert out[3].revenue_rank == 1                       # NULL first in DESC
     assert out[1].revenue_rank == out[2].revenue_rank == 2
     assert out[2].volume_rank == 1
@@ -143,39 +142,39 @@ def test_segment_edges(spark):
         assert r.last_order_at is None and r.days_since_last is None
 
 
-@pytest.mark.parametrize("window_task_rows", [None, 0])
-def test_customer_ltv_inverted_quartiles(spark, window_task_rows):
+def test_customer_ltv_inverted_quartiles(spark):
     seg = spark.createDataFrame(
         [(i, "regular", Decimal(i * 10), i, dt.datetime(2026, 1, i), Decimal(1))
          for i in range(1, 9)],
         "customer_id long, segment string, total_spent decimal(28,2), order_count int, "
         "last_order_at timestamp_ntz, clv_score decimal(38,4)")
-    out = {r.customer_id: r for r in models.customer_ltv(seg, False, window_task_rows).collect()}
+    out = {r.customer_id: r for r in models.customer_ltv(seg).collect()}
     assert out[8].monetary_quartile == 1 and out[1].monetary_quartile == 4
     assert out[1].rfm_segment == "champion"          # lowest spender, as the model labels
     flipped = {r.customer_id: r for r in
-               models.customer_ltv(seg, True, window_task_rows).collect()}
+               models.customer_ltv(seg, True).collect()}
     assert flipped[8].rfm_segment == "champion"
 
 
-def test_window_and_distributed_plans_agree_on_driver_tables(spark):
+def test_models_match_plain_windows_on_driver_tables(spark):
     from brightlake import registry
     sf = "/root/testdata/sf0.001"
     perf = registry._perf(spark, sf)
-    assert sorted(models.top_products(perf).collect()) == \
-        sorted(models.top_products(perf, 0).collect())
+    got = models.top_products(perf).select("product_id", "period", "revenue_rank", "volume_rank")
+    w = Window.partitionBy("period")
+    expect = perf.select("product_id", "period",
+                         F.rank().over(w.orderBy(F.col("revenue").desc_nulls_first())),
+                         F.rank().over(w.orderBy(F.col("units_sold").desc_nulls_first())))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expect.collect()))
     seg = registry._segments(spark, sf)
-    assert sorted(models.customer_ltv(seg).collect()) == \
-        sorted(models.customer_ltv(seg, False, 0).collect())
-
-
-def test_window_task_rows_from_session(spark):
-    from brightlake.operators import sizing
-    df = spark.range(10).withColumn("g", F.col("id") % 2)
-    assert sizing.fits_one_task(df, ["g"])
-    spark.conf.set(sizing.WINDOW_TASK_ROWS_CONF, "4")
-    try:
-        assert not sizing.fits_one_task(df, ["g"])          # 5 rows per group > 4
-        assert sizing.fits_one_task(df, ["g"], limit=5)
-    finally:
-        spark.conf.unset(sizing.WINDOW_TASK_ROWS_CONF)
+    got = models.customer_ltv(seg).select("customer_id", "monetary_quartile", "recency_quartile")
+    expect = seg.select("customer_id", *[F.ntile(4).over(Window.orderBy(
+        F.col(c).desc_nulls_last(), "customer_id")) for c in ("total_spent", "last_order_at")])
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expect.collect()))
+
+
+def test_div_round_holds_large_counts(spark):
+    from brightlake.functions.money import div_round
+    row = spark.range(1).select(div_round(F.lit("30000000000.00").cast("decimal(28,2)"),
+                                          F.lit(20_000_000_000), 2).alias("x")).first()
+    assert row.x == Decimal("1.50")

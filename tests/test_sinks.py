@@ -8,7 +8,7 @@ from brightlake.operators.dedupe import latest_by
 from brightlake.operators.upsert import upsert
 from brightlake.plans import ops
 from brightlake.schemas import BRONZE_CUSTOMERS, BRONZE_ORDERS
-from brightlake.sources import landing, sinks
+from brightlake.sources import landing, sinks, tables
 
 
 def test_latest_by_versions(spark):
@@ -68,13 +68,26 @@ def test_sinks_and_guard(spark, scratch):
     sinks.write_partitions(df.filter("id = 2").withColumn("id", F.lit(3)), f"{scratch}/p")
     assert sorted(r.id for r in spark.read.parquet(f"{scratch}/p").collect()) == [1, 3]
     back = spark.read.parquet(f"{scratch}/m")
-    with pytest.raises(ValueError):
-        sinks.replace_table(back, f"{scratch}/m")
+    sinks.truncate_insert(back.filter("id = 2"), f"{scratch}/m", ["created_month"])   # reads itself
+    assert [r.id for r in spark.read.parquet(f"{scratch}/m").collect()] == [2]
+    sinks.save_table(df, "saved_orders", ["period"])
+    sinks.save_table(df.filter("id = 1"), "saved_orders", ["period"])
+    assert [r.id for r in tables.catalog_table(spark, "saved_orders").collect()] == [1]
+    spark.sql("DROP TABLE saved_orders")
     sinks.append_rows(df, f"{scratch}/a", "2026-01-01 00:00:00")
     sinks.append_rows(df, f"{scratch}/a", "2026-01-02 00:00:00")
     assert spark.read.parquet(f"{scratch}/a").count() == 4
-    sinks.compact(spark.read.parquet(f"{scratch}/a"), f"{scratch}/c", 2, ["id"])
+    sinks.compact(spark.read.parquet(f"{scratch}/a"), f"{scratch}/c", ["id"], file_rows=2)
     assert spark.read.parquet(f"{scratch}/c").count() == 4
+    assert len([f for f in os.listdir(f"{scratch}/c") if f.endswith(".parquet")]) == 2
+
+
+def test_retention_deletes(spark, scratch):
+    df = spark.createDataFrame([(1, dt.datetime(2026, 1, 1)), (2, dt.datetime(2026, 1, 30)), (3, None)],
+                               "id long, ts timestamp_ntz")
+    df.write.parquet(f"{scratch}/e")
+    assert ops.apply_retention(spark, f"{scratch}/e", "ts", "2026-02-01", 7) == {"kept": 2, "deleted": 1}
+    assert sorted(r.id for r in spark.read.parquet(f"{scratch}/e").collect()) == [2, 3]
 
 
 def test_run_log_observe_and_ops(spark, scratch):

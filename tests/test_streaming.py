@@ -1,7 +1,7 @@
 import datetime as dt
 import time
 
-from pyspark.sql import functions as F
+import pytest
 
 from brightlake.schemas import BRONZE_ORDERS
 from brightlake.streaming import incremental
@@ -11,53 +11,52 @@ def order(oid, created, total=10.0, cust=1):
     return (oid, cust, 1, "p", "c", total, 1, 0.0, total, "FR", "completed", "card", created)
 
 
-def test_stream_late_rows_and_duplicates(spark, scratch):
-    landing = f"{scratch}/landing"
-    # Spark checks late rows against the previous batch's watermark, so the very
-    # late row comes two batches after the watermark moved past it.
-    files = [
-        [order("a", "2026-01-05T10:00:00"), order("b", "2026-01-05T11:00:00"),
-         order("n", None)],
-        [order("c", "2026-01-05T00:00:00"),          # late but within 1 day: kept
-         order("a", "2026-01-05T10:00:00")],         # identical re-delivery: dropped
-        [order("b", "2026-01-09T12:00:00", 99.0),   # same id, different row after expiry
-         order("e", "2026-01-09T13:00:00")],
-        [order("d", "2026-01-03T00:00:00")],         # later than 1 day: dropped
-    ]
-    paths = []
+def land(spark, landing, files):
     for i, rows in enumerate(files):
-        p = f"{landing}/f{i}"
-        spark.createDataFrame(rows, BRONZE_ORDERS).coalesce(1).write.parquet(p)
-        paths.append(p)
-        time.sleep(1.1)  # distinct modification times give the landing order
-    silver, gold, ckpt = f"{scratch}/silver", f"{scratch}/gold", f"{scratch}/ckpt"
-    # one stream; one file per micro-batch, in landing (modification time) order
-    incremental.run_incremental(spark, landing, BRONZE_ORDERS, ckpt, silver, gold,
-                                "2026-01-10", max_files_per_trigger=1)
-    s = spark.read.parquet(silver)
-    ids = sorted(r.order_id for r in s.collect())
-    assert ids == ["a", "b", "c", "e", "n"]
-    assert s.filter("order_id = 'b'").first().total_amount == 10.0   # first landed wins
-    g = {r.date: r for r in spark.read.parquet(gold).collect()}
-    assert g[dt.date(2026, 1, 5)].total_orders == 3
-    assert g[dt.date(2026, 1, 9)].total_orders == 1
-    # replaying a batch is a no-op
-    incremental.upsert_batch(incremental.clean_stateless(
-        spark.createDataFrame(files[2], BRONZE_ORDERS), "2026-01-10"), silver, gold)
-    assert spark.read.parquet(silver).count() == 5
-
-
-def test_stream_equals_batch(spark, scratch):
+        spark.createDataFrame(rows, BRONZE_ORDERS).coalesce(1).write.parquet(f"{landing}/f{i}")
+        time.sleep(0.05)  # distinct modification times give the landing order
+
+
+FILES = [
+    [order("a", "2026-01-05T10:00:00"), order("b", "2026-01-05T11:00:00"), order("n", None)],
+    [order("c", "2026-01-05T00:00:00"), order("a", "2026-01-05T10:00:00"),   # re-delivery
+     order("z", "9999-01-01T00:00:00")],                                     # a time far ahead
+    [order("b", "2026-02-09T12:00:00", 99.0),      # known id in another month
+     order("bad", "2026-02-09T12:00:00", -1.0),    # first landed row of the id is invalid
+     order("e", "2026-02-09T13:00:00")],
+    [order("d", "2026-01-03T00:00:00"),            # a month late
+     order("bad", "2026-02-09T12:00:00", 5.0), order("n", "2026-01-03T00:00:00"),
+     order("g", "garbage"), order(None, "2026-01-03T00:00:00")],
+]
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 2, 100])
+def test_stream_loses_and_repeats_nothing(spark, scratch, files_per_batch):
     from brightlake.operators.cleaning import clean_orders
     from brightlake.plans import gold
-    rows = [order(str(i), f"2026-01-{1 + i % 9:02d}T0{i % 10}:00:00", float(i + 1), i % 4)
-            for i in range(60)] + [order("7", "2026-01-08T07:00:00", 3.0, 1)]
-    raw = spark.createDataFrame(rows, BRONZE_ORDERS)
-    raw.coalesce(1).write.parquet(f"{scratch}/land")
-    incremental.run_incremental(spark, f"{scratch}/land", BRONZE_ORDERS, f"{scratch}/ck",
-                                f"{scratch}/s", f"{scratch}/g", "2026-01-10")
-    batch = gold.daily_sales(clean_orders(raw, "2026-01-10")).collect()
-    stream = spark.read.parquet(f"{scratch}/g").drop("month").select(*gold.daily_sales(
-        clean_orders(raw, "2026-01-10")).columns).collect()
-    assert sorted(batch) == sorted(stream)
-    assert F is not None
+    land(spark, f"{scratch}/landing", FILES)
+    silver, gold_path = f"{scratch}/silver", f"{scratch}/gold"
+    incremental.run_incremental(spark, f"{scratch}/landing", BRONZE_ORDERS, f"{scratch}/ckpt",
+                                silver, gold_path, "2026-01-10",
+                                max_files_per_trigger=files_per_batch)
+    landed = incremental.with_landing_order(
+        spark.read.schema(BRONZE_ORDERS).option("recursiveFileLookup", "true")
+        .parquet(f"{scratch}/landing"))
+    batch = clean_orders(landed, "2026-01-10")
+    got = spark.read.parquet(silver).drop("_batch", "order_month").select(*batch.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, batch.collect()))
+    assert sorted(r.order_id for r in got.collect()) == ["a", "b", "c", "d", "e", "g", "n", "z"]
+    daily = gold.daily_sales(batch)
+    stream = spark.read.parquet(gold_path).drop("month").select(*daily.columns)
+    assert sorted(map(str, stream.collect())) == sorted(map(str, daily.collect()))
+
+
+def test_replayed_batch_changes_nothing(spark, scratch):
+    silver, gold_path = f"{scratch}/silver", f"{scratch}/gold"
+    raw = [spark.createDataFrame(rows, BRONZE_ORDERS) for rows in FILES]
+    for batch_id in (0, 0, 1, 2, 2, 3, 1, 0):
+        incremental.upsert_batch(raw[batch_id], batch_id, silver, gold_path, "2026-01-10")
+    assert sorted(r.order_id for r in spark.read.parquet(silver).collect()) == \
+        ["a", "b", "c", "d", "e", "g", "n", "z"]
+    days = {r.date: r.total_orders for r in spark.read.parquet(gold_path).collect()}
+    assert days[dt.date(2026, 1, 5)] == 3 and days[dt.date(2026, 2, 9)] == 1

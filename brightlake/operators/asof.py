@@ -53,7 +53,7 @@ def asof_join(spine: DataFrame, features: DataFrame, key: str, spine_ts: str,
     """Attach ``feature_cols`` (and ``feature_ts``) to every spine row."""
     width = max(math.ceil(_secs(ttl) / max(split, 1)), 1)
     made = features.schema[created].dataType if created else "long"
-    payload_cols = [feature_ts] + feature_cols + ([created] if created else [])
+    payload_cols = list(dict.fromkeys([feature_ts] + feature_cols + ([created] if created else [])))
     feat = features.filter(F.col(key).isNotNull()).select(
         F.col(key).alias("_k"), F.col(feature_ts).alias("_t"),
         (F.col(created) if created else F.lit(None)).cast(made).alias("_c"),

@@ -353,6 +353,16 @@ m AS (SELECT s.event_id, s.user_id, s.ts, p.purchase_ts, p.purchase_value,
                                      AND p.purchase_ts >= s.ts - INTERVAL 1 DAY)
 SELECT event_id, user_id, ts, purchase_ts, purchase_value FROM m WHERE rn = 1"""
 
+SQL["asof_features_by_time"] = """WITH c AS (SELECT user_id, date_trunc('hour', ts) AS click_hour,
+    event_id AS click_id, date_trunc('day', ts) + to_seconds(event_id % 86400) AS created_at
+  FROM events WHERE event_type = 'click'),
+m AS (SELECT s.event_id, s.event_type, s.user_id, s.ts, c.click_hour, c.click_id, c.created_at,
+        ROW_NUMBER() OVER (PARTITION BY s.event_id ORDER BY c.click_hour DESC NULLS LAST,
+                           c.created_at DESC NULLS LAST) AS rn
+      FROM events s LEFT JOIN c ON c.user_id = s.user_id AND c.click_hour <= s.ts
+                                AND c.click_hour >= s.ts - INTERVAL 100 HOUR)
+SELECT event_id, event_type, user_id, ts, click_hour, click_id, created_at FROM m WHERE rn = 1"""
+
 SQL["online_features"] = f"""WITH {PURCH_CTE}
 SELECT user_id, purchase_ts, purchase_value, purchase_id FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY purchase_ts DESC, purchase_id DESC,

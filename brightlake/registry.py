@@ -241,7 +241,23 @@ def q_asof_features(spark, sf_dir):
     ev = adapter.events(spark, sf_dir)
     spine = ev.filter(F.col("event_type") == "click").select("event_id", "user_id", "ts")
     return asof.asof_join(spine, _purchases(spark, sf_dir), "user_id", "ts", "purchase_ts",
-                          ["purchase_value"], dt.timedelta(days=1), created="purchase_id")
+                          ["purchase_value"], dt.timedelta(days=1), created="purchase_id",
+                          split=7)
+
+
+@register("asof_features_by_time")
+def q_asof_features_by_time(spark, sf_dir):
+    """J6 with a timestamp as the ``created`` column, every event as spine row (their roles:
+    sign-ups, views and errors are looked up against clicks), and parts that do not divide
+    the TTL."""
+    ev = adapter.events(spark, sf_dir)
+    made = F.date_trunc("day", "ts") + F.make_interval(secs=F.col("event_id") % 86400)
+    clicks = ev.filter(F.col("event_type") == "click").select(
+        "user_id", F.date_trunc("hour", "ts").alias("click_hour"),
+        F.col("event_id").alias("click_id"), made.alias("created_at"))
+    return asof.asof_join(ev.select("event_id", "event_type", "user_id", "ts"), clicks, "user_id",
+                          "ts", "click_hour", ["click_id", "created_at"], dt.timedelta(hours=100),
+                          created="created_at", split=7)
 
 
 @register("online_features")

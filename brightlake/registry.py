@@ -251,9 +251,10 @@ def q_asof_features_by_time(spark, sf_dir):
     sign-ups, views and errors are looked up against clicks), and parts that do not divide
     the TTL."""
     ev = adapter.events(spark, sf_dir)
-    made = F.date_trunc("day", "ts") + F.make_interval(secs=F.col("event_id") % 86400)
+    made = (F.date_trunc("day", "ts").cast("timestamp_ntz")
+            + F.make_interval(secs=F.col("event_id") % 86400))
     clicks = ev.filter(F.col("event_type") == "click").select(
-        "user_id", F.date_trunc("hour", "ts").alias("click_hour"),
+        "user_id", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("click_hour"),
         F.col("event_id").alias("click_id"), made.alias("created_at"))
     return asof.asof_join(ev.select("event_id", "event_type", "user_id", "ts"), clicks, "user_id",
                           "ts", "click_hour", ["click_id", "created_at"], dt.timedelta(hours=100),

@@ -133,7 +133,9 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
              .groupBy("_n").applyInPandas(fill, "_n int, size long, _rows long, _take long"))
     place = (F.shiftrightunsigned("_draw", 1) / F.lit(float(1 << 63))
              * F.ceil(F.col("_rows") / F.lit(RANK_ROWS))).cast("long")
-    rows = rows.join(drawn, ["_n", "size"]).withColumn("_place", place)
+    # Dealt by place, so that a length with a third of all rows is ranked in many tasks.
+    rows = (rows.join(drawn, ["_n", "size"]).withColumn("_place", place)
+            .repartition("_n", "size", "_place"))
     before = (rows.groupBy("_n", "size", "_place").agg(F.count("*").alias("_here"))
               .withColumn("_before", F.sum("_here").over(
                   Window.partitionBy("_n", "size").orderBy("_place")) - F.col("_here"))

@@ -42,6 +42,8 @@ BAND_ROWS = 4
 BANDS = 2 * PERMUTATIONS // BAND_ROWS
 #: Similarity of linked documents, in hundredths.
 PERCENT = 80
+#: Parts that the copies of one shingle set are dealt into.
+SALTS = 16
 #: Counters that order shingles by rarity in the exact join.
 RARITY_BITS = 18
 
@@ -277,10 +279,14 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     rows = _written(sketches(docs_, key, text, words), "neardup-sketches")
     solid = rows.filter((F.col("n_shingles") > 0) & F.col("_id").isNotNull())
     same = ["n_shingles", "_s1", "_s2"]
-    firsts = solid.groupBy(*same).agg(F.min("_id").alias("_rep"))
-    # Ids of one shingle set are linked through its smallest id.
-    member = _written(solid.select("_id", *same).join(firsts, same)
-                      .select("_id", "_rep").distinct(), "neardup-members")
+    firsts = solid.groupBy(*same).agg(F.min("_id").alias("_rep"), F.count("*").alias("_rows"))
+    # Ids of one shingle set are linked through its smallest id; a large set is spread by salt.
+    salted = (firsts.filter("_rows > 1").drop("_rows")
+              .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
+    member = _written(
+        solid.select("_id", *same, F.pmod(F.xxhash64("_id"), F.lit(SALTS)).cast("int").alias("_salt"))
+        .join(salted, [*same, "_salt"], "left")
+        .select("_id", F.coalesce("_rep", "_id").alias("_rep")).distinct(), "neardup-members")
     reps = solid.join(firsts.select(F.col("_rep").alias("_id"), *same), ["_id", *same], "left_semi")
     bands = _written(reps.select("_id", F.explode("_bands").alias("_band")).distinct(),
                      "neardup-bands")

@@ -83,3 +83,59 @@ def op9_bpe_encoding(spark, sf_dir):
 def op10_source_mixing(spark, sf_dir):
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
+# ---- SQL of the queries that it can express ---------------------------------------------
+
+_WORDS = r"regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+')"
+
+SQL["op2_minhash_neardup"] = rf"""WITH RECURSIVE
+d AS (SELECT doc_id, {_WORDS.replace("COALESCE(text, '')", "translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w
+      FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], chr(31)) AS g
+      FROM (SELECT doc_id, w, unnest(range(1, GREATEST(len(w) - 2, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, COUNT(*) AS n FROM s GROUP BY 1),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, COUNT(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id
+      GROUP BY 1, 2),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+      WHERE 100 * k >= {neardup.PERCENT} * (x.n + y.n - k)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS m FROM d UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.m)
+SELECT r.doc_id, COALESCE(MAX(n.n), 0) AS n_shingles, MIN(r.m) AS component_id,
+       r.doc_id = MIN(r.m) AS kept
+FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id"""
+
+
+def _repeats(name: str, k: int) -> str:
+    window = " || chr(31) || ".join(f"w[i + {j}]" for j in range(k))
+    covered = " UNION ".join(f"SELECT doc_id, i + {j} AS i FROM {name}_w WHERE t > 1" for j in range(k))
+    return f"""{name}_w AS (SELECT doc_id, i, COUNT(*) OVER (PARTITION BY doc_id, {window}) AS t
+   FROM (SELECT doc_id, w, unnest(range(1, len(w) - {k - 2})) AS i FROM d WHERE len(w) >= {k})),
+{name} AS (SELECT doc_id, COUNT(*) AS n FROM ({covered}) GROUP BY 1)"""
+
+
+SQL["op8_quality_rules"] = rf"""WITH
+d AS (SELECT doc_id, COALESCE(text, '') AS t, {_WORDS} AS w FROM documents),
+lines AS (SELECT doc_id, line, COUNT(*) AS c FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)
+          WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY 1, 2),
+dup AS (SELECT doc_id, SUM(c - 1) AS n FROM lines GROUP BY 1),
+{_repeats('rep3', 3)},
+{_repeats('rep5', 5)},
+m AS (SELECT d.doc_id, len(w) AS words, len(array_to_string(w, '')) AS word_chars,
+        len(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS symbols,
+        COALESCE(dup.n, 0) AS dups, COALESCE(rep3.n, 0) AS r3, COALESCE(rep5.n, 0) AS r5,
+        len(regexp_replace(t, '[^A-Z]', '', 'g')) AS upper_,
+        len(regexp_replace(t, '[^A-Za-z]', '', 'g')) + strlen(t) - len(regexp_replace(t, '[^\x00-\x7F]', '', 'g')) AS letters,
+        len(regexp_replace(t, '[^!]', '', 'g')) AS shouts,
+        strlen(t) - len(regexp_replace(t, '[^\x00-\x20]', '', 'g')) AS solid,
+        len(t) - len(regexp_replace(t, '[^\x00-\x20]', '', 'g')) AS points,
+        len(regexp_replace(t, '[^\n]', '', 'g')) + 1 AS n_lines
+      FROM d LEFT JOIN dup ON dup.doc_id = d.doc_id LEFT JOIN rep3 ON rep3.doc_id = d.doc_id
+             LEFT JOIN rep5 ON rep5.doc_id = d.doc_id),
+f AS (SELECT *, words < {quality.MIN_WORDS} OR 100 * r3 > {quality.MAX_REPEAT_PERCENT} * words AS failed FROM m)
+SELECT doc_id, words AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(symbols AS BIGINT) AS n_symbols,
+       CAST(dups AS BIGINT) AS n_dup_lines, CAST(r3 AS BIGINT) AS n_repeat_words, failed AS base_failed,
+       NOT (failed OR 10 * symbols > words OR 10 * upper_ > 3 * letters OR 10 * shouts > words
+            OR 10 * letters < 6 * solid OR points < 2 * words OR points > 15 * words
+            OR 2 * dups > n_lines OR 10 * r5 > 4 * words) AS kept
+FROM f"""

@@ -4,6 +4,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from brightlake.oracle import SQL
+from brightlake.registry import QUERIES
 from brightlake.sources.tables import DRIVER_TABLES
 from tools.check_oracle import canon
 
@@ -27,17 +29,16 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle_or_is_rows_only():
-    q, s = E.queries(), E.oracle_sql()
-    assert set(s) <= set(q)
-    assert set(q) - set(s) == ROWS_ONLY
+    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) - set(SQL) == ROWS_ONLY
 
 
-@pytest.mark.parametrize("name", sorted(set(E.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     rows, cols = [tuple(r) for r in df.collect()], df.columns
-    sql = E.oracle_sql()[name].replace("/root/testdata/sf0.01/", f"{SF}/")
-    cur = duck.execute(sql)
+    cur = duck.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in cur.description]
     orows = cur.fetchall()
     assert sorted(cols) == sorted(ocols)

@@ -43,7 +43,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers[0]) < n:
-        size = max(n, 2 * CHUNK_BYTES)
+        size = max(n, CHUNK_BYTES + 2)
         for k, base in enumerate((_BASE, _BASE_INV)):
             steps = np.full(size, base, dtype=np.uint64)
             steps[0] = 1

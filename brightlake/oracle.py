@@ -147,6 +147,7 @@ SELECT product_id, product_name, category, period, units_sold, {dbl('revenue')}
        {dbl('avg_price')} AS avg_price, {dbl('return_rate_pct')} AS return_rate_pct, revenue_rank,
        volume_rank, {dbl('revenue_share_pct')} AS revenue_share_pct FROM topp"""
 
+# Segment names and the order of the branches.
 LTV_CTE = f"""rfm AS (SELECT *,
     CAST(NTILE(4) OVER (ORDER BY total_spent DESC NULLS LAST, customer_id) AS INTEGER) AS mq,
     CAST(NTILE(4) OVER (ORDER BY order_count DESC NULLS LAST, customer_id) AS INTEGER) AS fq,

@@ -1,6 +1,6 @@
 """Gold aggregates: daily sales, product performance, customer segments.
 
-Every aggregate is a hash aggregation with map-side partial combine, so a hot
+Every aggregate (hash, or sort where its buffer holds text) combines map-side, so a hot
 key (one day, product or customer holding a third of all rows) is folded
 inside each map task before the shuffle and never lands whole in one task.
 """
@@ -27,8 +27,7 @@ def daily_sales(orders: DataFrame, statuses=("completed",)) -> DataFrame:
     per-day aggregate then reads the customer cells for the totals and the
     distinct customers, and the category cells for the arg-max category
     (ties -> smallest category). The order lines are scanned and joined once,
-    and the J1 join disappears. ``daily_totals`` and ``top_category_per_day``
-    remain as the two halves on their own.
+    and the J1 join disappears.
     """
     o = orders.filter(F.col("status").isin(list(statuses))) if statuses else orders
     cells = (o.groupingSets([["order_date", "customer_id"], ["order_date", "category"]],

@@ -42,6 +42,8 @@ BAND_ROWS = 4
 BANDS = 2 * PERMUTATIONS // BAND_ROWS
 #: Similarity of linked documents, in hundredths.
 PERCENT = 80
+#: Bits, as a power of two, of the bitmap that keeps texts of other ids out of a join.
+SIEVE_BITS = 23
 #: Parts that the copies of one shingle set are dealt into.
 SALTS = 16
 #: Counters that order shingles by rarity in the exact join.
@@ -134,10 +136,50 @@ def similar(a: pa.Array, b: pa.Array, words: int, percent: int) -> np.ndarray:
     return out
 
 
+def id_bitmap(ids: DataFrame) -> np.ndarray:
+    """2 ** SIEVE_BITS bits, set where the hash of an id of ``ids`` falls: one size for any input."""
+    def mark(batches):
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            slots = batch.column(1).to_numpy()
+            for block in np.unique(slots >> 15):
+                bits = held.setdefault(int(block), np.zeros(1 << 15, dtype=bool))
+                bits[slots[slots >> 15 == block] & 0x7FFF] = True
+        for block, bits in held.items():
+            yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()),
+                                              "bits": [np.packbits(bits).tobytes()]})
+
+    slot = _slot(ids.columns[0])
+    blocks = (ids.select(F.shiftright(slot, 15).alias("_block"), slot.alias("_slot")).distinct()
+              .repartition("_block").mapInArrow(mark, "block int, bits binary"))
+    bitmap = np.zeros(1 << SIEVE_BITS, dtype=bool)
+    for r in blocks.collect():
+        at = r["block"] << 15
+        bitmap[at:at + (1 << 15)] = np.unpackbits(np.frombuffer(bytes(r["bits"]), np.uint8)).astype(bool)
+    return np.packbits(bitmap)
+
+
+def _slot(column: str):
+    return F.pmod(F.xxhash64(column), F.lit(1 << SIEVE_BITS)).cast("int")
+
+
 def texts_of(pairs: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``_id`` and ``_text`` of the documents in the pairs, written once."""
+    """``_id`` and ``_text`` of the documents in the pairs, written once.
+
+    A bitmap of the ids keeps nearly all other texts out of the join's shuffle.
+    """
     ids = pairs.select(F.explode(F.array("_a", "_b")).alias("_id")).distinct()
-    return _written(docs.select(F.col(key).alias("_id"), F.col(text).alias("_text"))
+    bits = docs.sparkSession.sparkContext.broadcast(id_bitmap(ids))
+
+    def sieve(batches):
+        for batch in batches:
+            slots = batch.column(2).to_numpy()
+            keep = (bits.value[slots >> 3] >> (7 - (slots & 7))) & 1
+            yield batch.select(["_id", "_text"]).filter(pa.array(keep.astype(bool)))
+
+    named = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text"), _slot(key).alias("_slot"))
+    kind = docs.schema[key].dataType.simpleString()
+    return _written(named.mapInArrow(sieve, f"_id {kind}, _text string")
                     .join(ids, "_id", "left_semi"), "neardup-texts")
 
 
@@ -291,7 +333,8 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     bands = _written(reps.select("_id", F.explode("_bands").alias("_band")).distinct(),
                      "neardup-bands")
     several = bands.groupBy("_band").agg(F.min("_id").alias("_x"), F.max("_id").alias("_y"))
-    members = bands.join(several.filter("_x != _y").select("_band"), "_band", "left_semi")
+    members = _written(bands.join(several.filter("_x != _y").select("_band"), "_band", "left_semi"),
+                       "neardup-bucket-members")
     stars = _written(_star_pairs(members), "neardup-stars")
     texts = texts_of(stars, docs_, key, text)
     links = confirm(stars, texts, words, percent)

@@ -5,20 +5,20 @@ far as they go (``MAX_PASSES`` at most). For the rest, documents are counted by
 exact length: each length gives its share, rounded down, one more copy of
 lengths that fit follows while over ``KNAPSACK_WORDS`` words are left, and a
 bounded knapsack over the lengths left fills the remainder as exactly as can be. Documents are then drawn by
-a seeded hash inside each length, so reruns agree.
+a seeded hash of id and text inside each length, so reruns agree.
 
 Defined cases: a null or empty text has size 0, and nothing of it is taken; a
-null source is a source of its own, last in order; repeated rows are documents
-of their own, drawn in any order among equals; a table without words has
-targets of 0. Other columns are ignored by ``mix`` and carried along by
-``sampled_copies``.
+null source is a source of its own, last in order; every row is a document of
+its own, also with a null or repeated id (equal ids and texts are drawn in any
+order); a table without words has targets of 0. Other columns are ignored by
+``mix`` and carried along by ``sampled_copies``.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brightlake.llm.text import WORD_PATTERN
@@ -99,11 +99,17 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int) -> list[int
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
         weights=WEIGHTS, seed: int = SEED) -> DataFrame:
     """``key``, source, ``size``, ``source_size``, ``target`` and ``taken`` of every document."""
+    return _mixed(docs, F.lit(0), key, text, source, weights, seed).drop("_row")
+
+
+def _mixed(docs: DataFrame, row: Column, key: str, text: str, source: str, weights=WEIGHTS,
+           seed: int = SEED) -> DataFrame:
+    """``mix`` with ``row`` as the column ``_row``."""
     spark = docs.sparkSession
     path = scratch_path(spark, "mixing-sizes")
-    (docs.select(F.col(key).alias("_key"), F.col(source).alias("_source"),
+    (docs.select(row.alias("_row"), F.col(key).alias("_key"), F.col(source).alias("_source"),
                  F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0))
-                 .cast("long").alias("size"))
+                 .cast("long").alias("size"), F.xxhash64(text).alias("_text"))
      .write.parquet(path))
     sized = spark.read.parquet(path)
     totals = sized.groupBy("_source").agg(F.sum("size").alias("s")).collect()
@@ -120,8 +126,8 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
         plan, "_source string, _n int, source_size long, target double, _passes int, _budget long")
     rows = (sized.withColumn("_source", F.col("_source").cast("string")).alias("d")
             .join(goals.alias("g"), F.col("d._source").eqNullSafe(F.col("g._source")))
-            .select("_key", "d._source", "size", "_n", "source_size", "target", "_passes",
-                    "_budget", F.xxhash64(F.lit(seed), "_key", "size").alias("_draw")))
+            .select("_row", "_key", "d._source", "size", "_n", "source_size", "target", "_passes",
+                    "_budget", F.xxhash64(F.lit(seed), "_key", "size", "_text").alias("_draw")))
 
     def fill(lengths: pd.DataFrame) -> pd.DataFrame:
         lengths["_take"] = fit_budget(lengths["size"].to_numpy(), lengths["_rows"].to_numpy(),
@@ -141,11 +147,11 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
                   Window.partitionBy("_n", "size").orderBy("_place")) - F.col("_here"))
               .drop("_here"))
     rank = F.row_number().over(Window.partitionBy("_n", "size", "_place")
-                               .orderBy("_draw", "_key"))
+                               .orderBy("_draw", "_key", "_row"))
     return (rows.join(before, ["_n", "size", "_place"])
             .withColumn("_copies", F.col("_passes") + (rank + F.col("_before") <= F.col("_take"))
                         .cast("int"))
-            .select(F.col("_key").alias(key), F.col("_source").alias(source), "size",
+            .select("_row", F.col("_key").alias(key), F.col("_source").alias(source), "size",
                     "source_size", "target", (F.col("size") * F.col("_copies")).alias("taken")))
 
 
@@ -153,10 +159,16 @@ def sampled_copies(docs: DataFrame, key: str = "doc_id", text: str = "text",
                    source: str = "source", **options) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with all their columns.
 
-    ``key`` must tell the documents apart.
+    Rows are numbered once, and copies are joined back by that number.
     """
-    mixed = (mix(docs, key, text, source, **options).filter(F.col("taken") > 0)
-             .select(F.col(key).alias("_key"),
-                     (F.col("taken") / F.col("size")).cast("int").alias("_copies")))
-    times = mixed.select("_key", F.explode(F.sequence(F.lit(1), "_copies")))
-    return docs.join(times, docs[key] == times["_key"]).select(*[docs[c] for c in docs.columns])
+    spark = docs.sparkSession
+    path = scratch_path(spark, "mixing-rows")
+    (docs.select(F.monotonically_increasing_id().alias("_row"),
+                 F.struct(*[docs[c] for c in docs.columns]).alias("_doc")).write.parquet(path))
+    rows = spark.read.parquet(path)
+    plain = rows.select("_row", *[F.col("_doc")[c].alias(f"_{n}")
+                                  for n, c in enumerate((key, text, source))])
+    times = (_mixed(plain, F.col("_row"), "_0", "_1", "_2", **options).filter("taken > 0")
+             .select("_row", F.explode(F.sequence(
+                 F.lit(1), (F.col("taken") / F.col("size")).cast("int"))).alias("_copy")))
+    return rows.join(times, "_row").select("_doc.*")

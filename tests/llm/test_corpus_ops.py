@@ -258,6 +258,20 @@ def test_mixing_targets_and_budgets(spark):
     assert Counter(r.doc_id for r in copies.collect()) == expect
 
 
+def test_mixing_copies_of_null_and_repeated_ids(spark):
+    rows = edge_rows() + [(None if i % 3 == 0 else i // 2, "w " * (i % 20) + f"x{i % 4}", None,
+                           f"s{i % 4}", i) for i in range(300)]
+    docs = edge_table(spark, rows)
+    taken = Counter()
+    for r in mixing.mix(docs).collect():
+        if r.taken:
+            taken[r.doc_id, r.source, r["size"]] += r.taken // r["size"]
+    copies = mixing.sampled_copies(docs).collect()
+    assert any(k is None for k, _, _ in taken) and any(k == 3 for k, _, _ in taken)
+    assert Counter((r.doc_id, r.source, len(words(r.text))) for r in copies) == taken
+    assert max(Counter(map(tuple, copies)).values()) <= 3 * max(Counter(map(tuple, rows)).values())
+
+
 def test_targets_stop_at_three_times():
     assert mixing.targets([10, 1000], [3, 1]) == [30.0, 980.0]
     assert mixing.targets([0, 5], [1, 2]) == [0.0, 5.0]

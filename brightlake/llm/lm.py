@@ -7,11 +7,10 @@ Each decision is predicted in ``CONTEXTS`` ways from the training rows: how
 often the branch was taken in that context, kept in hashed tables. The
 predictions are mixed in the logistic domain with weights chosen by a gate
 (kind of decision and how much each context has been seen). The weights are
-learned on training rows with each decision's own count left out, and refined
-online in every text that is scored: after each ``BLOCK`` decisions the weights
-of the text take a gradient step; long texts adapt in segments of ``SEGMENT``
-decisions. The score is the log10 probability of the whole text, in bits per
-byte besides.
+learned on all training rows, with each decision's own count left out, by Newton
+steps whose gradients are summed in Spark, and then refined online, decision by
+decision, through the whole of every text that is scored. The score is the log10
+probability of the whole text, in bits per byte besides.
 
 Word counts of all training rows are summed in Spark and stay a table: counts
 of the most frequent words travel to the tasks (``TOP_WORDS``, a fixed bound),
@@ -27,6 +26,7 @@ any other; repeated rows are scored each; without training rows every count is
 from __future__ import annotations
 
 import heapq
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -44,13 +44,15 @@ TOP_WORDS = 1 << 18
 CODED_WORDS = 1 << 16
 #: The most frequent of those serve as a context for what follows.
 MARKER_WORDS = 512
-#: Decisions that share their adapted weights, and the longest run that adapts as one.
-BLOCK = 64
-SEGMENT = 8192
+#: Fewer texts than this are adapted one by one, others side by side.
+LANES = 16
 #: Decisions of a path whose counters lie side by side.
 NEAR = 4
-#: Training rows (those of smallest hash) that set the weights the scoring starts from.
-WEIGHT_ROWS = 1000
+#: One training row in so many gives the point that the steps over all rows begin at.
+FIRST_SHARE = 32
+#: Newton steps at most, and the change of a weight that ends them (the next would be its square).
+ROUNDS = 5
+SETTLED = 0.03
 RATE = 0.015
 #: Text that a task turns into decisions at a time, in bytes.
 CHUNK_BYTES = 1 << 19
@@ -214,63 +216,75 @@ def predictions(tables: list[np.ndarray], slots: list[np.ndarray], turn: np.ndar
 
 
 def mix_scores(stretched, gate, turn, bounds, weights: np.ndarray) -> np.ndarray:
-    """Natural-log probability of each row, its weights adapting block by block."""
-    n = len(bounds) - 1
-    run = SEGMENT // BLOCK
-    # Blocks of each row, in lanes of ``run`` blocks; sorted so that the blocks that all
-    # lanes take at the same time lie together, and the same lane has the same place.
-    blocks = -(-np.diff(bounds) // BLOCK)
-    row = np.repeat(np.arange(n), blocks)
-    inside = np.arange(len(row)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-    lane = np.cumsum(inside % run == 0) - 1
-    lane_size = np.bincount(lane, minlength=1)
-    lane_place = np.empty(len(lane_size), np.int64)
-    lane_place[np.argsort(-lane_size, kind="stable")] = np.arange(len(lane_size))
-    time = inside % run
-    order = np.lexsort((lane_place[lane], time)) if len(row) else row
-    row, inside = row[order], inside[order]
-    source = (bounds[row] + inside * BLOCK)[:, None] + np.arange(BLOCK)
-    filled = (source < bounds[row + 1][:, None])
-    source = np.minimum(source, max(len(turn) - 1, 0)).astype(np.int32)
+    """Natural-log probability of each row, its weights adapting after every decision."""
+    n, size = len(bounds) - 1, np.diff(bounds)
+    order = np.argsort(-size, kind="stable")
+    start, size = bounds[:-1][order], size[order]
+    # As long as LANES rows go on, all rows take their next decision together; the longest
+    # row has the first place. What is left of the longest rows follows one by one.
+    steps = int(size[LANES - 1]) if n >= LANES else 0
+    live = np.searchsorted(-size, -np.arange(steps), side="left")
+    ends = np.cumsum(live)
+    lane = np.arange(ends[-1] if steps else 0) - np.repeat(ends - live, live)
+    source = start[lane] + np.repeat(np.arange(steps), live)
     sign = (2 * turn - 1).astype(np.float32)
-    signed = [s * sign for s in stretched]
-    inputs = [np.take(s, source) * filled for s in signed]
-    gates = np.take(gate, source)
-    margin = np.zeros(source.shape, np.float32)
-    # The weights of each lane, one row of gates after another.
-    own = [np.tile(weights[:, k].astype(np.float32), len(lane_size)) for k in range(CONTEXTS)]
-    ends = np.cumsum(np.bincount(time, minlength=1))
-    begin = 0
-    for end in ends if len(row) else ():
-        now, m = slice(begin, end), end - begin
-        which = gates[now] + (np.arange(m, dtype=np.int32) * GATES)[:, None]
-        for k in range(CONTEXTS):
-            margin[now] += np.take(own[k], which) * inputs[k][now]
-        miss = np.float32(RATE) / (1 + np.exp(np.minimum(margin[now], 80)))
-        for k in range(CONTEXTS):
-            own[k][:m * GATES] += np.bincount(which.ravel(), (inputs[k][now] * miss).ravel(), m * GATES)
-        begin = end
+    inputs = np.stack([s[source] * sign[source] for s in stretched])
+    own = np.tile(weights.T.astype(np.float32), (1, n)).ravel()
+    which = (gate[source] + lane * GATES) + (np.arange(CONTEXTS) * (n * GATES))[:, None]
+    margin = np.empty(len(source), np.float32)
+    begin, rate = 0, np.float32(RATE)
+    with np.errstate(over="ignore"):
+        for end in ends.tolist():
+            at, x = which[:, begin:end], inputs[:, begin:end]
+            w = own[at]
+            here = margin[begin:end]
+            np.einsum("ij,ij->j", w, x, out=here)
+            w += x * (rate / (1 + np.exp(here)))
+            own[at] = w
+            begin = end
     np.clip(margin, -80, 80, out=margin)
     cost = np.log(1 + np.exp(-np.abs(margin))) - np.minimum(margin, 0)
-    return -np.bincount(row, (cost * filled).sum(axis=1, dtype=np.float64), n)
-
-
-def learn_weights(stretched, gate, turn, weights: np.ndarray, rounds: int = 4) -> np.ndarray:
-    """Gate weights by Newton steps of a logistic regression over the decisions given."""
-    x, target = stretched.astype(np.float64), turn.astype(np.float64)
-    start = weights
-    for _ in range(rounds):
-        margin = np.clip((weights[gate].T * x).sum(axis=0), -20, 20)
-        p = 1 / (1 + np.exp(-margin))
-        slope = np.stack([np.bincount(gate, (target - p) * x[k], GATES) for k in range(CONTEXTS)],
-                         axis=1) - 10.0 * (weights - start)
-        bend = np.empty((GATES, CONTEXTS, CONTEXTS))
-        for j in range(CONTEXTS):
-            for k in range(j, CONTEXTS):
-                bend[:, j, k] = bend[:, k, j] = np.bincount(gate, p * (1 - p) * x[j] * x[k], GATES)
-        bend += 10.0 * np.eye(CONTEXTS)
-        weights = weights + np.linalg.solve(bend, slope[:, :, None])[:, :, 0]
-    return weights
+    total = np.zeros(n) - np.bincount(lane, cost, n)
+    own = own.reshape(CONTEXTS, n, GATES)
+    for i in np.flatnonzero(size > steps):
+        rest = slice(start[i] + steps, start[i] + size[i])
+        total[i] += _adapt([s[rest] * sign[rest] for s in stretched], gate[rest], own[:, i])
+    out = np.empty(n)
+    out[order] = total
+    return out
+
+
+def _adapt(inputs, gate, weights: np.ndarray) -> float:
+    """What ``mix_scores`` does, for the rest of one row."""
+    exp, log1p, total = math.exp, math.log1p, 0.0
+    own = [w.tolist() for w in weights]
+    a, b, c = own
+    for g, x, y, z in zip(gate.tolist(), *[v.tolist() for v in inputs]):
+        margin = a[g] * x + b[g] * y + c[g] * z
+        margin = -80.0 if margin < -80 else 80.0 if margin > 80 else margin
+        odds = exp(-margin)
+        total -= log1p(odds)
+        miss = RATE * odds / (1 + odds)
+        a[g] += x * miss
+        b[g] += y * miss
+        c[g] += z * miss
+    return total
+
+
+def gradients(stretched, gate, turn, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slope and curvature of the decisions' log-likelihood, gate by gate."""
+    margin = np.zeros(len(gate), np.float32)
+    for k in range(CONTEXTS):
+        margin += weights[:, k].astype(np.float32)[gate] * stretched[k]
+    p = 1 / (1 + np.exp(-np.clip(margin, -20, 20)))
+    miss, spread = turn - p, p * (1 - p)
+    slope = np.stack([np.bincount(gate, miss * stretched[k], GATES) for k in range(CONTEXTS)], axis=1)
+    bend = np.empty((GATES, CONTEXTS, CONTEXTS))
+    for j in range(CONTEXTS):
+        side = spread * stretched[j]
+        for k in range(j, CONTEXTS):
+            bend[:, j, k] = bend[:, k, j] = np.bincount(gate, side * stretched[k], GATES)
+    return slope, bend
 
 
 START_WEIGHT = 0.35
@@ -384,30 +398,46 @@ def count_decisions(texts: DataFrame, coder) -> list[np.ndarray]:
     return tables
 
 
-def start_weights(texts: DataFrame, model) -> np.ndarray:
-    """Weights from ``WEIGHT_ROWS`` training texts, averaged over tasks by decisions seen."""
+def summed_gradients(texts: DataFrame, model, weights: np.ndarray):
+    """``gradients`` of all texts: a sum in Spark of one set of numbers a task."""
     def run(batches):
         coder, tables = model.value
-        first = np.full((GATES, CONTEXTS), START_WEIGHT)
+        total = np.zeros(GATES * CONTEXTS * (1 + CONTEXTS))
         for batch in batches:
             for _, _, chunk in chunks(batch.column(0), lower=True, limit=CHUNK_BYTES):
                 slots, turn, is_byte, _ = coder.decisions(chunk)
                 x, gate = predictions(tables, slots, turn, is_byte, True)
-                yield pa.RecordBatch.from_pydict({
-                    "weights": [learn_weights(x, gate, turn, first).tobytes()],
-                    "seen": [np.bincount(gate, minlength=GATES).astype(np.int64).tobytes()]})
-
-    mark = F.xxhash64(texts.columns[0])
-    picks = texts.select(mark.alias("_mark")).orderBy("_mark").limit(WEIGHT_ROWS).distinct()
-    sample = (texts.withColumn("_mark", mark).join(F.broadcast(picks), "_mark", "left_semi")
-              .drop("_mark").dropDuplicates())
-    found = sample.mapInArrow(run, "weights binary, seen binary").collect()
-    total, weights = np.full(GATES, 1e-9), np.zeros((GATES, CONTEXTS)) + START_WEIGHT * 1e-9
-    for r in sorted(found, key=lambda r: bytes(r["weights"])):
-        seen = np.frombuffer(bytes(r["seen"]), np.int64)
-        weights += np.frombuffer(bytes(r["weights"])).reshape(GATES, CONTEXTS) * seen[:, None]
-        total += seen
-    return weights / total[:, None]
+                total += np.concatenate([v.ravel() for v in gradients(x, gate, turn, weights)])
+        # Whole numbers, so that the sum does not depend on its order.
+        yield pa.RecordBatch.from_pydict({"place": pa.array(np.arange(len(total)), pa.int32()),
+                                          "part": np.rint(total * (1 << 16)).astype(np.int64)})
+
+    found = (texts.mapInArrow(run, "place int, part long").groupBy("place")
+             .agg(F.sum(F.col("part").cast("decimal(38,0)")).alias("part")).collect())
+    total = np.zeros(GATES * CONTEXTS * (1 + CONTEXTS))
+    for r in found:
+        total[r["place"]] = float(r["part"]) / (1 << 16)
+    at = GATES * CONTEXTS
+    return (total[:at].reshape(GATES, CONTEXTS), total[at:].reshape(GATES, CONTEXTS, CONTEXTS))
+
+
+def start_weights(texts: DataFrame, model) -> np.ndarray:
+    """Gate weights of a logistic regression over all decisions of all training texts.
+
+    The first steps, over one row in ``FIRST_SHARE``, only bring the weights near; the
+    steps over all rows go on until they are settled.
+    """
+    prior = weights = np.full((GATES, CONTEXTS), START_WEIGHT)
+    some = texts.filter(F.pmod(F.xxhash64(texts.columns[0]), F.lit(FIRST_SHARE)) == 0)
+    for rows in (some, texts):
+        for _ in range(ROUNDS):
+            slope, bend = summed_gradients(rows, model, weights)
+            slope, bend = slope - 10.0 * (weights - prior), bend + 10.0 * np.eye(CONTEXTS)
+            step = np.linalg.solve(bend, slope[:, :, None])[:, :, 0]
+            weights = weights + step
+            if np.abs(step).max() < SETTLED:
+                break
+    return weights
 
 
 def score(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -8,11 +8,12 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from brightlake.llm import fingerprint, lm, mixing, neardup, sharding, toxicity
-from brightlake.llm.text import fold
+from brightlake.llm.text import chunks, fold
 from tests.llm.helpers import (LOWER, SCHEMA, SF, edge_rows, edge_table, held_out, words)
 
 
@@ -167,6 +168,58 @@ def test_lm_probabilities_sum_to_one():
     assert list(length).index(min(length)) == 5
 
 
+def test_lm_weights_adapt_after_every_decision():
+    rng = np.random.default_rng(4)
+    sizes = [0, 1, 7, 64, 9000, 20000] + [int(x) for x in rng.integers(0, 300, 40)]
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    x = rng.normal(size=(lm.CONTEXTS, bounds[-1])).astype(np.float32)
+    gate = rng.integers(0, lm.GATES, bounds[-1]).astype(np.int32)
+    turn = (rng.random(bounds[-1]) < 0.8).astype(np.int8)
+    weights = rng.normal(size=(lm.GATES, lm.CONTEXTS))
+    expect = []
+    for a, b in zip(bounds, bounds[1:]):
+        own, total = weights.copy(), 0.0
+        for i in range(a, b):
+            sign = 2 * int(turn[i]) - 1
+            margin = sign * float(own[gate[i]] @ x[:, i])
+            total -= math.log1p(math.exp(-margin))
+            own[gate[i]] += lm.RATE * sign * x[:, i] / (1 + math.exp(margin))
+        expect.append(total)
+    got = lm.mix_scores(x, gate, turn, bounds, weights)
+    assert np.allclose(got, expect, rtol=1e-4, atol=1e-4)
+    few = lm.mix_scores(x, gate, turn, bounds[:7], weights)
+    assert np.allclose(few, expect[:6], rtol=1e-4, atol=1e-4)
+
+
+def test_lm_start_weights_fit_all_training_rows(spark):
+    rnd = random.Random(12)
+    texts = ["the same old line"] * 1200
+    texts += [" ".join(f"w{int(rnd.random() ** 2 * 80)}" for _ in range(30)) for _ in range(1500)]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    count = Counter(w for t in texts for w in t.split())
+    letters = np.zeros(257, np.int64)
+    for w, n in count.items():
+        letters[:256] += n * np.bincount(list(w.encode()), minlength=256)
+        letters[256] += n
+    (_, _, chunk), = chunks(pa.array(sorted(count)), lower=True)
+    coder = lm.Coder(chunk.word_hashes(), np.array([count[w] for w in sorted(count)]),
+                     len(texts), letters)
+    tables = lm.count_decisions(rows, spark.sparkContext.broadcast(coder))
+    weights = lm.start_weights(rows, spark.sparkContext.broadcast((coder, tables)))
+    slope = -10.0 * (weights - lm.START_WEIGHT)
+    bend = 10.0 * np.tile(np.eye(lm.CONTEXTS), (lm.GATES, 1, 1))
+    for _, _, chunk in chunks(pa.array(texts), lower=True):
+        slots, turn, is_byte, _ = coder.decisions(chunk)
+        x, gate = (np.float64(v) for v in lm.predictions(tables, slots, turn, is_byte, True))
+        gate = gate.astype(int)
+        p = 1 / (1 + np.exp(-(weights[gate].T * x).sum(axis=0)))
+        for g in range(lm.GATES):
+            at = x[:, gate == g]
+            slope[g] += at @ (turn - p)[gate == g]
+            bend[g] += (at * (p * (1 - p))[gate == g]) @ at.T
+    assert np.abs(np.linalg.solve(bend, slope[:, :, None])).max() < 0.01
+
+
 def test_lm_learns_from_what_it_has_seen(spark):
     rows = [(i, f"the cat sat on the mat and cat number {i % 7} ran away from the dog", None, None, 0)
             for i in range(300)]

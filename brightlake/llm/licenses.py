@@ -8,8 +8,12 @@ notice, and its similarity to 80 % of the template is above 0.19 there (1/4
 for one shingle). Each of ``BANDS`` bands is one minimum, so such a window
 misses every band with a probability below ``(1 - 0.19)**48 = 5e-5``.
 Candidates are verified by the exact share of the template's distinct shingles
-that the window holds. Where notices overlap, the best match stands: the
-higher share, then the larger template.
+in a run of the window that holds no shingle more often than the template does,
+so notices that follow each other are found one by one. Runs that begin and end
+in the template's order and are no longer than it come first; then longer ones
+(words were put in), then those in another order (parts were moved) count where
+none of the former of the same template is. Where notices overlap, the best match stands: more shared
+shingles (repeats count), then the smaller template, of which that is more.
 
 Defined cases: a null or empty text matches nothing; a text of fewer words than
 a shingle has its whole word sequence as one; repeated rows match each; a null
@@ -103,10 +107,16 @@ class Templates:
         self.names = list(texts)
         data = pa.array(list(texts.values()), pa.string())
         sets: list[np.ndarray] = [np.zeros(0, np.uint64)] * len(texts)
+        #: How often each shingle of the set stands in the template, first where, last where.
+        self.shape: list[tuple[list[int], list[int], list[int]]] = [([], [], [])] * len(texts)
         for first, _, chunk in chunks(data):
             rows, _, values = sequence(chunk)
             for r in range(chunk.n):
-                sets[first + r] = np.unique(values[rows == r])
+                own = values[rows == r]
+                sets[first + r], begin, times = np.unique(own, return_index=True,
+                                                          return_counts=True)
+                last = len(own) - 1 - np.unique(own[::-1], return_index=True)[1]
+                self.shape[first + r] = (times.tolist(), begin.tolist(), last.tolist())
         self.sets = sets
         self.size = [max(SMALLEST, 1 << int(2 * len(s) - 1).bit_length()) if len(s) else 0
                      for s in sets]
@@ -149,27 +159,72 @@ def _candidates(rows: np.ndarray, values: np.ndarray, templates: Templates):
         starts, owner, half = starts[pairs], owner_new, 2 * half
 
 
+def _runs(codes: list[int], at: list[int], template: tuple, need: int, limit: int):
+    """``(in order, hits, first, last, distinct)`` of runs with enough distinct shingles.
+
+    A run is no longer than ``limit`` and holds no shingle more often than the template; of
+    the runs from one start, the longest that ends in order stands, and the longest other.
+    """
+    times, first, last = template
+    held, shared, start = [0] * len(times), 0, 0
+    found: dict[tuple[bool, int], tuple[bool, int, int, int, int]] = {}
+    for n, (place, code) in enumerate(zip(at, codes), 1):
+        held[code] += 1
+        shared += held[code] == 1
+        while held[code] > times[code] or place - at[start] >= limit:
+            held[codes[start]] -= 1
+            shared -= held[codes[start]] == 0
+            start += 1
+        if shared >= need:
+            ordered = first[codes[start]] <= last[code]
+            found[ordered, start] = (ordered, n - start, at[start], place, shared)
+    return found.values()
+
+
 def matches(chunk: Chunk, templates: Templates, percent: int = PERCENT):
     """``(row, template, first word, shared, size)`` of every notice, the best at each place."""
     rows, place, values = sequence(chunk)
-    found: dict[int, list[tuple[float, int, int, int, int]]] = {}
+    # By row: runs in order and no longer than the template, other runs in order, the rest.
+    found: dict[int, list[set[tuple[int, int, int, int, int]]]] = {}
     for a, b, t in _candidates(rows, values, templates):
-        inside = np.isin(values[a:b], templates.sets[t])
-        shared, size = len(np.unique(values[a:b][inside])), len(templates.sets[t])
-        if 100 * shared >= percent * size:
-            at = np.flatnonzero(inside) + a
-            found.setdefault(int(rows[a]), []).append(
-                (-shared / size, -size, int(place[at[0]]), int(place[at[-1]]), t))
-    for row, hits in sorted(found.items()):
+        inside = np.flatnonzero(np.isin(values[a:b], templates.sets[t]))
+        size = len(templates.sets[t])
+        need = -(-percent * size // 100)
+        if len(inside) < need:
+            continue
+        codes = np.searchsorted(templates.sets[t], values[a:b][inside]).tolist()
+        if len(set(codes)) < need:
+            continue
+        at, classes = place[a + inside].tolist(), found.setdefault(int(rows[a]), [set(), set(), set()])
+        length = sum(templates.shape[t][0])
+        for limit in (length, int(b - a)):
+            for ordered, *run in _runs(codes, at, templates.shape[t], need, limit):
+                classes[(limit > length) if ordered else 2].add((*run, t))
+    for row, classes in sorted(found.items()):
+        hits: set[tuple[int, int, int, int, int]] = set()
+        for more in classes:
+            spans: dict[int, list[tuple[int, int]]] = {}
+            for _, begin, end, _, t in hits:
+                spans.setdefault(t, []).append((begin, end))
+            # Starts in order, and the furthest end up to each.
+            reach = {t: ([p[0] for p in sorted(pairs)],
+                         np.maximum.accumulate([p[1] for p in sorted(pairs)]))
+                     for t, pairs in spans.items()}
+            for hit in more:
+                starts, ends = reach.get(hit[4], ((), ()))
+                at = bisect.bisect(starts, hit[2])
+                if not at or ends[at - 1] < hit[1]:
+                    hits.add(hit)
         # Kept notices do not overlap, so they stand in one order.
         begins: list[int] = []
         kept: list[tuple[int, int, int, int]] = []
-        for share, size, begin, end, t in sorted(hits):
+        for _, begin, end, shared, t in sorted(hits, key=lambda h: (
+                -h[0], sum(templates.shape[h[4]][0]), h[2] - h[1], h[1], h[4])):
             at = bisect.bisect(begins, end)
             if at and kept[at - 1][1] >= begin:
                 continue
             begins.insert(at, begin)
-            kept.insert(at, (begin, end, t, round(share * size)))
+            kept.insert(at, (begin, end, t, shared))
         for begin, _, t, shared in kept:
             yield row, t, begin, shared, len(templates.sets[t])
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import pyarrow as pa
@@ -145,6 +146,30 @@ def test_license_windows_miss_no_position():
             assert [known.names[h[1]] for h in hits] == [name] and hits[0][2] == pad
 
 
+def license_hits(text, templates=None):
+    known = licenses.Templates(licenses.TEMPLATES if templates is None else templates)
+    return [(known.names[h[1]], h[2]) for _, _, c in T.chunks(pa.array([text]))
+            for h in licenses.matches(c, known)]
+
+
+def test_license_notices_in_a_row_are_each_found():
+    two, three, mit = (licenses.TEMPLATES[n] for n in ("GPL-2.0/line", "GPL-3.0/line", "MIT/line"))
+    assert license_hits(f"{two} {three}") == [("GPL-2.0/line", 0), ("GPL-3.0/line", 12)]
+    assert license_hits(f"{three} {two}") == [("GPL-3.0/line", 0), ("GPL-2.0/line", 12)]
+    assert license_hits(" ".join([mit] * 3)) == [("MIT/line", 5 * i) for i in range(3)]
+    for name in ("MIT", "GPL-3.0", "Apache-2.0", "GPL-2.0/line", "BSD-3-Clause"):
+        notice = licenses.TEMPLATES[name]
+        n = len(re.findall(r"[A-Za-z0-9]+", notice))
+        for times in (2, 3, 4, 7):
+            assert license_hits(" ".join(["pad"] * 9 + [notice] * times)) == [
+                (name, 9 + n * i) for i in range(times)]
+    # A part of a notice before it, and words put into it.
+    assert license_hits(f"is licensed under the GNU General {three}") == [("GPL-3.0/line", 6)]
+    gpl = licenses.TEMPLATES["GPL-3.0"].split()
+    more = " ".join(gpl[:30] + ["x"] * 25 + gpl[30:])
+    assert license_hits(f"{more} {more}") == [("GPL-3.0", 0), ("GPL-3.0", len(re.findall(r"\w+", more)))]
+
+
 PAGE = """<html><head><title>T</title><style>p{{}}</style></head><body class="has-sidebar">
 <header><h1>Site</h1></header><nav>Menu <a href=x>a</a></nav><div class="cookie-notice">We use</div>
 <main><article class="post"><h1>Real &eacute; title</h1><p>One <b>bo</b>ld &amp; x<p class=ad>Buy

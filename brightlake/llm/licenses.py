@@ -35,7 +35,48 @@ BANDS = 48
 PERCENT = 80
 SMALLEST = 4
 
-#: Public notices by license, as their owners word them.
+def _gnu(license_: str, version: str, work: str = "program", mark: str = ":") -> str:
+    """The notice that the GNU licenses ask for in each file."""
+    stop = ";" if mark == ";" else ","
+    return (
+        f"This {work} is free software{mark} you can redistribute it and/or modify it under the terms "
+        f"of the GNU {license_} as published by the Free Software Foundation{stop} either "
+        f"version {version} of the License, or (at your option) any later version. This {work} is "
+        "distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even "
+        "the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU "
+        f"{license_} for more details.")
+
+
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are "
+    "permitted provided that the following conditions are met: 1. Redistributions of source "
+    "code must retain the above copyright notice, this list of conditions and the following "
+    "disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+    "this list of conditions and the following disclaimer in the documentation and/or other "
+    "materials provided with the distribution. ")
+_BSD_NAMES = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to "
+    "endorse or promote products derived from this software without specific prior written "
+    "permission. ")
+_BSD_DISCLAIMER = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS "
+    "OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF "
+    "MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE "
+    "COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, "
+    "EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE "
+    "GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND "
+    "ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING "
+    "NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED "
+    "OF THE POSSIBILITY OF SUCH DAMAGE.")
+_MIT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
+    "software and associated documentation files (the \"Software\"), to deal in the Software "
+    "without restriction, including without limitation the rights to use, copy, modify, "
+    "merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
+    "permit persons to whom the Software is furnished to do so")
+
+#: Notices by license. ``/line`` and ``/licensed`` are one-line notices, some of
+#: them as the documents word them; ``/text`` is a whole license text beside its opening part.
 TEMPLATES = {
     "Apache-2.0/line": "Licensed under the Apache License, Version 2.0.",
     "CC-BY-4.0/line": "Licensed under CC BY 4.0.",
@@ -44,31 +85,62 @@ TEMPLATES = {
     "GPL-2.0/line": "This work is licensed under the GNU General Public License, version 2.",
     "GPL-3.0/line": "This work is licensed under the GNU General Public License, version 3.",
     "MIT/line": "Released under the MIT License.",
+    "MIT/licensed": "Licensed under the MIT License.",
+    "BSD-2-Clause/line": "Licensed under the BSD 2-Clause License.",
+    "BSD-3-Clause/line": "Licensed under the BSD 3-Clause License.",
+    "MPL-2.0/line": "Licensed under the Mozilla Public License, version 2.0.",
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this "
         "file except in compliance with the License. You may obtain a copy of the License at "
         "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed "
         "to in writing, software distributed under the License is distributed on an \"AS IS\" "
         "BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."),
-    "BSD-3-Clause": (
-        "Redistribution and use in source and binary forms, with or without modification, are "
-        "permitted provided that the following conditions are met: Redistributions of source "
-        "code must retain the above copyright notice, this list of conditions and the following "
-        "disclaimer. Redistributions in binary form must reproduce the above copyright notice, "
-        "this list of conditions and the following disclaimer in the documentation and/or other "
-        "materials provided with the distribution."),
-    "GPL-3.0": (
-        "This program is free software: you can redistribute it and/or modify it under the terms "
-        "of the GNU General Public License as published by the Free Software Foundation, either "
-        "version 3 of the License, or (at your option) any later version. This program is "
-        "distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even "
-        "the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."),
-    "MIT": (
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
-        "software and associated documentation files (the \"Software\"), to deal in the Software "
-        "without restriction, including without limitation the rights to use, copy, modify, "
-        "merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
-        "permit persons to whom the Software is furnished to do so."),
+    "BSD-2-Clause": _BSD + _BSD_DISCLAIMER,
+    "BSD-3-Clause": _BSD + _BSD_NAMES + _BSD_DISCLAIMER,
+    "GPL-2.0": _gnu("General Public License", "2", mark=";"),
+    "GPL-3.0": _gnu("General Public License", "3"),
+    "AGPL-3.0": _gnu("Affero General Public License", "3"),
+    "LGPL-2.1": _gnu("Lesser General Public License", "2.1", "library", ";"),
+    "LGPL-2.1/program": _gnu("Lesser General Public License", "2.1", "program", ";"),
+    "LGPL-3.0": _gnu("Lesser General Public License", "3"),
+    "LGPL-3.0/library": _gnu("Lesser General Public License", "3", "library"),
+    "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a "
+        "copy of the MPL was not distributed with this file, You can obtain one at "
+        "https://mozilla.org/MPL/2.0/."),
+    "CC0-1.0": (
+        "To the extent possible under law, the author(s) have dedicated all copyright and related "
+        "and neighboring rights to this software to the public domain worldwide. This software is "
+        "distributed without any warranty. You should have received a copy of the CC0 Public Domain "
+        "Dedication along with this software."),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+        "without fee is hereby granted, provided that the above copyright notice and this "
+        "permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR "
+        "DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF "
+        "MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, "
+        "DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF "
+        "USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS "
+        "ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to "
+        "copy, modify, publish, use, compile, sell, or distribute this software, either in source "
+        "code form or as a compiled binary, for any purpose, commercial or non-commercial, and by "
+        "any means. In jurisdictions that recognize copyright laws, the author or authors of this "
+        "software dedicate any and all copyright interest in the software to the public domain. We "
+        "make this dedication for the benefit of the public at large and to the detriment of our "
+        "heirs and successors. We intend this dedication to be an overt act of relinquishment in "
+        "perpetuity of all present and future rights to this software under copyright law."),
+    "MIT": _MIT + ".",
+    "MIT/text": (
+        _MIT + ", subject to the following conditions: The above copyright notice and this "
+        "permission notice shall be included in all copies or substantial portions of the Software. "
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, "
+        "INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR "
+        "PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE "
+        "FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+        "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER "
+        "DEALINGS IN THE SOFTWARE."),
 }
 
 _PLAIN = np.arange(256, dtype=np.uint8)
@@ -107,16 +179,15 @@ class Templates:
         self.names = list(texts)
         data = pa.array(list(texts.values()), pa.string())
         sets: list[np.ndarray] = [np.zeros(0, np.uint64)] * len(texts)
-        #: How often each shingle of the set stands in the template, first where, last where.
-        self.shape: list[tuple[list[int], list[int], list[int]]] = [([], [], [])] * len(texts)
+        #: How often each shingle of the set stands in the template, and where first.
+        self.shape: list[tuple[list[int], list[int]]] = [([], [])] * len(texts)
         for first, _, chunk in chunks(data):
             rows, _, values = sequence(chunk)
             for r in range(chunk.n):
                 own = values[rows == r]
                 sets[first + r], begin, times = np.unique(own, return_index=True,
                                                           return_counts=True)
-                last = len(own) - 1 - np.unique(own[::-1], return_index=True)[1]
-                self.shape[first + r] = (times.tolist(), begin.tolist(), last.tolist())
+                self.shape[first + r] = (times.tolist(), begin.tolist())
         self.sets = sets
         self.size = [max(SMALLEST, 1 << int(2 * len(s) - 1).bit_length()) if len(s) else 0
                      for s in sets]
@@ -165,7 +236,16 @@ def _runs(codes: list[int], at: list[int], template: tuple, need: int, limit: in
     A run is no longer than ``limit`` and holds no shingle more often than the template; of
     the runs from one start, the longest that ends in order stands, and the longest other.
     """
-    times, first, last = template
+    times, offset = template
+    # The places in the template of the last and the next hit that stands there once.
+    before, after = [-1] * len(codes), [len(times)] * len(codes)
+    for ends, step, order in ((before, -1, range(len(codes))),
+                              (after, 1, range(len(codes) - 1, -1, -1))):
+        for i in order:
+            if times[codes[i]] == 1:
+                ends[i] = offset[codes[i]]
+            elif 0 <= i + step < len(codes):
+                ends[i] = ends[i + step]
     held, shared, start = [0] * len(times), 0, 0
     found: dict[tuple[bool, int], tuple[bool, int, int, int, int]] = {}
     for n, (place, code) in enumerate(zip(at, codes), 1):
@@ -176,7 +256,7 @@ def _runs(codes: list[int], at: list[int], template: tuple, need: int, limit: in
             shared -= held[codes[start]] == 0
             start += 1
         if shared >= need:
-            ordered = first[codes[start]] <= last[code]
+            ordered = bool(after[start] <= before[n - 1])
             found[ordered, start] = (ordered, n - start, at[start], place, shared)
     return found.values()
 

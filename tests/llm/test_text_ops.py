@@ -170,6 +170,31 @@ def test_license_notices_in_a_row_are_each_found():
     assert license_hits(f"{more} {more}") == [("GPL-3.0", 0), ("GPL-3.0", len(re.findall(r"\w+", more)))]
 
 
+def test_license_notices_are_not_taken_for_each_other():
+    for name in licenses.TEMPLATES:
+        assert license_hits(licenses.TEMPLATES[name]) == [(name, 0)]
+    free = ("This {work} is free software; you can redistribute it and/or modify it under the terms of "
+            "the GNU {name} as published by the Free Software Foundation; either version {v} of the "
+            "License, or (at your option) any later version. This {work} is distributed in the hope "
+            "that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+            "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. ")
+    for work in ("program", "library"):
+        for name, v, found in (("General Public License", "2", "GPL-2.0"),
+                               ("General Public License", "3", "GPL-3.0"),
+                               ("Affero General Public License", "3", "AGPL-3.0"),
+                               ("Lesser General Public License", "2.1", "LGPL-2.1"),
+                               ("Lesser General Public License", "3", "LGPL-3.0")):
+            whole = free + "See the GNU {name} for more details."
+            if work == "library" and name[0] != "L":
+                continue
+            for text in (free, whole):
+                got = license_hits(text.format(work=work, name=name, v=v))
+                assert [(n.split("/")[0], at) for n, at in got] == [(found, 0)], (work, name, v, got)
+    bsd = licenses.TEMPLATES["BSD-3-Clause"].replace("the copyright holder nor", "Some University nor")
+    assert license_hits(bsd) == [("BSD-3-Clause", 0)]
+    assert license_hits("Licensed under the MIT License") == [("MIT/licensed", 0)]
+
+
 PAGE = """<html><head><title>T</title><style>p{{}}</style></head><body class="has-sidebar">
 <header><h1>Site</h1></header><nav>Menu <a href=x>a</a></nav><div class="cookie-notice">We use</div>
 <main><article class="post"><h1>Real &eacute; title</h1><p>One <b>bo</b>ld &amp; x<p class=ad>Buy

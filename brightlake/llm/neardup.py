@@ -20,7 +20,8 @@ no pair is left out because its bucket is large.
 Defined cases: a null or empty text, or one without words, has an empty set
 and is linked with nothing; a text of fewer words than a shingle has its whole
 word sequence as one; rows of one id are one document, whose texts all count;
-a row with a null id is linked with nothing and kept. Other columns are
+a row with a null id is linked with nothing and kept. In ``one_of_each`` every
+row is a document of its own, with null and repeated ids too. Other columns are
 ignored by ``components`` and carried along by ``one_of_each``.
 """
 
@@ -365,7 +366,20 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text",
                 words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
-    """The documents that are the smallest id of their component, with all their columns."""
-    gone = (components(docs, key, text, words, percent).filter("NOT kept")
-            .select(F.col(key).alias("_gone")).distinct())
-    return docs.join(gone, docs[key] == gone["_gone"], "left_anti")
+    """One document of each component, with all its columns: the row of smallest id.
+
+    Rows are numbered once; among equal ids the first row stays, a null id is the last.
+    """
+    rows = _written(docs.select(F.monotonically_increasing_id().alias("_row"),
+                                F.struct(*[docs[c] for c in docs.columns]).alias("_doc")),
+                    "neardup-rows")
+    plain = rows.select("_row", F.col("_doc")[key].alias("_key"), F.col("_doc")[text].alias("_body"))
+    label = _written(components(plain, "_row", "_body", words, percent)
+                     .select("_row", "component_id"), "neardup-labels")
+    # Rows linked with nothing have no part in the choice.
+    several = label.filter("_row != component_id").select("component_id").distinct()
+    member = label.join(several, "component_id", "left_semi").join(plain.drop("_body"), "_row")
+    order = F.struct(F.col("_key").isNull(), "_key", "_row")
+    first = member.groupBy("component_id").agg(F.min(order)["_row"].alias("_first"))
+    gone = member.join(first, "component_id").filter("_row != _first").select("_row")
+    return rows.join(gone, "_row", "left_anti").select("_doc.*")

@@ -81,6 +81,16 @@ def test_neardup_driver_documents_and_edges(spark):
     assert neardup.one_of_each(edge_table(spark, [])).count() == 0
 
 
+def test_neardup_keeps_one_row_of_null_and_repeated_ids(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(None, a), (None, a), (None, a), (7, b), (7, b), (None, b), (9, b + " end"), (3, c), (3, "other")]
+    docs = edge_table(spark, [(k, t, None, None, 0) for k, t in rows] + edge_rows())
+    kept = Counter((r.doc_id, r.text) for r in neardup.one_of_each(docs).collect())
+    assert kept[None, a] == 1 and kept[7, b] == 1 and kept[3, "one two"] == 1
+    assert kept[None, b] == kept[9, b + " end"] == 0
+    assert kept[3, c] == kept[3, "other"] == 1
+
+
 def paragraphs(text):
     return {x.strip(" ") for x in re.split(r"\s*\n\s*", text)} - {""}
 

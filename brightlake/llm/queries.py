@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightlake.llm import bpe, fingerprint, html, licenses, lm, mixing, neardup, quality, sharding, toxicity
+from brightlake.llm import (bpe, fingerprint, html, importance, licenses, lm, mixing, neardup, quality,
+                            sharding, toxicity)
 from brightlake.llm.text import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,6 +86,11 @@ def op10_source_mixing(spark, sf_dir):
     return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+@register("op13_importance_resampling")
+def op13_importance_resampling(spark, sf_dir):
+    return importance.draw(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 # ---- SQL of the queries that it can express ---------------------------------------------
 
 _WORDS = r"regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+')"

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightlake.llm import (bpe, fingerprint, html, importance, licenses, lm, mixing, neardup, quality,
-                            sharding, toxicity)
+from brightlake.llm import (bpe, fingerprint, html, importance, licenses, lm, mixing, neardup, phrases,
+                            quality, repeats, sharding, toxicity)
 from brightlake.llm.text import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,6 +86,17 @@ def op10_source_mixing(spark, sf_dir):
     return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+@register("op11_collocations")
+def op11_collocations(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@register("op12_suffix_array_dedup")
+def op12_suffix_array_dedup(spark, sf_dir):
+    return repeats.find_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 @register("op13_importance_resampling")
 def op13_importance_resampling(spark, sf_dir):
     return importance.draw(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -145,3 +156,33 @@ SELECT doc_id, words AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(
             OR 10 * letters < 6 * solid OR points < 2 * words OR points > 15 * words
             OR 2 * dups > n_lines OR 10 * r5 > 4 * words) AS kept
 FROM f"""
+
+
+SQL["op11_collocations"] = rf"""WITH
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+  SELECT COALESCE(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+f1 AS (SELECT lang, g, COUNT(*) AS f FROM (SELECT lang, unnest(w) AS g FROM p) GROUP BY 1, 2),
+f2 AS (SELECT lang, x, y, COUNT(*) AS f FROM (SELECT lang, w[i] AS x, w[i + 1] AS y FROM (
+  SELECT lang, w, unnest(range(1, len(w))) AS i FROM p)) GROUP BY 1, 2, 3),
+f3 AS (SELECT lang, x, y, z, COUNT(*) AS f FROM (SELECT lang, w[i] AS x, w[i + 1] AS y, w[i + 2] AS z FROM (
+  SELECT lang, w, unnest(range(1, len(w) - 1)) AS i FROM p)) GROUP BY 1, 2, 3, 4
+  HAVING COUNT(*) >= {phrases.MIN_COUNT}),
+n AS (SELECT lang, SUM(f) AS n FROM f1 GROUP BY 1),
+cuts AS (
+  SELECT f2.lang, x || ' ' || y AS phrase, 1 AS k, f2.f AS a, b.f AS l, c.f AS r
+  FROM f2 JOIN f1 b ON b.lang = f2.lang AND b.g = x JOIN f1 c ON c.lang = f2.lang AND c.g = y
+  WHERE f2.f >= {phrases.MIN_COUNT} AND NOT EXISTS (SELECT 1 FROM f3 t WHERE t.lang = f2.lang
+    AND (t.x = f2.x AND t.y = f2.y OR t.y = f2.x AND t.z = f2.y) AND 100 * t.f >= {phrases.COVER_PERCENT} * f2.f)
+  UNION ALL SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z, 1, t.f, b.f, c.f
+  FROM f3 t JOIN f1 b ON b.lang = t.lang AND b.g = t.x
+    JOIN f2 c ON c.lang = t.lang AND c.x = t.y AND c.y = t.z
+  UNION ALL SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z, 2, t.f, b.f, c.f
+  FROM f3 t JOIN f2 b ON b.lang = t.lang AND b.x = t.x AND b.y = t.y
+    JOIN f1 c ON c.lang = t.lang AND c.g = t.z),
+s AS (SELECT *, CAST(1000000 AS HUGEINT) * a * a // (CAST(l AS HUGEINT) * r) AS score FROM cuts),
+best AS (SELECT * FROM s QUALIFY ROW_NUMBER() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+top AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT top.lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM top JOIN n ON n.lang = top.lang WHERE rank <= {phrases.TOP}"""

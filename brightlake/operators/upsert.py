@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from brightlake.operators.dedupe import latest_by
 from brightlake.session import path_exists, written
+from brightlake.sources.files import file_name, read_files, recover, replace_files
 
 
 def upsert(target: DataFrame, source: DataFrame, keys, update_cols=None,
@@ -69,3 +70,31 @@ def upsert_partitions(spark, path: str, source: DataFrame, keys, partition_col:
                                 update_cols, source_order), "upsert")
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(partition_col).parquet(path))
+
+
+def upsert_files(spark, path: str, source: DataFrame, keys, update_cols=None, source_order=None,
+                 partition_by=()) -> dict:
+    """S8 on a Parquet table by its files: only files that hold a key of the source are rewritten.
+
+    For keys that do not name a partition. One scan of the key columns alone (with the
+    runtime filter that Spark makes of the source) looks up the file of every source key;
+    those files are merged with the source and replaced, source rows of new keys
+    come with them, and every other file stays as it is. Rows that repeat a key in the target
+    all take the update; a NULL key matches nothing and is inserted. Creates the table when the
+    folder does not exist yet. Returns the numbers of files in the table and rewritten.
+    """
+    keys = list(keys)
+    source = latest_by(source, keys, source_order or [])
+    if not path_exists(spark, path):
+        w = source.write
+        (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+        return {"files": 0, "rewritten": 0}
+    recover(spark, path)
+    target = spark.read.parquet(path)
+    source = written(source, "upsert-source")
+    found = (target.select(*keys, file_name().alias("_file"))
+             .join(source.select(*keys), keys, "left_semi").select("_file").distinct())
+    hit = [r[0] for r in found.collect()]   # names of files, as many as the listing has
+    rows = read_files(spark, path, hit) if hit else target.limit(0)
+    replace_files(upsert(rows, source, keys, update_cols, source_order), path, hit, partition_by)
+    return {"files": len(target.inputFiles()), "rewritten": len(hit)}

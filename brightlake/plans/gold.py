@@ -29,11 +29,32 @@ def daily_sales(orders: DataFrame, statuses=("completed",)) -> DataFrame:
     (ties -> smallest category). The order lines are scanned and joined once,
     and the J1 join disappears.
     """
+    return daily_of_cells(day_cells(orders, statuses))
+
+
+CELL_KEYS = ["order_date", "customer_id", "category", "_gc", "_gk"]
+
+
+def day_cells(orders: DataFrame, statuses=("completed",)) -> DataFrame:
+    """Orders ``n`` and revenue ``rev`` of each (day, customer) and each (day, category).
+
+    Both add up: the cells of several sets of orders merge into those of their union.
+    """
     o = orders.filter(F.col("status").isin(list(statuses))) if statuses else orders
-    cells = (o.groupingSets([["order_date", "customer_id"], ["order_date", "category"]],
-                            "order_date", "customer_id", "category")
-              .agg(F.count("order_id").alias("n"), F.sum("total_amount").alias("rev"),
-                   F.grouping("customer_id").alias("_gc"), F.grouping("category").alias("_gk")))
+    return (o.groupingSets([["order_date", "customer_id"], ["order_date", "category"]],
+                           "order_date", "customer_id", "category")
+            .agg(F.count("order_id").alias("n"), F.sum("total_amount").alias("rev"),
+                 F.grouping("customer_id").alias("_gc"), F.grouping("category").alias("_gk")))
+
+
+def merge_cells(cells: DataFrame) -> DataFrame:
+    """Cells that stand more than once, added up."""
+    return cells.groupBy(*CELL_KEYS).agg(
+        F.sum("n").alias("n"), F.sum("rev").cast(cells.schema["rev"].dataType).alias("rev"))
+
+
+def daily_of_cells(cells: DataFrame) -> DataFrame:
+    """``gold.daily_sales`` of distinct day cells."""
     cust, cat = F.col("_gc") == 0, F.col("_gk") == 0
     best = F.when(cat & F.col("rev").isNotNull(),
                   F.struct((-F.col("rev")).alias("o"), F.col("category").alias("t")))

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import datetime as _dt
+import re
 import time
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from brightlake.functions.dates import as_ts_lit
+from brightlake.sources.files import (delete_files, file_name, read_files, recover, replace_files,
+                                      table_files)
 from brightlake.sources.sinks import truncate_insert
 
 RUN_SCHEMA = ("pipeline_name string, layer string, status string, rows_read long, "
@@ -91,6 +94,55 @@ def apply_retention(spark: SparkSession, path: str, ts_col: str, as_of, days: in
     return n
 
 
+def apply_partition_retention(spark: SparkSession, path: str, ts_col: str, as_of, days: int = 30,
+                              day_col: str = "day", unit: str = "day") -> dict:
+    """S16 on a table whose partition column ``day_col`` is the day (or, with ``unit="month"``, the
+    first day of the month) of ``ts_col``.
+
+    Partitions that end before the cutoff are dropped whole, by their folders; their rows are
+    counted from the files' footers. Of the partition that the cutoff falls into only the files
+    that hold an expired row are rewritten. Every other file, and the partition
+    without a time, stays as it is. Returns kept and deleted rows, and how many files were
+    dropped and rewritten.
+    """
+    recover(spark, path)
+    cutoff = spark.range(1).select(
+        (as_ts_lit(as_of) - F.make_interval(days=F.lit(days))).alias("c")).first()[0]
+    sizes = table_files(spark, path)
+    expired_files, edge_files, kept_files = [], [], []
+    for name in sizes:
+        m = re.search(f"/{re.escape(day_col)}=(\\d{{4,}}-\\d\\d-\\d\\d)/", name)
+        start = _dt.date.fromisoformat(m[1]) if m else None
+        if start is None or start > cutoff.date():
+            kept_files.append(name)
+            continue
+        end = start + _dt.timedelta(days=1) if unit == "day" \
+            else (start + _dt.timedelta(days=31)).replace(day=1)
+        whole = _dt.datetime(end.year, end.month, end.day) <= cutoff
+        (expired_files if whole else edge_files).append(name)
+
+    def rows(names: list[str]) -> int:
+        return read_files(spark, path, names).count() if names else 0
+
+    deleted, kept = rows(expired_files), rows(kept_files)
+    old = F.coalesce(F.col(ts_col) < as_ts_lit(cutoff), F.lit(False))
+    rewrite = []
+    if edge_files:
+        edge = read_files(spark, path, edge_files)
+        counts = (edge.groupBy(file_name().alias("_file"))
+                  .agg(F.count_if(old).alias("gone"), F.count_if(~old).alias("left")).collect())
+        rewrite = [r["_file"] for r in counts if r["gone"]]
+        deleted += sum(r["gone"] for r in counts)
+        kept += sum(r["left"] for r in counts)
+    if rewrite:
+        left = read_files(spark, path, rewrite).filter(~old)
+        replace_files(left, path, [*expired_files, *rewrite], [day_col])
+    elif expired_files:
+        delete_files(spark, path, expired_files)
+    return {"kept": kept, "deleted": deleted, "files_dropped": len(expired_files),
+            "files_rewritten": len(rewrite)}
+
+
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Attach a row counter to ``df``; it is filled by whatever action runs ``df``."""
     obs = Observation(f"in_{name}_{int(time.time() * 1000)}")

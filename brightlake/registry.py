@@ -564,7 +564,7 @@ def q_stream_daily(spark, sf_dir):
     incremental.run_incremental(spark, f"{base}/landing", bronze.schema, f"{base}/ckpt",
                                 f"{base}/silver", f"{base}/gold", adapter.ORDERS_AS_OF,
                                 max_files_per_trigger=files)
-    daily = spark.read.parquet(f"{base}/gold").drop("month")
+    daily = spark.read.parquet(f"{base}/gold").drop("day")
     return money_out(daily.select("date", "total_orders", "total_revenue", "avg_order",
                                   "unique_customers", "top_category"),
                      "total_revenue", "avg_order")

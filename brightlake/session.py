@@ -91,11 +91,20 @@ def delete_path(spark: SparkSession, path: str) -> bool:
 
 
 def replace_path(spark: SparkSession, new: str, path: str) -> None:
-    """Put the folder ``new`` in the place of ``path``."""
+    """Put the folder ``new`` in the place of ``path``. The old folder is set aside first and
+    deleted last, so a crash in between leaves it whole beside the table."""
     fs, p = _hadoop(spark, path)
-    fs.delete(p, True)
-    if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(new), p):
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    aside = path_of(f"{path.rstrip('/')}__old_{uuid.uuid4().hex[:12]}")
+    had = fs.exists(p)
+    if had and not fs.rename(p, aside):
+        raise OSError(f"{path} could not be renamed to {aside}")
+    if not fs.rename(path_of(new), p):
+        if had:
+            fs.rename(aside, p)
         raise OSError(f"{new} could not be renamed to {path}")
+    if had:
+        fs.delete(aside, True)
 
 
 def list_names(spark: SparkSession, path: str) -> list[str]:
@@ -104,6 +113,12 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p))
 
 
+def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Files and folders whose path matches ``pattern``, in order."""
+    fs, p = _hadoop(spark, pattern)
+    return sorted(s.getPath().toString() for s in fs.globStatus(p) or [])
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss; never ``localCheckpoint``)."""
     ensure_checkpoint_dir(df.sparkSession)
@@ -118,4 +133,4 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 __all__ = ["local_session", "ensure_checkpoint_dir", "scratch_path", "release_scratch",
-           "path_exists", "delete_path", "replace_path", "list_names", "cut_lineage", "written"]
+           "path_exists", "delete_path", "replace_path", "list_names", "glob_paths", "cut_lineage", "written"]

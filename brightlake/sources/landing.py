@@ -21,14 +21,20 @@ from brightlake.session import list_names
 SNAPSHOT_PATTERN = r"snapshot_(\d{8})"
 
 
+def with_landing_order(raw: DataFrame) -> DataFrame:
+    """Columns that say when a row landed, for batch and stream alike: file time, file path,
+    row in the file."""
+    return (raw.withColumn("_landed_at", F.col("_metadata.file_modification_time"))
+            .withColumn("_landed_file", F.col("_metadata.file_path"))
+            .withColumn("_landed_row", F.col("_metadata.row_index")))
+
+
 def read_orders(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
-    """Explicit schema + partition columns; ``_landed_file``/``_landed_row`` give
-    the landing order used for "first landed wins"."""
+    """Explicit schema + partition columns, with the landing order used for
+    "first landed wins"."""
     full = StructType(list(schema.fields) + [StructField(p, IntegerType(), True)
                                              for p in ("year", "month", "day")])
-    df = spark.read.schema(full).option("basePath", root).parquet(root)
-    return (df.withColumn("_landed_file", F.col("_metadata.file_name"))
-              .withColumn("_landed_row", F.col("_metadata.row_index")))
+    return with_landing_order(spark.read.schema(full).option("basePath", root).parquet(root))
 
 
 def snapshot_date_of(path_col="_metadata.file_path"):

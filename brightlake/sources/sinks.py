@@ -8,12 +8,15 @@ the very table that it replaces, and a failed write leaves the old one whole.
 from __future__ import annotations
 
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brightlake.functions.dates import month_start
 from brightlake.session import replace_path
+from brightlake.sources.files import (file_name, pack, read_files, recover, replace_files,
+                                      table_files)
 
 
 def replace_table(df: DataFrame, path: str, partition_by=None, sort_within=None,
@@ -90,3 +93,79 @@ def compact(df: DataFrame, path: str, sort_cols, file_rows: int = FILE_ROWS) ->
     files = max(1, -(-df.count() // file_rows))
     out = df.repartitionByRange(files, *sort_cols).sortWithinPartitions(*sort_cols)
     return replace_table(out, path)
+
+
+#: Bytes of a file that compaction aims at, and the share of them below which a file is small.
+TARGET_BYTES = 128 << 20
+SMALL_SHARE = 0.75
+
+
+def compact_small_files(spark: SparkSession, path: str, target_bytes: int = TARGET_BYTES,
+                        small_share: float = SMALL_SHARE, sort_cols=()) -> dict:
+    """S17 by bins: the small files of each partition folder are packed into files of about
+    ``target_bytes``; every other file stays as it is.
+
+    Sizes come from the listing. A small file that finds no partner in its folder stays too. All
+    bins are rewritten by one job, a bin a task (``target_bytes`` at most), sorted by ``sort_cols``.
+    Returns the numbers of files before and after.
+    """
+    recover(spark, path)
+    sizes = table_files(spark, path)
+    folders: dict[str, dict[str, int]] = {}
+    for name, size in sizes.items():
+        if size < small_share * target_bytes:
+            folders.setdefault(name.rsplit("/", 1)[0], {})[name] = size
+    bins = [names for small in folders.values() for names in pack(small, target_bytes) if len(names) > 1]
+    if not bins:
+        return {"before": len(sizes), "after": len(sizes)}
+    old = [name for names in bins for name in names]
+    place = spark.createDataFrame([(name, i) for i, names in enumerate(bins) for name in names],
+                                  "_file string, _bin int")
+    table = spark.read.parquet(path)
+    partitions = partition_columns(spark, path)
+    # One row a small file: the map of files to bins is a part of the listing.
+    rows = (read_files(spark, path, old).withColumn("_file", file_name())
+            .join(place, "_file").repartition(len(bins), "_bin")
+            .sortWithinPartitions("_bin", *sort_cols))
+    new = replace_files(rows.select(*table.columns, "_bin"), path, old, [*partitions, "_bin"],
+                        drop="_bin")
+    return {"before": len(sizes), "after": len(sizes) - len(old) + len(new)}
+
+
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """Partition columns of a written table, in the order of its folders."""
+    names = spark.read.parquet(path).inputFiles()
+    parts = names[0][len(_root(names[0], path)):].split("/")[:-1] if names else []
+    # Escaped once as a folder's name and once more in the URI.
+    return [unquote(unquote(p.split("=", 1)[0])) for p in parts if "=" in p]
+
+
+def _root(name: str, path: str) -> str:
+    """The part of a file's URI that names the table's folder."""
+    last = path.rstrip("/").rsplit("/", 1)[-1]
+    return name[:name.index(f"/{last}/") + len(last) + 2]
+
+
+#: Rows of one group of an indexed table's file: what a lookup reads at most.
+INDEX_BLOCK_BYTES = 8 << 20
+
+
+def write_indexed(df: DataFrame, path: str, key: str, block_bytes: int = INDEX_BLOCK_BYTES,
+                  files: int | None = None) -> str:
+    """a table for lookups by ``key``: range-partitioned and sorted by it, so that the
+    least and greatest key of a row group leave one group to read, with a Parquet Bloom filter
+    of the key, so that a key that is not there leaves none."""
+    parts = files or max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    beside = f"{path.rstrip('/')}__new_{uuid.uuid4().hex[:12]}"
+    (df.repartitionByRange(parts, key).sortWithinPartitions(key).write
+     .option(f"parquet.bloom.filter.enabled#{key}", "true")
+     .option("parquet.bloom.filter.adaptive.enabled", "true")
+     .option("parquet.block.size", block_bytes).parquet(beside))
+    replace_path(df.sparkSession, beside, path)
+    return path
+
+
+def lookup(spark: SparkSession, path: str, key: str, value) -> DataFrame:
+    """Rows of one key: an equality filter that reaches the reader's statistics and filters."""
+    table = spark.read.parquet(path)
+    return table.filter(F.col(key) == F.lit(value).cast(table.schema[key].dataType))

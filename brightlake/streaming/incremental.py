@@ -5,22 +5,25 @@ The stream keeps no state and drops no late row; each micro-batch
 (``foreachBatch``) does this:
 
 1. keeps one raw row per ``order_id`` inside the batch, the first landed;
-2. drops ids that an earlier batch has seen (left anti join with the key table,
-   one slim row per id, whatever month or state of validity the row had) - the
-   first landed row of an id wins over all batches, as in the batch cleaning;
-3. writes the batch's ids to its own partition of the key table (overwritten on
-   a re-run), cleans the rows with the batch's own cleaning function, and
-   inserts those that silver does not hold from an earlier try of this batch;
-4. recomputes the gold daily table for the batch's months, which are named to
-   the scan as literals, and overwrites exactly those month partitions.
-
-Steps 1-4 give the same tables when a batch runs again after an executor or
-driver loss. ``countDistinct`` is not allowed in a streaming aggregate, which
-is why gold is recomputed per touched month instead.
+2. drops ids that an earlier batch has seen, by the index of ``streaming/seen.py``
+   (hash buckets with Bloom filters, whatever month or state of validity the row had), so that
+   only key files that may hold an id of the batch are opened - the first landed row of an
+   id wins over all batches, as in the batch cleaning;
+3. writes the batch's ids to its own partitions of the index, cleans the rows with the batch's
+   own cleaning function, and writes them to the batch's own silver partitions;
+4. writes the batch's own (day, customer) and (day, category) cells, which add up, and
+   recomputes the days that the batch touches from the stored cells of those days. The days are
+   named to the scans as literals; silver is never read.
+
+Every write overwrites the batch's own partitions, or whole days computed from them, so steps
+1-4 give the same tables when a batch runs again after an executor or driver loss.
+``merge_day_cells`` and ``SeenKeys.merge_batches`` fold what old batches left into one.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -29,35 +32,90 @@ from brightlake.operators.cleaning import clean_order_rows, parse_if_text
 from brightlake.operators.dedupe import first_by_key
 from brightlake.plans import gold
 from brightlake.session import path_exists
+from brightlake.sources.files import recover, replace_files, table_files
+from brightlake.sources.landing import with_landing_order
+from brightlake.streaming.seen import SeenKeys
 
 FILES_PER_TRIGGER = 1000
 LANDED = ("_landed_at", "_landed_file", "_landed_row")
 
 
-def with_landing_order(raw: DataFrame) -> DataFrame:
-    """Columns that say when a row landed: file time, file name, row in the file."""
-    return (raw.withColumn("_landed_at", F.col("_metadata.file_modification_time"))
-            .withColumn("_landed_file", F.col("_metadata.file_path"))
-            .withColumn("_landed_row", F.col("_metadata.row_index")))
+def touched_days(cells: DataFrame) -> list:
+    """Distinct days of a batch (as text; None: no day): bounded by the calendar."""
+    return [r[0] for r in cells.select("_day").distinct().collect()]
+
+
+def in_days(df: DataFrame, days: list) -> DataFrame:
+    """Rows of the given days by a literal filter that prunes folders."""
+    known = [d for d in days if d is not None]
+    keep = F.col("_day").isin(known) if known else F.lit(False)
+    return df.filter(keep | F.col("_day").isNull() if None in days else keep)
+
+
+def _cells(orders: DataFrame) -> DataFrame:
+    return gold.day_cells(orders).select(*gold.CELL_KEYS, "n", "rev").withColumn(
+        "_day", F.col("order_date").cast("string"))
+
+
+def _cell_schema(orders: DataFrame) -> StructType:
+    return StructType([f for f in _cells(orders).schema]).add("_batch", "long")
+
 
+def read_cells(spark: SparkSession, path: str, like: DataFrame, names=()) -> DataFrame:
+    """Stored day cells (of some files); ``like`` are orders, which give the cells' types."""
+    return (spark.read.schema(_cell_schema(like)).option("basePath", path)
+            .parquet(*(names or [path])))
 
-def _months(df: DataFrame) -> list:
-    """Distinct months of a batch: bounded by the calendar."""
-    return [r[0] for r in df.select("order_month").distinct().collect()]
 
+def _overwrite(df: DataFrame, path: str, *partitions: str) -> None:
+    (df.hint("rebalance", *partitions).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path))
 
-def in_months(df: DataFrame, months: list, column: str = "order_month") -> DataFrame:
-    """Rows of the given months (None: no month) by a literal filter that prunes folders."""
-    known = [m for m in months if m is not None]
-    keep = F.col(column).isin(known) if known else F.lit(False)
-    return df.filter(keep | F.col(column).isNull() if None in months else keep)
+
+def write_cells(orders: DataFrame, batch_id: int, path: str) -> DataFrame:
+    """The cells of the batch's orders as its own partitions; returns them as read back."""
+    cells = _cells(orders).withColumn("_batch", F.lit(batch_id).cast("long"))
+    _overwrite(cells, path, "_day", "_batch")
+    if not path_exists(orders.sparkSession, path):   # no cell at all so far
+        return cells.limit(0)
+    return read_cells(orders.sparkSession, path, orders).filter(F.col("_batch") == batch_id)
+
+
+def days_from_cells(cells: DataFrame) -> DataFrame:
+    """Gold daily sales of stored cells, with the partition column ``day``."""
+    daily = gold.daily_of_cells(gold.merge_cells(cells))
+    return daily.withColumn("day", F.col("date").cast("string"))
+
+
+def merge_day_cells(spark: SparkSession, path: str, like: DataFrame, before: int) -> int:
+    """Fold each day's cells of the batches below ``before`` into one partition of the day.
+
+    For batches that the stream's checkpoint has left behind: they are not run again. The old
+    files go and the merged ones come in one replacement that a crash cannot leave half done.
+    Returns the number of folders merged.
+    """
+    recover(spark, path)
+    folders: dict[str, list[str]] = {}
+    for name in table_files(spark, path):
+        m = re.search(r"^(.*/_day=[^/]*)/_batch=(\d+)/", name)
+        if int(m[2]) < before:
+            folders.setdefault(m[1], []).append(name)
+    old = [n for names in folders.values() if len({x.rsplit("/", 1)[0] for x in names}) > 1 for n in names]
+    if not old:
+        return 0
+    merged = (gold.merge_cells(read_cells(spark, path, like, old).drop("_batch"))
+              .withColumn("_day", F.col("order_date").cast("string"))
+              .withColumn("_batch", F.lit(before - 1).cast("long")))
+    replace_files(merged, path, old, ["_day", "_batch"])
+    return len({n.rsplit("/", 1)[0] for n in old})
 
 
 def upsert_batch(raw: DataFrame, batch_id: int, silver_path: str, gold_path: str, as_of,
-                 keys_path: str | None = None) -> None:
+                 keys_path: str | None = None, cells_path: str | None = None) -> None:
     """Steps 1-4 above for one micro-batch of raw rows (also usable as a plain batch step)."""
     spark = raw.sparkSession
-    keys_path = keys_path or f"{silver_path.rstrip('/')}_keys"
+    index = SeenKeys(spark, keys_path or f"{silver_path.rstrip('/')}_keys", "order_id")
+    cells_path = cells_path or f"{silver_path.rstrip('/')}_cells"
     order = [c for c in LANDED if c in raw.columns] or ["created_at"]
     # Rows without an id are dropped by the cleaning whatever their number.
     batch = first_by_key(parse_if_text(raw, "created_at").filter(F.col("order_id").isNotNull()),
@@ -65,35 +123,19 @@ def upsert_batch(raw: DataFrame, batch_id: int, silver_path: str, gold_path: str
     try:
         if batch.isEmpty():
             return
-        fresh = batch
-        if path_exists(spark, keys_path):
-            seen = (spark.read.parquet(keys_path).filter(F.col("_batch") != batch_id)
-                    .select("order_id"))
-            fresh = batch.join(seen, "order_id", "left_anti")
-        (fresh.select("order_id", F.lit(batch_id).cast("long").alias("_batch"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("_batch").parquet(keys_path))
-        # From here on the batch is what its key partition holds, so a re-run agrees.
-        ids = spark.read.parquet(keys_path).filter(F.col("_batch") == batch_id).select("order_id")
-        clean = (clean_order_rows(batch.join(ids, "order_id", "left_semi").drop(*LANDED), as_of)
-                 .withColumn("order_month", F.date_format("created_at", "yyyy-MM"))
-                 .withColumn("_batch", F.lit(batch_id).cast("long")))
-        months = _months(clean)
-        if not months:
-            return
-        insert = clean
-        if path_exists(spark, silver_path):
-            before = (in_months(spark.read.parquet(silver_path), months)
-                      .filter(F.col("_batch") == batch_id).select("order_id"))
-            insert = clean.join(before, "order_id", "left_anti")
-        (insert.hint("rebalance", "order_month").write.mode("append")
-         .partitionBy("order_month").parquet(silver_path))
-        touched = in_months(spark.read.parquet(silver_path), months)
-        daily = gold.daily_sales(touched).withColumn("month", F.date_format("date", "yyyy-MM"))
-        # One row per day: a month is a handful of rows, one file per month.
-        (daily.repartition("month").write.mode("overwrite")
-              .option("partitionOverwriteMode", "dynamic").partitionBy("month")
-              .parquet(gold_path))
+        index.remember(index.unseen(batch, batch_id), batch_id)
+        # From here on the batch is what its key partitions hold, so a re-run agrees.
+        ids = index.own(batch, batch_id)
+        clean = clean_order_rows(batch.join(ids, "order_id", "left_semi").drop(*LANDED), as_of)
+        _overwrite(clean.withColumn("order_month", F.date_format("created_at", "yyyy-MM"))
+                   .withColumn("_batch", F.lit(batch_id).cast("long")),
+                   silver_path, "order_month", "_batch")
+        days = touched_days(write_cells(clean, batch_id, cells_path))
+        if days:
+            stored = in_days(read_cells(spark, cells_path, clean), days)
+            # One row per day: a handful of rows, dealt by day.
+            (days_from_cells(stored).repartition("day").write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(gold_path))
     finally:
         batch.unpersist()
 

@@ -73,14 +73,14 @@ def test_latest_period_reaches_the_scan_of_orders(spark):
     assert "lineitem" not in p
 
 
-def test_stream_batch_reads_touched_months_only(spark, scratch):
-    from brightlake.streaming.incremental import in_months
-    df = spark.range(24).select("id", F.concat(F.lit("2026-"), F.lpad(F.col("id") % 12 + 1, 2, "0"))
-                                .alias("order_month"))
-    df.write.partitionBy("order_month").parquet(f"{scratch}/silver")
-    one = in_months(spark.read.parquet(f"{scratch}/silver"), ["2026-03"])
+def test_stream_batch_reads_touched_days_only(spark, scratch):
+    from brightlake.streaming.incremental import in_days
+    df = spark.range(24).select("id", F.concat(F.lit("2026-03-"), F.lpad(F.col("id") % 12 + 1, 2, "0"))
+                                .alias("_day"))
+    df.write.partitionBy("_day").parquet(f"{scratch}/cells")
+    one = in_days(spark.read.schema("id long, _day string").parquet(f"{scratch}/cells"), ["2026-03-03"])
     assert one.count() == 2
-    assert "order_month" in plan(one).split("PartitionFilters: [")[1].split("]")[0]
+    assert "_day" in plan(one).split("PartitionFilters: [")[1].split("]")[0]
 
 
 def test_as_of_read_opens_one_snapshot(spark, scratch):

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 import time
 
 import pytest
@@ -47,7 +48,7 @@ def test_stream_loses_and_repeats_nothing(spark, scratch, files_per_batch):
     assert sorted(map(str, got.collect())) == sorted(map(str, batch.collect()))
     assert sorted(r.order_id for r in got.collect()) == ["a", "b", "c", "d", "e", "g", "n", "z"]
     daily = gold.daily_sales(batch)
-    stream = spark.read.parquet(gold_path).drop("month").select(*daily.columns)
+    stream = spark.read.parquet(gold_path).drop("day").select(*daily.columns)
     assert sorted(map(str, stream.collect())) == sorted(map(str, daily.collect()))
 
 
@@ -60,3 +61,93 @@ def test_replayed_batch_changes_nothing(spark, scratch):
         ["a", "b", "c", "d", "e", "g", "n", "z"]
     days = {r.date: r.total_orders for r in spark.read.parquet(gold_path).collect()}
     assert days[dt.date(2026, 1, 5)] == 3 and days[dt.date(2026, 2, 9)] == 1
+
+
+def test_batch_opens_few_key_files(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from brightlake.streaming.seen import SeenKeys
+    index = SeenKeys(spark, f"{scratch}/seen", "k", buckets=64)
+
+    def keys(start, n):
+        return spark.range(start, start + n).select(F.concat(F.lit("order-"), "id").alias("k"))
+
+    for i in range(6):
+        index.remember(keys(10000 * i, 5000), i)
+    files = len(index.key_folders())
+    assert files == 6 * 64
+    new = keys(10**6, 100)
+    assert len(index.folders_to_open(new, 9)) < 0.05 * files
+    mixed = new.unionByName(keys(20000, 3)).unionByName(spark.createDataFrame([("order-5",)], "k string"))
+    opened = index.folders_to_open(mixed, 9)
+    assert len(opened) < 0.05 * files
+    left = index.unseen(mixed, 9)
+    scan = [n for n in left.inputFiles() if "/seen/" in n]
+    assert 0 < len(scan) < 0.05 * files
+    assert sorted(r.k for r in left.collect()) == sorted(r.k for r in new.collect())
+    assert index.unseen(mixed, 2).count() == 103          # a batch's own keys do not count
+    assert index.merge_batches(5) == 5
+    assert len(index.key_folders()) == 2 * 64
+    assert sorted(r.k for r in index.unseen(mixed, 9).collect()) == sorted(r.k for r in new.collect())
+    assert index.unseen(keys(0, 60000), 9).count() == 30000
+
+
+def test_keys_without_a_filter_are_opened(spark, scratch):
+    from brightlake.session import delete_path
+    from brightlake.streaming.seen import SeenKeys
+    index = SeenKeys(spark, f"{scratch}/seen", "k", buckets=4)
+    df = spark.range(100).selectExpr("string(id) k")
+    index.remember(df, 0)
+    for _, path in index.filter_folders().values():
+        delete_path(spark, path)
+    assert index.unseen(df, 1).count() == 0
+
+
+def test_late_row_reads_cells_of_its_day_and_no_silver(spark, scratch):
+    from brightlake.plans import gold
+    silver, gold_path, cells = f"{scratch}/silver", f"{scratch}/gold", f"{scratch}/silver_cells"
+    days = [f"2026-01-{d:02d}T10:00:00" for d in range(1, 21)]
+    rows = [order(f"o{i}-{d}", t, 5.0 + i, i) for i in range(3) for d, t in enumerate(days)]
+    incremental.upsert_batch(spark.createDataFrame(rows, BRONZE_ORDERS), 0, silver, gold_path, "2026-02-01")
+    seen = {}
+    reader = type(spark.read)
+    original = reader.parquet
+
+    def spy(self, *paths, **kw):
+        for path in paths:
+            seen[path] = seen.get(path, 0) + 1
+        return original(self, *paths, **kw)
+
+    before = {n: os.stat(f"{gold_path}/{n}").st_mtime_ns for n in os.listdir(gold_path) if "=" in n}
+    reader.parquet = spy
+    try:
+        late = spark.createDataFrame([order("late", days[4], 7.0, 99)], BRONZE_ORDERS)
+        incremental.upsert_batch(late, 1, silver, gold_path, "2026-02-01")
+    finally:
+        reader.parquet = original
+    assert not [p for p in seen if p.startswith(silver + "/") or p == silver]
+    assert cells in seen
+    after = {n: os.stat(f"{gold_path}/{n}").st_mtime_ns for n in os.listdir(gold_path) if "=" in n}
+    assert [n for n in after if after[n] != before.get(n)] == ["day=2026-01-05"]
+    whole = spark.read.parquet(silver).drop("_batch", "order_month")
+    want = gold.daily_sales(whole)
+    got = spark.read.parquet(gold_path).select(*want.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_merged_cells_give_the_same_days(spark, scratch):
+    from brightlake.plans import gold
+    silver, gold_path, cells = f"{scratch}/silver", f"{scratch}/gold", f"{scratch}/silver_cells"
+    for i, rows in enumerate(FILES):
+        incremental.upsert_batch(spark.createDataFrame(rows, BRONZE_ORDERS), i, silver, gold_path, "2026-01-10")
+    like = spark.read.parquet(silver)
+    before = sorted(map(str, gold.merge_cells(incremental.read_cells(spark, cells, like)).collect()))
+    assert incremental.merge_day_cells(spark, cells, like, 3) > 1
+    assert incremental.merge_day_cells(spark, cells, like, 3) == 0
+    after = incremental.read_cells(spark, cells, like)
+    assert sorted(map(str, gold.merge_cells(after).collect())) == before
+    row = [order("later", "2026-01-05T09:00:00", 3.0, 7)]
+    incremental.upsert_batch(spark.createDataFrame(row, BRONZE_ORDERS), 9, silver, gold_path, "2026-01-10")
+    want = gold.daily_sales(spark.read.parquet(silver))
+    got = spark.read.parquet(gold_path).select(*want.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))

@@ -6,7 +6,9 @@ one tiny shuffle), where a per-rule ``filter().count()`` would scan 1 + N times.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from brightlake.functions.dates import as_ts_lit
@@ -55,6 +57,40 @@ def status_of(failed, tested) -> Column:
              .otherwise("fail"))
 
 
+def rule_counts(rules: dict[str, Column], null_fails: bool = False) -> list[Column]:
+    """Aggregates of all rules: ``rows_tested``, and the rows that fail each rule by its name."""
+    out = [F.count(F.lit(1)).alias("rows_tested")]
+    for name, pred in rules.items():
+        bad = ~F.coalesce(pred, F.lit(False)) if null_fails else ~pred
+        out.append(F.count_if(bad).alias(name))
+    return out
+
+
+def result_rows(counts: DataFrame, rules, table_name: str, layer: str, run_at) -> DataFrame:
+    """D1/D2 rows from one row of ``rule_counts``."""
+    long = counts.unpivot(["rows_tested"], list(rules), "check_name", "rows_failed")
+    return long.select(
+        F.lit(table_name).alias("table_name"), F.lit(layer).alias("layer"), "check_name",
+        status_of("rows_failed", "rows_tested").alias("status"),
+        "rows_tested", "rows_failed", as_ts_lit(run_at).alias("run_at"))
+
+
+def observed_rules(df: DataFrame, rules: dict[str, Column], name: str,
+                   null_fails: bool = False) -> tuple[DataFrame, Observation]:
+    """``df`` with its rule counts observed by whatever action writes it: no scan of their own."""
+    seen = Observation(f"{name}_{uuid.uuid4().hex[:12]}")
+    return df.observe(seen, *rule_counts(rules, null_fails)), seen
+
+
+def observed_results(spark: SparkSession, seen: Observation, rules, table_name: str, layer: str,
+                     run_at) -> DataFrame:
+    """D1/D2 rows of an ``observed_rules`` write that has ended."""
+    counts = seen.get
+    row = [tuple(int(counts.get(c) or 0) for c in ("rows_tested", *rules))]
+    schema = ", ".join(f"`{c}` long" for c in ("rows_tested", *rules))
+    return result_rows(spark.createDataFrame(row, schema), rules, table_name, layer, run_at)
+
+
 def run_rules(df: DataFrame, table_name: str, layer: str, rules: dict[str, Column],
               run_at, null_fails: bool = False) -> DataFrame:
     """One row per rule with status, rows tested and rows failed.
@@ -62,18 +98,7 @@ def run_rules(df: DataFrame, table_name: str, layer: str, rules: dict[str, Colum
     A NULL predicate does not count as a failure (as ``filter(~cond)``) unless
     ``null_fails=True``.
     """
-    names = list(rules)
-    aggs = [F.count(F.lit(1)).alias("rows_tested")]
-    for n in names:
-        pred = rules[n]
-        bad = ~F.coalesce(pred, F.lit(False)) if null_fails else ~pred
-        aggs.append(F.count_if(bad).alias(n))
-    one = df.agg(*aggs)
-    long = one.unpivot(["rows_tested"], names, "check_name", "rows_failed")
-    return long.select(
-        F.lit(table_name).alias("table_name"), F.lit(layer).alias("layer"), "check_name",
-        status_of("rows_failed", "rows_tested").alias("status"),
-        "rows_tested", "rows_failed", as_ts_lit(run_at).alias("run_at"))
+    return result_rows(df.agg(*rule_counts(rules, null_fails)), rules, table_name, layer, run_at)
 
 
 def dq_gate(results: DataFrame, as_of, hours: int = 1, layer: str = "silver") -> DataFrame:

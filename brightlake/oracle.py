@@ -568,7 +568,7 @@ SELECT COUNT(*) AS total_checks, COUNT(*) FILTER (WHERE status = 'fail') AS fail
 FROM orders_dq"""
 
 SQL["save_scored_features"] = f"""WITH {ORDERS_CTE},
-{feat_cte('f', ORDERS_AS_OF, "order_date >= DATE '2001-01-01'")}
+{feat_cte('f', ORDERS_AS_OF, "order_date >= DATE '1998-01-01'")}
 SELECT CAST(customer_id AS VARCHAR) AS customer_id, COALESCE(days_since_last, 999) AS days_since_last,
        order_count_7d, order_count_30d, order_count_90d, {cols_out(['total_spent_30d', 'avg_basket_size',
        'total_spent_all', 'return_rate', 'clv_score'], FEAT_MONEY)},
@@ -593,3 +593,44 @@ SQL["model_metrics"] = " UNION ALL ".join(
     f"SELECT '{model}' AS model_name, '{metric}' AS metric_name, TRUE AS within_bounds"
     for model, metric in [("churn", "auc"), ("churn", "churn_rate"), ("ltv", "mae"),
                           *[("churn", f"importance_{c}") for c in _CHURN_FEATURES]])
+
+
+# ---- file by file, features at many dates, distinct customers of periods ----------------
+
+SQL["upsert_files"] = """SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority,
+   CASE WHEN o_orderdate >= TIMESTAMP '1997-07-01' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+   CAST(year(o_orderdate) AS INTEGER) AS order_year FROM orders"""
+SQL["compact_small_files"] = "SELECT * FROM lineitem"
+SQL["retention_partitions"] = SQL["retention"]
+SQL["lookup_customer_ltv"] = SQL["q_customer_ltv"]
+SQL["lookup_customer_ml"] = SQL["q_customer_ml"]
+
+
+def _at(i: int, d: str) -> tuple[str, str]:
+    return (feat_cte(f"t{i}_", f"DATE '{d}'", f"order_date < DATE '{d}'"),
+            f"SELECT {cols_out(FEAT_COLS, FEAT_MONEY)} FROM t{i}_feat")
+
+
+TRAINING_DATES = [f"{y}-{m:02d}-01" for y in range(1996, 2002) for m in (1, 4, 7, 10) if (y, m) < (2001, 10)]
+SQL["training_features"] = (f"WITH {ORDERS_CTE}, " + ", ".join(_at(i, d)[0] for i, d in enumerate(TRAINING_DATES))
+                            + "\n" + " UNION ALL ".join(_at(i, d)[1] for i, d in enumerate(TRAINING_DATES)))
+
+SQL["rolling_customers"] = f"""WITH {ORDERS_CTE},
+c AS (SELECT DISTINCT order_date, customer_id FROM o WHERE status = 'completed' AND customer_id IS NOT NULL),
+d AS (SELECT DISTINCT order_date FROM c WHERE order_date IS NOT NULL)
+SELECT d.order_date, COUNT(DISTINCT c.customer_id) FILTER (WHERE c.order_date = d.order_date) AS customers_1d,
+  COUNT(DISTINCT c.customer_id) FILTER (WHERE c.order_date > d.order_date - 7) AS customers_7d,
+  COUNT(DISTINCT c.customer_id) AS customers_30d
+FROM d JOIN c ON c.order_date <= d.order_date AND c.order_date > d.order_date - 30 GROUP BY 1"""
+
+# Batches of the stream: deliveries since 1997, before it, and ids that end in -1 again.
+_DELIVERIES = ["created_at >= TIMESTAMP '1997-01-01' OR created_at IS NULL",
+               "created_at < TIMESTAMP '1997-01-01'", "order_id LIKE '%-1'"]
+_TIGHT = [r for r in RAW_RULES_SQL if r[0] != "amount_limit"]
+_BATCHES = ", ".join(
+    f"c{i} AS (SELECT * FROM clean WHERE {'FALSE' if i == 2 else cond}), {dq_sql(f'b{i}', f'c{i}', _TIGHT)}"
+    for i, cond in enumerate(_DELIVERIES))
+SQL["stream_quality"] = f"WITH {ORDERS_CTE}, {CLEAN_CTE}, {_BATCHES}\n" + " UNION ALL ".join(
+    f"""SELECT CAST({i} AS BIGINT) AS batch, check_name, status, rows_tested, rows_failed FROM b{i}_dq
+UNION ALL SELECT {i}, 'run', 'success', COUNT(*), COUNT(*) - (SELECT COUNT(*) FROM c{i}) FROM o WHERE {cond}"""
+    for i, cond in enumerate(_DELIVERIES))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as _dt
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brightlake.functions.dates import as_ts_lit, days_since
@@ -58,9 +60,14 @@ def customer_features(orders: DataFrame, as_of, exclude_status: str = "cancelled
         F.sum("_refunded").alias("_refunded"),
         F.sum("_n").alias("_n"),
         F.min_by(F.col("category"), most).alias("preferred_category"))
-    feats = base.select(
-        "customer_id",
-        days_since(as_of, "_last").alias("days_since_last"),
+    return _feature_columns(base, as_of)
+
+
+def _feature_columns(base: DataFrame, as_of) -> DataFrame:
+    """The feature vector from a customer's sums."""
+    feats = base.withColumn("_as_of", as_ts_lit(as_of)).select(
+        "customer_id", "_as_of",
+        days_since(F.col("_as_of"), "_last").alias("days_since_last"),
         *[f"order_count_{n}d" for n in WINDOWS],
         F.round("_spent30", 2).alias("total_spent_30d"),
         div_round("_spent", "_n_amount", 2).alias("avg_basket_size"),
@@ -72,7 +79,72 @@ def customer_features(orders: DataFrame, as_of, exclude_status: str = "cancelled
     return feats.select("customer_id", "days_since_last",
                         *[f"order_count_{n}d" for n in WINDOWS], "total_spent_30d",
                         "avg_basket_size", "total_spent_all", "return_rate", "clv_score",
-                        "preferred_category", as_ts_lit(as_of).alias("computed_at"))
+                        "preferred_category", F.col("_as_of").alias("computed_at"))
+
+
+def _slot(day, breaks: list[str], low: int = 0):
+    """Number of ``breaks`` (ascending) at or before ``day``, by a search tree of comparisons."""
+    if not breaks:
+        return F.lit(low)
+    mid = len(breaks) // 2
+    return (F.when(day < F.lit(breaks[mid]).cast("date"), _slot(day, breaks[:mid], low))
+            .otherwise(_slot(day, breaks[mid + 1:], low + mid + 1)))
+
+
+def training_features(orders: DataFrame, dates, exclude_status: str = "cancelled") -> DataFrame:
+    """A8-A12 at many as-of dates in one scan: for each date the ``customer_features`` of the
+    order lines before it; customers without one have no row.
+
+    The dates, and the first days of their 7, 30 and 90 days, cut the calendar into slots. One
+    map-side aggregate gives (customer, category, slot) cells; a running sum over a customer's
+    category (as many rows as slots at most) turns them into prefix sums, and a
+    window's sum is the difference of two prefixes. Each prefix is handed to the cuts that lie
+    between its slot and the next, so a customer's category has one row for each cut.
+    """
+    dates = sorted({str(d)[:10] for d in dates})
+    day = _dt.date.fromisoformat
+    cuts: dict[str, list[tuple[int, int]]] = {}
+    for j, d in enumerate(dates):
+        for n in (0, *WINDOWS):
+            cuts.setdefault((day(d) - _dt.timedelta(days=n)).isoformat(), []).append((j, n))
+    breaks = sorted(cuts)
+    o = orders.filter(F.col("status") != exclude_status).filter(
+        F.col("order_date") < F.lit(dates[-1]).cast("date"))
+    cells = o.groupBy("customer_id", "category", _slot(F.col("order_date"), breaks).alias("_slot")).agg(
+        F.max("order_date").alias("_last"), F.sum("total_amount").cast(SUM_MONEY).alias("_spent"),
+        F.count("total_amount").alias("_n_amount"),
+        F.count_if(F.col("status") == "refunded").alias("_refunded"),
+        F.count("order_id").alias("_n"), F.count(F.lit(1)).alias("_rows"))
+    order = Window.partitionBy("customer_id", "category").orderBy("_slot")
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    sums = ["_spent", "_n_amount", "_refunded", "_n", "_rows"]
+    prefix = cells.select(
+        "customer_id", "category", "_slot", F.max("_last").over(upto).alias("_last"),
+        *[F.sum(c).over(upto).alias(c) for c in sums],
+        F.lead("_slot", 1, len(breaks)).over(order).alias("_next"))
+    asked = F.array(*[F.array(*[F.struct(F.lit(j).alias("j"), F.lit(n).alias("n")) for j, n in cuts[b]])
+                      for b in breaks])
+    at = (prefix.filter(F.col("_slot") < F.col("_next"))
+          .withColumn("_cut", F.explode(F.sequence(F.col("_slot"), F.col("_next") - 1)))
+          .withColumn("_ask", F.explode(F.element_at(asked, F.col("_cut") + 1))))
+    here = F.col("_ask.n") == 0
+    known = at.groupBy("customer_id", "category", F.col("_ask.j").alias("_j")).agg(
+        F.max(F.when(here, F.col("_last"))).alias("_last"),
+        *[F.sum(F.when(here, F.col(c))).alias(c) for c in sums],
+        *[F.coalesce(F.sum(F.when(F.col("_ask.n") == n, F.col("_rows"))), F.lit(0)).alias(f"_b{n}")
+          for n in WINDOWS],
+        F.coalesce(F.sum(F.when(F.col("_ask.n") == 30, F.col("_spent"))), F.lit(0)).alias("_spent_b30"))
+    most = F.when(F.col("category").isNotNull(),
+                  F.struct((-F.col("_rows")).alias("o"), F.col("category").alias("t")))
+    base = known.groupBy("customer_id", "_j").agg(
+        F.max("_last").alias("_last"),
+        *[F.sum(F.col("_rows") - F.col(f"_b{n}")).cast("int").alias(f"order_count_{n}d") for n in WINDOWS],
+        F.sum(F.coalesce("_spent", F.lit(0)) - F.col("_spent_b30")).cast(SUM_MONEY).alias("_spent30"),
+        F.sum("_spent").cast(SUM_MONEY).alias("_spent"),
+        F.sum("_n_amount").alias("_n_amount"), F.sum("_refunded").alias("_refunded"),
+        F.sum("_n").alias("_n"), F.min_by(F.col("category"), most).alias("preferred_category"))
+    when = F.element_at(F.array(*[F.lit(d).cast("timestamp_ntz") for d in dates]), F.col("_j") + 1)
+    return _feature_columns(base, when)
 
 
 def churn_stand_in(days_col: str = "days_since_last", half_life_days: int = 180):

@@ -66,18 +66,19 @@ def customer_ltv(segments: DataFrame, best_is_high: bool = False) -> DataFrame:
     """W8 + W11: monetary / frequency / recency quartiles, RFM score and segment.
 
     Quartile 1 is the *highest* spend (descending NTILE), as in the model;
-    ``best_is_high=True`` flips it; ``customer_id`` (unique) breaks ties. Each
-    quartile is an exact distributed NTILE over two columns, joined back by id.
+    ``best_is_high=True`` flips it; ``customer_id`` breaks ties. Each quartile is an
+    exact distributed NTILE over slim columns. Rows are numbered once and joined back by
+    that number, so rows with a null or a repeated id stay one row each.
     """
     def o(c):
         col = F.col(c)
         return col.asc_nulls_last() if best_is_high else col.desc_nulls_last()
-    x = base = written(segments, "customer-ltv")
+    x = base = written(segments.withColumn("_row", F.monotonically_increasing_id()), "customer-ltv")
     for name, column in (("monetary_quartile", "total_spent"), ("frequency_quartile", "order_count"),
                          ("recency_quartile", "last_order_at")):
-        tiles = distributed_ntile(base.select("customer_id", column), 4,
-                                  [o(column), F.col("customer_id").asc()], name)
-        x = x.join(tiles.select("customer_id", name), "customer_id")
+        tiles = distributed_ntile(base.select("_row", "customer_id", column), 4,
+                                  [o(column), F.col("customer_id").asc(), F.col("_row").asc()], name)
+        x = x.join(tiles.select("_row", name), "_row")
     m, f, r = F.col("monetary_quartile"), F.col("frequency_quartile"), F.col("recency_quartile")
     return x.select(
         "customer_id", "segment",

@@ -12,11 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightlake.operators import asof, cleaning, quality
+from brightlake.operators import asof, cleaning, distinct, quality
 from brightlake.operators.dedupe import latest_by
 from brightlake.operators.ntile import distributed_ntile
 from brightlake.operators.topk import top_k_per_group
-from brightlake.operators.upsert import upsert
+from brightlake.operators.upsert import upsert, upsert_files
 from brightlake.plans import features, gold, jobs, ml, models, olap, ops, serving
 from brightlake.session import path_exists, scratch_path, written
 from brightlake.sources import adapter, landing, sinks
@@ -222,6 +222,24 @@ def q_customer_features(spark, sf_dir):
     return money_out(_features(spark, sf_dir), *FEATURE_MONEY)
 
 
+TRAINING_DATES = [f"{y}-{m:02d}-01" for y in range(1996, 2002) for m in (1, 4, 7, 10) if (y, m) < (2001, 10)]
+
+
+@register("training_features")
+def q_training_features(spark, sf_dir):
+    """A8-A12 as known at the start of each quarter, from one scan of the order lines."""
+    out = features.training_features(adapter.order_lines(spark, sf_dir), TRAINING_DATES)
+    return money_out(out, *FEATURE_MONEY)
+
+
+@register("rolling_customers")
+def q_rolling_customers(spark, sf_dir):
+    """Exact distinct customers of each day and of the 7 and 30 days up to it."""
+    orders = adapter.order_lines(spark, sf_dir, with_product=False).filter("status = 'completed'")
+    bitmaps = distinct.daily_bitmaps(orders, "order_date", "customer_id")
+    return distinct.rolling_distinct(written(bitmaps, "daily-bitmaps"), "order_date", (1, 7, 30), "customers")
+
+
 @register("product_features")
 def q_product_features(spark, sf_dir):
     orders = adapter.order_lines(spark, sf_dir, with_product=False)
@@ -288,9 +306,9 @@ def q_upsert_merge(spark, sf_dir):
 
 @register("save_scored_features")
 def q_save_scored_features(spark, sf_dir):
-    """M10 twice: the second run knows fewer customers and newer values, and nothing else stays."""
+    """M10 twice: over the lines before 1998, then over all since, and nothing of the first stays."""
     path = scratch_path(spark, "scored-features")
-    for as_of, since in (("1998-01-01", None), (adapter.ORDERS_AS_OF, "2001-01-01")):
+    for as_of, since in (("1998-01-01", None), (adapter.ORDERS_AS_OF, "1998-01-01")):
         scored = _features(spark, sf_dir, as_of, since=since, until=None if since else as_of)
         features.save_scored_features(
             scored.withColumn("churn_probability", features.churn_stand_in()), path)
@@ -543,10 +561,9 @@ def q_model_metrics(spark, sf_dir):
 
 # ---- streaming -----------------------------------------------------------------------
 
-@register("stream_daily")
-def q_stream_daily(spark, sf_dir):
-    """Land the order lines as files of three days of delivery, drain them with the
-    incremental stream one delivery a batch, and read gold.
+def _run_stream(spark, sf_dir, **options) -> str:
+    """Land the order lines as files of three days of delivery and drain them with the
+    incremental stream, one delivery a batch; returns the folder of its tables.
 
     The deliveries overlap in time: the second brings the oldest lines late, the
     third brings a part of the first again, with another time.
@@ -557,19 +574,40 @@ def q_stream_daily(spark, sf_dir):
     again = bronze.filter(F.col("order_id").endswith("-1")).withColumn(
         "created_at", F.lit("2002-01-01T00:00:00"))
     files = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    for i, part in enumerate((bronze.filter(~old), bronze.filter(old), again)):
+    for i, part in enumerate((bronze.filter(~F.coalesce(old, F.lit(False))), bronze.filter(old), again)):
         # All rows of an id land in one file; equal times land in the order of the other columns.
         (part.repartition(files, "order_id").sortWithinPartitions("created_at", *bronze.columns)
          .write.parquet(f"{base}/landing/delivery={i}"))
     incremental.run_incremental(spark, f"{base}/landing", bronze.schema, f"{base}/ckpt",
                                 f"{base}/silver", f"{base}/gold", adapter.ORDERS_AS_OF,
-                                max_files_per_trigger=files)
-    daily = spark.read.parquet(f"{base}/gold").drop("day")
+                                max_files_per_trigger=files,
+                                **{k: f"{base}/{v}" if k.endswith("_path") else v for k, v in options.items()})
+    return base
+
+
+@register("stream_daily")
+def q_stream_daily(spark, sf_dir):
+    """T1 + T2: gold daily sales after three overlapping deliveries."""
+    daily = spark.read.parquet(f"{_run_stream(spark, sf_dir)}/gold").drop("month")
     return money_out(daily.select("date", "total_orders", "total_revenue", "avg_order",
                                   "unique_customers", "top_category"),
                      "total_revenue", "avg_order")
 
 
+@register("stream_quality")
+def q_stream_quality(spark, sf_dir):
+    """D1 + S13 on the stream: quality results (tighter rules) and run-log rows of each batch, as
+    the writes themselves counted them."""
+    base = _run_stream(spark, sf_dir, dq_path="dq", runs_path="runs",
+                       rules=quality.order_rules(max_quantity=49, max_discount=0.05))
+    dq = spark.read.parquet(f"{base}/dq").select(
+        F.col("_batch").cast("long").alias("batch"), "check_name", "status", "rows_tested", "rows_failed")
+    runs = spark.read.parquet(f"{base}/runs").select(
+        F.col("_batch").cast("long").alias("batch"), F.lit("run").alias("check_name"), "status",
+        F.col("rows_read").alias("rows_tested"), (F.col("rows_read") - F.col("rows_written")).alias("rows_failed"))
+    return dq.unionByName(runs)
+
+
 # ---- landing snapshots, storage, retention, compaction ----------------------------------
 
 SNAPSHOT_DATES = ("2001-06-01", "2001-07-01", "2001-08-01")
@@ -624,6 +662,66 @@ def q_retention(spark, sf_dir):
         F.lit("events").alias("table_name"), "part", "row_count")
 
 
+# ---- file by file: upsert, compaction, retention, lookups ---------------------------------
+
+@register("upsert_files")
+def q_upsert_files(spark, sf_dir):
+    """S8 by files: orders known before 1998, in a table by year whose keys do not name the
+    year, take the prices of all orders since July 1997 (raised by one) and the new orders."""
+    orders = table(spark, sf_dir, "orders").withColumn("order_year", F.year("o_orderdate"))
+    path = scratch_path(spark, "upsert-files")
+    (orders.filter(F.col("o_orderdate") < "1998-01-01")
+     .repartitionByRange(4, "o_orderdate").write.partitionBy("order_year").parquet(path))
+    source = (orders.filter(F.col("o_orderdate") >= "1997-07-01")
+              .withColumn("o_totalprice", F.col("o_totalprice") + 1))
+    upsert_files(spark, path, source, ["o_orderkey"], ["o_totalprice"], partition_by=["order_year"])
+    return spark.read.parquet(path).select(*orders.columns)
+
+
+@register("compact_small_files")
+def q_compact_small_files(spark, sf_dir):
+    """S17 by bins over a table of many small files, by status."""
+    path = scratch_path(spark, "compact-small")
+    lines = table(spark, sf_dir, "lineitem")
+    (lines.repartition(24, "l_orderkey").write.partitionBy("l_returnflag").parquet(path))
+    sinks.compact_small_files(spark, path, sort_cols=["l_orderkey", "l_linenumber"])
+    return spark.read.parquet(path).select(*lines.columns)
+
+
+@register("retention_partitions")
+def q_retention_partitions(spark, sf_dir):
+    """S16 by partitions: events by day, those older than seven days dropped."""
+    path = scratch_path(spark, "retention-days")
+    (adapter.events(spark, sf_dir).withColumn("day", F.to_date("ts"))
+     .hint("rebalance", "day").write.partitionBy("day").parquet(path))
+    n = ops.apply_partition_retention(spark, path, "ts", adapter.EVENTS_AS_OF, 7)
+    left = spark.read.parquet(path)
+    gone = F.lit(n["kept"] + n["deleted"]) - F.count(F.lit(1))
+    return left.agg(F.count(F.lit(1)).alias("kept"), gone.alias("deleted")).unpivot(
+        [], ["kept", "deleted"], "part", "row_count").select(
+        F.lit("events").alias("table_name"), "part", "row_count")
+
+
+@register("lookup_customer_ltv")
+def q_lookup_customer_ltv(spark, sf_dir):
+    """Q6 from a stored table: sorted by customer with Bloom filters, one row group read."""
+    path = scratch_path(spark, "stored-ltv")
+    sinks.write_indexed(models.customer_ltv(_segments(spark, sf_dir)), path, "customer_id")
+    found = sinks.lookup(spark, path, "customer_id", LOOKUP_CUSTOMER)
+    return money_out(serving.customer_ltv_lookup(found, LOOKUP_CUSTOMER), "total_spent",
+                     "avg_order_value", "clv_score")
+
+
+@register("lookup_customer_ml")
+def q_lookup_customer_ml(spark, sf_dir):
+    """Q12 from a stored table, as ``lookup_customer_ltv``."""
+    path = scratch_path(spark, "stored-features")
+    sinks.write_indexed(_scored(spark, sf_dir), path, "customer_id")
+    found = sinks.lookup(spark, path, "customer_id", LOOKUP_CUSTOMER)
+    return money_out(serving.customer_ml(found, LOOKUP_CUSTOMER), "avg_basket_size",
+                     "churn_probability", "clv_score")
+
+
 @register("compact")
 def q_compact(spark, sf_dir):
     path = scratch_path(spark, "compact-lineitem")

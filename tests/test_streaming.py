@@ -48,7 +48,7 @@ def test_stream_loses_and_repeats_nothing(spark, scratch, files_per_batch):
     assert sorted(map(str, got.collect())) == sorted(map(str, batch.collect()))
     assert sorted(r.order_id for r in got.collect()) == ["a", "b", "c", "d", "e", "g", "n", "z"]
     daily = gold.daily_sales(batch)
-    stream = spark.read.parquet(gold_path).drop("day").select(*daily.columns)
+    stream = spark.read.parquet(gold_path).drop("month").select(*daily.columns)
     assert sorted(map(str, stream.collect())) == sorted(map(str, daily.collect()))
 
 
@@ -106,7 +106,7 @@ def test_keys_without_a_filter_are_opened(spark, scratch):
 def test_late_row_reads_cells_of_its_day_and_no_silver(spark, scratch):
     from brightlake.plans import gold
     silver, gold_path, cells = f"{scratch}/silver", f"{scratch}/gold", f"{scratch}/silver_cells"
-    days = [f"2026-01-{d:02d}T10:00:00" for d in range(1, 21)]
+    days = [f"2026-0{m}-{d:02d}T10:00:00" for m in (1, 2) for d in range(1, 11)]
     rows = [order(f"o{i}-{d}", t, 5.0 + i, i) for i in range(3) for d, t in enumerate(days)]
     incremental.upsert_batch(spark.createDataFrame(rows, BRONZE_ORDERS), 0, silver, gold_path, "2026-02-01")
     seen = {}
@@ -128,7 +128,7 @@ def test_late_row_reads_cells_of_its_day_and_no_silver(spark, scratch):
     assert not [p for p in seen if p.startswith(silver + "/") or p == silver]
     assert cells in seen
     after = {n: os.stat(f"{gold_path}/{n}").st_mtime_ns for n in os.listdir(gold_path) if "=" in n}
-    assert [n for n in after if after[n] != before.get(n)] == ["day=2026-01-05"]
+    assert [n for n in after if after[n] != before.get(n)] == ["month=2026-01"]
     whole = spark.read.parquet(silver).drop("_batch", "order_month")
     want = gold.daily_sales(whole)
     got = spark.read.parquet(gold_path).select(*want.columns)
@@ -151,3 +151,31 @@ def test_merged_cells_give_the_same_days(spark, scratch):
     want = gold.daily_sales(spark.read.parquet(silver))
     got = spark.read.parquet(gold_path).select(*want.columns)
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_batches_store_quality_and_run_rows(spark, scratch):
+    from brightlake.operators import quality
+    from brightlake.operators.cleaning import clean_orders
+    silver, gold_path = f"{scratch}/silver", f"{scratch}/gold"
+    options = {"dq_path": f"{scratch}/dq", "runs_path": f"{scratch}/runs"}
+    for i in (0, 1, 1, 2, 3):
+        incremental.upsert_batch(spark.createDataFrame(FILES[i], BRONZE_ORDERS), i, silver, gold_path,
+                                 "2026-01-10", **options)
+    runs = {r["_batch"]: (r.status, r.rows_read, r.rows_written)
+            for r in spark.read.parquet(f"{scratch}/runs").collect()}
+    assert runs == {0: ("success", 3, 3), 1: ("success", 3, 2), 2: ("success", 3, 1), 3: ("success", 5, 2)}
+    dq = spark.read.parquet(f"{scratch}/dq")
+    for i in range(4):
+        one = spark.read.parquet(silver).filter(f"_batch = {i}").drop("_batch", "order_month")
+        want = quality.run_rules(one, "orders", "silver", quality.order_rules(), "2026-01-10")
+        assert sorted(map(str, dq.filter(f"_batch = {i}").drop("_batch").collect())) == \
+            sorted(map(str, want.collect()))
+    assert clean_orders(spark.createDataFrame(FILES[0], BRONZE_ORDERS), "2026-01-10").count() == 3
+
+
+def test_failed_batch_is_logged(spark, scratch):
+    raw = spark.createDataFrame(FILES[0], BRONZE_ORDERS).drop("quantity")
+    with pytest.raises(Exception, match="quantity"):
+        incremental.upsert_batch(raw, 0, f"{scratch}/s", f"{scratch}/g", "2026-01-10", runs_path=f"{scratch}/runs")
+    row = spark.read.parquet(f"{scratch}/runs").first()
+    assert row.status == "failed" and "quantity" in row.error_msg and row.rows_read == 3

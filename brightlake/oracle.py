@@ -634,3 +634,11 @@ SQL["stream_quality"] = f"WITH {ORDERS_CTE}, {CLEAN_CTE}, {_BATCHES}\n" + " UNIO
     f"""SELECT CAST({i} AS BIGINT) AS batch, check_name, status, rows_tested, rows_failed FROM b{i}_dq
 UNION ALL SELECT {i}, 'run', 'success', COUNT(*), COUNT(*) - (SELECT COUNT(*) FROM c{i}) FROM o WHERE {cond}"""
     for i, cond in enumerate(_DELIVERIES))
+
+SQL["landed_generations"] = f"""WITH {ORDERS_CTE}
+SELECT order_id, customer_id, quantity, created_at,
+  {dbl("CASE WHEN created_at >= TIMESTAMP '1997-01-01' THEN discount END")} AS discount,
+  {dbl("CASE WHEN created_at >= TIMESTAMP '1997-01-01' OR quantity <= 45 THEN total_amount END")} AS total_amount,
+  CASE WHEN created_at < TIMESTAMP '1997-01-01' THEN 1 WHEN created_at < TIMESTAMP '1999-01-01' THEN 2 ELSE 3 END
+    AS generation
+FROM o"""

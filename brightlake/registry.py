@@ -610,6 +610,24 @@ def q_stream_quality(spark, sf_dir):
 
 # ---- landing snapshots, storage, retention, compaction ----------------------------------
 
+@register("landed_generations")
+def q_landed_generations(spark, sf_dir):
+    """S1 with merged schemas: order lines landed in three generations. The first has amounts
+    as text (some of it no number), narrow quantities and no discount, the second narrow
+    quantities, the third a column that is not declared."""
+    root = scratch_path(spark, "landed-generations")
+    lines = adapter.order_lines(spark, sf_dir, with_product=False).select(
+        "order_id", "customer_id", "quantity", "discount", "total_amount", "created_at")
+    narrow = lines.withColumn("quantity", F.col("quantity").cast("int"))
+    early, middle = F.col("created_at") < "1997-01-01", F.col("created_at") < "1999-01-01"
+    amount = F.when(F.col("quantity") > 45, F.lit("n/a")).otherwise(F.col("total_amount").cast("string"))
+    (narrow.filter(early).withColumn("total_amount", amount).drop("discount")
+     .write.parquet(f"{root}/generation=1"))
+    narrow.filter(~early & middle).write.parquet(f"{root}/generation=2")
+    lines.filter(~middle).withColumn("channel", F.lit("web")).write.parquet(f"{root}/generation=3")
+    return money_out(landing.read_generations(spark, root, lines.schema), "discount", "total_amount")
+
+
 SNAPSHOT_DATES = ("2001-06-01", "2001-07-01", "2001-08-01")
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from brightlake.session import list_names
+from brightlake.sources.files import _path
 
 SNAPSHOT_PATTERN = r"snapshot_(\d{8})"
 
@@ -37,6 +38,67 @@ def read_orders(spark: SparkSession, root: str, schema: StructType) -> DataFrame
     return with_landing_order(spark.read.schema(full).option("basePath", root).parquet(root))
 
 
+def generations(spark: SparkSession, root: str) -> dict[str, tuple[StructType, list[str]]]:
+    """Schema generations below ``root``: schema -> its data folders (deliveries).
+
+    Footers are read by Spark's schema merge, one delivery at a time: a delivery is one write,
+    and evolution happens between deliveries. The driver holds folder names and schemas only.
+    """
+    found: dict[str, tuple[StructType, list[str]]] = {}
+    files = spark.read.schema("x int").option("recursiveFileLookup", "true").parquet(root).inputFiles()
+    for folder in sorted({f.rsplit("/", 1)[0] for f in files}):
+        path = _path(spark, folder).toString()
+        schema = spark.read.option("mergeSchema", "true").parquet(path).schema
+        found.setdefault(schema.json(), (schema, []))[1].append(path)
+    return found
+
+
+def read_generations(spark: SparkSession, root: str, declared: StructType) -> DataFrame:
+    """S1 over evolved files: every generation conformed to ``declared``, and the partition columns.
+
+    A column that a generation lacks is NULL; one of another type is cast, and a value that does
+    not fit (text that is no number, a number out of range) is NULL, never an error; columns
+    that are not declared are left out. One scan a generation, with its own schema pushed to it.
+    """
+    parts = []
+    for schema, folders in generations(spark, root).values():
+        df = spark.read.schema(schema).option("basePath", root).parquet(*folders)
+        own = set(schema.names)
+        folder_columns = [c for c in df.columns if c not in own and c not in declared.names]
+        parts.append(df.select(*[_conformed(f, schema) for f in declared], *folder_columns))
+    if not parts:
+        return spark.createDataFrame([], declared)
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
+def _conformed(field: StructField, schema: StructType):
+    if field.name not in schema.names:
+        return F.lit(None).cast(field.dataType).alias(field.name)
+    column = F.col(f"`{field.name}`")
+    if schema[field.name].dataType != field.dataType:
+        column = column.try_cast(field.dataType)
+    return column.alias(field.name)
+
+
+def schema_drift(spark: SparkSession, root: str, declared: StructType) -> DataFrame:
+    """Differences of the landed generations from ``declared``, a row a delivery and column:
+    ``delivery, column_name, found_type, declared_type, change`` (missing, extra or retyped)."""
+    rows = []
+    for schema, folders in generations(spark, root).values():
+        names = {f.name: f.dataType.simpleString() for f in schema}
+        wanted = {f.name: f.dataType.simpleString() for f in declared}
+        for name in sorted(names.keys() | wanted.keys()):
+            a, b = names.get(name), wanted.get(name)
+            if a != b:
+                change = "missing" if a is None else "extra" if b is None else "retyped"
+                rows += [(folder, name, a, b, change) for folder in folders]
+    return spark.createDataFrame(rows, "delivery string, column_name string, found_type string, "
+                                       "declared_type string, change string")
+
+
 def snapshot_date_of(path_col="_metadata.file_path"):
     """Date in the snapshot's path (a file, or the folder Spark wrote); NULL if none."""
     text = F.regexp_extract(F.col(path_col), SNAPSHOT_PATTERN, 1)

@@ -135,3 +135,33 @@ def test_lookup_reads_one_row_group_at_most(spark, scratch):
     assert [r.k for r in hit] == [123456] and 0 < scanned <= max(sizes)
     assert read(123457) == ([], 0)              # between two keys: the Bloom filter or the ends
     assert read(-5) == ([], 0)
+
+
+def test_generations_conform_to_the_declared_schema(spark, scratch):
+    from brightlake.sources import landing
+    declared = spark.createDataFrame([], "id long, amount decimal(10,2), note string, day date").schema
+    root = f"{scratch}/landed"
+    spark.createDataFrame([(1, "1.5"), (2, "garbage"), (3, None)], "id int, amount string").write.parquet(
+        f"{root}/year=2025/month=1")
+    spark.createDataFrame([(4, 2.25, "x")], "id long, amount double, note string").write.parquet(
+        f"{root}/year=2025/month=2")
+    spark.createDataFrame([(5, None, "y", dt.date(2026, 1, 1), 7)],
+                          "id long, amount decimal(10,2), note string, day date, extra int").write.parquet(
+        f"{root}/year=2026/month=1")
+    got = landing.read_generations(spark, root, declared)
+    assert got.columns == [*declared.names, "year", "month"]
+    assert [f.dataType for f in got.schema][:4] == [f.dataType for f in declared]
+    rows_ = {r.id: (None if r.amount is None else float(r.amount), r.note, r.day, r.year, r.month)
+             for r in got.collect()}
+    assert rows_ == {1: (1.5, None, None, 2025, 1), 2: (None, None, None, 2025, 1), 3: (None, None, None, 2025, 1),
+                     4: (2.25, "x", None, 2025, 2), 5: (None, "y", dt.date(2026, 1, 1), 2026, 1)}
+    drift = {(r.delivery.split("landed/")[1], r.column_name): (r.found_type, r.declared_type, r.change)
+             for r in landing.schema_drift(spark, root, declared).collect()}
+    assert drift == {
+        ("year=2025/month=1", "id"): ("int", "bigint", "retyped"),
+        ("year=2025/month=1", "amount"): ("string", "decimal(10,2)", "retyped"),
+        ("year=2025/month=1", "note"): (None, "string", "missing"),
+        ("year=2025/month=1", "day"): (None, "date", "missing"),
+        ("year=2025/month=2", "amount"): ("double", "decimal(10,2)", "retyped"),
+        ("year=2025/month=2", "day"): (None, "date", "missing"),
+        ("year=2026/month=1", "extra"): ("int", None, "extra")}

@@ -45,7 +45,7 @@ COVER_PERCENT = 50
 #: Rank, in multiples of the rows wanted, of the first threshold, and how far it falls.
 FIRST, GROWTH = 2, 4
 #: Words of a block that a task counts at a time.
-BLOCK_WORDS = 3_000_000
+BLOCK_WORDS = 1_000_000
 #: Bits of a bitmap, as a power of two: 16 a member, between these.
 MIN_BITS, MAX_BITS = 16, 27
 #: Parts that the phrases of a language are ranked in first.

@@ -50,8 +50,8 @@ LENGTH = 400
 #: Periods of the difference covers, each q * q + q + 1 for a prime q, and 1.
 COVERS = (183, 31, 1)
 #: Sampled places that a task sorts at a time, and that one block of texts sends.
-PART_PLACES = 2_000_000
-BLOCK_PLACES = 1_500_000
+PART_PLACES = 1_000_000
+BLOCK_PLACES = 1_000_000
 
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 _ENTRY = "part int, names binary, contexts binary, places binary, counts binary, keys binary, " \
@@ -244,53 +244,82 @@ def _contexts(data, at, start, stop, v, length, keys, text):
     return out
 
 
-def _judge(entries: DataFrame, n_parts: int, mode: str) -> DataFrame:
-    """``_key``, places left open, places settled as repeated: by neighbours in name order."""
-    fields = [f.split()[0] for f in _ENTRY.split(", ")]
-
-    def rows_of(held: list, part: int):
-        column = {f: b"".join(r[f] for r in held) for f in fields[1:]}
-        keys = np.frombuffer(column["keys"], "<u8").reshape(-1, 2)
-        counts = np.frombuffer(column["counts"], np.int32)
-        places = np.frombuffer(column["places"], np.int32)
-        different, number = np.unique(keys, axis=0, return_inverse=True)
-        texts = np.repeat(number.ravel(), counts)
-        if part >= n_parts:
-            state = np.full(len(places), 2 if mode == "last" else 1)
-            order = np.lexsort((places, texts))
-        else:
-            names = np.frombuffer(column["names"], np.uint64)
-            contexts = np.frombuffer(column["contexts"], np.uint64)
-            many = np.frombuffer(column["many"], np.uint64)
-            more = np.frombuffer(column["many_contexts"], np.uint64)
-            state, order = neighbours(names, contexts, texts, places, many, more, mode)
-        texts, places, state = texts[order], places[order], state[order]
-        fresh = np.ones(len(order), dtype=bool)
-        fresh[1:] = (texts[1:] != texts[:-1]) | (places[1:] != places[:-1])
-        keep = fresh & (state > 0)
-        texts, places, state = texts[keep], places[keep], state[keep]
-        edges = np.flatnonzero(np.r_[True, texts[1:] != texts[:-1]]) if len(texts) else texts
-        for a, b in zip(edges, np.r_[edges[1:], len(texts)]):
-            yield (different[texts[a]].tobytes(), places[a:b][state[a:b] == 1].tobytes(),
-                   places[a:b][state[a:b] == 2].tobytes())
-
+def _gathered(rows: DataFrame, n_parts: int, columns: str, fold) -> DataFrame:
+    """``fold`` over the packed rows of one part at a time, a part a task."""
     def run(batches):
         held, part = [], None
         for batch in batches:
             for row in batch.to_pylist():
                 if row["part"] != part:
-                    yield from _answers(rows_of(held, part)) if held else ()
+                    yield from fold(held, part) if held else ()
                     held, part = [], row["part"]
                 held.append(row)
         if held:
-            yield from _answers(rows_of(held, part))
+            yield from fold(held, part)
 
-    return (entries.repartition(2 * n_parts, "part").sortWithinPartitions("part")
-            .mapInArrow(run, "_key binary, _opened binary, _settled binary"))
+    return rows.repartition(n_parts, "part").sortWithinPartitions("part").mapInArrow(run, columns)
+
+
+def _column(held: list, name: str, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(r[name] for r in held), kind)
+
+
+def _texts_in(held: list) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys of some packed rows, and the number of the key of each place."""
+    keys, number = np.unique(_column(held, "keys", "<u8").reshape(-1, 2), axis=0, return_inverse=True)
+    return keys, np.repeat(number.ravel(), _column(held, "counts", np.int32))
+
+
+def _judge(entries: DataFrame, n_parts: int, mode: str) -> DataFrame:
+    """``_key``, places left open, places settled as repeated: by neighbours in name order.
+
+    Answers are packed again by text, so that the rows follow the texts and not the parts.
+    """
+    def judged(held: list, part: int):
+        keys, texts = _texts_in(held)
+        places = _column(held, "places", np.int32)
+        if part >= n_parts:
+            state = np.full(len(places), 2 if mode == "last" else 1)
+        else:
+            state = neighbours(*(_column(held, f, np.uint64) for f in ("names", "contexts")), texts, places,
+                               *(_column(held, f, np.uint64) for f in ("many", "many_contexts")), mode)
+        home = (keys[:, 0] % np.uint64(n_parts)).astype(np.int64)[texts]
+        order = np.lexsort((places, texts, home))
+        order = order[state[order] > 0]
+        texts, places, state, home = texts[order], places[order], state[order], home[order]
+        if not len(order):
+            return
+        edges = np.flatnonzero(np.r_[True, home[1:] != home[:-1]])
+        rows = [(home[a], *_by_key(texts[a:b], places[a:b], keys), state[a:b].astype(np.int8))
+                for a, b in zip(edges, np.r_[edges[1:], len(home)])]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in rows], pa.int32()),
+             *[pa.array([r[i].tobytes() for r in rows], pa.binary()) for i in range(1, 5)]],
+            ["part", "places", "counts", "keys", "states"])
+
+    def answered(held: list, part: int):
+        keys, texts = _texts_in(held)
+        places, state = _column(held, "places", np.int32), _column(held, "states", np.int8)
+        order = np.lexsort((places, texts))
+        texts, places, state = texts[order], places[order], state[order]
+        fresh = np.ones(len(order), dtype=bool)   # copies of a text tell the same place twice
+        fresh[1:] = (texts[1:] != texts[:-1]) | (places[1:] != places[:-1])
+        texts, places, state = texts[fresh], places[fresh], state[fresh]
+        edges = np.r_[np.flatnonzero(np.r_[True, texts[1:] != texts[:-1]]), len(texts)]
+        columns = [[k.tobytes() for k in keys]]
+        for value in (1, 2):
+            columns.append([places[a:b][state[a:b] == value].tobytes()
+                            for a, b in zip(edges[:-1], edges[1:])])
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns],
+                                         ["_key", "_opened", "_settled"])
+
+    answers = _gathered(entries, 2 * n_parts, "part int, places binary, counts binary, keys binary, "
+                                              "states binary", judged)
+    return _gathered(answers, n_parts, "_key binary, _opened binary, _settled binary", answered)
 
 
 def neighbours(names, contexts, texts, places, many, many_contexts, mode):
-    """State of each place (0 stands once, 1 open, 2 repeated) and the order by text and place."""
+    """State of each place: 0 stands once, 1 open, 2 repeated."""
     n = len(names)
     contexts = contexts if len(contexts) else np.zeros(n, np.uint64)
     all_names = np.concatenate([names, many])
@@ -313,19 +342,7 @@ def neighbours(names, contexts, texts, places, many, many_contexts, mode):
         state_of = np.where((total >= 2) & plain, 2, state_of)
     state = np.zeros(len(order), dtype=np.int64)
     state[order] = state_of[group]
-    return state[:n], np.lexsort((places, texts))
-
-
-def _answers(rows):
-    rows = list(rows)
-    if rows:
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*rows)],
-                                         ["_key", "_opened", "_settled"])
-
-
-def _collected(answers: DataFrame) -> DataFrame:
-    return answers.groupBy("_key").agg(F.collect_list("_opened").alias("_opened"),
-                                       F.collect_list("_settled").alias("_settled"))
+    return state[:n]
 
 
 def _apply(asked: DataFrame, v: int, length: int) -> DataFrame:
@@ -337,7 +354,7 @@ def _apply(asked: DataFrame, v: int, length: int) -> DataFrame:
             for n, was, done, opened, settled in zip(size, *(batch.column(i).to_pylist()
                                                              for i in (2, 3, 4, 5))):
                 end = n - length + 1
-                at, sure = (np.frombuffer(b"".join(x or ()), np.int32).astype(np.int64)
+                at, sure = (np.frombuffer(x or b"", np.int32).astype(np.int64)
                             for x in (opened, settled))
                 lo, hi = merged(np.maximum(at - v + 1, 0), np.minimum(at + 1, end))
                 lo, hi = _common(lo, hi, *((np.zeros(1, np.int64), np.array([end]))
@@ -396,7 +413,7 @@ def _found(texts: DataFrame, total: int, length: int, covers) -> DataFrame:
         n_parts = max(1, int(total * rate) // PART_PLACES + 1)
         entries = _sample(texts if state is None else state.select("_key", "_text", "_open"),
                           v, length, n_parts, state is None)
-        answers = written(_collected(_judge(entries, n_parts, mode)), "repeats-answers")
+        answers = written(_judge(entries, n_parts, mode), "repeats-answers")
         if state is None:
             asked = (_texts_of(texts, answers).join(answers, "_key").dropDuplicates(["_key"])
                      .withColumn("_open", F.lit(None).cast("binary"))

@@ -7,10 +7,13 @@ Each decision is predicted in ``CONTEXTS`` ways from the training rows: how
 often the branch was taken in that context, kept in hashed tables. The
 predictions are mixed in the logistic domain with weights chosen by a gate
 (kind of decision and how much each context has been seen). The weights are
-learned on all training rows, with each decision's own count left out, by Newton
-steps whose gradients are summed in Spark, and then refined online, decision by
-decision, through the whole of every text that is scored. The score is the log10
-probability of the whole text, in bits per byte besides.
+learned on all training rows, with each decision's own count left out: one pass
+counts decisions by gate, quantised predictions and branch in Spark, a table of
+fixed size, and Newton steps on that table go on until they settle. They are then
+refined online, decision by decision, through the whole of every text that is
+scored. The score is the log10 probability of the whole text, in bits per byte
+besides. Rows are adapted side by side (very long ones alone), in 64-bit floats and in an
+order of operations that the row alone decides, so equal texts have equal scores.
 
 Word counts of all training rows are summed in Spark and stay a table: counts
 of the most frequent words travel to the tasks (``TOP_WORDS``, a fixed bound),
@@ -30,6 +33,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,18 +48,18 @@ TOP_WORDS = 1 << 18
 CODED_WORDS = 1 << 16
 #: The most frequent of those serve as a context for what follows.
 MARKER_WORDS = 512
-#: Fewer texts than this are adapted one by one, others side by side.
-LANES = 16
 #: Decisions of a path whose counters lie side by side.
 NEAR = 4
-#: One training row in so many gives the point that the steps over all rows begin at.
-FIRST_SHARE = 32
-#: Newton steps at most, and the change of a weight that ends them (the next would be its square).
-ROUNDS = 5
-SETTLED = 0.03
+#: Levels of a stretched prediction in the table that the weights are fitted on, their width, and
+#: the change of a weight that ends the steps.
+LEVELS, WIDTH = 25, 0.75
+SETTLED = 1e-6
 RATE = 0.015
+#: Decisions of a row that goes alone.
+ALONE = 60_000
 #: Text that a task turns into decisions at a time, in bytes.
 CHUNK_BYTES = 1 << 19
+SCORE_BYTES = 1 << 20
 GATES = 2 * 4 * 4
 _NODE_SEED = 11
 _C = np.uint64(0x9E3779B97F4A7C15)
@@ -216,75 +220,120 @@ def predictions(tables: list[np.ndarray], slots: list[np.ndarray], turn: np.ndar
 
 
 def mix_scores(stretched, gate, turn, bounds, weights: np.ndarray) -> np.ndarray:
-    """Natural-log probability of each row, its weights adapting after every decision."""
+    """Natural-log probability of each row, its weights adapting after every decision.
+
+    All rows that go on take their next decision together; the longest row has the first place.
+    A row of over ``ALONE`` decisions has few beside it and goes alone, whatever stands there.
+    """
     n, size = len(bounds) - 1, np.diff(bounds)
+    out = np.zeros(n)
+    alone = np.flatnonzero(size > ALONE)
+    for i in alone:
+        own = slice(bounds[i], bounds[i + 1])
+        out[i] = _adapt([s[own] for s in stretched], gate[own], turn[own], weights)
+    size[alone] = 0
     order = np.argsort(-size, kind="stable")
     start, size = bounds[:-1][order], size[order]
-    # As long as LANES rows go on, all rows take their next decision together; the longest
-    # row has the first place. What is left of the longest rows follows one by one.
-    steps = int(size[LANES - 1]) if n >= LANES else 0
+    steps = int(size[0]) if n else 0
     live = np.searchsorted(-size, -np.arange(steps), side="left")
     ends = np.cumsum(live)
     lane = np.arange(ends[-1] if steps else 0) - np.repeat(ends - live, live)
     source = start[lane] + np.repeat(np.arange(steps), live)
-    sign = (2 * turn - 1).astype(np.float32)
-    inputs = np.stack([s[source] * sign[source] for s in stretched])
-    own = np.tile(weights.T.astype(np.float32), (1, n)).ravel()
-    which = (gate[source] + lane * GATES) + (np.arange(CONTEXTS) * (n * GATES))[:, None]
-    margin = np.empty(len(source), np.float32)
-    begin, rate = 0, np.float32(RATE)
+    sign = (2.0 * turn - 1)[source]
+    inputs = [s[source] * sign for s in stretched]
+    which = gate[source] + lane * GATES
+    del source, sign
+    own = [np.tile(w, n) for w in weights.T]
+    margin = np.empty(len(lane))
+    begin = 0
     with np.errstate(over="ignore"):
         for end in ends.tolist():
-            at, x = which[:, begin:end], inputs[:, begin:end]
-            w = own[at]
-            here = margin[begin:end]
-            np.einsum("ij,ij->j", w, x, out=here)
-            w += x * (rate / (1 + np.exp(here)))
-            own[at] = w
+            at, here = which[begin:end], margin[begin:end]
+            x = [i[begin:end] for i in inputs]
+            w = [o.take(at) for o in own]
+            np.multiply(w[0], x[0], out=here)
+            for k in range(1, CONTEXTS):
+                here += w[k] * x[k]
+            pull = np.exp(here)
+            pull += 1
+            np.divide(RATE, pull, out=pull)
+            for k in range(CONTEXTS):
+                w[k] += x[k] * pull
+                own[k][at] = w[k]
             begin = end
     np.clip(margin, -80, 80, out=margin)
-    cost = np.log(1 + np.exp(-np.abs(margin))) - np.minimum(margin, 0)
-    total = np.zeros(n) - np.bincount(lane, cost, n)
-    own = own.reshape(CONTEXTS, n, GATES)
-    for i in np.flatnonzero(size > steps):
-        rest = slice(start[i] + steps, start[i] + size[i])
-        total[i] += _adapt([s[rest] * sign[rest] for s in stretched], gate[rest], own[:, i])
-    out = np.empty(n)
-    out[order] = total
+    cost = np.log1p(np.exp(-np.abs(margin))) - np.minimum(margin, 0)
+    if n:
+        out[order] -= np.bincount(lane, cost, n)
     return out
 
 
-def _adapt(inputs, gate, weights: np.ndarray) -> float:
-    """What ``mix_scores`` does, for the rest of one row."""
+def _adapt(stretched, gate, turn, weights: np.ndarray) -> float:
+    """What ``mix_scores`` does, for one row."""
     exp, log1p, total = math.exp, math.log1p, 0.0
-    own = [w.tolist() for w in weights]
-    a, b, c = own
-    for g, x, y, z in zip(gate.tolist(), *[v.tolist() for v in inputs]):
+    a, b, c = (w.tolist() for w in weights.T)
+    sign = 2.0 * turn - 1
+    for g, x, y, z in zip(gate.tolist(), *[(v * sign).tolist() for v in stretched]):
         margin = a[g] * x + b[g] * y + c[g] * z
         margin = -80.0 if margin < -80 else 80.0 if margin > 80 else margin
         odds = exp(-margin)
         total -= log1p(odds)
-        miss = RATE * odds / (1 + odds)
-        a[g] += x * miss
-        b[g] += y * miss
-        c[g] += z * miss
+        pull = RATE * odds / (1 + odds)
+        a[g] += x * pull
+        b[g] += y * pull
+        c[g] += z * pull
     return total
 
 
-def gradients(stretched, gate, turn, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Slope and curvature of the decisions' log-likelihood, gate by gate."""
-    margin = np.zeros(len(gate), np.float32)
-    for k in range(CONTEXTS):
-        margin += weights[:, k].astype(np.float32)[gate] * stretched[k]
-    p = 1 / (1 + np.exp(-np.clip(margin, -20, 20)))
-    miss, spread = turn - p, p * (1 - p)
-    slope = np.stack([np.bincount(gate, miss * stretched[k], GATES) for k in range(CONTEXTS)], axis=1)
-    bend = np.empty((GATES, CONTEXTS, CONTEXTS))
-    for j in range(CONTEXTS):
-        side = spread * stretched[j]
-        for k in range(j, CONTEXTS):
-            bend[:, j, k] = bend[:, k, j] = np.bincount(gate, side * stretched[k], GATES)
-    return slope, bend
+def cells_of(stretched, gate, turn) -> np.ndarray:
+    """Cell of each decision: gate, level of each stretched prediction, branch."""
+    cell = gate.astype(np.int64)
+    for x in stretched:
+        level = np.rint(np.clip(x, -(LEVELS // 2) * WIDTH, LEVELS // 2 * WIDTH) / WIDTH).astype(np.int64)
+        cell = cell * LEVELS + level + LEVELS // 2
+    return cell * 2 + turn
+
+
+def cell_values(cell: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Predictions (cells, contexts), gate and branch of cells."""
+    turn, rest = cell % 2, cell // 2
+    x = np.empty((len(cell), CONTEXTS))
+    for k in reversed(range(CONTEXTS)):
+        x[:, k] = (rest % LEVELS - LEVELS // 2) * WIDTH
+        rest = rest // LEVELS
+    return x, rest, turn
+
+
+def fitted(cell: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Gate weights of a logistic regression on counted cells, by Newton steps until they settle."""
+    x, gate, turn = cell_values(cell)
+    prior = np.full((GATES, CONTEXTS), START_WEIGHT)
+
+    def loss(w):
+        margin = (2 * turn - 1) * (w[gate] * x).sum(axis=1)
+        return np.bincount(gate, n * np.logaddexp(0, -margin), GATES) + 5.0 * ((w - prior) ** 2).sum(axis=1)
+
+    weights, now = prior.copy(), loss(prior)
+    while True:
+        p = 1 / (1 + np.exp(-np.clip((weights[gate] * x).sum(axis=1), -30, 30)))
+        miss, spread = n * (turn - p), n * p * (1 - p)
+        slope = np.stack([np.bincount(gate, miss * x[:, k], GATES) for k in range(CONTEXTS)], axis=1)
+        bend = np.empty((GATES, CONTEXTS, CONTEXTS))
+        for j in range(CONTEXTS):
+            for k in range(CONTEXTS):
+                bend[:, j, k] = np.bincount(gate, spread * x[:, j] * x[:, k], GATES)
+        slope = slope - 10.0 * (weights - prior)
+        step = np.linalg.solve(bend + 10.0 * np.eye(CONTEXTS), slope[:, :, None])[:, :, 0]
+        # Gates are independent and convex: a step that does not lower its loss is halved.
+        while np.abs(step).max() >= SETTLED:
+            after = loss(weights + step)
+            worse = after > now * (1 + 1e-12)
+            if not worse.any():
+                break
+            step[worse] /= 2
+        else:
+            return weights
+        weights, now = weights + step, after
 
 
 START_WEIGHT = 0.35
@@ -398,46 +447,29 @@ def count_decisions(texts: DataFrame, coder) -> list[np.ndarray]:
     return tables
 
 
-def summed_gradients(texts: DataFrame, model, weights: np.ndarray):
-    """``gradients`` of all texts: a sum in Spark of one set of numbers a task."""
+def count_cells(texts: DataFrame, model) -> DataFrame:
+    """``cell``, ``n``: all decisions of all texts by cell; each task sends a cell once."""
+    size = GATES * LEVELS ** CONTEXTS * 2
+
     def run(batches):
         coder, tables = model.value
-        total = np.zeros(GATES * CONTEXTS * (1 + CONTEXTS))
+        total = np.zeros(size, dtype=np.int64)
         for batch in batches:
             for _, _, chunk in chunks(batch.column(0), lower=True, limit=CHUNK_BYTES):
                 slots, turn, is_byte, _ = coder.decisions(chunk)
                 x, gate = predictions(tables, slots, turn, is_byte, True)
-                total += np.concatenate([v.ravel() for v in gradients(x, gate, turn, weights)])
-        # Whole numbers, so that the sum does not depend on its order.
-        yield pa.RecordBatch.from_pydict({"place": pa.array(np.arange(len(total)), pa.int32()),
-                                          "part": np.rint(total * (1 << 16)).astype(np.int64)})
+                total += np.bincount(cells_of(x, gate, turn), minlength=size)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["cell", "n"])
 
-    found = (texts.mapInArrow(run, "place int, part long").groupBy("place")
-             .agg(F.sum(F.col("part").cast("decimal(38,0)")).alias("part")).collect())
-    total = np.zeros(GATES * CONTEXTS * (1 + CONTEXTS))
-    for r in found:
-        total[r["place"]] = float(r["part"]) / (1 << 16)
-    at = GATES * CONTEXTS
-    return (total[:at].reshape(GATES, CONTEXTS), total[at:].reshape(GATES, CONTEXTS, CONTEXTS))
+    return texts.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
 
 
 def start_weights(texts: DataFrame, model) -> np.ndarray:
-    """Gate weights of a logistic regression over all decisions of all training texts.
-
-    The first steps, over one row in ``FIRST_SHARE``, only bring the weights near; the
-    steps over all rows go on until they are settled.
-    """
-    prior = weights = np.full((GATES, CONTEXTS), START_WEIGHT)
-    some = texts.filter(F.pmod(F.xxhash64(texts.columns[0]), F.lit(FIRST_SHARE)) == 0)
-    for rows in (some, texts):
-        for _ in range(ROUNDS):
-            slope, bend = summed_gradients(rows, model, weights)
-            slope, bend = slope - 10.0 * (weights - prior), bend + 10.0 * np.eye(CONTEXTS)
-            step = np.linalg.solve(bend, slope[:, :, None])[:, :, 0]
-            weights = weights + step
-            if np.abs(step).max() < SETTLED:
-                break
-    return weights
+    """Gate weights of a logistic regression over all decisions of all training texts, their
+    predictions quantised. The driver takes the counted cells, a million at most."""
+    found = count_cells(texts, model).toPandas().sort_values("cell")
+    return fitted(found["cell"].to_numpy(np.int64), found["n"].to_numpy(np.float64))
 
 
 def score(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -474,7 +506,9 @@ def score(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text
         known_codes, known = top.value
         end_score = np.log10((ends + 0.5) / divisor)
         for batch in batches:
-            for first, end, chunk in chunks(batch.column(2), lower=True, limit=CHUNK_BYTES):
+            # Texts of like length go side by side.
+            batch = batch.take(pc.sort_indices(pc.fill_null(pc.binary_length(batch.column(2)), 0)))
+            for first, end, chunk in chunks(batch.column(2), lower=True, limit=SCORE_BYTES):
                 slots, turn, is_byte, bounds = coder.decisions(chunk)
                 x, gate = predictions(tables, slots, turn, is_byte, False)
                 del slots

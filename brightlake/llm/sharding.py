@@ -11,17 +11,20 @@ that give or receive rows are rewritten.
 
 Defined cases: a null or empty text has its fixed bytes only; a null id is an
 id like any other; repeated rows are placed each, in any order among equals;
-an empty table gives no rows. Other columns are ignored by ``reshard``.
+an empty table gives no rows. Other columns are ignored by ``reshard`` and kept
+by ``reshard_store``, which moves every row of a written store exactly once.
 """
 
 from __future__ import annotations
 
+import re
 from collections import deque
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from brightlake.session import scratch_path
+from brightlake.session import scratch_path, written
+from brightlake.sources.files import file_name, read_files, recover, replace_files, table_files
 
 OLD_SHARDS = 16
 NEW_SHARDS = 24
@@ -108,12 +111,19 @@ def plan(old_bytes: dict[int, int], large: list[tuple[int, int]], old_shards: in
 def reshard(docs: DataFrame, key: str = "doc_id", text: str = "text",
             old_shards: int = OLD_SHARDS, new_shards: int = NEW_SHARDS) -> DataFrame:
     """``key``, ``size``, ``text_crc32``, ``old_shard``, ``shard`` and ``slot`` of every row."""
+    return _reshard(docs, key, text, F.pmod(F.xxhash64(key), F.lit(old_shards)).cast("int"),
+                    old_shards, new_shards)
+
+
+def _reshard(docs: DataFrame, key: str, text: str, old_shard: Column, old_shards: int,
+             new_shards: int, row: tuple[str, ...] = ()) -> DataFrame:
+    """``reshard`` from the column ``old_shard``; the columns ``row`` tell rows apart."""
     spark = docs.sparkSession
     path = scratch_path(spark, "sharding-rows")
-    (docs.select(F.col(key),
+    (docs.select(*row, F.col(key),
                  (F.coalesce(F.octet_length(text), F.lit(0)) + ROW_BYTES).cast("long").alias("size"),
                  F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("text_crc32"),
-                 F.pmod(F.xxhash64(key), F.lit(old_shards)).cast("int").alias("old_shard"))
+                 old_shard.alias("old_shard"))
      .withColumn("_order", F.xxhash64(F.lit(11), key, "size", "text_crc32"))
      .write.parquet(path))
     rows = spark.read.parquet(path)
@@ -136,7 +146,7 @@ def reshard(docs: DataFrame, key: str = "doc_id", text: str = "text",
              .withColumn("_begin", F.sum("_bytes").over(
                  Window.partitionBy("old_shard").orderBy("_block")) - F.col("_bytes"))
              .drop("_bytes"))
-    inside = Window.partitionBy("old_shard", "_block").orderBy("_order", key)
+    inside = Window.partitionBy("old_shard", "_block").orderBy("_order", key, *row)
     upto = F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0))
     small = (small.join(begin, ["old_shard", "_block"])
              .withColumn("_middle", F.col("_begin") + upto - F.col("size") / 2))
@@ -147,14 +157,14 @@ def reshard(docs: DataFrame, key: str = "doc_id", text: str = "text",
     cuts = spark.createDataFrame(cuts, "old_shard int, _low double, _high double, shard int")
     small = (small.join(F.broadcast(cuts), "old_shard")  # at most old_shards * new_shards rows
              .filter("_middle >= _low and _middle < _high"))
-    columns = [key, "size", "text_crc32", "old_shard", "shard", "_block", "_order"]
+    columns = [*row, key, "size", "text_crc32", "old_shard", "shard", "_block", "_order"]
     # Equal large rows of one shard share a rank; they go to the places of that rank in turn.
     spots = spark.createDataFrame([(r["old_shard"], r["size"], r["_order"], k, j) for k, (r, j) in
                                    enumerate(zip(large_rows, placed))],
                                   "old_shard int, size long, _order long, _k int, shard int")
     same = Window.partitionBy("old_shard", "size", "_order").orderBy("_k")
     spots = spots.withColumn("_turn", F.row_number().over(same)).drop("_k")
-    turn = Window.partitionBy("old_shard", "size", "_order").orderBy(key)
+    turn = Window.partitionBy("old_shard", "size", "_order").orderBy(key, *row)
     large = (rows.filter("_large").withColumn("_turn", F.row_number().over(turn))
              .withColumn("_block", F.lit(-1))
              .join(F.broadcast(spots), ["old_shard", "size", "_order", "_turn"]))
@@ -166,23 +176,42 @@ def reshard(docs: DataFrame, key: str = "doc_id", text: str = "text",
               .withColumn("_before", F.sum("_rows").over(
                   Window.partitionBy("shard").orderBy("old_shard", "_block")) - F.col("_rows"))
               .drop("_rows"))
-    place = F.row_number().over(Window.partitionBy(*group).orderBy("_order", key))
+    place = F.row_number().over(Window.partitionBy(*group).orderBy("_order", key, *row))
     return (out.join(before, group).withColumn("slot", F.col("_before") + place - 1)
-            .select(key, "size", "text_crc32", "old_shard", "shard", "slot"))
+            .select(*row, key, "size", "text_crc32", "old_shard", "shard", "slot"))
+
+
+def write_store(docs: DataFrame, path: str, shards: int = OLD_SHARDS, key: str = "doc_id") -> str:
+    """A new store: rows whole in ``doc``, in folders by ``shard`` (dealt by id)."""
+    (docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"),
+                 F.pmod(F.xxhash64(docs[key]), F.lit(shards)).cast("int").alias("shard"))
+     .hint("rebalance", "shard").write.partitionBy("shard").parquet(path))
+    return path
 
 
-def rewrite(docs: DataFrame, assigned: DataFrame, path: str, key: str = "doc_id") -> list[int]:
-    """Rewrite the shard folders under ``path`` that gain or lose rows; returns their numbers.
+def reshard_store(spark: SparkSession, path: str, new_shards: int = NEW_SHARDS, key: str = "doc_id",
+                  text: str = "text") -> list[int]:
+    """Carry the flow out on a written store; returns the shards that gave or received rows.
 
-    ``docs`` must not be read from ``path`` itself. Folders of other shards stay
-    untouched. ``key`` must tell the documents apart.
+    Rows are told apart by file and place in the file, so null and repeated ids are rows like
+    any other. Only files of affected shards are rewritten, in slot order; a shard that is left
+    without rows has no file any more. The replacement is carried on after a crash.
     """
-    moved = assigned.filter(F.col("shard") != F.col("old_shard"))
-    touched = sorted(r[0] for r in moved.select(F.explode(F.array("shard", "old_shard")))
-                     .distinct().collect())
-    where = assigned.filter(F.col("shard").isin(touched)).select(key, "shard", "slot")
-    (docs.drop("shard", "slot").join(where, key)
-     .repartition(max(len(touched), 1), "shard").sortWithinPartitions("shard", "slot")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("shard").parquet(path))
-    return touched
+    recover(spark, path)
+    row = ("_file", "_at")
+    store = spark.read.parquet(path)
+    old_shards = (store.agg(F.max("shard")).first()[0] or 0) + 1
+    rows = store.select(file_name().alias("_file"), F.col("_metadata.row_index").alias("_at"),
+                        F.col("doc")[key].alias("_key"), F.col("doc")[text].alias("_text"), "shard")
+    placed = written(_reshard(rows, "_key", "_text", F.col("shard"), old_shards, new_shards, row)
+                     .select(*row, "old_shard", "shard", "slot"), "resharded")
+    moved = placed.filter(F.col("shard") != F.col("old_shard"))
+    touched = {r[0] for r in moved.select(F.explode(F.array("shard", "old_shard"))).distinct().collect()}
+    old = [f for f in table_files(spark, path) if int(re.search(r"/shard=(\d+)/", f)[1]) in touched]
+    if old:
+        docs = read_files(spark, path, old).select(
+            "doc", file_name().alias("_file"), F.col("_metadata.row_index").alias("_at"))
+        new = (docs.join(placed, list(row)).repartitionByRange("shard", "slot")
+               .sortWithinPartitions("shard", "slot").select("doc", "shard"))
+        replace_files(new, path, old, ["shard"])
+    return sorted(touched)

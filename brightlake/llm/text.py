@@ -29,6 +29,12 @@ _BYTE_CODE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.u
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: A second polynomial, modulo a prime: modulo 2 ** 64 alone, long texts of one self-similar
+#: pattern and its opposite would agree for any base.
+_PRIME = (1 << 31) - 1
+_PRIME_CODE = _rng.integers(1, _PRIME, 256, dtype=np.uint64)
+_PRIME_BASE = 1_000_003_579
+_prime_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -51,6 +57,18 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def _prime_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if len(_prime_powers[0]) < n:
+        size = max(n, CHUNK_BYTES + 2)
+        for k, base in enumerate((_PRIME_BASE, pow(_PRIME_BASE, -1, _PRIME))):
+            table = np.ones(1, np.uint64)
+            while len(table) < size:   # powers below 2 ** 31, so products fit
+                step = np.uint64(pow(base, len(table), _PRIME))
+                table = np.concatenate([table, table * step % np.uint64(_PRIME)])
+            _prime_powers[k] = table[:size]
+    return _prime_powers[0], _prime_powers[1]
+
+
 class Chunk:
     """The texts of some rows as one byte array with offsets."""
 
@@ -58,7 +76,7 @@ class Chunk:
         self.data = LOWER[data] if lower else data
         self.offsets = offsets.astype(np.int64)
         self.n = len(offsets) - 1
-        self._sums = self._words = None
+        self._sums = self._prime_sums = self._words = None
 
     def sums_by_row(self, flags: np.ndarray) -> np.ndarray:
         total = np.zeros(len(flags) + 1, dtype=np.int64)
@@ -68,10 +86,18 @@ class Chunk:
     def span_hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """64-bit hash of each byte span; equal bytes give equal hashes."""
         power, inverse = _power_tables(len(self.data) + 1)
+        prime_power, prime_inverse = _prime_tables(len(self.data) + 1)
         if self._sums is None:
             self._sums = np.zeros(len(self.data) + 1, dtype=np.uint64)
             np.cumsum(_BYTE_CODE[self.data] * power[:len(self.data)], out=self._sums[1:])
-        return mix64((self._sums[ends] - self._sums[starts]) * inverse[starts])
+            prime = np.uint64(_PRIME)
+            self._prime_sums = np.zeros(len(self.data) + 1, dtype=np.uint64)
+            np.cumsum(_PRIME_CODE[self.data] * prime_power[:len(self.data)] % prime,
+                      out=self._prime_sums[1:])
+        second = (self._prime_sums[ends] - self._prime_sums[starts]) % np.uint64(_PRIME)
+        second = second * prime_inverse[starts] % np.uint64(_PRIME)
+        return mix64((self._sums[ends] - self._sums[starts]) * inverse[starts]
+                     + mix64(second + np.uint64(1)))
 
     def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start, end and row of each word, in text order."""

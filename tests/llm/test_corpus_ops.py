@@ -160,8 +160,14 @@ def test_lm_scores(spark):
     assert [g[:5] for g in got] == [e[:5] for e in expect]
     assert all(math.isclose(g[5], e[5], rel_tol=1e-9, abs_tol=1e-9) for g, e in zip(got, expect))
     assert all(r.score < 0 and math.isfinite(r.score) for r in out)
-    same = [r.score for r in out if r.doc_id == 3]
-    assert len(set(np.round(same, 4))) <= 2    # id 3 also names a driver document
+    text_of, scores = {}, {}
+    for k, t, *_ in rows:
+        text_of.setdefault(k, set()).add((t or "").translate(LOWER))
+    for r in out:
+        if len(text_of[r.doc_id]) == 1:
+            scores.setdefault(next(iter(text_of[r.doc_id])), set()).add(r.score)
+    assert all(len(found) == 1 for found in scores.values())     # equal texts, equal scores
+    assert len(scores) < len(out)
     assert lm.score(edge_table(spark, []), fold(F.col("doc_id"), 5) != 1).count() == 0
 
 
@@ -178,8 +184,9 @@ def test_lm_probabilities_sum_to_one():
     assert list(length).index(min(length)) == 5
 
 
-def test_lm_weights_adapt_after_every_decision():
+def test_lm_weights_adapt_after_every_decision(monkeypatch):
     rng = np.random.default_rng(4)
+    monkeypatch.setattr(lm, "ALONE", 9500)
     sizes = [0, 1, 7, 64, 9000, 20000] + [int(x) for x in rng.integers(0, 300, 40)]
     bounds = np.concatenate([[0], np.cumsum(sizes)])
     x = rng.normal(size=(lm.CONTEXTS, bounds[-1])).astype(np.float32)
@@ -191,14 +198,18 @@ def test_lm_weights_adapt_after_every_decision():
         own, total = weights.copy(), 0.0
         for i in range(a, b):
             sign = 2 * int(turn[i]) - 1
-            margin = sign * float(own[gate[i]] @ x[:, i])
+            here = x[:, i].astype(float)
+            margin = sign * float(own[gate[i]] @ here)
             total -= math.log1p(math.exp(-margin))
-            own[gate[i]] += lm.RATE * sign * x[:, i] / (1 + math.exp(margin))
+            own[gate[i]] += lm.RATE * sign * here / (1 + math.exp(margin))
         expect.append(total)
     got = lm.mix_scores(x, gate, turn, bounds, weights)
-    assert np.allclose(got, expect, rtol=1e-4, atol=1e-4)
+    assert np.allclose(got, expect, rtol=1e-9, atol=1e-9)
     few = lm.mix_scores(x, gate, turn, bounds[:7], weights)
-    assert np.allclose(few, expect[:6], rtol=1e-4, atol=1e-4)
+    assert few.tolist() == got[:6].tolist()
+    alone = [lm.mix_scores(x[:, a:b], gate[a:b], turn[a:b], np.array([0, b - a]), weights)[0]
+             for a, b in zip(bounds, bounds[1:])]
+    assert alone == got.tolist()                    # whatever rows stand beside them
 
 
 def test_lm_start_weights_fit_all_training_rows(spark):
@@ -218,16 +229,32 @@ def test_lm_start_weights_fit_all_training_rows(spark):
     weights = lm.start_weights(rows, spark.sparkContext.broadcast((coder, tables)))
     slope = -10.0 * (weights - lm.START_WEIGHT)
     bend = 10.0 * np.tile(np.eye(lm.CONTEXTS), (lm.GATES, 1, 1))
+    kept = []
     for _, _, chunk in chunks(pa.array(texts), lower=True):
         slots, turn, is_byte, _ = coder.decisions(chunk)
         x, gate = (np.float64(v) for v in lm.predictions(tables, slots, turn, is_byte, True))
         gate = gate.astype(int)
-        p = 1 / (1 + np.exp(-(weights[gate].T * x).sum(axis=0)))
+        kept.append((x, gate, turn))
+        values, gates, turns = lm.cell_values(lm.cells_of(x, gate, turn))
+        assert (gates == gate).all() and (turns == turn).all()
+        assert np.abs(values.T - np.clip(x, -9, 9)).max() <= lm.WIDTH / 2 + 1e-9
+        values = values.T
+        p = 1 / (1 + np.exp(-(weights[gate].T * values).sum(axis=0)))
         for g in range(lm.GATES):
-            at = x[:, gate == g]
+            at = values[:, gate == g]
             slope[g] += at @ (turn - p)[gate == g]
             bend[g] += (at * (p * (1 - p))[gate == g]) @ at.T
-    assert np.abs(np.linalg.solve(bend, slope[:, :, None])).max() < 0.01
+    assert np.abs(np.linalg.solve(bend, slope[:, :, None])).max() < 1e-5
+
+    def loss(w):
+        return sum(np.logaddexp(0, -(2.0 * turn - 1) * (w[gate].T * x).sum(axis=0)).sum()
+                   for x, gate, turn in kept)
+
+    # Quantising costs next to nothing: no step in any direction lowers the loss much.
+    rng = np.random.default_rng(2)
+    best = min(loss(weights + s * rng.normal(size=weights.shape)) for s in (0.01, 0.03, 0.1) for _ in range(20))
+    assert loss(weights) < 1.01 * best
+    assert loss(weights) < loss(np.full(weights.shape, lm.START_WEIGHT))
 
 
 def test_lm_learns_from_what_it_has_seen(spark):
@@ -274,21 +301,24 @@ def test_min_cost_flow_is_optimal():
         assert [sum(f for (i, _), f in flow.items() if i == k) for k in range(n)] == supply
 
 
-def test_rewrite_touches_only_affected_shards(spark, tmp_path):
-    docs = spark.createDataFrame([(i, f"text {i}", None, None, 0) for i in range(40)], SCHEMA)
-    old = docs.select("doc_id", (F.col("doc_id") % 4).cast("int").alias("old_shard"),
-                      (F.col("doc_id") % 4).cast("int").alias("shard"),
-                      F.floor(F.col("doc_id") / 4).alias("slot"))
-    path = str(tmp_path / "shards")
-    docs.join(old, "doc_id").drop("old_shard").write.partitionBy("shard").parquet(path)
-    before = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "shards").glob("shard=*/*.parquet")}
-    moved = old.withColumn("shard", F.when(F.col("doc_id") == 5, 2).otherwise(F.col("shard")))
-    assert sharding.rewrite(docs, moved, path) == [1, 2]
-    after = {p.name for p in (tmp_path / "shards").glob("shard=*/*.parquet")}
-    same = {p.name for j in (0, 3) for p in (tmp_path / f"shards/shard={j}").glob("*.parquet")}
-    assert same <= set(before) and same <= after
-    got = {r.doc_id: r.shard for r in spark.read.parquet(path).collect()}
-    assert len(got) == 40 and got[5] == 2 and got[9] == 1
+@pytest.mark.parametrize("old,new", [(4, 2), (3, 7), (4, 4)])
+def test_store_keeps_every_row(spark, tmp_path, old, new):
+    rows = edge_rows() + [(i, f"text {i % 9} " * (i % 40), "en", "s", i) for i in range(120)]
+    rows += [(None, "again", None, None, 1)] * 2 + [(3, "third", None, None, 1)]
+    docs = edge_table(spark, rows)
+    path = sharding.write_store(docs, str(tmp_path / "store"), old)
+    want = Counter(map(str, docs.collect()))
+    touched = sharding.reshard_store(spark, path, new)
+    back = spark.read.parquet(path)
+    assert Counter(map(str, back.select("doc.*").collect())) == want
+    shards = {r.shard for r in back.select("shard").distinct().collect()}
+    assert shards <= set(range(new)) and set(range(min(old, new), max(old, new))) <= set(touched)
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "store").glob("shard=*/*.parquet")}
+    again = sharding.reshard_store(spark, path, new)
+    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "store").glob("shard=*/*.parquet")}
+    untouched = [p for p in before if int(p.parent.name[6:]) not in again]
+    assert all(after.get(p) == before[p] for p in untouched)
+    assert Counter(map(str, spark.read.parquet(path).select("doc.*").collect())) == want
 
 
 def test_mixing_targets_and_budgets(spark):

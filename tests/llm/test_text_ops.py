@@ -236,3 +236,27 @@ def test_suffix_ranks_equal_prefixes():
         by.setdefault(r, set()).add(tuple(tokens[i:i + 4]))
     assert len(ranks) == 397 and all(len(v) == 1 for v in by.values())
     assert len(by) == len({tuple(tokens[i:i + 4]) for i in range(397)})
+
+
+def thue_morse(n, a="a", b="b"):
+    return "".join(b if bin(i).count("1") % 2 else a for i in range(n))
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 4096])
+def test_hashes_tell_self_similar_texts_apart(n):
+    """A polynomial modulo 2 ** 64 gives these two words one hash, whatever its base."""
+    one, two = thue_morse(n), thue_morse(n, "b", "a")
+    (_, _, chunk), = chunks(pa.array([f"{one} {two} {one}", two]))
+    a, b, c, d = chunk.word_hashes().tolist()
+    assert a == c and b == d and a != b
+
+
+def test_queries_tell_self_similar_lines_apart(spark):
+    from brightlake.llm import lm, neardup
+    one, two = thue_morse(2048), thue_morse(2048, "b", "a")
+    rows = [(1, f"{one}\n{two}\nx", None, None, 0), (2, one, None, None, 0), (3, two, None, None, 0)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert {r.doc_id: r.n_dup_lines for r in quality.score_quality(docs).collect()} == {1: 0, 2: 0, 3: 0}
+    assert {r.doc_id: r.component_id for r in neardup.components(docs, words=4).collect()} == {1: 1, 2: 2, 3: 3}
+    known = {r.doc_id: r.n_known for r in lm.score(docs, docs["doc_id"] == 2).collect()}
+    assert known == {1: 2, 2: 2, 3: 1}     # of the words and the end

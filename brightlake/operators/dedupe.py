@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _pick(df: DataFrame, keys, order_cols, latest: bool) -> DataFrame:
+def _pick(df: DataFrame, keys, order_cols, latest: bool, count_col: str | None = None) -> DataFrame:
     """NULL order values come last: a row with a known order beats one without."""
     keys = list(keys)
     order_cols = [c for c in order_cols if c not in keys]
@@ -21,15 +21,17 @@ def _pick(df: DataFrame, keys, order_cols, latest: bool) -> DataFrame:
     packed = F.struct(*[x for c, k in zip(order_cols, known) for x in (k.alias(f"_null_{c}"), F.col(c))],
                       *[F.col(c) for c in rest])
     agg = F.max(packed) if latest else F.min(packed)
-    picked = df.groupBy(*keys).agg(agg.alias("_row"))
+    more = [count_col] if count_col else []
+    picked = df.groupBy(*keys).agg(agg.alias("_row"), *[F.count(F.lit(1)).alias(c) for c in more])
     return picked.select(*[F.col(k) for k in keys],
-                         *[F.col(f"_row.{c}").alias(c) for c in order_cols + rest]
-                         ).select(*df.columns)
+                         *[F.col(f"_row.{c}").alias(c) for c in order_cols + rest],
+                         *more).select(*df.columns, *more)
 
 
-def first_by_key(df: DataFrame, keys, order_cols=()) -> DataFrame:
-    """Keep, per key, the row that sorts first by ``order_cols`` then all other columns."""
-    return _pick(df, keys, order_cols, latest=False)
+def first_by_key(df: DataFrame, keys, order_cols=(), count_col: str | None = None) -> DataFrame:
+    """Keep, per key, the row that sorts first by ``order_cols`` then all other columns;
+    ``count_col`` adds the number of the key's rows."""
+    return _pick(df, keys, order_cols, latest=False, count_col=count_col)
 
 
 def latest_by(df: DataFrame, keys, version_cols) -> DataFrame:

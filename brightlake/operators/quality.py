@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,10 +83,19 @@ def observed_rules(df: DataFrame, rules: dict[str, Column], name: str,
     return df.observe(seen, *rule_counts(rules, null_fails)), seen
 
 
-def observed_results(spark: SparkSession, seen: Observation, rules, table_name: str, layer: str,
-                     run_at) -> DataFrame:
-    """D1/D2 rows of an ``observed_rules`` write that has ended."""
-    counts = seen.get
+def observed_counts(seen: Observation) -> dict[str, int] | None:
+    """Counts of an ``observed_rules`` write that has ended; None where the plan that ran had
+    no counters left (Spark may replace an empty plan altogether)."""
+    try:
+        counts = seen.get
+    except Py4JJavaError:
+        return None
+    return {k: int(v or 0) for k, v in counts.items()} or None
+
+
+def counted_results(spark: SparkSession, counts: dict, rules, table_name: str, layer: str,
+                    run_at) -> DataFrame:
+    """D1/D2 rows of known rule counts."""
     row = [tuple(int(counts.get(c) or 0) for c in ("rows_tested", *rules))]
     schema = ", ".join(f"`{c}` long" for c in ("rows_tested", *rules))
     return result_rows(spark.createDataFrame(row, schema), rules, table_name, layer, run_at)

@@ -589,10 +589,18 @@ SQL["ml_features"] = f"""WITH {ORDERS_CTE}, {feat_cte('f')}, {MED_CTE}
 SELECT customer_id, churned, {IN_TRAINING} AS in_training,
        {", ".join(f"COALESCE({dbl(c)}, 0.0) AS {c}" for c in _CHURN_FEATURES)} FROM lab"""
 
-SQL["model_metrics"] = " UNION ALL ".join(
-    f"SELECT '{model}' AS model_name, '{metric}' AS metric_name, TRUE AS within_bounds"
-    for model, metric in [("churn", "auc"), ("churn", "churn_rate"), ("ltv", "mae"),
-                          *[("churn", f"importance_{c}") for c in _CHURN_FEATURES]])
+SQL["model_metrics"] = f"""WITH {ORDERS_CTE}, {feat_cte('f')}, {MED_CTE},
+ml AS (SELECT churned, {IN_TRAINING} AS train, CAST(COALESCE(total_spent_all, 0) AS DOUBLE) AS spent FROM lab),
+m AS (SELECT AVG(spent) FILTER (WHERE train) AS mean FROM ml),
+k AS (SELECT CAST(COUNT(*) AS DOUBLE) AS customers, CAST(COUNT(*) FILTER (WHERE train) AS DOUBLE) AS training_rows,
+  ROUND(AVG(CAST(churned AS DOUBLE)), 6) AS churn_rate,
+  ROUND(AVG(ABS(spent - mean)) FILTER (WHERE NOT train), 2) AS mae_of_mean FROM ml, m)
+""" + " UNION ALL ".join(
+    [f"SELECT 'churn' AS model_name, '{c}' AS metric_name, {c} AS exact_value, CAST(NULL AS BOOLEAN) AS within_bounds FROM k"
+     for c in ("customers", "training_rows", "churn_rate", "mae_of_mean")]
+    + [f"SELECT '{model}', '{metric}', CAST(NULL AS DOUBLE), TRUE"
+       for model, metric in [("churn", "auc"), ("ltv", "mae"),
+                             *[("churn", f"importance_{c}") for c in _CHURN_FEATURES]]])
 
 
 # ---- file by file, features at many dates, distinct customers of periods ----------------

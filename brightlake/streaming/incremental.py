@@ -33,7 +33,7 @@ from pyspark.sql.types import StructType
 from brightlake.operators import quality
 from brightlake.operators.cleaning import clean_order_rows, parse_if_text
 from brightlake.operators.dedupe import first_by_key
-from brightlake.plans import gold, ops
+from brightlake.plans import gold
 from brightlake.plans.ops import RUN_SCHEMA
 from brightlake.session import path_exists
 from brightlake.sources.files import read_files, recover, replace_files, table_files
@@ -45,24 +45,24 @@ LANDED = ("_landed_at", "_landed_file", "_landed_row")
 
 
 def touched_days(cells: DataFrame) -> list:
-    """Distinct days of a batch (None: no day): bounded by the calendar."""
-    return [r[0] for r in cells.select("order_date").distinct().collect()]
+    """Distinct days of a batch as text (None: no day): bounded by the calendar."""
+    return [r[0] for r in cells.select(F.col("order_date").cast("string")).distinct().collect()]
 
 
-def _one_of(column: str, values: list):
-    known = [v for v in values if v is not None]
+def _one_of(column: str, values: list, kind: str = "string"):
+    known = [F.lit(v).cast(kind) for v in values if v is not None]
     keep = F.col(column).isin(known) if known else F.lit(False)
     return keep | F.col(column).isNull() if None in values else keep
 
 
 def _months(days: list) -> list:
-    return sorted({d and d.isoformat()[:-3] for d in days}, key=str)
+    return sorted({d and d[:-3] for d in days}, key=str)
 
 
 def in_days(cells: DataFrame, days: list) -> DataFrame:
     """Cells of the given days by literal filters: on the month, which prunes folders, and on
     the day, which prunes row groups."""
-    return cells.filter(_one_of("_month", _months(days)) & _one_of("order_date", days))
+    return cells.filter(_one_of("_month", _months(days)) & _one_of("order_date", days, "date"))
 
 
 def _cells(orders: DataFrame) -> DataFrame:
@@ -114,7 +114,7 @@ def write_days(cells: DataFrame, days: list, path: str) -> None:
         names = {"month=" + (m or "__HIVE_DEFAULT_PARTITION__") for m in _months(days)}
         old = [f for f in table_files(spark, path) if f.split("/")[-2] in names]
     if old:
-        kept = read_files(spark, path, old).filter(~F.coalesce(_one_of("date", days), F.lit(False)))
+        kept = read_files(spark, path, old).filter(~F.coalesce(_one_of("date", days, "date"), F.lit(False)))
         daily = daily.unionByName(kept.withColumn("month", F.col("month").cast("string"))
                                   .select(*daily.columns))
     # One row a day: a month is a handful of rows.
@@ -145,6 +145,14 @@ def merge_day_cells(spark: SparkSession, path: str, like: DataFrame, before: int
     return len({n.rsplit("/", 1)[0] for n in old})
 
 
+def silver_batch(spark: SparkSession, path: str, like: DataFrame, batch_id: int) -> DataFrame:
+    """The rows of one batch in silver, typed as ``like``."""
+    if not path_exists(spark, path):
+        return like.limit(0)
+    schema = StructType(list(like.schema)).add("order_month", "string").add("_batch", "long")
+    return spark.read.schema(schema).parquet(path).filter(F.col("_batch") == batch_id)
+
+
 def _log(rows: DataFrame, batch_id: int, path: str) -> None:
     """Rows about a batch, in its own partition: a re-run replaces them."""
     (rows.withColumn("_batch", F.lit(batch_id).cast("long")).coalesce(1).write.mode("overwrite")
@@ -187,14 +195,14 @@ def _merge_batch(raw, batch_id, silver_path, gold_path, as_of, keys_path, cells_
     spark = raw.sparkSession
     index = SeenKeys(spark, keys_path, "order_id")
     order = [c for c in LANDED if c in raw.columns] or ["created_at"]
-    landed, read = ops.counted(raw, "stream")
-    # Rows without an id are dropped by the cleaning whatever their number.
-    batch = first_by_key(parse_if_text(landed, "created_at").filter(F.col("order_id").isNotNull()),
-                         ["order_id"], order).persist()
+    # Rows without an id are one row here, and go in the cleaning whatever their number.
+    whole = first_by_key(parse_if_text(raw, "created_at"), ["order_id"], order, "_rows").persist()
     try:
-        some = batch.count()   # computes the whole batch once; what follows reads it
-        counts["read"] = int(read.get["rows"])
-        if some:
+        # Computes the whole batch once; what follows reads it.
+        read = whole.agg(F.sum("_rows"), F.count("order_id")).first()
+        counts["read"] = read[0] or 0
+        batch = whole.drop("_rows").filter(F.col("order_id").isNotNull())
+        if read[1]:
             index.remember(index.unseen(batch, batch_id), batch_id)
         # From here on the batch is what its key partitions hold, so a re-run agrees.
         ids = index.own(batch, batch_id)
@@ -203,14 +211,18 @@ def _merge_batch(raw, batch_id, silver_path, gold_path, as_of, keys_path, cells_
         _overwrite(observed.withColumn("order_month", F.date_format("created_at", "yyyy-MM"))
                    .withColumn("_batch", F.lit(batch_id).cast("long")),
                    silver_path, "order_month", "_batch")
-        counts["written"] = int(seen.get["rows_tested"])
+        tested = quality.observed_counts(seen)
+        if tested is None:   # the plan of an empty batch may have lost its counters
+            own = silver_batch(spark, silver_path, clean, batch_id)
+            tested = own.agg(*quality.rule_counts(rules)).first().asDict()
+        counts["written"] = tested["rows_tested"]
         if dq_path:
-            _log(quality.observed_results(spark, seen, rules, "orders", "silver", as_of), batch_id, dq_path)
+            _log(quality.counted_results(spark, tested, rules, "orders", "silver", as_of), batch_id, dq_path)
         days = touched_days(write_cells(clean, batch_id, cells_path)) if counts["written"] else []
         if days:
             write_days(read_cells(spark, cells_path, clean), days, gold_path)
     finally:
-        batch.unpersist()
+        whole.unpersist()
 
 
 def start_incremental(spark: SparkSession, landing_dir: str, schema: StructType,

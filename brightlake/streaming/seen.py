@@ -126,7 +126,7 @@ class SeenKeys:
     def remember(self, fresh: DataFrame, batch_id: int) -> None:
         """Write the batch's new keys (distinct) and their filters."""
         ids = fresh.select(self.key)
-        buckets = self.buckets(ids.count())
+        buckets = self.buckets() or self.buckets(ids.count())
         (ids.withColumn("_bucket", _bucket(self.key, buckets))
          .withColumn("_batch", F.lit(batch_id).cast("long")).hint("rebalance", "_bucket")
          .sortWithinPartitions("_bucket", self.key)

@@ -108,3 +108,50 @@ def test_asof_null_entity_matches_nothing(spark):
     spine = spark.createDataFrame([(1, None, ts(2))], "sid long, k long, t timestamp_ntz")
     out = asof_join(spine, feats, "k", "t", "fts", ["value"], dt.timedelta(days=1)).collect()
     assert len(out) == 1 and out[0].value is None
+
+
+def test_training_features_equal_features_of_each_date(spark):
+    import random
+    rng = random.Random(3)
+    rows = [(str(i), rng.choice([1, 2, 3, None]), rng.choice(["a", "b", "c", None]), rng.randrange(1, 90),
+             rng.choice(["completed", "refunded", "cancelled"]), AS_OF - dt.timedelta(days=rng.randrange(-20, 260)))
+            for i in range(300)]
+    rows += [("edge", 9, "a", 5, "completed", dt.date(2026, 1, 1)), ("none", 9, "a", None, "completed", AS_OF)]
+    orders = lines(spark, rows)
+    dates = ["2026-01-01", "2026-01-08", "2025-10-01", "2026-03-31", "2026-04-30", "2020-01-01", "2026-01-01"]
+    got = features.training_features(orders, dates)
+    want = None
+    for d in sorted(set(dates)):
+        one = features.customer_features(orders.filter(F.col("order_date") < F.lit(d).cast("date")), d)
+        want = one if want is None else want.unionByName(one)
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_training_features_scan_once(spark, scratch):
+    rows = [(str(i), i % 3, "a", 5, "completed", AS_OF - dt.timedelta(days=i)) for i in range(40)]
+    lines(spark, rows).write.parquet(f"{scratch}/lines")
+    got = features.training_features(spark.read.parquet(f"{scratch}/lines"),
+                                     [f"2026-{m:02d}-01" for m in range(1, 13)])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
+def test_rolling_distinct_counts(spark):
+    import random
+
+    from brightlake.operators import distinct
+    rng = random.Random(8)
+    rows = [(rng.choice([None, *range(60)]), rng.choice([None, -5, 0, 32767, 32768, 40000, 10**12, *range(30)]))
+            for _ in range(400)]
+    rows = [(None if d is None else AS_OF - dt.timedelta(days=d), k) for d, k in rows]
+    df = spark.createDataFrame(rows, "day date, k long")
+    daily = distinct.daily_bitmaps(df, "day", "k")
+    halves = distinct.daily_bitmaps(df.filter("k % 2 = 0"), "day", "k").unionByName(
+        distinct.daily_bitmaps(df.filter("k % 2 <> 0"), "day", "k"))
+    for bitmaps in (daily, distinct.merge_bitmaps(halves, "day"), halves):
+        got = {r.day: (r.n_1d, r.n_7d, r.n_30d) for r in distinct.rolling_distinct(
+            bitmaps, "day", (1, 7, 30), "n").collect()}
+        days = {d for d, k in rows if d is not None and k is not None}
+        assert got == {d: tuple(len({k for e, k in rows if e is not None and k is not None
+                                     and 0 <= (d - e).days < n}) for n in (1, 7, 30)) for d in days}

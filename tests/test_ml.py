@@ -82,3 +82,24 @@ def test_one_class_raises_and_fits_repeat(spark):
     runs = [ml.score_churn(ml.train_churn(two.repartition(n), max_iter=3)[0], two)
             .orderBy("customer_id").collect() for n in (2, 5)]
     assert runs[0] == runs[1]
+
+
+def test_auc_and_mae_equal_those_of_the_stored_scores(spark):
+    """M6 and M8 by their definitions: rank sum of the scores, mean of the absolute errors."""
+    from pyspark.ml.functions import vector_to_array
+    feats = spark.range(400).select(
+        F.col("id").alias("customer_id"), *[((F.col("id") * k * k + 3) % 17).cast("double").alias(c)
+                                           for k, c in enumerate(ml.CHURN_FEATURES, 2)],
+        (F.col("id") % 23 * 10.0).alias("total_spent_all"))
+    data = feats.withColumn("churned", ((F.col("customer_id") * 7 + F.col("days_since_last") * 5) % 11 < 5)
+                            .cast("int"))
+    model, auc = ml.train_churn(data, max_iter=4, max_depth=3)
+    raw = [(r.churned, r.s) for r in model.transform(ml.numeric(data, ml.CHURN_FEATURES)).filter(
+        ~ml.split_column()).select("churned", vector_to_array("rawPrediction")[1].alias("s")).collect()]
+    good, bad = [s for c, s in raw if c], [s for c, s in raw if not c]
+    ranks = sum((a > b) + 0.5 * (a == b) for a in good for b in bad) / (len(good) * len(bad))
+    assert abs(auc - ranks) < 1e-9
+    forest, mae = ml.train_ltv(data, num_trees=8)
+    errors = [abs(r.prediction - r.total_spent_all) for r in forest.transform(
+        ml.numeric(data, ml.LTV_FEATURES)).filter(~ml.split_column()).collect()]
+    assert abs(mae - sum(errors) / len(errors)) < 1e-9

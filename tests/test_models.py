@@ -178,3 +178,15 @@ def test_div_round_holds_large_counts(spark):
     row = spark.range(1).select(div_round(F.lit("30000000000.00").cast("decimal(28,2)"),
                                           F.lit(20_000_000_000), 2).alias("x")).first()
     assert row.x == Decimal("1.50")
+
+
+def test_customer_ltv_keeps_null_and_repeated_ids(spark):
+    rows = [(1, Decimal(10)), (1, Decimal(20)), (2, Decimal(30)), (None, Decimal(40)), (None, None)]
+    seg = spark.createDataFrame(
+        [(k, "regular", spent, 1, dt.datetime(2026, 1, 1 + i), Decimal(1)) for i, (k, spent) in enumerate(rows)],
+        "customer_id long, segment string, total_spent decimal(28,2), order_count int, "
+        "last_order_at timestamp_ntz, clv_score decimal(38,4)")
+    out = models.customer_ltv(seg).collect()
+    assert sorted(str((r.customer_id, r.total_spent and int(r.total_spent))) for r in out) == \
+        sorted(str((k, spent and int(spent))) for k, spent in rows)
+    assert sorted(r.monetary_quartile for r in out) == [1, 1, 2, 3, 4]

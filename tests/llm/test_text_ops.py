@@ -246,7 +246,7 @@ def thue_morse(n, a="a", b="b"):
 def test_hashes_tell_self_similar_texts_apart(n):
     """A polynomial modulo 2 ** 64 gives these two words one hash, whatever its base."""
     one, two = thue_morse(n), thue_morse(n, "b", "a")
-    (_, _, chunk), = chunks(pa.array([f"{one} {two} {one}", two]))
+    (_, _, chunk), = T.chunks(pa.array([f"{one} {two} {one}", two]))
     a, b, c, d = chunk.word_hashes().tolist()
     assert a == c and b == d and a != b
 

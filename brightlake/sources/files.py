@@ -55,7 +55,8 @@ def replace_files(df: DataFrame, path: str, old: Iterable[str], partition_by=(),
     """Write ``df`` into the table in the place of its files ``old``; returns the new files.
 
     ``df`` may read the files that it replaces. Other files keep their bytes and times.
-    ``drop`` names a partition column that only deals rows to files, the last one.
+    ``drop`` names a partition column that only deals rows to files, the last one; its value goes
+    into the names of the files, which a task that writes several values would repeat.
     """
     spark = df.sparkSession
     staged = f"{path.rstrip('/')}/_staged_{uuid.uuid4().hex[:12]}"
@@ -71,7 +72,7 @@ def replace_files(df: DataFrame, path: str, old: Iterable[str], partition_by=(),
         if at.getName().endswith(".parquet"):
             name = at.toString()[len(top) + 1:]
             if drop:
-                name = re.sub(f"(^|/){drop}=[^/]*/", r"\1", name)
+                name = re.sub(f"(^|/){drop}=([^/]*)/", r"\1bin-\2-", name)
             moves.append([at.toString(), f"{path.rstrip('/')}/{name}"])
     _write_journal(spark, path, {"staged": staged, "moves": moves,
                                  "old": [_path(spark, f).toString() for f in old]})

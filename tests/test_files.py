@@ -71,6 +71,22 @@ def test_compaction_packs_small_files_only(spark, scratch):
     assert stamps(path) == after                 # nothing left to pack
 
 
+def test_bins_of_one_folder_keep_their_own_sorted_files(spark, scratch):
+    path = f"{scratch}/t"
+    base = spark.range(6000).selectExpr("id", "md5(string(id)) AS x", "'a' AS part")
+    base.repartition(24, "id").write.partitionBy("part").parquet(path)
+    sizes = files.table_files(spark, path)
+    limit = 2 * max(sizes.values())
+    bins = files.pack(sizes, limit)
+    assert len(bins) > 8
+    out = sinks.compact_small_files(spark, path, target_bytes=limit, small_share=1, sort_cols=["x"])
+    assert out == {"before": 24, "after": len(bins)}
+    assert rows(spark.read.parquet(path)) == rows(base)
+    for name in stamps(path):
+        found = [r.x for r in spark.read.parquet(name).collect()]
+        assert found and found == sorted(found)
+
+
 def test_bins_hold_every_file_once():
     sizes = {f"f{i}": (i * 37) % 101 + 1 for i in range(60)} | {"huge": 500}
     bins = files.pack(sizes, 128)

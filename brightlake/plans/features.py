@@ -12,9 +12,12 @@ from brightlake.functions.money import SUM_MONEY, div_round, ratio_round
 from brightlake.functions.rules import CLV_CAP_FEATURES, price_tier
 from brightlake.operators.topk import arg_max_per_group
 from brightlake.plans.gold import clv_score
+from brightlake.session import written
 from brightlake.sources.sinks import truncate_insert
 
 WINDOWS = (7, 30, 90)
+#: Cells of one task of ``training_features``, about.
+CELL_ROWS = 50_000
 
 
 def preferred_category(orders: DataFrame, key: str = "customer_id") -> DataFrame:
@@ -100,6 +103,10 @@ def training_features(orders: DataFrame, dates, exclude_status: str = "cancelled
     category (as many rows as slots at most) turns them into prefix sums, and a
     window's sum is the difference of two prefixes. Each prefix is handed to the cuts that lie
     between its slot and the next, so a customer's category has one row for each cut.
+
+    A cell becomes many rows on the way, all within its customer, so the cells are written and
+    dealt to tasks by customer, some ``CELL_ROWS`` each: a task's memory does not grow with the
+    table, and the three steps after the deal need no other shuffle.
     """
     dates = sorted({str(d)[:10] for d in dates})
     day = _dt.date.fromisoformat
@@ -115,6 +122,8 @@ def training_features(orders: DataFrame, dates, exclude_status: str = "cancelled
         F.count("total_amount").alias("_n_amount"),
         F.count_if(F.col("status") == "refunded").alias("_refunded"),
         F.count("order_id").alias("_n"), F.count(F.lit(1)).alias("_rows"))
+    cells = written(cells, "training-cells")   # counted from its footers
+    cells = cells.repartition(max(1, -(-cells.count() // CELL_ROWS)), "customer_id")
     order = Window.partitionBy("customer_id", "category").orderBy("_slot")
     upto = order.rowsBetween(Window.unboundedPreceding, 0)
     sums = ["_spent", "_n_amount", "_refunded", "_n", "_rows"]

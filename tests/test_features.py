@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -137,6 +138,18 @@ def test_training_features_scan_once(spark, scratch):
     assert plan.count("FileScan") == 1
 
 
+def test_training_features_tasks_follow_the_cells(spark, monkeypatch):
+    rows = [(str(i), i % 50, "abc"[i % 3], 5, "completed", AS_OF - dt.timedelta(days=i % 300)) for i in range(2000)]
+    orders, dates = lines(spark, rows), [f"2025-{m:02d}-01" for m in range(5, 13)]
+    want = sorted(map(str, features.training_features(orders, dates).collect()))
+    monkeypatch.setattr(features, "CELL_ROWS", 5, raising=False)
+    got = features.training_features(orders, dates)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    deals = [int(n) for n in re.findall(r"hashpartitioning\(customer_id#\d+L?, (\d+)\)", plan)]
+    assert len(deals) == 1 and plan.count("Exchange") == 1 and deals[0] > 2 * spark.sparkContext.defaultParallelism
+    assert sorted(map(str, got.collect())) == want
+
+
 def test_rolling_distinct_counts(spark):
     import random
 

@@ -27,6 +27,8 @@ LTV_FEATURES = ["order_count_30d", "order_count_90d", "avg_basket_size", "return
                 "days_since_last"]
 SEED = 42
 TRAIN_BUCKETS = 8  # of 10: an 80/20 split
+#: Rows of one partition of a training table, about.
+TRAIN_ROWS = 50_000
 
 
 def exact_median(df: DataFrame, col: str) -> DataFrame:
@@ -68,8 +70,12 @@ def numeric(df: DataFrame, cols) -> DataFrame:
 
 
 def in_key_order(df: DataFrame, key: str) -> DataFrame:
-    """Rows dealt by key and sorted inside each partition, so two fits see the same order."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Rows dealt by key and sorted inside each partition, so two fits see the same order.
+
+    A fit passes over the rows hundreds of times, a short job each, so the partitions follow
+    the rows and not the session's shuffles.
+    """
+    n = max(1, -(-df.count() // TRAIN_ROWS))
     return df.repartition(n, key).sortWithinPartitions(key)
 
 

@@ -103,3 +103,12 @@ def test_auc_and_mae_equal_those_of_the_stored_scores(spark):
     errors = [abs(r.prediction - r.total_spent_all) for r in forest.transform(
         ml.numeric(data, ml.LTV_FEATURES)).filter(~ml.split_column()).collect()]
     assert abs(mae - sum(errors) / len(errors)) < 1e-9
+
+
+def test_training_partitions_follow_the_rows(spark, monkeypatch):
+    rows = spark.range(1000).withColumnRenamed("id", "k")
+    assert ml.in_key_order(rows, "k").rdd.getNumPartitions() == 1
+    monkeypatch.setattr(ml, "TRAIN_ROWS", 100)
+    dealt = ml.in_key_order(rows, "k")
+    assert dealt.rdd.getNumPartitions() == 10 and dealt.distinct().count() == 1000
+    assert ml.in_key_order(rows.limit(0), "k").count() == 0

@@ -11,7 +11,7 @@ written once in between: pass only those that the order and a later join need.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brightlake.session import written
@@ -20,6 +20,11 @@ from brightlake.session import written
 RANGE_ROWS = 2_000_000
 
 
+def range_partitions(spark: SparkSession, rows: int) -> int:
+    """Partitions to number ``rows`` rows in."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // RANGE_ROWS))
+
+
 def global_row_number(df: DataFrame, order_cols: list[Column], rn_col: str = "rn",
                       total_col: str | None = None,
                       num_partitions: int | None = None) -> DataFrame:
@@ -28,8 +33,7 @@ def global_row_number(df: DataFrame, order_cols: list[Column], rn_col: str = "rn
     n_parts = num_partitions
     if not n_parts:
         df = written(df, "row-number-input")   # counted from its footers, and read once more
-        n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                      -(-df.count() // RANGE_ROWS))
+        n_parts = range_partitions(spark, df.count())
     ranged = (df.repartitionByRange(n_parts, *order_cols)
                 .sortWithinPartitions(*order_cols)
                 .withColumn("_pid", F.spark_partition_id())

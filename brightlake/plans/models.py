@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from brightlake.functions.money import div_round, pct_change, share_pct
 from brightlake.functions.rules import rfm_segment
-from brightlake.operators.ntile import distributed_ntile
+from brightlake.operators.ntile import distributed_ntile, range_partitions
 from brightlake.operators.rank import group_totals, join_null_safe, rank_table
 from brightlake.session import written
 
@@ -46,10 +46,12 @@ def top_products(perf: DataFrame) -> DataFrame:
     numbering of ``rank_table`` over the slim columns and the period total from
     an aggregate, so one busy period is spread over many tasks.
     """
-    # Read by both numberings and the final join: the aggregate is written once.
+    # Read by both numberings and the final join: the aggregate is written once, and counted
+    # from its footers for both.
     base = written(perf, "top-products")
-    by_rev = rank_table(base, ["period"], "revenue", "revenue_rank", ["product_id"])
-    by_vol = rank_table(base, ["period"], "units_sold", "volume_rank", ["product_id"])
+    parts = range_partitions(base.sparkSession, base.count())
+    by_rev = rank_table(base, ["period"], "revenue", "revenue_rank", ["product_id"], num_partitions=parts)
+    by_vol = rank_table(base, ["period"], "units_sold", "volume_rank", ["product_id"], num_partitions=parts)
     totals = group_totals(base, ["period"], "revenue", "_period_revenue")
     x = join_null_safe(base, by_rev, ["period", "revenue"])
     x = join_null_safe(x, by_vol, ["period", "units_sold"])

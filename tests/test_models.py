@@ -190,3 +190,17 @@ def test_customer_ltv_keeps_null_and_repeated_ids(spark):
     assert sorted(str((r.customer_id, r.total_spent and int(r.total_spent))) for r in out) == \
         sorted(str((k, spent and int(spent))) for k, spent in rows)
     assert sorted(r.monetary_quartile for r in out) == [1, 1, 2, 3, 4]
+
+
+def test_top_products_writes_its_rows_once(spark, monkeypatch):
+    from brightlake.operators import ntile
+    perf = spark.range(40).selectExpr(
+        "id AS product_id", "'n' AS product_name", "'c' AS category", "'2026-01' AS period", "int(id % 5) AS units_sold",
+        "cast(id % 7 AS decimal(14,2)) AS revenue", "cast(1 AS decimal(14,2)) AS avg_price",
+        "cast(0 AS decimal(5,4)) AS return_rate")
+    names, write = [], ntile.written
+    for module in (ntile, models):
+        monkeypatch.setattr(module, "written", lambda df, name: (names.append(name), write(df, name))[1])
+    out = models.top_products(perf).collect()
+    assert sorted(names) == ["row-number", "row-number", "top-products"]
+    assert {r.product_id: r.volume_rank for r in out} == {i: 1 + 8 * (4 - i % 5) for i in range(40)}

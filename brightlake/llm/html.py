@@ -1,24 +1,26 @@
 """Main text of web pages, with repeated runs of a host removed by a suffix array.
 
 A page is cut into blocks of text at block-level tags. Blocks inside an article
-element (else inside main) are the article. Everything else on the page forms
-its outside stream of tokens: menus, notices, adverts, and, on pages without an
-article element, the text itself.
-
-All outside streams of a host are one long token sequence, whose suffixes are
-ranked by prefix doubling up to ``RUN_TOKENS`` tokens; only longer common
-prefixes count, so the doubling ends there. Suffixes of equal rank on distinct
-pages mark a repeated run. Ranks are 64-bit hashes, so equal suffixes meet in
-an aggregate by (host, rank): a host with a third of all pages is summed like
-any other, and no task holds a whole host. On pages without an article the
-covered tokens go, as do blocks whose element or class names say what they
-are, and the unique runs are kept. Inside an article nothing is removed for
-being repeated: an article may stand on several pages.
+element (else inside main, else any) are the candidates, without those whose element
+or class names say that they are none of the text.
+
+All blocks of all pages of a host, candidates or not, are token sequences whose suffixes are
+ranked by prefix doubling. Ranks are compared where blocks begin: a stretch of whole blocks of
+``RUN_TOKENS`` or more tokens, the shortest from each block on and up to each block, has the
+rank of its first and of its last 2 ** k tokens. Stretches of equal rank on
+``MIN_PAGES`` pages (inside an article ``ARTICLE_PAGES``) and ``PAGE_SHARE`` percent of the
+host's pages repeat, and those that overlap or meet join to maximal runs. A candidate block inside such a run goes, whole: no
+sentence is cut. Ranks are 64-bit hashes, so equal suffixes meet in an aggregate
+by (host, rank): a host with a third of all pages is summed like any other, and no task
+holds a whole host.
+
+An article may stand on several pages: pages of equal candidate text count as one page, and
+runs that hold half of an article's tokens or more, or all text of a page without an article
+element, are that text itself and stay.
 
 Defined cases: a null or empty page, or one without text, gives the empty text;
-a null url is a host of its own; pages with equal outside streams (repeated
-rows too) count as one page; a null id is kept; an unclosed tag at the end is
-no text. Other columns are ignored.
+a null url is a host of its own, of addresses without a host; a null id is kept; an unclosed
+tag at the end is no text. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,10 +35,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brightlake.llm.text import mix64
-from brightlake.session import scratch_path
+from brightlake.session import scratch_path, written
 
 #: Tokens of the shortest run that counts as repeated; a power of two.
 RUN_TOKENS = 8
+#: A run repeats that stands on so many pages of its host, and on this percentage of them;
+#: inside an article, whose opening line may well stand on a few pages, on more pages.
+MIN_PAGES, ARTICLE_PAGES, PAGE_SHARE = 3, 10, 50
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)"""
                   r"""((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)""", re.S)
@@ -154,13 +159,17 @@ def host_of(url: str | None) -> str:
     return found[1].lower() if found else ""
 
 
-def article(found: list[tuple[int, bool, str]]) -> str | None:
-    """Text of the innermost kind of container that has any, or None."""
+def candidates(found: list[tuple[int, bool, str]]) -> tuple[bool, list[int]]:
+    """Whether the page has an article, and its blocks: of the innermost kind of container
+    that has any, else all that are not apart."""
     for level in (2, 1):
-        texts = [t for at, apart, t in found if at >= level and not apart]
-        if texts:
-            return " ".join(texts)
-    return None
+        at = [i for i, (of, apart, _) in enumerate(found) if of >= level and not apart]
+        if at:
+            return True, at
+    return False, [i for i, (_, apart, _) in enumerate(found) if not apart]
+
+
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _token_code(token: str) -> int:
@@ -168,49 +177,114 @@ def _token_code(token: str) -> int:
                           "little")
 
 
+class _Codes(dict):
+    """Codes of the tokens met so far."""
+
+    def __missing__(self, token: str) -> int:
+        code = self[token] = _token_code(token)
+        return code
+
+
+def _doubled(rank: np.ndarray, step: int) -> np.ndarray:
+    """Ranks by ``2 * step`` tokens from those by ``step``."""
+    return mix64(rank[:-step] * _FACTOR + rank[step:])
+
+
 def suffix_ranks(tokens: list[str], length: int = RUN_TOKENS) -> np.ndarray:
     """Rank of every suffix by its first ``length`` tokens, by prefix doubling."""
     rank = np.array([_token_code(t) for t in tokens], dtype=np.uint64)
     step = 1
     while step < length and len(rank) > step:
-        rank = mix64(rank[:-step] * np.uint64(0x9E3779B97F4A7C15) + rank[step:])
+        rank = _doubled(rank, step)
         step *= 2
     return rank if step >= length else rank[:0]
 
 
+def stretches(codes: np.ndarray, sizes: np.ndarray,
+              least: int = RUN_TOKENS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(rank, first block, last block)`` of the shortest stretches of whole blocks, ``least``
+    tokens or more, from each block on and up to each block.
+
+    Every longer run of whole blocks is a union of these. ``codes`` are the tokens' codes, and
+    ``sizes`` the blocks' numbers of tokens.
+    """
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    blocks_ = np.arange(len(sizes))
+    last = np.searchsorted(ends, starts + least)
+    first = np.searchsorted(starts, ends - least, side="right") - 1
+    pairs = np.concatenate([np.stack([blocks_, last], 1)[last < len(sizes)],
+                            np.stack([first, blocks_], 1)[first >= 0]])
+    pairs = np.unique(pairs, axis=0)
+    lo, hi = starts[pairs[:, 0]], ends[pairs[:, 1]]
+    n = hi - lo
+    level = np.frexp(n)[1] - 1
+    out = np.zeros(len(n), np.uint64)
+    rank = codes
+    for k in range(int(level.max()) + 1 if len(n) else 0):
+        step = 1 << k
+        now = level == k
+        out[now] = mix64(mix64(rank[lo[now]] * _FACTOR + rank[hi[now] - step]) + n[now].astype(np.uint64))
+        if k < level.max():
+            rank = _doubled(rank, step)
+    return out, pairs[:, 0], pairs[:, 1]
+
+
+_STRETCHES = pa.list_(pa.struct([("rank", pa.int64()), ("first", pa.int32()), ("last", pa.int32())]))
+
+
 def parse(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
-    """One row a page: article text or null, and the outside stream with its ranks."""
+    """One row a page: its blocks (null where no candidate), the candidates' places, the tokens of
+    each block, a code of the candidates' text, and the ranked stretches of all blocks."""
     kind = pages.schema[key].dataType.simpleString()
 
     def run(batches):
+        known = _Codes()
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)
-                hosts, texts, tokens, own, ranks, streams = [], [], [], [], [], []
+                if len(known) > 200_000:
+                    known.clear()
+                columns = [[] for _ in range(7)]
                 for address, page in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
                     found = blocks(page or "")
-                    text = article(found)
-                    outside = [b for b in found if text is None or not b[0] or b[1]]
-                    words = [(w, not b[1]) for b in outside for w in b[2].split()]
-                    rank = suffix_ranks([w for w, _ in words])
-                    hosts.append(host_of(address))
-                    texts.append(text)
-                    tokens.append([w for w, _ in words] if text is None else [])
-                    own.append([o for _, o in words] if text is None else [])
-                    ranks.append(rank.view(np.int64))
-                    streams.append(int(mix64(np.bitwise_xor.accumulate(mix64(
-                        rank + np.arange(len(rank), dtype=np.uint64))))[-1:].view(np.int64).sum())
-                        if len(rank) else 0)
+                    whole, at = candidates(found)
+                    tokens = [b[2].split() for b in found]
+                    sizes = np.array([len(t) for t in tokens], dtype=np.int64)
+                    codes = np.array([known[t] for block in tokens for t in block], dtype=np.uint64)
+                    rank, lo, hi = stretches(codes, sizes)
+                    texts = [None] * len(found)
+                    for i in at:
+                        texts[i] = found[i][2]
+                    text = _token_code(" ".join(found[i][2] for i in at)) - (1 << 63)
+                    row = (host_of(address), text, whole, texts, at, sizes.tolist(),
+                           [{"rank": r, "first": a, "last": b} for r, a, b in
+                            zip(rank.view(np.int64).tolist(), lo.tolist(), hi.tolist())])
+                    for column, value in zip(columns, row):
+                        column.append(value)
+                kinds = [pa.string(), pa.int64(), pa.bool_(), pa.list_(pa.string()),
+                         pa.list_(pa.int32()), pa.list_(pa.int32()), _STRETCHES]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(hosts, pa.string()),
-                     pa.array(texts, pa.string()), pa.array(tokens, pa.list_(pa.string())),
-                     pa.array(own, pa.list_(pa.bool_())), pa.array(ranks, pa.list_(pa.int64())),
-                     pa.array(streams, pa.int64())],
-                    [key, url, "_host", "_text", "_tokens", "_own", "_ranks", "_stream"])
+                    [part.column(0), part.column(1), *(pa.array(c, k) for c, k in zip(columns, kinds))],
+                    [key, url, "_host", "_code", "_whole", "_blocks", "_at", "_sizes", "_stretches"])
 
     return pages.select(key, F.col(url).cast("string"), html).mapInArrow(
-        run, f"`{key}` {kind}, `{url}` string, _host string, _text string, "
-             "_tokens array<string>, _own array<boolean>, _ranks array<long>, _stream long")
+        run, f"`{key}` {kind}, `{url}` string, _host string, _code long, _whole boolean, "
+             "_blocks array<string>, _at array<int>, _sizes array<int>, "
+             "_stretches array<struct<rank: long, first: int, last: int>>")
+
+
+def repeated_blocks(parsed: DataFrame) -> DataFrame:
+    """``_row`` and ``_runs``, the (first, last) blocks of its stretches that repeat on its host."""
+    ranked = parsed.select("_row", "_host", "_code", "_whole", F.inline("_stretches"))
+    pages = (parsed.select("_host", "_code").distinct()
+             .groupBy("_host").agg(F.count(F.lit(1)).alias("_pages")))
+    common = (ranked.select("_host", "rank", "_code").distinct().groupBy("_host", "rank")
+              .agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= MIN_PAGES)
+              .join(pages, "_host").filter(F.col("_n") * 100 >= F.col("_pages") * PAGE_SHARE))
+    return (ranked.join(common.select("_host", "rank", "_n"), ["_host", "rank"])
+            .filter(~F.col("_whole") | (F.col("_n") >= ARTICLE_PAGES))
+            .groupBy("_row").agg(F.collect_set(F.struct("first", "last")).alias("_runs")))
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url",
@@ -221,18 +295,18 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url",
     (parse(pages, key, url, html).withColumn("_row", F.monotonically_increasing_id())
      .write.option("compression", "zstd").parquet(path))
     parsed = spark.read.parquet(path)
-    ranked = parsed.select("_row", "_host", "_stream", F.col("_text").isNull().alias("_bare"),
-                           F.posexplode("_ranks").alias("_at", "_rank"))
-    repeated = (ranked.groupBy("_host", "_rank")
-                .agg(F.min("_stream").alias("_x"), F.max("_stream").alias("_y"))
-                .filter("_x != _y").select("_host", "_rank"))
-    covered = (ranked.filter("_bare").join(repeated, ["_host", "_rank"], "left_semi")
-               .groupBy("_row").agg(F.collect_set("_at").alias("_starts")))
-    bare = parsed.filter(F.col("_text").isNull()).join(covered, "_row", "left")
-    starts = F.coalesce("_starts", F.array().cast("array<int>"))
-    marks = F.array_distinct(F.flatten(F.transform(
-        starts, lambda s: F.sequence(s, s + RUN_TOKENS - 1))))
-    kept = F.filter("_tokens", lambda t, i: F.get("_own", i) & ~F.array_contains(F.col("_marks"), i))
-    bare = bare.withColumn("_marks", marks).select(key, url, F.array_join(kept, " ").alias("text"))
-    whole = parsed.filter(F.col("_text").isNotNull()).select(key, url, F.col("_text").alias("text"))
-    return whole.unionByName(bare).withColumn("n_chars", F.length("text").cast("long"))
+    # Written, so that Spark knows its size: texts are shuffled only where many pages hold runs.
+    runs = written(repeated_blocks(parsed), "html-runs")
+    marked = parsed.drop("_stretches", "_host", "_code").join(runs, "_row", "left")
+    gone = F.flatten(F.transform("_runs", lambda r: F.sequence(r["first"], r["last"])))
+
+    def tokens(places):
+        return F.aggregate(places, F.lit(0).cast("long"), lambda n, i: n + F.get("_sizes", i))
+
+    # Runs that are (half of) the text are the text.
+    left, all_ = tokens(F.col("_left")), tokens(F.col("_at"))
+    cut = F.when(F.col("_whole"), left * 2 > all_).otherwise(left > 0)
+    places = F.when(cut, F.col("_left")).otherwise(F.col("_at"))
+    kept = F.transform(places, lambda i: F.get("_blocks", i))
+    return (marked.withColumn("_left", F.array_except("_at", gone)).select(key, url, F.array_join(kept, " ").alias("text"))
+            .withColumn("n_chars", F.length("text").cast("long")))

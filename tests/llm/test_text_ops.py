@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
@@ -227,6 +228,56 @@ def test_html_article_and_bare_pages(spark):
     assert html.extract(pages.limit(0)).count() == 0
 
 
+def test_html_repeated_runs_decide_in_and_outside_articles(spark):
+    """Whole blocks of runs that the host repeats go; phrases of a sentence, and texts under
+    several addresses, stay."""
+    share = "<p>Write to us today and<p>get all the news of the week"     # in the article, on every page
+    page = "<article><h1>Title {0}</h1><p>own{0} text{0} of page{0} is long enough, longer than the rest {0}" + share + "</article>"
+    rows = [(i, f"https://h.example/{i}", page.format(i)) for i in range(12)]
+    rows += [(20 + i, f"https://few.example/{i}", page.format(i)) for i in range(4)]
+    menu = "<div>one two three</div><div>four five six seven eight</div>"
+    rows += [(30 + i, f"https://bare.example/{i}",
+              f"{menu}<p>own{i} he said that this is not at all what they wanted {i}</p>") for i in range(4)]
+    rows += [(40 + i, f"https://two.example/{i}", f"<p>one text that stands under two addresses, whole</p><p>{i}")
+             for i in range(2)]
+    rows += [(50 + i, f"https://same.example/{i}", f"<nav>menu {i}</nav><article><p>a text that stands under "
+              f"many addresses of a host</p><p>{i}</article>") for i in range(20)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = {r.page_id: r.text for r in html.extract(pages).collect()}
+    for i in range(12):
+        assert out[i] == f"Title {i} own{i} text{i} of page{i} is long enough, longer than the rest {i}"
+    for i in range(4):
+        assert out[20 + i].endswith(f"rest {i} Write to us today and get all the news of the week")
+        assert out[30 + i] == f"own{i} he said that this is not at all what they wanted {i}"
+    for i in range(2):
+        assert out[40 + i] == f"one text that stands under two addresses, whole {i}"
+    for i in range(20):
+        assert out[50 + i] == f"a text that stands under many addresses of a host {i}"
+
+
+def test_html_stretches_make_all_runs_of_blocks():
+    """Blocks inside any equal run of 8 tokens or more, by comparing all runs, are those that
+    stretches of equal rank cover."""
+    rnd = random.Random(7)
+    for _ in range(40):
+        shared = [[rnd.choice("abcd") for _ in range(rnd.randint(1, 11))] for _ in range(6)]
+        two = [[rnd.choice([*shared, [rnd.choice("xyz")] * rnd.randint(1, 9)]) for _ in range(12)]
+               for _ in range(2)]
+        known = []
+        found = {tuple(sum(two[1][a:b + 1], [])) for a in range(12) for b in range(a, 12)}
+        for page in two:
+            codes = np.array([html._token_code(t) for b in page for t in b], dtype=np.uint64)
+            known.append([(int(r), a, b) for r, a, b in zip(*html.stretches(
+                codes, np.array([len(b) for b in page])))])
+        other = {r for r, _, _ in known[1]}
+        covered = {i for r, a, b in known[0] if r in other for i in range(a, b + 1)}
+        assert covered >= {i for a in range(12) for b in range(a, 12) for i in range(a, b + 1)
+                           if sum(map(len, two[0][a:b + 1])) >= 8
+                           and any(two[1][c:c + b + 1 - a] == two[0][a:b + 1] for c in range(12 - b + a))}
+        assert covered <= {i for a in range(12) for b in range(a, 12) for i in range(a, b + 1)
+                           if tuple(sum(two[0][a:b + 1], [])) in found}
+
+
 def test_suffix_ranks_equal_prefixes():
     rnd = random.Random(3)
     tokens = [rnd.choice("abc") for _ in range(400)]

@@ -25,14 +25,15 @@ from __future__ import annotations
 import datetime as _dt
 import re
 import time
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from brightlake.operators import quality
 from brightlake.operators.cleaning import clean_order_rows, parse_if_text
-from brightlake.operators.dedupe import first_by_key
+from brightlake.operators.dedupe import first_of_ids
 from brightlake.plans import gold
 from brightlake.plans.ops import RUN_SCHEMA
 from brightlake.session import path_exists
@@ -50,8 +51,9 @@ def touched_days(cells: DataFrame) -> list:
 
 
 def _one_of(column: str, values: list, kind: str = "string"):
-    known = [F.lit(v).cast(kind) for v in values if v is not None]
-    keep = F.col(column).isin(known) if known else F.lit(False)
+    # One text for all values: a column object a day costs the driver seconds.
+    known = ", ".join(f"CAST('{v}' AS {kind})" for v in values if v is not None)
+    keep = F.expr(f"`{column}` IN ({known})") if known else F.lit(False)
     return keep | F.col(column).isNull() if None in values else keep
 
 
@@ -195,18 +197,21 @@ def _merge_batch(raw, batch_id, silver_path, gold_path, as_of, keys_path, cells_
     spark = raw.sparkSession
     index = SeenKeys(spark, keys_path, "order_id")
     order = [c for c in LANDED if c in raw.columns] or ["created_at"]
-    # Rows without an id are one row here, and go in the cleaning whatever their number.
-    whole = first_by_key(parse_if_text(raw, "created_at"), ["order_id"], order, "_rows").persist()
+    # Rows without an id would go in the cleaning; they are counted where they are read.
+    lacking = Observation(f"stream_read_{uuid.uuid4().hex[:12]}")
+    rows = parse_if_text(raw, "created_at").observe(
+        lacking, F.count_if(F.col("order_id").isNull()).alias("no_id"))
+    whole = first_of_ids(rows, "order_id", order, "_rows").drop(*LANDED).persist()
     try:
         # Computes the whole batch once; what follows reads it.
-        read = whole.agg(F.sum("_rows"), F.count("order_id")).first()
-        counts["read"] = read[0] or 0
-        batch = whole.drop("_rows").filter(F.col("order_id").isNotNull())
-        if read[1]:
+        known = whole.agg(F.sum("_rows"), F.count("order_id")).first()
+        counts["read"] = (known[0] or 0) + (quality.observed_counts(lacking) or {}).get("no_id", 0)
+        batch = whole.drop("_rows")
+        if known[1]:
             index.remember(index.unseen(batch, batch_id), batch_id)
         # From here on the batch is what its key partitions hold, so a re-run agrees.
         ids = index.own(batch, batch_id)
-        clean = clean_order_rows(batch.join(ids, "order_id", "left_semi").drop(*LANDED), as_of)
+        clean = clean_order_rows(batch.join(ids, "order_id", "left_semi"), as_of)
         observed, seen = quality.observed_rules(clean, rules, "stream_dq")
         _overwrite(observed.withColumn("order_month", F.date_format("created_at", "yyyy-MM"))
                    .withColumn("_batch", F.lit(batch_id).cast("long")),

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,8 +94,11 @@ class SeenKeys:
         filters = {k: f for k, f in self.filter_folders().items() if k in folders}
         hits = set(folders) - set(filters)
         if filters:
-            files = self.spark.createDataFrame([(b, i, w) for (b, i), (w, _) in filters.items()],
-                                               "_bucket int, _batch long, _words long")
+            # An Arrow table is a local relation: no Python worker starts for a few numbers.
+            files = self.spark.createDataFrame(pa.table({
+                "_bucket": pa.array([b for b, _ in filters], pa.int32()),
+                "_batch": pa.array([i for _, i in filters], pa.int64()),
+                "_words": pa.array([w for w, _ in filters.values()], pa.int64())}))
             bits = (self.spark.read.schema(_FILTER_SCHEMA).option("basePath", self.filters)
                     .parquet(*[p for _, p in filters.values()]))
             probe = (ids.join(files, "_bucket").withColumn("word", _word(self.key, F.col("_words")))
@@ -116,7 +120,7 @@ class SeenKeys:
     def read(self, like: DataFrame, folders: list[str]) -> DataFrame:
         kind = like.schema[self.key].dataType.simpleString()
         if not folders:
-            return self.spark.createDataFrame([], f"`{self.key}` {kind}")
+            return self.spark.range(0).select(F.lit(None).cast(kind).alias(self.key))
         return self.spark.read.schema(f"`{self.key}` {kind}").parquet(*folders)
 
     def own(self, like: DataFrame, batch_id: int) -> DataFrame:

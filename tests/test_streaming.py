@@ -179,3 +179,44 @@ def test_failed_batch_is_logged(spark, scratch):
         incremental.upsert_batch(raw, 0, f"{scratch}/s", f"{scratch}/g", "2026-01-10", runs_path=f"{scratch}/runs")
     row = spark.read.parquet(f"{scratch}/runs").first()
     assert row.status == "failed" and "quantity" in row.error_msg and row.rows_read == 3
+
+
+def small_tables(spark, path, times):
+    """One order of one line for each of the times."""
+    orders = [(i, i, dt.datetime.fromisoformat(t)) for i, t in enumerate(times, 1)]
+    lines = [(i, 1, 1, 5.0, 50.0, 0.0, "N") for i in range(1, len(times) + 1)]
+    for name, rows, schema in (
+            ("orders", orders, "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz"),
+            ("lineitem", lines, "l_orderkey long, l_linenumber int, l_partkey long, l_quantity double, "
+                                "l_extendedprice double, l_discount double, l_returnflag string"),
+            ("part", [(1, "p", "c")], "p_partkey long, p_name string, p_type string")):
+        spark.createDataFrame(rows, schema).write.parquet(f"{path}/{name}.parquet")
+
+
+@pytest.mark.parametrize("times,read", [
+    (["1996-01-05", "1998-01-05"], [1, 1, 2]), (["1998-01-05"], [1, 0, 1]), ([], [0, 0, 0])])
+def test_each_delivery_is_a_batch(spark, scratch, times, read):
+    """Deliveries of fewer files than a batch takes, and of no rows."""
+    from brightlake.registry import QUERIES
+    small_tables(spark, scratch, times)
+    got = {r.batch: (r.rows_tested, r.rows_failed)
+           for r in QUERIES["stream_quality"](spark, scratch).filter("check_name = 'run'").collect()}
+    assert got == {0: (read[0], 0), 1: (read[1], 0), 2: (read[2], read[2])}
+
+
+def test_batch_sorts_its_rows_once_and_counts_those_without_an_id(spark, scratch, monkeypatch):
+    plans, frames = [], type(spark.range(1))
+    persist = frames.persist
+
+    def spy(self, *args):
+        plans.append(self._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0])
+        return persist(self, *args)
+
+    monkeypatch.setattr(frames, "persist", spy)
+    rows = [order(None, "2026-01-05T10:00:00")] * 40 + [order("a", "2026-01-05T10:00:00")] * 3
+    incremental.upsert_batch(spark.createDataFrame(rows, BRONZE_ORDERS), 0, f"{scratch}/s",
+                             f"{scratch}/g", "2026-01-10", runs_path=f"{scratch}/runs")
+    aggregates, shuffle = plans[0].rindex("Aggregate"), plans[0].index("REPARTITION_BY_NUM")
+    assert aggregates < shuffle          # printed from the top: none below the shuffle
+    run = spark.read.parquet(f"{scratch}/runs").first()
+    assert (run.rows_read, run.rows_written) == (43, 1)

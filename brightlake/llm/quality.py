@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brightlake.llm.text import IS_SPACE, Chunk, chunks
+from brightlake.llm.text import IS_SPACE, SMALL_BYTES, Chunk, chunks
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -172,7 +172,7 @@ def order_rules(docs: DataFrame, rules=RULES, text: str = "text",
     def measure(batches):
         spent, turned, seen = np.zeros(len(rules)), np.zeros(len(rules)), 0
         for batch in batches:
-            for _, _, chunk in chunks(batch.column(0)):
+            for _, _, chunk in chunks(batch.column(0), limit=SMALL_BYTES):
                 seen += chunk.n
                 for i, rule in enumerate(rules):
                     alone = Chunk(chunk.data, chunk.offsets)
@@ -217,7 +217,7 @@ def score_quality(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     def score(batches):
         for batch in batches:
-            for first, end, chunk in chunks(batch.column(1)):
+            for first, end, chunk in chunks(batch.column(1), limit=SMALL_BYTES):
                 counts = base_counts(chunk)
                 failed = base_failed(counts)
                 kept = run_cascade(chunk, ordered, ~failed)
@@ -239,7 +239,7 @@ def keep_good(docs: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
 
     def good(batches):
         for batch in batches:
-            for first, end, chunk in chunks(batch.column(at)):
+            for first, end, chunk in chunks(batch.column(at), limit=SMALL_BYTES):
                 kept = run_cascade(chunk, ordered, ~base_failed(base_counts(chunk)))
                 yield batch.slice(first, end - first).filter(pa.array(kept))
 

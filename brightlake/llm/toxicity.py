@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brightlake.llm.text import LOWER, chunks
+from brightlake.llm.text import LOWER, SMALL_BYTES, chunks
 from brightlake.session import scratch_path
 
 BUCKET_BITS = 18
@@ -36,11 +36,13 @@ FIT_ROWS = 4000
 #: Buckets that get a weight: those whose two shares differ most beyond chance.
 FEATURES = 4096
 SMOOTHING = 1.0
+#: Texts of a chunk, at most: each takes a flag for every weighted bucket.
+ROWS = 1024
 
 
 def _grams(texts: pa.Array):
     """Yield ``(first row, rows, starts, {n: bucket of the n-gram at each place})``."""
-    for first, _, chunk in chunks(texts):
+    for first, _, chunk in chunks(texts, limit=SMALL_BYTES, rows=ROWS):
         raw = LOWER[chunk.data]
         points = np.frombuffer(raw.tobytes().decode("utf-8", "replace").encode("utf-32-le"),
                                np.uint32)
@@ -94,7 +96,8 @@ class Model:
                 inside = where + n <= starts[row + 1]
                 held[row[inside] * width + at[where[inside]]] = True
             if len(self.buckets):
-                margin[first:first + rows] += held.reshape(rows, width) @ self.weights
+                on = np.flatnonzero(held)
+                margin[first:first + rows] += np.bincount(on // width, self.weights[on % width], rows)
         return 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
 
 
